@@ -61,29 +61,36 @@ def ranked_scores(df: DataFrame, target: str, score: str, keys: Sequence[str] =
     return ranked(score_counts(df, target, score, keys), quantile_cuts(df, score), keys)
 
 
-# Aggregates over ``ranked``: P and N are totals, tp and fp run over the descending score.
-_P = F.col("total_pos").cast("double")
-_N = F.col("total_neg").cast("double")
-_TP = F.col("running_pos").cast("double")
-_FP = F.col("running_neg").cast("double")
+# Aggregates over ``ranked``: totals per group, hits and false alarms down to each score.
+def _number(name: str) -> Column:
+    return F.col(name).cast("double")
+
+
+def _positives() -> Column:
+    return F.max(_number("total_pos"))
+
+
+def _negatives() -> Column:
+    return F.max(_number("total_neg"))
 
 
 def roc_auc_value() -> Column:
     """Area under the ROC curve, ties count one half; null when a class is absent."""
-    above = F.sum(F.col("neg").cast("double") * (_TP - F.col("pos").cast("double") / 2))
-    pairs = F.max(_P) * F.max(_N)
-    return ratio(above, pairs)
+    above = F.sum(_number("neg") * (_number("running_pos") - _number("pos") / 2))
+    return ratio(above, _positives() * _negatives())
 
 
 def average_precision_value() -> Column:
     """Step-wise area under the precision-recall curve; null without positives."""
-    weighted = F.sum(F.col("pos").cast("double") * ratio(_TP, _TP + _FP))
-    return ratio(weighted, F.max(_P))
+    hits = _number("running_pos")
+    weighted = F.sum(_number("pos") * ratio(hits, hits + _number("running_neg")))
+    return ratio(weighted, _positives())
 
 
 def best_f1() -> Column:
     """Struct (f1, score) of the best cut; the highest score wins a tie."""
-    f1 = ratio_or_zero(2 * _TP, _TP + _FP + _P)
+    hits = _number("running_pos")
+    f1 = ratio_or_zero(2 * hits, hits + _number("running_neg") + _number("total_pos"))
     return F.max(F.struct(f1.alias("f1"), F.col("score").alias("score")))
 
 
@@ -101,7 +108,7 @@ def average_precision(df: DataFrame, target: str, score: str, keys: Sequence[str
 
 def max_f1_threshold(df: DataFrame, target: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
     """Threshold with the highest F1; null where only one class is present."""
-    both = (F.max(_P) > 0) & (F.max(_N) > 0)
+    both = (_positives() > 0) & (_negatives() > 0)
     return (
         ranked_scores(df, target, score, keys)
         .groupBy(*keys)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,43 +52,31 @@ def assign_balanced(
     return ranked.select(*df.columns, chosen.alias(column))
 
 
-def month_starts(start: str, end: str) -> list[dt.date]:
-    """Every first day of a month in [start, end]."""
-    first, last = dt.date.fromisoformat(str(start)[:10]), dt.date.fromisoformat(str(end)[:10])
-    if last < first:
-        raise ValueError("The start date lies after the end date.")
-    year, month = first.year, first.month
-    if first.day > 1:
-        year, month = year + month // 12, month % 12 + 1
-    found = []
-    while dt.date(year, month, 1) <= last:
-        found.append(dt.date(year, month, 1))
-        year, month = year + month // 12, month % 12 + 1
-    return found
-
-
-def date_spine(spark: SparkSession, start: str, end: str, step: str = "1 month") -> DataFrame:
-    """One row per period start in [start, end] as ``period_start``."""
-    low, high = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
+def _spine(bounds: DataFrame, step: str) -> DataFrame:
+    """Explode one (low, high) row of dates into period starts."""
+    low, high = F.col("low"), F.col("high")
     first = low
     if step.endswith("month"):
         floor = F.trunc(low, "month")
         first = F.when(floor == low, low).otherwise(F.add_months(floor, 1))
     dates = F.sequence(first, high, F.expr(f"interval {step}"))
-    none = F.array().cast("array<date>")
-    return spark.range(1).select(
-        F.explode(F.when(first <= high, dates).otherwise(none)).cast("timestamp_ntz").alias("period_start")
+    days = F.when(first <= high, dates).otherwise(F.array().cast("array<date>"))
+    return bounds.select(F.explode(days).alias("day")).select(
+        F.col("day").cast("timestamp_ntz").alias("period_start")
+    )
+
+
+def date_spine(spark: SparkSession, start: str, end: str, step: str = "1 month") -> DataFrame:
+    """One row per period start in [start, end] as ``period_start``; months start on day one."""
+    bounds = spark.range(1).select(
+        F.lit(str(start)).cast("date").alias("low"), F.lit(str(end)).cast("date").alias("high")
     )
+    return _spine(bounds, step)
 
 
 def period_spine(df: DataFrame, time_column: str, step: str = "1 month") -> DataFrame:
-    """Every period start between a table's first and last moment (scalars only)."""
-    bounds = df.agg(F.min(time_column).alias("low"), F.max(time_column).alias("high"))
-    low, high = F.to_date("low"), F.to_date("high")
-    floor = F.trunc(low, "month") if step.endswith("month") else low
-    first = F.when(floor == low, low).otherwise(F.add_months(floor, 1)) if step.endswith("month") else low
-    dates = F.sequence(first, high, F.expr(f"interval {step}"))
-    none = F.array().cast("array<date>")
-    return bounds.select(
-        F.explode(F.when(first <= high, dates).otherwise(none)).cast("timestamp_ntz").alias("period_start")
+    """Every period start between a table's first and last moment (one aggregated row)."""
+    bounds = df.agg(
+        F.to_date(F.min(time_column)).alias("low"), F.to_date(F.max(time_column)).alias("high")
     )
+    return _spine(bounds, step)

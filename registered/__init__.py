@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("monitoring", "metrics", "tables")
+AREAS = ("monitoring", "metrics", "tables", "storage")
 
 
 def collect(attribute: str) -> dict:

@@ -9,8 +9,9 @@ from cohorta.functions.features import ENGINEERED, engineer
 from cohorta.operators import profile as P
 from cohorta.operators import sampling as S
 from cohorta.operators import validation as X
+from cohorta.operators.cohorts import union_cohorts
 from cohorta.plans import views as V
-from registered.derived import API, COHORTS, CUSTOMERS, SCORED, with_views
+from registered.derived import API, CUSTOMERS, SCORED, with_views
 from registered.metrics import rounded
 
 NUMERIC = ["age", "tenure", "usage_frequency", "support_calls", "payment_delay", "last_interaction", "total_spend"]
@@ -130,8 +131,6 @@ def month_spine(spark, sf_dir):
 
 def union_of_cohorts(spark, sf_dir):
     """Rows and known labels after a union of cohorts whose columns differ."""
-    from cohorta.operators.cohorts import union_cohorts
-
     reference, analysis, errors = V.api_cohorts(spark, sf_dir)
     whole = union_cohorts(reference, analysis, errors)
     return whole.groupBy("event", "model_version").agg(
@@ -230,15 +229,14 @@ FROM (SELECT {c}, count(*) AS n FROM customers GROUP BY {c} ORDER BY n DESC, {c}
 
 def _correlations() -> str:
     columns = [*NUMERIC, "churn"]
-    return " UNION ALL ".join(
-        f"SELECT '{a}' AS left_column, '{b}' AS right_column, "
-        + (_r(f"corr({a}, {b})", "correlation") if a != b else "1.0::DOUBLE AS correlation")
-        + " FROM customers" + (" LIMIT 1" if False else "")
-        if a != b
-        else f"SELECT '{a}' AS left_column, '{a}' AS right_column, 1.0::DOUBLE AS correlation"
+    same = [f"SELECT '{c}' AS left_column, '{c}' AS right_column, 1.0::DOUBLE AS correlation" for c in columns]
+    other = [
+        f"SELECT '{a}', '{b}', {_r(f'corr({a}, {b})', 'correlation')} FROM customers"
         for a in columns
         for b in columns
-    )
+        if a != b
+    ]
+    return " UNION ALL ".join([*same, *other])
 
 
 def _overlap() -> str:
