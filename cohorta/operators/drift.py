@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohorta.functions.scalars import numeric_columns, ratio, string_columns, to_long
-from cohorta.operators.cohorts import PERIOD, PREDICTED, PROBABILITY, VERSION, report_keys
+from cohorta.operators.cohorts import PREDICTED, PROBABILITY, VERSION, report_keys
 from cohorta.operators.joins import join_on_keys
 from cohorta.operators.metrics import ranked, roc_auc_value
 from cohorta.operators.prefix import quantile_cuts
+from cohorta.operators.profile import most_frequent
 from cohorta.operators.ranks import grouped_percentiles
 
 # Default limits of the drift methods.
@@ -235,13 +236,7 @@ def _surrogates(reference: DataFrame, numeric: Sequence[str], text: Sequence[str
             .groupBy(VERSION, "feature", "value")
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        top = counts.groupBy(VERSION, "feature").agg(F.max("n").alias("n"))
-        modes = (
-            join_on_keys(counts, top.withColumnRenamed("n", "top"), [VERSION, "feature"], "inner")
-            .where("n = top")
-            .groupBy(VERSION, "feature")
-            .agg(F.min("value").alias("word"))
-        )
+        modes = counts.groupBy(VERSION, "feature").agg(most_frequent().alias("word"))
         parts.append(modes.select(VERSION, "feature", F.lit(None).cast("double").alias("number"), "word"))
     whole = parts[0]
     for part in parts[1:]:

@@ -44,6 +44,11 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return spread.join(quartiles, "feature")
 
 
+def most_frequent() -> Column:
+    """Aggregate over (value, n) counts: the value with the highest count, smallest on a tie."""
+    return F.min(F.struct((-F.col("n")).alias("rank"), F.col("value").alias("value")))["value"]
+
+
 def string_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, unique, most frequent value (smallest on a tie) and its frequency per column."""
     counts = (
@@ -52,16 +57,12 @@ def string_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    summary = counts.groupBy("feature").agg(
-        F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq")
-    )
-    top = (
-        join_on_keys(counts, summary.select("feature", "freq"), ["feature"], "inner")
-        .where("n = freq")
-        .groupBy("feature")
-        .agg(F.min("value").alias("top"))
+    return counts.groupBy("feature").agg(
+        F.sum("n").alias("count"),
+        F.count(F.lit(1)).alias("unique"),
+        most_frequent().alias("top"),
+        F.max("n").alias("freq"),
     )
-    return summary.join(top, "feature")
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("monitoring", "metrics", "tables", "storage")
+AREAS = ("monitoring", "metrics", "tables", "storage", "learning", "streams")
 
 
 def collect(attribute: str) -> dict:
