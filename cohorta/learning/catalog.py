@@ -99,10 +99,14 @@ def _estimator(alias: str, p: Mapping[str, Any], label: str, rows: int) -> Estim
         return GaussianBayes(labelCol=label, var_smoothing=p.get("var_smoothing", 1e-9))
     if alias == "lr":
         return LogisticRegression(
-            **columns, regParam=penalty, elasticNetParam=0.0, maxIter=p["max_iter"], standardization=False
+            **columns, regParam=penalty, elasticNetParam=0.0, maxIter=p["max_iter"],
+            tol=p.get("tol", 1e-4), standardization=False,
         )
     if alias == "lsvc":
-        return LinearSVC(**columns, regParam=penalty, maxIter=p.get("max_iter", 100), standardization=False)
+        return LinearSVC(
+            **columns, regParam=penalty, maxIter=p.get("max_iter", 100), tol=p.get("tol", 1e-4),
+            standardization=False,
+        )
     if alias == "dt":
         return DecisionTreeClassifier(
             **columns, seed=seed, maxDepth=_depth(p.get("max_depth")),

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -88,22 +89,35 @@ class BinaryEstimator(Estimator, HasFeaturesCol, HasLabelCol, Saved):
             for y in (0, 1)
         ]
 
-    def class_covariances(self, dataset: DataFrame, width: int) -> list[np.ndarray]:
-        """Per class: population covariance of the features, from one grouped aggregate."""
+    def class_covariances(
+        self, dataset: DataFrame, means: list[np.ndarray], counts: list[float]
+    ) -> list[np.ndarray]:
+        """Per class: population covariance of the features.
+
+        Every Arrow batch becomes one centred cross-product per class; Spark adds them up cell
+        by cell, so the driver sees width x width numbers however many batches there are.
+        """
+        width = len(means[0])
+
+        def cross_products(batches):
+            sums = [np.zeros((width, width)), np.zeros((width, width))]
+            for batch in batches:
+                labels = batch["y"].to_numpy()
+                x = np.stack(batch["x"].to_list()) if len(batch) else np.zeros((0, width))
+                for y in (0, 1):
+                    centred = x[labels == y] - means[y]
+                    sums[y] += centred.T @ centred
+            yield pd.DataFrame({"y": [0, 1], "cells": [s.ravel().tolist() for s in sums]})
+
         rows = dataset.select(
             F.col(self.getLabelCol()).cast("int").alias("y"), vector_to_array("features").alias("x")
         )
-        cells = [(i, j) for i in range(width) for j in range(i + 1)]
-        found = rows.groupBy("y").agg(
-            *[F.covar_pop(F.col("x")[i], F.col("x")[j]).alias(f"c{i}_{j}") for i, j in cells]
-        )
-        matrices = {}
-        for row in found.collect():
-            matrix = np.zeros((width, width))
-            for i, j in cells:
-                matrix[i, j] = matrix[j, i] = row[f"c{i}_{j}"]
-            matrices[row["y"]] = matrix
-        return [matrices[0], matrices[1]]
+        partial = rows.mapInPandas(cross_products, "y int, cells array<double>")
+        cells = partial.select("y", F.posexplode("cells").alias("cell", "value"))
+        matrices = [np.zeros(width * width), np.zeros(width * width)]
+        for row in cells.groupBy("y", "cell").agg(F.sum("value").alias("value")).collect():
+            matrices[row["y"]][row["cell"]] = row["value"]
+        return [m.reshape(width, width) / n for m, n in zip(matrices, counts)]
 
 
 class MajorityModel(_Fitted):
@@ -164,7 +178,7 @@ class LinearDiscriminant(BinaryEstimator):
 
     def _fit(self, dataset: DataFrame) -> LinearMarginModel:
         (n0, m0, _), (n1, m1, _) = self.class_moments(dataset)
-        c0, c1 = self.class_covariances(dataset, len(m0))
+        c0, c1 = self.class_covariances(dataset, [m0, m1], [n0, n1])
         pooled = (n0 * c0 + n1 * c1) / (n0 + n1)
         deviation = np.sqrt(np.diag(pooled))
         deviation[deviation == 0] = 1.0
@@ -195,7 +209,9 @@ class QuadraticDiscriminant(BinaryEstimator):
 
     def _fit(self, dataset: DataFrame) -> QuadraticModel:
         moments = self.class_moments(dataset)
-        covariances = self.class_covariances(dataset, len(moments[0][1]))
+        covariances = self.class_covariances(
+            dataset, [mean for _, mean, _ in moments], [n for n, _, _ in moments]
+        )
         total = sum(n for n, _, _ in moments)
         shrink = self.setting("reg_param", 0.0)
         classes = []

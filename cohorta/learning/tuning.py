@@ -18,6 +18,7 @@ from cohorta.learning.folds import temporal_folds
 from cohorta.learning.pipelines import fit_pipeline
 from cohorta.learning.settings import TrainingConfig
 from cohorta.operators.metrics import average_precision, roc_auc
+from cohorta.session import cache_balanced
 
 
 @dataclass(frozen=True)
@@ -60,6 +61,7 @@ def optimize(use_case: UseCase, config: TrainingConfig, train: DataFrame) -> Tun
     if not space:
         raise ValueError(f"Classifier {alias!r} has no search space.")
     target, time = use_case.target_column, use_case.time_column
+    train = cache_balanced(train.select(*use_case.feature_columns, target, time))
     folds = temporal_folds(train, target, time, tuning.n_splits)
     generator = random.Random(tuning.random_state)
     trials = [draw(space, generator) for _ in range(tuning.n_trials)]
@@ -80,6 +82,7 @@ def optimize(use_case: UseCase, config: TrainingConfig, train: DataFrame) -> Tun
     with ThreadPoolExecutor(max_workers=max(1, tuning.parallelism)) as pool:
         task = inheritable_thread_target(train.sparkSession)(mean_score)
         scores = list(pool.map(task, trials))
+    train.unpersist()
     best = max(range(len(trials)), key=lambda i: (scores[i], -i))
     return TuningResult(
         best_params=trials[best],

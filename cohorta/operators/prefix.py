@@ -36,7 +36,7 @@ def quantile_cuts(df: DataFrame, column: str, slices: int | None = None) -> list
 
 
 def with_slice(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
-    """Add the slice number; binary search on the cuts, inside the JVM."""
+    """Add the slice number; binary search on the cuts, inside the JVM. Missing values sort first."""
     if not cuts:
         return df.withColumn(SLICE, F.lit(0.0))
     return (
@@ -48,6 +48,8 @@ def with_slice(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
         )
         .transform(df.withColumn("_order_value", F.col(column).cast("double")))
         .drop("_order_value")
+        # a missing order value has no slice of its own; a null would fall out of the join
+        .withColumn(SLICE, F.coalesce(F.col(SLICE), F.lit(-1.0)))
     )
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "cohorta", master: str | None = None, **settings: str) -> SparkSession:
@@ -53,3 +54,22 @@ def use_checkpoints(spark: SparkSession) -> None:
 def default_buckets(spark: SparkSession) -> int:
     """How many slices a globally ordered computation is cut into."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+_RESIZE_CACHED = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+
+
+def cache_balanced(df: DataFrame) -> DataFrame:
+    """Keep rows for repeated passes in evenly sized partitions.
+
+    Filters and skewed sources leave partitions of very different size, which every pass of an
+    iterative fit would wait for. The rebalance hint evens them out once; small tables end up
+    in few partitions, so a pass costs few tasks. Lost blocks are recomputed from the source.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(_RESIZE_CACHED)
+    spark.conf.set(_RESIZE_CACHED, "true")
+    try:
+        return df.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        spark.conf.set(_RESIZE_CACHED, before)
