@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.learning.stages import Saved, _Fitted
-from cohorta.session import use_checkpoints
+from cohorta.session import materialize
 
 
 def numbers(values) -> Column:
@@ -262,19 +262,21 @@ def _stump_prediction(x: Column, stump: dict) -> Column:
 class BoostedStumps(BinaryEstimator):
     """Adaptive boosting of depth-one trees with a weight column.
 
-    Row weights are carried as a column; every ``checkpoint_every`` rounds the rows are
-    checkpointed to the shared folder, so the plan stays short and survives lost executors.
+    Row weights are carried as a column; every ``write_every`` rounds the rows are written to
+    the shared folder, so the plan stays short and survives lost executors.
     """
 
     def _fit(self, dataset: DataFrame) -> BoostedStumpsModel:
-        use_checkpoints(dataset.sparkSession)
         rate, rounds = self.setting("learning_rate", 1.0), self.setting("n_estimators", 100)
-        every = self.setting("checkpoint_every", 10)
-        rows = dataset.select(
-            F.col("features").alias("features", metadata={}),
-            F.col(self.getLabelCol()).cast("double").alias("y"),
-            F.lit(1.0).alias("w"),
-        ).checkpoint()
+        every = self.setting("write_every", 10)
+        rows = materialize(
+            dataset.select(
+                F.col("features").alias("features", metadata={}),
+                F.col(self.getLabelCol()).cast("double").alias("y"),
+                F.lit(1.0).alias("w"),
+            ),
+            "boosting",
+        )
         learner = DecisionTreeClassifier(
             maxDepth=1, featuresCol="features", labelCol="y", weightCol="w",
             seed=self.setting("random_state", 0),
@@ -307,7 +309,7 @@ class BoostedStumps(BinaryEstimator):
             grown = F.col("w") * F.when(wrong, math.exp(weight)).otherwise(1.0) / F.lit(sums["all"])
             rows = rows.withColumn("w", grown)
             if number % every == 0:
-                rows = rows.checkpoint()
+                rows = materialize(rows, "boosting")
         if not stumps:
             raise ValueError("No stump separates the classes.")
         return BoostedStumpsModel({"stumps": stumps})

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +37,25 @@ def report_keys(time_column: str) -> list[str]:
     return [PERIOD, VERSION, time_column]
 
 
-def prepare_cohort(
+@dataclass(frozen=True)
+class Cohort:
+    """Checked rows and, per model version, the first and last period they cover."""
+
+    rows: DataFrame
+    spans: dict[int, tuple]
+
+    def only(self, versions: Iterable[int]) -> Cohort:
+        kept = {v: self.spans[v] for v in versions if v in self.spans}
+        return Cohort(self.rows.where(F.col(VERSION).isin(sorted(kept))), kept)
+
+    def first(self):
+        return min((low for low, _ in self.spans.values() if low is not None), default=None)
+
+    def last(self):
+        return max((high for _, high in self.spans.values() if high is not None), default=None)
+
+
+def check_cohort(
     df: DataFrame,
     name: str,
     source: str,
@@ -43,11 +64,11 @@ def prepare_cohort(
     require_target: bool = False,
     require_features: bool = False,
     period: str = "month",
-) -> DataFrame:
+) -> Cohort:
     """Normalised, checked cohort with source, period and truncated time.
 
-    All value checks run as one map-side aggregate. Feature columns are replaced by
-    their contract-typed form.
+    All value checks and the covered time spans come from one map-side aggregate per model
+    version. Feature columns are replaced by their contract-typed form.
     """
     time, target = use_case.time_column, use_case.target_column
     cohort = normalize_names(df)
@@ -60,42 +81,48 @@ def prepare_cohort(
         needed.append(target)
     require_columns(cohort, needed, name)
 
-    checks = {}
+    checks, casts = {}, {VERSION: F.col(VERSION).cast("int")}
     if require_features:
         for rule in use_case.feature_rules:
+            casts[rule.name] = rule.typed()
             for label, broken in rule.failures():
-                checks[f"{rule.name} {label}"] = F.count_if(broken)
-    casts = {VERSION: F.col(VERSION).cast("int")}
+                checks[f"{rule.name} {label}"] = broken
     if require_predictions:
         probability = F.col(PROBABILITY).try_cast("double")
         predicted = F.col(PREDICTED).try_cast("int")
-        checks["probability outside [0, 1]"] = F.count_if(
-            ~F.coalesce(probability.between(0, 1) & ~F.isnan(probability), F.lit(False))
-        )
-        checks["class outside {0, 1}"] = F.count_if(
-            ~F.coalesce(predicted.isin(0, 1), F.lit(False))
+        checks["probability outside [0, 1]"] = ~F.coalesce(
+            probability.between(0, 1) & ~F.isnan(probability), F.lit(False)
         )
+        checks["class outside {0, 1}"] = ~F.coalesce(predicted.isin(0, 1), F.lit(False))
         casts[PROBABILITY] = F.col(PROBABILITY).cast("double")
         casts[PREDICTED] = F.col(PREDICTED).cast("int")
     if require_target:
-        checks["missing label"] = F.count_if(F.col(target).isNull())
-    checks["missing model version"] = F.count_if(F.col(VERSION).try_cast("int").isNull())
-    named = {f"c{i}": (label, check) for i, (label, check) in enumerate(checks.items())}
-    extremes = [F.min(target).alias("low"), F.max(target).alias("high")] if require_target else []
-    found = cohort.agg(*[check.alias(c) for c, (_, check) in named.items()], *extremes).first()
-    broken = {label: found[c] for c, (label, _) in named.items() if found[c]}
+        checks["missing label"] = F.col(target).isNull()
+    moment = period_start(F.col(time), period)
+    wanted = [F.count_if(broken).alias(f"c{i}") for i, broken in enumerate(checks.values())]
+    wanted += [F.min(moment).alias("first"), F.max(moment).alias("last")]
+    if require_target:
+        wanted += [F.min(target).alias("low"), F.max(target).alias("high")]
+    found = cohort.groupBy(F.col(VERSION).try_cast("int").alias(VERSION)).agg(*wanted).collect()
+
+    broken = {label: sum(row[f"c{i}"] for row in found) for i, label in enumerate(checks)}
+    broken["missing model version"] = sum(row[VERSION] is None for row in found)
+    broken = {label: count for label, count in broken.items() if count}
     if broken:
         raise ValueError(f"{name} cohort is invalid: {broken}.")
-    if require_target and found["low"] == found["high"]:
+    if require_target and min(r["low"] for r in found) == max(r["high"] for r in found):
         raise ValueError(f"{name} cohort needs both target classes.")
 
-    if require_features:
-        for rule in use_case.feature_rules:
-            casts[rule.name] = rule.typed()
-    casts[time] = period_start(F.col(time), period)
-    return cohort.withColumns(casts).select(
+    casts[time] = moment
+    rows = cohort.withColumns(casts).select(
         F.lit(source).alias(SOURCE), F.lit(name).alias(PERIOD), *cohort.columns
     )
+    return Cohort(rows, {row[VERSION]: (row["first"], row["last"]) for row in found})
+
+
+def prepare_cohort(df: DataFrame, name: str, source: str, use_case: UseCase, **options) -> DataFrame:
+    """The rows of ``check_cohort``."""
+    return check_cohort(df, name, source, use_case, **options).rows
 
 
 def filter_version(df: DataFrame, model_version: int | None) -> DataFrame:
@@ -150,71 +177,55 @@ def union_cohorts(*cohorts: DataFrame) -> DataFrame:
     return whole
 
 
-def outcome_counts(df: DataFrame, use_case: UseCase) -> DataFrame:
-    """Rows collapsed by (source, report keys, probability, class, label)."""
-    target = use_case.target_column
-    label = F.col(target).cast("int") if target in df.columns else F.lit(None).cast("int")
-    return df.groupBy(
-        SOURCE, *report_keys(use_case.time_column), PROBABILITY, PREDICTED, label.alias("label")
-    ).agg(F.count(F.lit(1)).alias("n"))
-
-
-def base_summary(df: DataFrame, time_column: str, weight: str | None = None) -> DataFrame:
+def base_summary(df: DataFrame, time_column: str) -> DataFrame:
     """Prediction count, mean probability and positive-class rate per report key."""
-    n = F.lit(1) if weight is None else F.col(weight)
     return df.groupBy(SOURCE, *report_keys(time_column)).agg(
-        F.sum(n).alias("prediction_count"),
-        ratio(F.sum(F.col(PROBABILITY) * n), F.sum(n)).alias("avg_predicted_probability"),
-        ratio(F.sum(F.col(PREDICTED) * n), F.sum(n)).alias("predicted_positive_rate"),
+        F.count(F.lit(1)).alias("prediction_count"),
+        F.avg(PROBABILITY).alias("avg_predicted_probability"),
+        F.avg(F.col(PREDICTED).cast("double")).alias("predicted_positive_rate"),
     )
 
 
-def realized_metrics(counts: DataFrame, time_column: str, cuts: list[float]) -> DataFrame:
+def realized_metrics(
+    df: DataFrame, use_case: UseCase, cuts: list[float] | None = None
+) -> DataFrame | None:
     """Observed rate, precision, recall and ROC AUC of labelled rows per report key.
 
-    ``counts`` comes from ``outcome_counts``; groups without labels do not appear.
+    Groups without labels do not appear; None without a target column.
     """
-    keys = report_keys(time_column)
-    positive, hit = F.col("label") == 1, F.col(PREDICTED) == 1
-    n = F.col("n")
-
-    def total(condition):
-        return F.sum(F.when(condition, n).otherwise(0))
-
-    by_score = (
-        counts.where(F.col("label").isNotNull())
+    if use_case.target_column not in df.columns:
+        return None
+    keys = report_keys(use_case.time_column)
+    positive = F.col(use_case.target_column).cast("int") == 1
+    hit = F.col(PREDICTED) == 1
+    cells = (
+        df.where(F.col(use_case.target_column).isNotNull())
         .groupBy(*keys, F.col(PROBABILITY).alias("score"))
         .agg(
-            total(positive).alias("pos"),
-            total(~positive).alias("neg"),
-            total(positive & hit).alias("tp"),
-            total(~positive & hit).alias("fp"),
+            F.count_if(positive & hit).alias("tp"),
+            F.count_if(positive & ~hit).alias("fn"),
+            F.count_if(~positive & hit).alias("fp"),
+            F.count_if(~positive & ~hit).alias("tn"),
         )
     )
+    by_score = cells.withColumns(
+        {"pos": F.col("tp") + F.col("fn"), "neg": F.col("fp") + F.col("tn")}
+    )
+    if cuts is None:
+        cuts = quantile_cuts(df, PROBABILITY)
+    tp, fp, pos = F.sum("tp"), F.sum("fp"), F.sum("pos")
     return (
         ranked(by_score, cuts, keys)
         .groupBy(*keys)
         .agg(
-            ratio(F.sum("pos"), F.sum(F.col("pos") + F.col("neg"))).alias("observed_positive_rate"),
-            ratio_or_zero(F.sum("tp"), F.sum(F.col("tp") + F.col("fp"))).alias("realized_precision"),
-            ratio_or_zero(F.sum("tp"), F.sum("pos")).alias("realized_recall"),
+            ratio(pos, pos + F.sum("neg")).alias("observed_positive_rate"),
+            ratio_or_zero(tp, tp + fp).alias("realized_precision"),
+            ratio_or_zero(tp, pos).alias("realized_recall"),
             roc_auc_value().alias("realized_roc_auc"),
         )
     )
 
 
-def cohort_performance(df: DataFrame, use_case: UseCase) -> tuple[DataFrame, DataFrame | None]:
-    """(base summary, realised metrics) off one shared shuffle; no metrics without a target."""
-    time = use_case.time_column
-    if use_case.target_column not in df.columns:
-        return base_summary(df, time), None
-    counts = outcome_counts(df, use_case)
-    return (
-        base_summary(counts, time, weight="n"),
-        realized_metrics(counts, time, quantile_cuts(df, PROBABILITY)),
-    )
-
-
 def operational_summary(success: DataFrame, errors: DataFrame, time_column: str) -> DataFrame:
     """Request count, latency percentiles and error rate per report key.
 

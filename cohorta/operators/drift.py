@@ -9,17 +9,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohorta.functions.scalars import numeric_columns, ratio, string_columns, to_long
-from cohorta.operators.cohorts import PREDICTED, PROBABILITY, VERSION, report_keys
-from cohorta.operators.joins import join_on_keys
+from cohorta.operators.cohorts import PERIOD, PREDICTED, PROBABILITY, VERSION, report_keys
+from cohorta.operators.joins import broadcast_if_small, join_on_keys, local_table
 from cohorta.operators.metrics import ranked, roc_auc_value
 from cohorta.operators.prefix import quantile_cuts
 from cohorta.operators.profile import most_frequent
 from cohorta.operators.ranks import grouped_percentiles
+from cohorta.session import materialize
 
 # Default limits of the drift methods.
 JENSEN_SHANNON_LIMIT = 0.1
@@ -27,6 +28,7 @@ CATEGORY_LIMIT = 50
 CATEGORY_SHARE = 0.1
 KEPT_VARIANCE = 0.65
 DEVIATIONS = 3.0
+REFERENCE = "reference"
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -73,41 +75,15 @@ def jensen_shannon(
     )
 
 
-def _counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys, "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
-
-
-def categorical_distances(
-    reference: DataFrame, monitored: DataFrame, features: Sequence[str], time_column: str
-) -> DataFrame:
-    """Distance per (period, version, time, categorical feature)."""
-    keys = report_keys(time_column)
-
-    def bins(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        return _counted(
-            to_long(df, features, keep, "string")
-            .where(F.col("value").isNotNull())
-            .withColumnRenamed("value", "bin"),
-            keep,
-        )
-
-    return jensen_shannon(bins(reference, [VERSION]), bins(monitored, keys), keys)
-
-
 def continuous_bins(reference: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Per (version, feature): low, high, bin count (Doane rule) and whether values act as categories."""
-    stats = (
-        to_long(reference, features, [VERSION], "double")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy(VERSION, "feature")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_distinct("value").alias("levels"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-            F.stddev_pop("value").alias("deviation"),
-            F.skewness("value").alias("skew"),
-        )
+    """Per (version, feature): low, high, bin count (Doane rule) and whether values act as categories.
+
+    The distinct count decides only whether a number has few levels. A sketch rules out the
+    features with many levels, so that the exact count never shuffles their values.
+    """
+    spark = reference.sparkSession
+    long = to_long(reference, features, [VERSION], "double").where(
+        F.col("value").isNotNull() & ~F.isnan("value")
     )
     n = F.col("rows").cast("double")
     spread = F.col("high") - F.col("low")
@@ -118,46 +94,110 @@ def continuous_bins(reference: DataFrame, features: Sequence[str]) -> DataFrame:
     ).otherwise(F.lit(1.0))
     whole = [name for name in features if isinstance(reference.schema[name].dataType, _INTEGRAL)]
     by_width = F.when(F.col("feature").isin(*whole), F.least(doane, spread)) if whole else doane
-    bins = F.greatest(F.ceil(F.coalesce(by_width, doane)), F.lit(1))
-    few = (F.col("levels") <= CATEGORY_LIMIT) & (
-        ratio(F.col("levels"), F.col("rows")) <= CATEGORY_SHARE
-    )
     flat = spread == 0
-    return stats.select(
-        VERSION,
-        "feature",
-        "rows",
-        "levels",
-        F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
-        F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
-        bins.cast("int").alias("bins"),
-        few.alias("as_category"),
+    stats = (
+        long.groupBy(VERSION, "feature")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.approx_count_distinct("value").alias("sketch"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+            F.stddev_pop("value").alias("deviation"),
+            F.skewness("value").alias("skew"),
+        )
+        .select(
+            VERSION,
+            "feature",
+            "rows",
+            "sketch",
+            F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
+            F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
+            F.greatest(F.ceil(F.coalesce(by_width, doane)), F.lit(1)).cast("int").alias("bins"),
+        )
+        .collect()
+    )
+    few = sorted({row["feature"] for row in stats if row["sketch"] <= 2 * CATEGORY_LIMIT})
+    levels = {}
+    if few:
+        counted = long.where(F.col("feature").isin(few)).groupBy(VERSION, "feature")
+        for row in counted.agg(F.count_distinct("value").alias("levels")).collect():
+            levels[row[VERSION], row["feature"]] = row["levels"]
+    rows = []
+    for row in stats:
+        found = levels.get((row[VERSION], row["feature"]))
+        as_category = found is not None and found <= CATEGORY_LIMIT and found / row["rows"] <= CATEGORY_SHARE
+        rows.append((row[VERSION], row["feature"], row["low"], row["high"], row["bins"], as_category))
+    return local_table(
+        spark,
+        rows,
+        f"{VERSION} int, feature string, low double, high double, bins int, as_category boolean",
     )
 
 
-def continuous_distances(
-    reference: DataFrame, monitored: DataFrame, features: Sequence[str], time_column: str
+def _bin_number(value: Column) -> Column:
+    """Bin of a number next to its ``continuous_bins`` row; -1 outside the reference range."""
+    low, high = F.col("low"), F.col("high")
+    index = F.least(F.floor((value - low) / (high - low) * F.col("bins")), F.col("bins") - 1)
+    binned = F.when(value.between(low, high), index.cast("double")).otherwise(F.lit(-1.0))
+    # + 0.0 turns a negative zero into zero, so equal values share a bin
+    return F.when(F.col("as_category"), value + F.lit(0.0)).otherwise(binned)
+
+
+def bin_counts(
+    cohorts: DataFrame, continuous: Sequence[str], categorical: Sequence[str], keys: Sequence[str]
 ) -> DataFrame:
-    """Distance per (period, version, time, numeric feature) over reference-defined bins.
+    """(keys, feature, bin, n) of numeric and categorical features: one pass over the rows.
 
-    Values outside the reference range form one more bin without reference mass.
+    A bin is a struct of a number and a word, one of them null. The table of numeric ranges has
+    one row per version and feature. The counts are written out because shares, totals and
+    reference bins all start from them; without that each would scan the rows again.
+    """
+    numbers = [
+        F.struct(F.lit(n).alias("feature"), F.col(n).cast("double").alias("number"), F.lit(None).cast("string").alias("word"))
+        for n in continuous
+    ]
+    words = [
+        F.struct(F.lit(n).alias("feature"), F.lit(None).cast("double").alias("number"), F.col(n).alias("word"))
+        for n in categorical
+    ]
+    known = (F.col("number").isNotNull() & ~F.isnan("number")) | F.col("word").isNotNull()
+    long = cohorts.select(*keys, F.inline(F.array(*numbers, *words))).where(known)
+    number = F.lit(None).cast("double")
+    if continuous:
+        ranges = continuous_bins(cohorts.where(F.col(PERIOD) == REFERENCE), continuous)
+        long = long.join(ranges, [VERSION, "feature"], "left")
+        number = _bin_number(F.col("number"))
+    placed = long.select(
+        *keys, "feature", F.struct(number.alias("number"), "word").alias("bin")
+    )
+    counted = placed.groupBy(*keys, "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    return materialize(counted, "drift-bins")
+
+
+def feature_distances(
+    cohorts: DataFrame, continuous: Sequence[str], categorical: Sequence[str], time_column: str
+) -> DataFrame:
+    """Distance per (period, version, time, feature) to the reference period.
+
+    Numeric values outside the reference range form one more bin without reference mass. The
+    reference counts are the sum of the reference chunks.
     """
     keys = report_keys(time_column)
-    ranges = continuous_bins(reference, features)
-    value, low, high = F.col("value"), F.col("low"), F.col("high")
-    index = F.least(F.floor((value - low) / (high - low) * F.col("bins")), F.col("bins") - 1)
-    binned = F.when(value.between(low, high), index.cast("double")).otherwise(F.lit(-1.0))
+    chunk_bins = bin_counts(cohorts, continuous, categorical, keys)
+    reference_bins = (
+        chunk_bins.where(F.col(PERIOD) == REFERENCE)
+        .groupBy(VERSION, "feature", "bin")
+        .agg(F.sum("n").alias("n"))
+    )
+    return jensen_shannon(reference_bins, chunk_bins, keys)
+
+
+def categorical_distances(cohorts: DataFrame, features: Sequence[str], time_column: str) -> DataFrame:
+    return feature_distances(cohorts, [], features, time_column)
 
-    def bins(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        long = to_long(df, features, keep, "double").where(
-            F.col("value").isNotNull() & ~F.isnan("value")
-        )
-        placed = long.join(ranges, [VERSION, "feature"])
-        # + 0.0 turns a negative zero into zero, so equal values share a bin
-        as_is = F.when(F.col("as_category"), value + F.lit(0.0)).otherwise(binned)
-        return _counted(placed.select(*keep, "feature", as_is.alias("bin")), keep)
 
-    return jensen_shannon(bins(reference, [VERSION]), bins(monitored, keys), keys)
+def continuous_distances(cohorts: DataFrame, features: Sequence[str], time_column: str) -> DataFrame:
+    return feature_distances(cohorts, features, [], time_column)
 
 
 def with_alert(distances: DataFrame, limit: float = JENSEN_SHANNON_LIMIT) -> DataFrame:
@@ -165,23 +205,19 @@ def with_alert(distances: DataFrame, limit: float = JENSEN_SHANNON_LIMIT) -> Dat
 
 
 def univariate_drift(
-    reference: DataFrame,
-    monitored: DataFrame,
+    cohorts: DataFrame,
     features: Sequence[str],
     time_column: str,
     limit: float = JENSEN_SHANNON_LIMIT,
 ) -> DataFrame:
-    """(report keys, feature, distance, alert) for every feature, numeric and categorical."""
-    continuous, categorical = feature_kinds(monitored, features)
-    parts = []
-    if continuous:
-        parts.append(continuous_distances(reference, monitored, continuous, time_column))
-    if categorical:
-        parts.append(categorical_distances(reference, monitored, categorical, time_column))
-    if not parts:
+    """(report keys, feature, distance, alert) for every feature, numeric and categorical.
+
+    ``cohorts`` holds the reference period and the monitored ones.
+    """
+    continuous, categorical = feature_kinds(cohorts, features)
+    if not continuous and not categorical:
         raise ValueError("No numeric or text feature to monitor.")
-    whole = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return with_alert(whole, limit)
+    return with_alert(feature_distances(cohorts, continuous, categorical, time_column), limit)
 
 
 def alert_counts(alerts: DataFrame, time_column: str, calculator: str) -> DataFrame:
@@ -193,7 +229,7 @@ def alert_counts(alerts: DataFrame, time_column: str, calculator: str) -> DataFr
 
 
 def estimated_performance(
-    df: DataFrame, time_column: str, probability: str = PROBABILITY, prefix: str = "cbpe"
+    df: DataFrame, time_column: str, cuts: Sequence[float] | None = None, prefix: str = "cbpe"
 ) -> DataFrame:
     """Precision, recall and ROC AUC expected from the scores alone, per report key.
 
@@ -201,22 +237,23 @@ def estimated_performance(
     fractional counts.
     """
     keys = report_keys(time_column)
-    by_score = df.groupBy(*keys, F.col(probability).cast("double").alias("score")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(PREDICTED).cast("long")).alias("hits")
+    p, hit = F.col("score"), F.col(PREDICTED) == 1
+    cells = df.groupBy(*keys, F.col(PROBABILITY).alias("score")).agg(
+        F.count_if(hit).alias("hits"), F.count_if(~hit).alias("misses")
     )
-    p = F.col("score")
-    soft = by_score.withColumns({"pos": F.col("n") * p, "neg": F.col("n") * (1 - p)})
-    tp, fp, fn = (
-        F.sum(p * F.col("hits")),
-        F.sum((1 - p) * F.col("hits")),
-        F.sum(p * (F.col("n") - F.col("hits"))),
+    n = F.col("hits") + F.col("misses")
+    soft = cells.withColumns(
+        {"pos": n * p, "neg": n * (1 - p), "tp": F.col("hits") * p, "fp": F.col("hits") * (1 - p)}
     )
+    if cuts is None:
+        cuts = quantile_cuts(df, PROBABILITY)
+    tp, fp, pos = F.sum("tp"), F.sum("fp"), F.sum("pos")
     return (
-        ranked(soft, quantile_cuts(df, probability), keys)
+        ranked(soft, cuts, keys)
         .groupBy(*keys)
         .agg(
             ratio(tp, tp + fp).alias(f"{prefix}_precision"),
-            ratio(tp, tp + fn).alias(f"{prefix}_recall"),
+            ratio(tp, pos).alias(f"{prefix}_recall"),
             roc_auc_value().alias(f"{prefix}_roc_auc"),
         )
     )
@@ -279,9 +316,7 @@ class ReconstructionDrift:
         """Numbers as they are, categories as their row count in the reference (0 if unseen)."""
         encoded = self._filled(df)
         for name in self.text:
-            counts = self.category_counts.where(F.col("feature") == name).select(
-                VERSION, F.col("value").alias(name), F.col("n").cast("double").alias("_n")
-            )
+            counts = self.category_counts[name]
             encoded = (
                 encoded.join(counts, [VERSION, name], "left")
                 .withColumn(name, F.coalesce(F.col("_n"), F.lit(0.0)))
@@ -304,13 +339,14 @@ class ReconstructionDrift:
             for n in self.features
         ]
         rows = [(v, *[by_key.get((v, n)) for n in self.features]) for v in versions]
-        self.surrogates = spark.createDataFrame(rows, T.StructType(fields))
-        if self.text:
-            self.category_counts = (
-                to_long(self._filled(reference), self.text, [VERSION], "string")
-                .groupBy(VERSION, "feature", "value")
-                .agg(F.count(F.lit(1)).alias("n"))
+        self.surrogates = local_table(spark, rows, T.StructType(fields))
+        filled = self._filled(reference)
+        self.category_counts = {
+            name: broadcast_if_small(
+                filled.groupBy(VERSION, name).agg(F.count(F.lit(1)).cast("double").alias("_n"))
             )
+            for name in self.text
+        }
         width = len(self.features)
         encoded = self._encoded(reference)
         moments = [F.avg(n).alias(f"mean_{i}") for i, n in enumerate(self.features)]
@@ -337,7 +373,8 @@ class ReconstructionDrift:
             fitted.append((row[VERSION], mean, deviation, kept, flat.ravel().tolist()))
         self.parameters = fitted
         self.kept = max(item[3] for item in fitted)
-        self.model = spark.createDataFrame(
+        self.model = local_table(
+            spark,
             fitted,
             f"{VERSION} int, _mean array<double>, _dev array<double>, _kept int, _axes array<double>",
         )

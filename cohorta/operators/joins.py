@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,3 +36,24 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
 def full_outer_all(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Full outer join of any number of tables on the same keys."""
     return reduce(lambda a, b: join_on_keys(a, b, keys, "full_outer"), tables)
+
+
+SMALL_ROWS = 100_000
+
+
+def local_table(spark: SparkSession, rows: list, schema) -> DataFrame:
+    """Rows already held by the driver as a table, marked for broadcasting while they are few."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= SMALL_ROWS else table
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Materialise a table that should be tiny and mark it for broadcasting.
+
+    The row count is checked first. A larger table comes back unchanged, and the join it takes
+    part in is planned as an ordinary shuffle join.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return local_table(df.sparkSession, rows, df.schema)

@@ -38,7 +38,7 @@ def quantile_cuts(df: DataFrame, column: str, slices: int | None = None) -> list
 def with_slice(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
     """Add the slice number; binary search on the cuts, inside the JVM. Missing values sort first."""
     if not cuts:
-        return df.withColumn(SLICE, F.lit(0.0))
+        return df.withColumn(SLICE, F.lit(0))
     return (
         Bucketizer(
             splits=[-math.inf, *cuts, math.inf],
@@ -49,7 +49,7 @@ def with_slice(df: DataFrame, column: str, cuts: Sequence[float]) -> DataFrame:
         .transform(df.withColumn("_order_value", F.col(column).cast("double")))
         .drop("_order_value")
         # a missing order value has no slice of its own; a null would fall out of the join
-        .withColumn(SLICE, F.coalesce(F.col(SLICE), F.lit(-1.0)))
+        .withColumn(SLICE, F.coalesce(F.col(SLICE).cast("int"), F.lit(-1)))
     )
 
 
@@ -84,6 +84,8 @@ def running_totals(
 
     ``rows`` holds one row per (keys, order value). Keys are carried as one struct, so that
     missing key values form a group of their own and the join keeps the window's partitioning.
+    The slice sums and the windows share one shuffle of ``rows`` when the summed columns are
+    built from all aggregated columns of ``rows``, so that none is pruned from only one side.
     """
     grouped = rows.withColumn(GROUP, F.struct(*keys)) if keys else rows
     keyed = [GROUP] if keys else []

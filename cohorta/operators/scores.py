@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +9,13 @@ from pyspark.sql import functions as F
 from cohorta.operators.cohorts import PROBABILITY, VERSION
 
 
-def fit_isotonic(df: DataFrame, target: str, score: str):
-    """Monotone map from score to observed rate; rows collapse to distinct scores first."""
+def fit_isotonic(df: DataFrame, target: str, score: str, output: str = "calibrated"):
+    """Monotone map from score to observed rate.
+
+    Rows collapse to distinct scores first and Spark pools violators per partition; what is
+    merged at the end are blocks of strictly rising rates. Rates of 0/1 labels are fractions,
+    so n rows form far fewer than n blocks (of order n to the two thirds at the very most).
+    """
     points = (
         df.where(F.col(target).isNotNull())
         .groupBy(F.col(score).cast("double").alias("score"))
@@ -22,29 +25,23 @@ def fit_isotonic(df: DataFrame, target: str, score: str):
         )
     )
     return IsotonicRegression(
-        featuresCol="score", labelCol="rate", weightCol="weight", predictionCol="calibrated"
+        featuresCol="score", labelCol="rate", weightCol="weight", predictionCol=output
     ).fit(points)
 
 
-def apply_isotonic(model, df: DataFrame, score: str) -> DataFrame:
-    """Replace the score by its calibrated value, clipped at the fitted ends."""
-    columns = df.columns
-    return (
-        model.transform(df.withColumn("score", F.col(score).cast("double")))
-        .withColumn(score, F.col("calibrated"))
-        .select(*columns)
-    )
-
-
 def calibrated_cohorts(
-    reference: DataFrame, analysis: DataFrame, target: str
-) -> tuple[DataFrame, DataFrame]:
-    """Both cohorts with scores calibrated on the reference, one fit per model version."""
-    versions = [row[VERSION] for row in reference.select(VERSION).distinct().collect()]
-    done = ([], [])
+    reference: DataFrame, cohorts: DataFrame, target: str, versions: list[int]
+) -> DataFrame:
+    """``cohorts`` with scores calibrated on the reference, one fit per model version.
+
+    All maps are applied in one pass over the rows; each row uses the one of its version.
+    """
+    rows = cohorts.withColumn("score", F.col(PROBABILITY))
+    chosen = F.lit(None).cast("double")
     for version in versions:
-        chosen = F.col(VERSION) == version
-        model = fit_isotonic(reference.where(chosen), target, PROBABILITY)
-        for parts, cohort in zip(done, (reference, analysis)):
-            parts.append(apply_isotonic(model, cohort.where(chosen), PROBABILITY))
-    return tuple(reduce(lambda a, b: a.unionByName(b), parts) for parts in done)
+        output = f"_calibrated_{version}"
+        here = F.col(VERSION) == version
+        model = fit_isotonic(reference.where(here), target, PROBABILITY, output)
+        rows = model.transform(rows)
+        chosen = F.when(here, F.col(output)).otherwise(chosen)
+    return rows.withColumn(PROBABILITY, chosen).select(*cohorts.columns)

@@ -10,16 +10,15 @@ from cohorta.contracts import UseCase
 from cohorta.operators.cohorts import (
     LATENCY,
     PERIOD,
+    PREDICTED,
     PROBABILITY,
     SOURCES,
     VERSION,
-    cohort_performance,
-    common_versions,
-    filter_version,
+    base_summary,
+    check_cohort,
     operational_summary,
-    overlap_guard,
-    prepare_cohort,
     quarantine_errors,
+    realized_metrics,
     report_keys,
 )
 from cohorta.operators.drift import (
@@ -30,6 +29,7 @@ from cohorta.operators.drift import (
     univariate_drift,
 )
 from cohorta.operators.joins import full_outer_all, join_on_keys
+from cohorta.operators.prefix import quantile_cuts
 from cohorta.operators.scores import calibrated_cohorts
 
 DECIMALS = 4
@@ -40,6 +40,8 @@ def drift_tables(
     analysis: DataFrame,
     errors: DataFrame | None,
     use_case: UseCase,
+    versions: list[int],
+    cuts: list[float],
     reconstruction: bool = True,
     calibrate: bool = False,
 ) -> DataFrame:
@@ -48,25 +50,19 @@ def drift_tables(
     keys = report_keys(time)
     tables = []
     if use_case.target_column in reference.columns:
-        score_columns = [*keys, PROBABILITY, "predicted_class"]
-        scored_reference, scored_analysis = reference, analysis
+        columns = [*keys, PROBABILITY, PREDICTED]
+        scored = reference.select(*columns).unionByName(analysis.select(*columns))
         if calibrate:
-            scored_reference, scored_analysis = calibrated_cohorts(
-                reference, analysis, use_case.target_column
-            )
-        scored = scored_reference.select(*score_columns).unionByName(
-            scored_analysis.select(*score_columns)
-        )
-        tables.append(estimated_performance(scored, time))
+            scored = calibrated_cohorts(reference, scored, use_case.target_column, versions)
+            cuts = quantile_cuts(scored, PROBABILITY)
+        tables.append(estimated_performance(scored, time, cuts))
     keep = [*keys, *features]
     base = reference.select(*keep)
-    monitored = base.unionByName(drift_population(analysis, errors, keep))
+    cohorts = base.unionByName(drift_population(analysis, errors, keep))
     if reconstruction:
         model = ReconstructionDrift(features, time).fit(base)
-        tables.append(alert_counts(model.calculate(monitored), time, "reconstruction_drift"))
-    tables.append(
-        alert_counts(univariate_drift(base, monitored, features, time), time, "univariate_drift")
-    )
+        tables.append(alert_counts(model.calculate(cohorts), time, "reconstruction_drift"))
+    tables.append(alert_counts(univariate_drift(cohorts, features, time), time, "univariate_drift"))
     return full_outer_all(tables, keys)
 
 
@@ -102,51 +98,53 @@ def build_report(
 ) -> DataFrame:
     """One row per (source, period, version, time) present in either cohort.
 
-    Actions run while the plan is built: one check aggregate per cohort, the list of common
-    versions, the overlap scalars, and cut points. The report itself stays lazy.
+    Actions run while the plan is built: one check aggregate per cohort, cut points, and the
+    drift fits. Versions and the overlap of the periods come out of the checks. The report
+    itself stays lazy.
     """
     for source in (source_reference, source_analysis):
         if source not in SOURCES:
             raise ValueError(f"Unknown cohort source {source!r}; expected one of {SOURCES}.")
     time = use_case.time_column
-    before = prepare_cohort(
-        reference, "reference", source_reference, use_case,
-        require_target=True, require_features=drift, period=period,
-    )
-    after = prepare_cohort(
-        analysis, "analysis", source_analysis, use_case, require_features=drift, period=period
+    shared = {"require_features": drift, "period": period}
+    before = check_cohort(
+        reference, "reference", source_reference, use_case, require_target=True, **shared
     )
+    after = check_cohort(analysis, "analysis", source_analysis, use_case, **shared)
     failed = None
     if errors is not None:
         good = quarantine_errors(errors, use_case)[0] if drift else errors
-        failed = prepare_cohort(
-            good, "analysis", source_analysis, use_case,
-            require_predictions=False, require_features=drift, period=period,
+        failed = check_cohort(
+            good, "analysis", source_analysis, use_case, require_predictions=False, **shared
         )
-    before, after = filter_version(before, model_version), filter_version(after, model_version)
-    failed = filter_version(failed, model_version) if failed is not None else None
-
-    versions = [row[VERSION] for row in common_versions(before, after).collect()]
+    versions = sorted(set(before.spans) & set(after.spans))
+    if model_version is not None:
+        versions = [v for v in versions if v == model_version]
+        failed = failed.only([model_version]) if failed is not None else None
     if not versions:
         raise ValueError("The reference and analysis cohorts share no model version.")
-    before = before.where(F.col(VERSION).isin(versions))
-    after = after.where(F.col(VERSION).isin(versions))
+    before, after = before.only(versions), after.only(versions)
 
-    if drift and overlap_guard(before, after, failed, time).first()["overlaps"]:
+    starts = [c.first() for c in (after, failed) if c is not None and c.first() is not None]
+    if drift and before.last() is not None and starts and min(starts) <= before.last():
         drift = False
 
     keys = report_keys(time)
-    both = before.unionByName(after, allowMissingColumns=True)
-    report, realized = cohort_performance(both, use_case)
+    both = before.rows.unionByName(after.rows, allowMissingColumns=True)
+    cuts = quantile_cuts(both, PROBABILITY)
+    report = base_summary(both, time)
+    realized = realized_metrics(both, use_case, cuts)
     if realized is not None:
         report = join_on_keys(report, realized, keys, "left")
     if drift:
-        known_errors = failed.where(F.col(VERSION).isin(versions)) if failed is not None else None
-        alerts = drift_tables(before, after, known_errors, use_case, reconstruction, calibrate)
+        known_errors = failed.only(versions).rows if failed is not None else None
+        alerts = drift_tables(
+            before.rows, after.rows, known_errors, use_case, versions, cuts, reconstruction, calibrate
+        )
         report = join_on_keys(report, alerts, keys, "left")
     if source_analysis == "api":
-        if failed is None:
-            failed = after.select(*keys, LATENCY).limit(0)
-        report = join_on_keys(report, operational_summary(after, failed, time), keys, "full_outer")
+        outcomes = failed.rows if failed is not None else after.rows.select(*keys, LATENCY).limit(0)
+        operational = operational_summary(after.rows, outcomes, time)
+        report = join_on_keys(report, operational, keys, "full_outer")
     report = round_numbers(report)
     return report.orderBy(VERSION, time, PERIOD) if ordered else report

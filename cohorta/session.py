@@ -44,11 +44,15 @@ def new_workspace(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Point checkpoint() at the shared folder unless the cluster already did."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    One job; the result has no lineage to recompute when executors are lost, and its size is
+    known to the planner.
+    """
+    path = new_workspace(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def default_buckets(spark: SparkSession) -> int:

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from cohorta.operators import cohorts as C
 from cohorta.operators import drift as D
-from cohorta.operators.prefix import quantile_cuts
 from cohorta.plans import views as V
 from cohorta.plans.report import build_report
 from registered.derived import API, COHORTS, SCORED, with_views
@@ -51,10 +50,7 @@ def base_summary_by_day(spark, sf_dir):
 
 def realized_metrics(spark, sf_dir):
     reference, analysis = _prepared(spark, sf_dir)
-    both = reference.unionByName(analysis)
-    metrics = C.realized_metrics(
-        C.outcome_counts(both, V.RETURNS), TIME, quantile_cuts(both, C.PROBABILITY)
-    )
+    metrics = C.realized_metrics(reference.unionByName(analysis), V.RETURNS)
     return rounded(metrics, *[c for c in metrics.columns if c not in KEYS])
 
 
@@ -100,9 +96,9 @@ def _js(spark, sf_dir, kind):
     both = reference.unionByName(analysis)
     continuous, categorical = D.feature_kinds(both, V.RETURNS.feature_columns)
     if kind == "continuous":
-        found = D.continuous_distances(reference, both, continuous, TIME)
+        found = D.continuous_distances(both, continuous, TIME)
     else:
-        found = D.categorical_distances(reference, both, categorical, TIME)
+        found = D.categorical_distances(both, categorical, TIME)
     return rounded(D.with_alert(found), "distance")
 
 
@@ -117,13 +113,13 @@ def js_drift_continuous(spark, sf_dir):
 def js_bins(spark, sf_dir):
     reference, _ = _prepared(spark, sf_dir)
     found = D.continuous_bins(reference, ["quantity", "discount", "extended_price"])
-    return found.select("model_version", "feature", "rows", "levels", "bins", "as_category")
+    return found.select("model_version", "feature", "low", "high", "bins", "as_category")
 
 
 def drift_alert_counts(spark, sf_dir):
     reference, analysis = _prepared(spark, sf_dir, require_features=True)
     both = reference.unionByName(analysis)
-    alerts = D.univariate_drift(reference, both, V.RETURNS.feature_columns, TIME)
+    alerts = D.univariate_drift(both, V.RETURNS.feature_columns, TIME)
     return D.alert_counts(alerts, TIME, "univariate_drift")
 
 
@@ -408,7 +404,7 @@ FROM cohorts GROUP BY reference_date""",
     ),
     "js_bins": with_views(
         COHORTS, _LONG,
-        query="SELECT model_version, feature, rows, levels, bins, as_category FROM ranges",
+        query="SELECT model_version, feature, low, high, bins, as_category FROM ranges",
     ),
     "drift_alert_counts": with_views(
         COHORTS, _LONG, _BIN_ALL, _JS,

@@ -152,14 +152,15 @@ def brute_js(p_counts, q_counts):
 
 
 def test_categorical_distance(spark):
-    def rows(words, day):
-        return [(1, "x", dt.datetime.fromisoformat(day), w) for w in words]
+    def rows(words, day, period="reference"):
+        return [(1, period, dt.datetime.fromisoformat(day), w) for w in words]
 
     schema = f"model_version int, period string, {T} timestamp_ntz, word string"
-    old = spark.createDataFrame(rows("aaabbc", "2026-01-01"), schema)
-    new = spark.createDataFrame(rows("abbddd", "2026-02-01") + [(1, "x", dt.datetime(2026, 2, 1), None)], schema)
-    got = D.categorical_distances(old, new, ["word"], T).first()["distance"]
-    assert got == pytest.approx(brute_js({"a": 3, "b": 2, "c": 1}, {"a": 1, "b": 2, "d": 3}))
+    new = rows("abbddd", "2026-02-01", "analysis") + [(1, "analysis", dt.datetime(2026, 2, 1), None)]
+    found = D.categorical_distances(spark.createDataFrame(rows("aaabbc", "2026-01-01") + new, schema), ["word"], T)
+    distances = {r["period"]: r["distance"] for r in found.collect()}
+    assert distances["reference"] == 0
+    assert distances["analysis"] == pytest.approx(brute_js({"a": 3, "b": 2, "c": 1}, {"a": 1, "b": 2, "d": 3}))
 
 
 def doane_edges(x):
@@ -175,8 +176,8 @@ def test_continuous_distance_equals_histograms(spark):
     old, new = rng.gamma(2.0, 1.0, 800), rng.gamma(2.5, 1.2, 300)
     schema = f"model_version int, period string, {T} timestamp_ntz, v double"
 
-    def frame(values, day):
-        return spark.createDataFrame([(1, "x", dt.datetime.fromisoformat(day), float(v)) for v in values], schema)
+    def frame(values, day, period):
+        return spark.createDataFrame([(1, period, dt.datetime.fromisoformat(day), float(v)) for v in values], schema)
 
     edges = doane_edges(old)
     assert list(edges) == pytest.approx(list(np.histogram_bin_edges(old, bins="doane")))
@@ -184,8 +185,9 @@ def test_continuous_distance_equals_histograms(spark):
     q = np.append(np.histogram(new, edges)[0], 0)
     q[-1] = len(new) - q.sum()
     want = brute_js(dict(enumerate(np.append(p, 0))), dict(enumerate(q)))
-    got = D.continuous_distances(frame(old, "2026-01-01"), frame(new, "2026-02-01"), ["v"], T).first()["distance"]
-    assert got == pytest.approx(want)
+    cohorts = frame(old, "2026-01-01", "reference").unionByName(frame(new, "2026-02-01", "analysis"))
+    found = {r["period"]: r["distance"] for r in D.continuous_distances(cohorts, ["v"], T).collect()}
+    assert found["analysis"] == pytest.approx(want) and found["reference"] == pytest.approx(0, abs=1e-7)
 
 
 def test_alert_counts_treat_missing_as_quiet(spark):
