@@ -22,6 +22,7 @@ from cohorta.learning.classifiers import (
     MajorityClassifier,
     QuadraticDiscriminant,
 )
+from cohorta.learning.neighbours import NearestNeighbours
 
 RANDOM_STATE = 26
 DEEPEST = 30  # the deepest tree Spark ML grows
@@ -74,12 +75,16 @@ CATALOG: dict[str, dict[str, Any]] = {
             "l2_regularization": _float(1e-8, 10.0, log=True),
         },
     },
+    "knn": {
+        "defaults": {"n_neighbors": 5, "weights": "uniform"},
+        "space": {"n_neighbors": _int(3, 25), "weights": _choice("uniform", "distance")},
+    },
     "lda": {"defaults": {}, "space": {"tol": _float(1e-5, 1e-1, log=True)}},
     "qda": {"defaults": {"reg_param": 0.1}, "space": {"reg_param": _float(0.0, 1.0)}},
 }
 
 # Aliases whose linear or distance geometry needs standardised numbers.
-SCALED = ("lr", "lsvc")
+SCALED = ("lr", "lsvc", "knn")
 # Aliases whose calibration starts from the margin instead of the probability.
 MARGIN_BASED = ("lr", "lsvc", "hgb", "ada", "lda", "qda")
 WITHOUT_PROBABILITY = ("lsvc",)
@@ -132,6 +137,8 @@ def _estimator(alias: str, p: Mapping[str, Any], label: str, rows: int) -> Estim
             labelCol=label, n_estimators=p["n_estimators"], learning_rate=p.get("learning_rate", 1.0),
             random_state=seed,
         )
+    if alias == "knn":
+        return NearestNeighbours(labelCol=label, n_neighbors=p["n_neighbors"], weights=p["weights"])
     if alias == "lda":
         return LinearDiscriminant(labelCol=label, tol=p.get("tol", 1e-4))
     return QuadraticDiscriminant(labelCol=label, reg_param=p["reg_param"])

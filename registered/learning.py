@@ -115,6 +115,10 @@ def train_ada_score(spark, sf_dir):
     return _train(spark, sf_dir, "ada", n_estimators=5)
 
 
+def train_knn_score(spark, sf_dir):
+    return _train(spark, sf_dir, "knn", n_neighbors=7)
+
+
 def calibrated_sigmoid_score(spark, sf_dir):
     return _train(spark, sf_dir, "lsvc", "sigmoid")
 
@@ -159,6 +163,7 @@ QUERIES = {
     "train_lda_score": train_lda_score,
     "train_qda_score": train_qda_score,
     "train_ada_score": train_ada_score,
+    "train_knn_score": train_knn_score,
     "calibrated_sigmoid_score": calibrated_sigmoid_score,
     "calibrated_isotonic_score": calibrated_isotonic_score,
     "feature_importance": feature_importance,

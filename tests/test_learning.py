@@ -21,6 +21,7 @@ from cohorta.learning.classifiers import (
     QuadraticDiscriminant,
 )
 from cohorta.learning.folds import fold_table, temporal_folds
+from cohorta.learning.neighbours import NearestNeighbours
 from cohorta.learning.pipelines import fit_pipeline
 from cohorta.learning.settings import Classifier, Promotion, TrainingConfig, Tuning
 from cohorta.learning.stages import Imputer, PopulationScaler
@@ -133,7 +134,43 @@ def test_boosted_stumps_and_majority(spark):
     assert {r["prediction"] for r in flat.collect()} == {0.0}
 
 
-@pytest.mark.parametrize("alias", ["dc", "nb", "lr", "dt", "rf", "hgb", "lda", "qda"])
+def brute_votes(train, queries, k, weights):
+    """Neighbour votes with the last place shared by its ties."""
+    votes = []
+    for q in queries:
+        rows = sorted((float(np.sqrt(((np.array(x) - q) ** 2).sum())), y) for x, y in train)
+        last = rows[k - 1][0]
+        inside = [(d, y, 1.0) for d, y in rows if d < last]
+        ties = [y for d, y in rows if d == last]
+        inside += [(last, y, (k - len(inside)) / len(ties)) for y in ties]
+        if weights == "distance":
+            exact = [(y, w) for d, y, w in inside if d == 0]
+            inside = [(0, y, w) for y, w in exact] if exact else [(d, y, w / d) for d, y, w in inside]
+        votes.append(sum(w * y for _, y, w in inside) / sum(w for _, _, w in inside))
+    return votes
+
+
+@pytest.mark.parametrize(("weights", "limit"), [("uniform", 20_000), ("distance", 20_000), ("uniform", 7)])
+def test_neighbours_equal_brute_force(spark, monkeypatch, weights, limit):
+    """Also with a third of the points being one vector, and with blocks split very small."""
+    monkeypatch.setattr("cohorta.learning.neighbours.POINTS_PER_TASK", limit)
+    monkeypatch.setattr("cohorta.learning.neighbours.QUERIES_PER_TASK", limit)
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(240, 3)) * [3, 1, 1], 1)
+    x[:80] = [0.5, 0.0, 0.0]
+    y = (rng.random(240) < sigmoid(x[:, 0])).astype(int)
+    train = spark.createDataFrame([(int(b), Vectors.dense(a)) for a, b in zip(x, y)], ["label", "features"])
+    model = NearestNeighbours(n_neighbors=5, weights=weights).fit(train)
+    asked = np.vstack([np.round(rng.normal(size=(60, 3)) * [4, 1, 1], 1), x[:100]])
+    df = spark.createDataFrame([(i, Vectors.dense(a)) for i, a in enumerate(asked)], ["i", "features"]).repartition(7)
+    rows = model.transform(df).select("i", vector_to_array("probability")[1].alias("p")).collect()
+    got = {r["i"]: r["p"] for r in rows}
+    want = brute_votes(list(zip(x.tolist(), y.tolist())), asked, 5, weights)
+    assert len(rows) == len(asked) and len(model.fitted()["cuts"]) > 2
+    assert [got[i] for i in range(len(asked))] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("alias", ["dc", "nb", "lr", "dt", "rf", "hgb", "lda", "qda", "knn"])
 def test_catalogue_pipelines(spark, sides, alias):
     small = {"rf": {"n_estimators": 10, "max_depth": 5}, "dt": {"max_depth": 5}, "hgb": {"max_iter": 3}}.get(alias, {})
     train, test = sides
