@@ -208,7 +208,7 @@ def _brier_sum() -> Column:
     return ratio(F.sum(miss_pos + miss_neg), F.sum(F.col("pos") + F.col("neg")))
 
 
-def _calibration_sums(bins: int) -> Column:
+def calibration_error_value(bins: int) -> Column:
     """Same value as ``calibration_error`` as one aggregate over score counts."""
     of = calibration_bin(F.col("score"), bins)
     surplus = F.col("score") * (F.col("pos") + F.col("neg")) - F.col("pos")
@@ -239,7 +239,7 @@ def evaluation_row(
             average_precision_value().alias("pr_auc"),
             *_named(_threshold_sums(threshold)),
             _brier_sum().alias("brier_score"),
-            _calibration_sums(bins).alias("calibration_error"),
+            calibration_error_value(bins).alias("calibration_error"),
         )
         .withColumns(
             {

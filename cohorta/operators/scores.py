@@ -2,46 +2,88 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohorta.functions.scalars import ratio
 from cohorta.operators.cohorts import PROBABILITY, VERSION
+from cohorta.operators.metrics import calibration_error_value, score_counts
+from cohorta.session import materialize
 
+# Hold-out parts and bins of the check whether calibration helps.
+PARTS, BINS = 3, 10
 
-def fit_isotonic(df: DataFrame, target: str, score: str, output: str = "calibrated"):
-    """Monotone map from score to observed rate.
 
-    Rows collapse to distinct scores first and Spark pools violators per partition; what is
-    merged at the end are blocks of strictly rising rates. Rates of 0/1 labels are fractions,
-    so n rows form far fewer than n blocks (of order n to the two thirds at the very most).
+def fit_isotonic_counts(counts: DataFrame, output: str = "calibrated"):
+    """Monotone map from score to observed rate, from (score, pos, neg) rows.
+
+    Spark pools violators per partition; what is merged at the end are blocks of strictly rising
+    rates. Rates of 0/1 labels are fractions, so n rows form far fewer than n blocks (of order
+    n to the two thirds at the very most).
     """
+    total = F.col("pos") + F.col("neg")
     points = (
-        df.where(F.col(target).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
-        .agg(
-            F.avg(F.col(target).cast("double")).alias("rate"),
-            F.count(F.lit(1)).cast("double").alias("weight"),
-        )
+        counts.groupBy("score")
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .select("score", ratio(F.col("pos"), total).alias("rate"), total.cast("double").alias("weight"))
     )
     return IsotonicRegression(
         featuresCol="score", labelCol="rate", weightCol="weight", predictionCol=output
     ).fit(points)
 
 
-def calibrated_cohorts(
-    reference: DataFrame, cohorts: DataFrame, target: str, versions: list[int]
-) -> DataFrame:
-    """``cohorts`` with scores calibrated on the reference, one fit per model version.
+def fit_isotonic(df: DataFrame, target: str, score: str, output: str = "calibrated"):
+    """Isotonic map of labelled rows; rows collapse to distinct scores first."""
+    return fit_isotonic_counts(score_counts(df, target, score), output)
+
+
+def calibration_helps(counts: DataFrame) -> bool:
+    """Whether isotonic maps lower the calibration error on parts they were not fitted on.
 
-    All maps are applied in one pass over the rows; each row uses the one of its version.
+    ``counts`` holds (part, score, pos, neg).
     """
-    rows = cohorts.withColumn("score", F.col(PROBABILITY))
-    chosen = F.lit(None).cast("double")
+    held_out = []
+    for part in range(PARTS):
+        inside = F.col("part") == part
+        rest = counts.where(~inside)
+        if rest.isEmpty():
+            continue
+        mapped = fit_isotonic_counts(rest).transform(counts.where(inside))
+        held_out.append(mapped.select("score", "calibrated", "pos", "neg"))
+    whole = reduce(lambda a, b: a.unionByName(b), held_out)
+    after = whole.select(F.col("calibrated").alias("score"), "pos", "neg")
+    before_error = whole.agg(calibration_error_value(BINS)).first()[0]
+    after_error = after.agg(calibration_error_value(BINS)).first()[0]
+    return before_error is not None and after_error is not None and after_error < before_error
+
+
+def fit_calibrators(reference: DataFrame, target: str, versions: list[int], mode: str) -> dict:
+    """Isotonic map per model version; versions that need none are left out.
+
+    ``mode`` is ``always`` or ``auto``. Reference rows collapse once to (version, part, score)
+    counts; every fit and check starts from those. The part of a row comes from a hash of the
+    row, so it does not depend on partitioning.
+    """
+    parted = reference.withColumn(
+        "part", F.pmod(F.xxhash64(*reference.columns), F.lit(PARTS)).cast("int")
+    )
+    counts = materialize(score_counts(parted, target, PROBABILITY, [VERSION, "part"]), "score-counts")
+    models = {}
     for version in versions:
-        output = f"_calibrated_{version}"
-        here = F.col(VERSION) == version
-        model = fit_isotonic(reference.where(here), target, PROBABILITY, output)
+        own = counts.where(F.col(VERSION) == version)
+        if mode == "always" or calibration_helps(own):
+            models[version] = fit_isotonic_counts(own, f"_calibrated_{version}")
+    return models
+
+
+def apply_calibrators(cohorts: DataFrame, models: dict) -> DataFrame:
+    """Scores mapped by the calibrator of their version, all in one pass over the rows."""
+    rows = cohorts.withColumn("score", F.col(PROBABILITY))
+    chosen = F.col(PROBABILITY)
+    for version, model in models.items():
         rows = model.transform(rows)
-        chosen = F.when(here, F.col(output)).otherwise(chosen)
+        chosen = F.when(F.col(VERSION) == version, F.col(f"_calibrated_{version}")).otherwise(chosen)
     return rows.withColumn(PROBABILITY, chosen).select(*cohorts.columns)

@@ -30,7 +30,7 @@ from cohorta.operators.drift import (
 )
 from cohorta.operators.joins import full_outer_all, join_on_keys
 from cohorta.operators.prefix import quantile_cuts
-from cohorta.operators.scores import calibrated_cohorts
+from cohorta.operators.scores import apply_calibrators, fit_calibrators
 
 DECIMALS = 4
 
@@ -43,7 +43,7 @@ def drift_tables(
     versions: list[int],
     cuts: list[float],
     reconstruction: bool = True,
-    calibrate: bool = False,
+    calibrate: str = "auto",
 ) -> DataFrame:
     """Estimated performance and alert counts, merged on the report keys."""
     time, features = use_case.time_column, list(use_case.feature_columns)
@@ -52,9 +52,11 @@ def drift_tables(
     if use_case.target_column in reference.columns:
         columns = [*keys, PROBABILITY, PREDICTED]
         scored = reference.select(*columns).unionByName(analysis.select(*columns))
-        if calibrate:
-            scored = calibrated_cohorts(reference, scored, use_case.target_column, versions)
-            cuts = quantile_cuts(scored, PROBABILITY)
+        if calibrate != "never":
+            models = fit_calibrators(reference, use_case.target_column, versions, calibrate)
+            if models:
+                scored = apply_calibrators(scored, models)
+                cuts = quantile_cuts(scored, PROBABILITY)
         tables.append(estimated_performance(scored, time, cuts))
     keep = [*keys, *features]
     base = reference.select(*keep)
@@ -67,14 +69,15 @@ def drift_tables(
 
 
 def round_numbers(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
-    """Half-even rounding of every fractional column.
+    """Half-even rounding of every fractional column, as scaling and rounding a double does.
 
     Sums of fractions differ in the last digits with the order of summation; a first rounding
     to ten decimals removes that before ties are decided.
     """
+    scale = float(10**decimals)
     return df.select(
         *[
-            F.bround(F.round(f.name, 10), decimals).alias(f.name)
+            (F.rint(F.round(f.name, 10) * scale) / scale).alias(f.name)
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
             else F.col(f.name)
             for f in df.schema.fields
@@ -93,7 +96,7 @@ def build_report(
     model_version: int | None = None,
     period: str = "month",
     reconstruction: bool = True,
-    calibrate: bool = False,
+    calibrate: str = "auto",
     ordered: bool = True,
 ) -> DataFrame:
     """One row per (source, period, version, time) present in either cohort.

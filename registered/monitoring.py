@@ -139,20 +139,20 @@ def reconstruction_drift(spark, sf_dir):
 def monitoring_report(spark, sf_dir):
     reference, analysis = V.scored_cohorts(spark, sf_dir)
     return build_report(
-        reference, analysis, V.RETURNS, source_analysis="batch", reconstruction=False
+        reference, analysis, V.RETURNS, source_analysis="batch", reconstruction=False, calibrate="never"
     )
 
 
 def monitoring_report_with_reconstruction(spark, sf_dir):
     reference, analysis = V.scored_cohorts(spark, sf_dir)
-    return build_report(reference, analysis, V.RETURNS, source_analysis="batch", calibrate=True)
+    return build_report(reference, analysis, V.RETURNS, source_analysis="batch")
 
 
 def service_report(spark, sf_dir):
     """Daily report of the service events with failed requests and latency."""
     reference, analysis, errors = V.api_cohorts(spark, sf_dir)
     return build_report(
-        reference, analysis, V.REQUESTS, errors=errors, period="day", reconstruction=False
+        reference, analysis, V.REQUESTS, errors=errors, period="day", reconstruction=False, calibrate="never"
     )
 
 
@@ -304,7 +304,7 @@ def _six(*columns: str) -> str:
 
 
 def _four(*columns: str) -> str:
-    return ", ".join(f"round_even(round({c}, 10), 4) AS {c}" for c in columns)
+    return ", ".join(f"round_even(round({c}, 10) * 10000.0::DOUBLE, 0) / 10000.0::DOUBLE AS {c}" for c in columns)
 
 
 _API_COHORTS = """
@@ -433,7 +433,7 @@ SELECT source, period, model_version, reference_date, prediction_count,
        {_four('avg_predicted_probability', 'predicted_positive_rate', 'observed_positive_rate', 'realized_precision', 'realized_recall', 'realized_roc_auc', 'cbpe_precision', 'cbpe_recall', 'cbpe_roc_auc')},
        univariate_drift_alert_count,
        {_four('prediction_latency_p50_ms', 'prediction_latency_p95_ms', 'api_error_latency_p50_ms', 'api_error_latency_p95_ms')},
-       api_request_count, round_even(round(api_error_rate, 10), 4) AS api_error_rate
+       api_request_count, {_four('api_error_rate')}
 FROM base LEFT JOIN realized USING (period, model_version, reference_date)
 LEFT JOIN cbpe USING (period, model_version, reference_date)
 LEFT JOIN (SELECT period, model_version, reference_date,

@@ -1,6 +1,7 @@
 """Cohorts, drift and the report."""
 
 import datetime as dt
+import random
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from cohorta.contracts import CHURN
 from cohorta.operators import cohorts as C
 from cohorta.operators import drift as D
+from cohorta.operators import scores as S
 from cohorta.plans import views as V
 from cohorta.plans.monitoring import monitor_datasets, monitor_files, record_report, with_contract_time
 from cohorta.plans.report import build_report
@@ -47,15 +49,33 @@ def test_report_without_drift(reference, analysis):
 
 def test_report_with_drift_and_errors(spark, reference, analysis):
     errors = with_latency(cohort(spark, ["2026-02-20"], [0.5], [0]).drop("predicted_probability", "predicted_class"), 95.0)
-    report = build_report(reference, with_latency(analysis), CHURN, errors=errors)
+    report = build_report(reference, with_latency(analysis), CHURN, errors=errors, calibrate="never")
     rows = {r["period"]: r for r in report.collect()}
+    assert rows["reference"]["cbpe_precision"] == 0.75
     analysis_row = rows["analysis"]
     assert analysis_row["api_request_count"] == 3 and analysis_row["api_error_rate"] == 0.3333
     assert analysis_row["prediction_latency_p50_ms"] == 10 and analysis_row["api_error_latency_p95_ms"] == 95
     for name in ("cbpe_precision", "reconstruction_drift_alert_count", "univariate_drift_alert_count"):
         assert analysis_row[name] is not None
     assert analysis_row["univariate_drift_alert_count"] > 0 and rows["reference"]["univariate_drift_alert_count"] == 0
-    assert rows["reference"]["cbpe_precision"] == 0.75
+
+
+def test_calibration_only_where_it_helps(spark):
+    """Version 1 scores are rates already, version 2 scores are far too high."""
+    rng = random.Random(6)
+    rows = []
+    for version in (1, 2):
+        for i in range(3000):
+            p = rng.randrange(1, 20) / 20
+            rows.append((version, p, int(rng.random() < (p if version == 1 else p / 4)), i))
+    df = spark.createDataFrame(rows, "model_version int, predicted_probability double, y int, i int")
+    models = S.fit_calibrators(df, "y", [1, 2], "auto")
+    assert 2 in models
+    assert set(S.fit_calibrators(df, "y", [1, 2], "always")) == {1, 2}
+    mapped = S.apply_calibrators(df, models).where("model_version = 2")
+    assert mapped.count() == 3000
+    mean, rate = mapped.agg(F.avg("predicted_probability"), F.avg("y")).first()
+    assert mean == pytest.approx(rate)
 
 
 def test_overlapping_periods_disable_drift(spark, reference):
@@ -159,7 +179,7 @@ def test_categorical_distance(spark):
     new = rows("abbddd", "2026-02-01", "analysis") + [(1, "analysis", dt.datetime(2026, 2, 1), None)]
     found = D.categorical_distances(spark.createDataFrame(rows("aaabbc", "2026-01-01") + new, schema), ["word"], T)
     distances = {r["period"]: r["distance"] for r in found.collect()}
-    assert distances["reference"] == 0
+    assert distances["reference"] == pytest.approx(0, abs=1e-7)
     assert distances["analysis"] == pytest.approx(brute_js({"a": 3, "b": 2, "c": 1}, {"a": 1, "b": 2, "d": 3}))
 
 
