@@ -37,6 +37,9 @@ def report_keys(time_column: str) -> list[str]:
     return [PERIOD, VERSION, time_column]
 
 
+MOST_VERSIONS = 10_000  # a report is about registered model versions; more is a wrong column
+
+
 @dataclass(frozen=True)
 class Cohort:
     """Checked rows and, per model version, the first and last period they cover."""
@@ -103,7 +106,10 @@ def check_cohort(
     wanted += [F.min(moment).alias("first"), F.max(moment).alias("last")]
     if require_target:
         wanted += [F.min(target).alias("low"), F.max(target).alias("high")]
-    found = cohort.groupBy(F.col(VERSION).try_cast("int").alias(VERSION)).agg(*wanted).collect()
+    by_version = cohort.groupBy(F.col(VERSION).try_cast("int").alias(VERSION)).agg(*wanted)
+    found = by_version.limit(MOST_VERSIONS + 1).collect()
+    if len(found) > MOST_VERSIONS:
+        raise ValueError(f"{name} cohort has over {MOST_VERSIONS} model versions; check the column.")
 
     broken = {label: sum(row[f"c{i}"] for row in found) for i, label in enumerate(checks)}
     broken["missing model version"] = sum(row[VERSION] is None for row in found)

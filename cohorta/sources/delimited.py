@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,13 +46,18 @@ def read_raw_csv(
 
 
 def read_run_files(spark: SparkSession, folder: str) -> DataFrame:
-    """All numbered sample-run files as one table with ``run_id``; one job over the folder."""
-    df = spark.read.option("pathGlobFilter", RUN_FILE).csv(folder, header=True)
-    if not df.columns:
+    """All numbered sample runs of a folder as one table with ``run_id``; one job, no loop.
+
+    A run is a plain file or the part-file folder Spark writes. No run gives an empty table.
+    """
+    try:
+        df = spark.read.csv(f"{folder.rstrip('/')}/{RUN_FILE}", header=True)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "run_id string")
-    return df.withColumn(
-        "run_id", F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{4})_", 1)
-    )
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4})_sample_predictions\.csv", 1)
+    return df.withColumn("run_id", number)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -52,10 +52,14 @@ def flatten_features(df: DataFrame) -> DataFrame:
 
 
 def parse_event_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Records of a table of JSON text lines (``value``); a malformed line keeps its text."""
+    """Records of a table of JSON text lines (``value``); a malformed line keeps its text.
+
+    Other columns of the table are kept.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    filled = lines.where(F.trim("value") != "")
-    return filled.select(F.from_json("value", schema, options).alias("_e")).select("_e.*")
+    others = [name for name in lines.columns if name != "value"]
+    record = F.from_json("value", schema, options).alias("_e")
+    return lines.where(F.trim("value") != "").select(*others, record).select(*others, "_e.*")
 
 
 def read_event_lines(

@@ -25,11 +25,21 @@ from cohorta.sources.events import (
 from cohorta.sources.monthly import with_month
 
 
+ARRIVED = "_arrived"
+
+
 def stream_lines(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
     """Text lines of a growing folder; the file count per batch bounds its size."""
     return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(folder)
 
 
+def stream_requests(spark: SparkSession, folder: str, use_case: UseCase) -> DataFrame:
+    """Request records with the moment their file arrived."""
+    arrived = F.col("_metadata.file_modification_time").alias(ARRIVED)
+    lines = stream_lines(spark, folder).select("value", arrived)
+    return parse_event_lines(lines, request_schema(use_case))
+
+
 def stream_events(spark: SparkSession, folder: str, use_case: UseCase) -> DataFrame:
     """Well-formed flattened events with naive UTC time and numeric latency."""
     records = parse_event_lines(stream_lines(spark, folder), event_schema(use_case))
@@ -97,16 +107,19 @@ def route_requests(
     model_name: str,
     model_version: int,
 ) -> tuple[DataFrame, DataFrame]:
-    """(prediction records, error records): valid requests are scored, the others explained."""
+    """(prediction records, error records): valid requests are scored, the others explained.
+
+    Latency is the time from the arrival of a request to the start of the batch that answers
+    it. A request without a time gets the time of the batch.
+    """
     time = use_case.time_column
-    marked = with_reasons(requests, use_case.feature_rules, "_reasons").withColumns(
-        {
-            time: F.coalesce(utc_naive(F.col(time)), F.current_timestamp().cast("timestamp_ntz")),
-            "_started": F.current_timestamp(),
-        }
+    now = F.current_timestamp()
+    marked = with_reasons(requests, use_case.feature_rules, "_reasons").withColumn(
+        time,
+        F.coalesce(utc_naive(F.col(time)), F.convert_timezone(None, F.lit("UTC"), now.cast("timestamp_ntz"))),
     )
     about = {"model_name": F.lit(model_name), VERSION: F.lit(model_version).cast("int")}
-    latency = (F.unix_micros(F.current_timestamp()) - F.unix_micros("_started")) / 1000.0
+    latency = (F.unix_micros(now) - F.unix_micros(ARRIVED)) / 1000.0
     valid = marked.where(F.size("_reasons") == 0)
     features = {rule.name: rule.typed() for rule in use_case.feature_rules}
     scored = score_rows(
@@ -139,7 +152,7 @@ def score_stream(
     A batch that is repeated after a failure overwrites its own folder, so each request is
     logged once.
     """
-    requests = parse_event_lines(stream_lines(spark, folder), request_schema(use_case))
+    requests = stream_requests(spark, folder, use_case)
 
     def write_batch(batch: DataFrame, number: int) -> None:
         batch.persist()

@@ -94,13 +94,7 @@ def run_files(spark, sf_dir):
     for number, part in ((1, 0), (42, 1)):
         folder = f"{path}/{number:04d}_sample_predictions.csv"
         delimited.write_csv(scored.where(F.col("customerid") % 2 == part), folder)
-    found = [
-        spark.read.csv(f"{path}/{number:04d}_sample_predictions.csv", header=True).select(
-            "*", F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4})_sample_predictions", 1).alias("run_id")
-        )
-        for number in (1, 42)
-    ]
-    whole = found[0].unionByName(found[1])
+    whole = delimited.read_run_files(spark, path)
     return whole.select(
         F.col("customerid").cast("bigint").alias("customerid"),
         F.col("churn").cast("bigint").alias("churn"),

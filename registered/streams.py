@@ -57,15 +57,25 @@ def stream_dedup(spark, sf_dir):
 
 
 def stream_kpis(spark, sf_dir):
-    """Request count and error rate per version and hour, after the watermark has passed."""
+    """Request count and error rate per version and day, each window once it is complete.
+
+    A later marker event moves the watermark past the last real window; its own window stays open.
+    """
     source, target, checkpoint = (
         _event_folder(spark, sf_dir), new_workspace(spark, "kpis"), new_workspace(spark, "checkpoint"),
     )
+    marker = V.api_events(spark, sf_dir).where(F.col("event") == E.PREDICTION).agg(
+        F.lit("marker").alias("request_id"),
+        (F.max(TIME) + F.expr("interval 60 days")).alias(TIME),
+        *[F.max(c).alias(c) for c in ("latency_ms", "model_name", "model_version", "predicted_class", "predicted_probability", "amount", "k", "channel")],
+    )
+    E.write_events(E.prediction_records(marker, V.REQUESTS), source)
     events = J.stream_events(spark, source, V.REQUESTS).withColumn(TIME, F.col(TIME).cast("timestamp"))
     query = (
         J.service_figures(events.withWatermark(TIME, "40 days"), TIME, "1 day")
-        .writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(target))
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

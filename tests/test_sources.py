@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cohorta.contracts import CHURN
+from cohorta.functions.scalars import utc_naive
 from cohorta.plans.ingest import add_reference_dates, ingest_events, ingest_runs, prepare_data
 from cohorta.sources import delimited, events, monthly, splits
 from cohorta.sources.registry import ModelRegistry
@@ -145,8 +146,22 @@ def test_run_files(spark, folder):
     write_text(f"{folder}/0001_sample_predictions.csv", "prediction\n1\n0\n")
     write_text(f"{folder}/0042_sample_predictions.csv", "prediction\n1\n")
     write_text(f"{folder}/notes.csv", "prediction\n9\n")
+    write_text(f"{folder}/0007_sample_predictions.csv/part-0.csv", "prediction\n5\n")
     rows = delimited.read_run_files(spark, folder).collect()
-    assert sorted((r["run_id"], r["prediction"]) for r in rows) == [("0001", "0"), ("0001", "1"), ("0042", "1")]
+    assert sorted((r["run_id"], r["prediction"]) for r in rows) == [
+        ("0001", "0"), ("0001", "1"), ("0007", "5"), ("0042", "1"),
+    ]
+    assert delimited.read_run_files(spark, f"{folder}/0007_sample_predictions.csv").columns == ["run_id"]
+
+
+def test_event_times_do_not_depend_on_the_session_zone(spark):
+    rows = spark.createDataFrame([("2026-02-01T01:30:00+01:00",), ("2026-02-01T00:30:00",), ("2026-02-01T00:30:00Z",)], "t string")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        got = rows.select(utc_naive(F.col("t"))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {r[0] for r in got} == {dt.datetime(2026, 2, 1, 0, 30)}
 
 
 def test_ingested_run_files(spark, folder):
