@@ -173,7 +173,56 @@ QUERIES = {
 
 _RULE = "CASE WHEN age > 50 OR support_calls >= 6 OR payment_delay > 20 OR total_spend <= 500 OR contract_length = 'Monthly' THEN 1 ELSE 0 END"
 
+# Gaussian naive Bayes over the long (customer, feature, value) form of the feature matrix.
+_BAYES = """
+built AS (
+  SELECT customerid, churn, reference_date < TIMESTAMP '2001-01-01' AS train, age::DOUBLE AS f1, tenure::DOUBLE AS f2,
+         usage_frequency::DOUBLE AS f3, support_calls::DOUBLE AS f4, payment_delay::DOUBLE AS f5, last_interaction::DOUBLE AS f6,
+         total_spend AS f7, commitment::DOUBLE AS f8, coalesce(tenure::DOUBLE / nullif(commitment, 0), 0) AS f9,
+         usage_frequency / 30.0::DOUBLE * (30 - last_interaction) AS f10,
+         CASE WHEN tenure = 0 THEN 0 ELSE total_spend / (tenure / 12.0::DOUBLE) END AS f11,
+         CASE WHEN tenure = 0 THEN 0 ELSE support_calls / (tenure / 12.0::DOUBLE) END AS f12,
+         (payment_delay > 15)::INTEGER::DOUBLE AS f13, (last_interaction > 15)::INTEGER::DOUBLE AS f14,
+         (gender = 'Female')::INTEGER::DOUBLE AS f15, (gender = 'Male')::INTEGER::DOUBLE AS f16,
+         (subscription_type = 'Basic')::INTEGER::DOUBLE AS f17, (subscription_type = 'Premium')::INTEGER::DOUBLE AS f18,
+         (subscription_type = 'Standard')::INTEGER::DOUBLE AS f19, (contract_length = 'Annual')::INTEGER::DOUBLE AS f20,
+         (contract_length = 'Monthly')::INTEGER::DOUBLE AS f21, (contract_length = 'Quarterly')::INTEGER::DOUBLE AS f22
+  FROM (SELECT *, CASE contract_length WHEN 'Monthly' THEN 1 WHEN 'Quarterly' THEN 4 ELSE 12 END AS commitment FROM valid_customers)
+),
+long AS (UNPIVOT built ON COLUMNS('^f[0-9]+$') INTO NAME feature VALUE v),
+widest AS (SELECT max(w) * 1e-9::DOUBLE AS extra FROM (SELECT var_pop(v) AS w FROM long WHERE train GROUP BY feature)),
+moments AS (SELECT feature, churn, avg(v) AS m, var_pop(v) + (SELECT extra FROM widest) AS s FROM long WHERE train GROUP BY ALL),
+odds AS (
+  SELECT customerid, any_value(l.churn) AS churn,
+         sum((CASE WHEN q.churn = 1 THEN 1 ELSE -1 END) * (-0.5::DOUBLE * ln(q.s) - (v - m) * (v - m) / (2 * q.s))) AS gap
+  FROM long l JOIN moments q ON q.feature = l.feature WHERE NOT train GROUP BY customerid
+)"""
+
+# Seven nearest training customers by brute force over the standardised feature matrix.
+_NEAREST = """
+scale AS (
+  SELECT feature, avg(v) AS m, CASE WHEN stddev_pop(v) = 0 THEN 1 ELSE stddev_pop(v) END AS d FROM long WHERE train GROUP BY feature),
+z AS (
+  SELECT customerid, churn, train, feature, CASE WHEN substr(feature, 2)::INTEGER <= 14 THEN (v - m) / d ELSE v END AS v
+  FROM long JOIN scale USING (feature)),
+pairs AS (
+  SELECT q.customerid, any_value(q.churn) AS churn, t.customerid AS other, any_value(t.churn) AS vote, sum((q.v - t.v) * (q.v - t.v)) AS gap
+  FROM z q JOIN z t ON q.feature = t.feature WHERE NOT q.train AND t.train GROUP BY q.customerid, t.customerid),
+near AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY customerid ORDER BY gap) <= 7)"""
+
 ORACLES = {
+    "train_knn_score": with_views(
+        CUSTOMERS, _BAYES.split("widest AS", 1)[0].rstrip().rstrip(","), _NEAREST,
+        query="""
+SELECT customerid, any_value(churn) AS churn, round(round(avg(vote::DOUBLE), 10), 6) AS predicted_probability
+FROM near GROUP BY customerid""",
+    ),
+    "train_nb_score": with_views(
+        CUSTOMERS, _BAYES,
+        query="""
+SELECT customerid, churn, round(round(1 / (1 + exp(-(gap + (SELECT ln(sum(churn)::DOUBLE / (count(*) - sum(churn))) FROM built WHERE train)))), 10), 6)
+       AS predicted_probability FROM odds""",
+    ),
     "imputed_scaled": with_views(
         CUSTOMERS,
         """gaps AS (SELECT customerid, CASE WHEN customerid % 5 <> 0 THEN age END AS age,
