@@ -16,7 +16,7 @@ from cohorta.functions.scalars import (
     ratio_or_zero,
     require_columns,
 )
-from cohorta.operators.joins import join_on_keys
+from cohorta.operators.joins import full_outer_all, join_on_keys
 from cohorta.operators.metrics import ranked, roc_auc_value
 from cohorta.operators.prefix import quantile_cuts
 from cohorta.operators.ranks import percentile_columns, value_positions
@@ -288,6 +288,12 @@ def monthly_kpis(df: DataFrame, target: str, time_column: str, period: str = "mo
     )
 
 
+def kpi_overview(kpis: DataFrame, tables: Iterable[DataFrame], time_column: str) -> DataFrame:
+    """Monthly KPIs of one model version next to its drift tables, full outer on the time."""
+    by_time = [table.drop(PERIOD, VERSION) for table in tables]
+    return full_outer_all([kpis, *by_time], [time_column]).orderBy(time_column)
+
+
 def quarantine_errors(errors: DataFrame, use_case: UseCase) -> tuple[DataFrame, DataFrame]:
     """(error events whose features satisfy the contract, the others with reasons)."""
     marked = with_reasons(errors, use_case.feature_rules, "_reasons")

@@ -20,18 +20,23 @@ def with_month(df: DataFrame, time_column: str) -> DataFrame:
     )
 
 
+def balanced_by_month(df: DataFrame) -> DataFrame:
+    """Rows of a month together in few files; a month far larger than the others is split.
+
+    The rebalance hint leaves the split to adaptive execution, which knows the real sizes, so
+    one hot month is not one task.
+    """
+    return df.hint("rebalance", F.col(YEAR), F.col(MONTH))
+
+
 def write_monthly(
     df: DataFrame, path: str, time_column: str, overwrite_partitions: bool = False
 ) -> None:
-    """Append to the dataset, or replace exactly the months present in the input.
-
-    The rebalance hint collects a month into few files and lets adaptive execution split a
-    month that is far larger than the others, so one hot month is not one task.
-    """
+    """Append to the dataset, or replace exactly the months present in the input."""
     rows = with_month(df, time_column)
     if rows.limit(1).isEmpty():
         return
-    writer = rows.hint("rebalance", F.col(YEAR), F.col(MONTH)).write.partitionBy(YEAR, MONTH)
+    writer = balanced_by_month(rows).write.partitionBy(YEAR, MONTH)
     if overwrite_partitions:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:

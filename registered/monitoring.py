@@ -91,6 +91,16 @@ def monthly_kpis(spark, sf_dir):
     return rounded(kpis, "mean_target", "mean_probability", "mean_class")
 
 
+def kpi_overview(spark, sf_dir):
+    """KPIs, estimated ROC AUC and alert count of model version 1 by month."""
+    reference, analysis = (C.filter_version(c, 1) for c in _prepared(spark, sf_dir, require_features=True))
+    both = reference.unionByName(analysis)
+    estimated = D.estimated_performance(both, TIME).select(*KEYS, "cbpe_roc_auc")
+    alerts = D.alert_counts(D.univariate_drift(both, V.RETURNS.feature_columns, TIME), TIME, "univariate_drift")
+    overview = C.kpi_overview(C.monthly_kpis(both, "returned", TIME), [estimated, alerts], TIME)
+    return rounded(overview, "mean_target", "mean_probability", "mean_class", "cbpe_roc_auc")
+
+
 def _js(spark, sf_dir, kind):
     reference, analysis = _prepared(spark, sf_dir, require_features=True)
     both = reference.unionByName(analysis)
@@ -166,6 +176,7 @@ QUERIES = {
     "version_filter": version_filter,
     "overlap_guard": overlap_guard,
     "monthly_kpis": monthly_kpis,
+    "kpi_overview": kpi_overview,
     "js_drift_categorical": js_drift_categorical,
     "js_drift_continuous": js_drift_continuous,
     "js_bins": js_bins,
@@ -394,6 +405,16 @@ SELECT reference_date, round(avg(returned::DOUBLE), 6) AS mean_target,
        round(avg(predicted_probability), 6) AS mean_probability, round(avg(predicted_class::DOUBLE), 6) AS mean_class
 FROM cohorts GROUP BY reference_date""",
     ),
+    "kpi_overview": with_views(
+        COHORTS, _CBPE, _LONG, _BIN_ALL, _JS,
+        query=f"""
+SELECT reference_date, {_six('mean_target', 'mean_probability', 'mean_class', 'cbpe_roc_auc')}, univariate_drift_alert_count
+FROM (SELECT reference_date, avg(returned::DOUBLE) AS mean_target, avg(predicted_probability) AS mean_probability,
+             avg(predicted_class::DOUBLE) AS mean_class FROM cohorts WHERE model_version = 1 GROUP BY reference_date)
+FULL JOIN (SELECT reference_date, cbpe_roc_auc FROM cbpe WHERE model_version = 1) USING (reference_date)
+FULL JOIN (SELECT reference_date, count(*) FILTER (distance > 0.1) AS univariate_drift_alert_count
+           FROM js WHERE model_version = 1 GROUP BY reference_date) USING (reference_date)""",
+    ),
     "js_drift_categorical": with_views(
         COHORTS, _BIN_WORDS, _JS,
         query="SELECT period, model_version, reference_date, feature, round(distance, 6) AS distance, distance > 0.1 AS alert FROM js",

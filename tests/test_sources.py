@@ -77,6 +77,13 @@ def test_empty_input_writes_nothing(spark, folder):
     assert not os.path.exists(f"{folder}/none")
 
 
+def test_writes_split_months_by_size_not_by_value(spark):
+    """The write plan rebalances, so adaptive execution may use several tasks for a hot month."""
+    rows = dated(spark, [("2026-01-05", "a")])
+    plan = monthly.balanced_by_month(rows.selectExpr("*", "2026 as year", "1 as month"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_month_keys():
     assert monthly.month_keys("2025-12-15", "2026-02-01") == [(2025, 12), (2026, 1), (2026, 2)]
     with pytest.raises(ValueError):
