@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cohorta.functions.scalars import numeric_columns, string_columns, to_long
 from cohorta.operators.profile import most_frequent
-from cohorta.operators.ranks import grouped_percentiles
+from cohorta.operators.ranks import column_percentiles
 
 # Imputation strategies and the constants the constant strategy fills in.
 NUMERIC_STRATEGIES = ("median", "mean", "most_frequent", "constant")
@@ -89,12 +89,14 @@ class Imputer(Estimator, Saved):
         strategy = self.getOrDefault(self.numeric)
         if not columns or strategy == "constant":
             return dict.fromkeys(columns, CONSTANT_NUMBER)
+        if strategy == "median":
+            found = column_percentiles(df, columns, {"median": 0.5})
+            fills = {name: values["median"] for name, values in found.items()}
+            return {c: CONSTANT_NUMBER if fills[c] is None else fills[c] for c in columns}
         long = to_long(df, columns, [], "double").where(
             F.col("value").isNotNull() & ~F.isnan("value")
         )
-        if strategy == "median":
-            found = grouped_percentiles(long, "value", {"fill": 0.5}, ["feature"])
-        elif strategy == "mean":
+        if strategy == "mean":
             found = long.groupBy("feature").agg(F.avg("value").alias("fill"))
         else:
             counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))

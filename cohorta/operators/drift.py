@@ -285,7 +285,8 @@ class ReconstructionDrift:
     """PCA reconstruction error of the inputs, fitted per model version on the reference.
 
     What reaches the driver: per version one surrogate, mean and deviation per feature and the
-    feature correlation matrix. Rows stay on the executors.
+    feature correlation matrix. Rows stay on the executors. Leave ``impute`` off for cohorts
+    that a contract check found complete; it saves the search for medians.
     """
 
     def __init__(
@@ -294,13 +295,17 @@ class ReconstructionDrift:
         time_column: str,
         kept_variance: float = KEPT_VARIANCE,
         deviations: float = DEVIATIONS,
+        impute: bool = True,
     ):
         self.features = list(features)
         self.time_column = time_column
         self.kept_variance = kept_variance
         self.deviations = deviations
+        self.impute = impute
 
     def _filled(self, df: DataFrame) -> DataFrame:
+        if not self.impute:
+            return df.withColumns({name: F.col(name).cast("double") for name in self.numeric})
         fills = self.surrogates  # a local table: one row per model version
         filled = {
             name: F.coalesce(
@@ -324,12 +329,9 @@ class ReconstructionDrift:
             )
         return encoded
 
-    def fit(self, reference: DataFrame) -> ReconstructionDrift:
-        spark = reference.sparkSession
-        self.numeric, self.text = feature_kinds(reference, self.features)
-        self.features = [name for name in self.features if name in {*self.numeric, *self.text}]
+    def _fitted_surrogates(self, reference: DataFrame) -> DataFrame:
+        """One row per model version with a fill column per feature."""
         found = _surrogates(reference, self.numeric, self.text).collect()
-        versions = sorted({row[VERSION] for row in found})
         by_key = {
             (row[VERSION], row["feature"]): row["number"] if row["feature"] in self.numeric else row["word"]
             for row in found
@@ -338,8 +340,16 @@ class ReconstructionDrift:
             T.StructField(f"_fill_{n}", T.DoubleType() if n in self.numeric else T.StringType())
             for n in self.features
         ]
+        versions = sorted({row[VERSION] for row in found})
         rows = [(v, *[by_key.get((v, n)) for n in self.features]) for v in versions]
-        self.surrogates = local_table(spark, rows, T.StructType(fields))
+        return local_table(reference.sparkSession, rows, T.StructType(fields))
+
+    def fit(self, reference: DataFrame) -> ReconstructionDrift:
+        spark = reference.sparkSession
+        self.numeric, self.text = feature_kinds(reference, self.features)
+        self.features = [name for name in self.features if name in {*self.numeric, *self.text}]
+        if self.impute:
+            self.surrogates = self._fitted_surrogates(reference)
         filled = self._filled(reference)
         self.category_counts = {
             name: broadcast_if_small(
@@ -378,7 +388,6 @@ class ReconstructionDrift:
             fitted,
             f"{VERSION} int, _mean array<double>, _dev array<double>, _kept int, _axes array<double>",
         )
-        self.limits = self._limits(reference)
         return self
 
     def row_errors(self, df: DataFrame) -> DataFrame:
@@ -409,21 +418,23 @@ class ReconstructionDrift:
             .agg(F.avg("reconstruction_error").alias("reconstruction_error"))
         )
 
-    def _limits(self, reference: DataFrame) -> DataFrame:
-        middle, spread = F.avg("reconstruction_error"), F.stddev_pop("reconstruction_error")
-        return (
-            self._chunks(reference)
+    def calculate(self, cohorts: DataFrame) -> DataFrame:
+        """(report keys, reconstruction_error, lower, upper, alert) of all periods.
+
+        ``cohorts`` holds the reference period too: its chunk errors set the limits. The chunk
+        errors, one row per report key, are written out so that the rows are read once.
+        """
+        chunks = materialize(self._chunks(cohorts), "reconstruction")
+        value = F.col("reconstruction_error")
+        middle, spread = F.avg(value), F.stddev_pop(value)
+        limits = (
+            chunks.where(F.col(PERIOD) == REFERENCE)
             .groupBy(VERSION)
             .agg(
                 F.greatest(middle - self.deviations * spread, F.lit(0.0)).alias("lower"),
                 (middle + self.deviations * spread).alias("upper"),
             )
         )
-
-    def calculate(self, monitored: DataFrame) -> DataFrame:
-        """(report keys, reconstruction_error, lower, upper, alert)."""
-        chunks = self._chunks(monitored)
-        value = F.col("reconstruction_error")
-        return join_on_keys(chunks, self.limits, [VERSION], "left").withColumn(
+        return join_on_keys(chunks, limits, [VERSION], "left").withColumn(
             "alert", (value < F.col("lower")) | (value > F.col("upper"))
         )

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.functions.scalars import numeric_columns, ratio, to_long
-from cohorta.operators.joins import join_on_keys
-from cohorta.operators.ranks import grouped_percentiles
+from cohorta.operators.joins import join_on_keys, local_table
+from cohorta.operators.ranks import column_percentiles
 
 
 def null_counts(df: DataFrame, label: str) -> DataFrame:
@@ -40,7 +40,9 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = grouped_percentiles(long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["feature"])
+    found = column_percentiles(df, chosen, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    rows = [(name, q["p25"], q["p50"], q["p75"]) for name, q in found.items()]
+    quartiles = local_table(df.sparkSession, rows, "feature string, p25 double, p50 double, p75 double")
     return spread.join(quartiles, "feature")
 
 
@@ -162,8 +164,8 @@ def incidence_fixed_bins(
 def incidence_quantiles(df: DataFrame, value: str, target: str, parts: int = 10) -> DataFrame:
     """Incidence by equal-mass bin; repeated borders merge, bins are right-closed."""
     named = {f"q{i}": i / parts for i in range(parts + 1)}
-    found = grouped_percentiles(df, value, named).first()
-    borders = sorted({float(found[name]) for name in named if found[name] is not None})
+    found = column_percentiles(df, [value], named)[value]
+    borders = sorted({border for border in found.values() if border is not None})
     number = F.col(value).cast("double")
     index = F.lit(1)
     for border in borders[1:-1]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohorta.operators.prefix import quantile_cuts, running_totals
-from cohorta.session import default_buckets
+from cohorta.session import default_buckets, materialize
 
 
 def value_positions(
@@ -59,6 +60,68 @@ def grouped_percentiles(
     return value_positions(df, value, keys).groupBy(*keys).agg(*percentile_columns(named))
 
 
+RANK_ERROR = 0.001
+
+
+def column_percentiles(
+    df: DataFrame, columns: Sequence[str], named: Mapping[str, float]
+) -> dict[str, dict[str, float | None]]:
+    """Exact interpolated percentiles of whole columns, without shuffling the columns.
+
+    A sketch with a known rank error brackets every wanted percentile. One map-side pass counts
+    the values below each bracket, another keeps only the values inside it, a few thousandths of
+    the rows, collapsed by value. The exact value is picked from those. One number per column
+    and percentile comes back; missing values and NaN do not count.
+    """
+    values = {c: F.col(c).cast("double") for c in columns}
+    valid = {c: values[c].isNotNull() & ~F.isnan(values[c]) for c in columns}
+    result: dict[str, dict[str, float | None]] = {c: dict.fromkeys(named) for c in columns}
+    totals = df.agg(*[F.count_if(valid[c]).alias(c) for c in columns]).first().asDict()
+    filled = [c for c in columns if totals[c]]
+    if not filled or not named:
+        return result
+    margin = 2 * RANK_ERROR + 2 / min(totals[c] for c in filled)
+    edges = [min(max(p + d, 0.0), 1.0) for p in named.values() for d in (-margin, margin)]
+    numbers = df.select(*[values[c].alias(c) for c in filled])
+    sketched = numbers.approxQuantile(filled, edges, RANK_ERROR)
+    cells, counts = [], []
+    for c, found in zip(filled, sketched):
+        for i, name in enumerate(named):
+            low, high = F.lit(found[2 * i]), F.lit(found[2 * i + 1])
+            inside = valid[c] & (values[c] >= low) & (values[c] <= high)
+            key = f"{len(cells)}"
+            cells.append(
+                F.when(inside, F.struct(F.lit(c).alias("feature"), F.lit(name).alias("name"), values[c].alias("value")))
+            )
+            counts.append((key, c, name, F.count_if(valid[c] & (values[c] < low)).alias(key)))
+    # an aggregate, not observed metrics: a repeated task must not count twice
+    below = df.agg(*[column for *_, column in counts]).first()
+    kept = (
+        df.select(F.inline(F.array_compact(F.array(*cells))))
+        .groupBy("feature", "name", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    kept = materialize(kept, "brackets")
+    placed = running_totals(kept, "value", ["n"], ["feature", "name"], cuts=quantile_cuts(kept, "value"))
+    placed = placed.withColumns({"first": F.col("running_n") - F.col("n"), "last": F.col("running_n")})
+    picks = []
+    for key, c, name, _ in counts:
+        exact = (totals[c] - 1) * named[name]
+        here = (F.col("feature") == c) & (F.col("name") == name)
+        for side, position in (("low", math.floor(exact)), ("high", math.ceil(exact))):
+            at = F.lit(position - below[key])
+            inside = here & (F.col("first") <= at) & (at < F.col("last"))
+            picks.append(F.max(F.when(inside, F.col("value"))).alias(f"{side}_{key}"))
+    row = placed.agg(*picks).first()
+    for key, c, name, _ in counts:
+        low, high = row[f"low_{key}"], row[f"high_{key}"]
+        if low is None or high is None:
+            raise RuntimeError(f"The sketch did not bracket the {name} of {c!r}.")
+        exact = (totals[c] - 1) * named[name]
+        result[c][name] = low + (high - low) * (exact - math.floor(exact))
+    return result
+
+
 def hash_order(seed, key: str | Column) -> Column:
     """Reproducible pseudo-random order of rows: md5 over the seed and a unique row key."""
     column = F.col(key) if isinstance(key, str) else key

@@ -62,7 +62,7 @@ def drift_tables(
     base = reference.select(*keep)
     cohorts = base.unionByName(drift_population(analysis, errors, keep))
     if reconstruction:
-        model = ReconstructionDrift(features, time).fit(base)
+        model = ReconstructionDrift(features, time, impute=False).fit(base)
         tables.append(alert_counts(model.calculate(cohorts), time, "reconstruction_drift"))
     tables.append(alert_counts(univariate_drift(cohorts, features, time), time, "univariate_drift"))
     return full_outer_all(tables, keys)

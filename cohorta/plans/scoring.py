@@ -93,7 +93,10 @@ def score_batch(
 
 
 def observe_mean_probability(scored: DataFrame) -> tuple[DataFrame, Observation]:
-    """Row count and mean probability gathered while the result is written; no extra job."""
+    """Row count and mean probability gathered while the result is written; no extra job.
+
+    For the log only: a stage repeated after a lost executor may count rows again.
+    """
     watch = Observation()
     counted = scored.observe(
         watch, F.count(F.lit(1)).alias("rows"), F.avg(PROBABILITY).alias("mean_probability")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohorta.operators import metrics as M
 from cohorta.operators.prefix import quantile_cuts, running_totals
-from cohorta.operators.ranks import grouped_percentiles
+from cohorta.operators.ranks import column_percentiles, grouped_percentiles
 
 SCHEMA = "y int, p double"
 
@@ -163,6 +163,21 @@ def test_percentiles_equal_linear_interpolation(spark, partitions):
     assert got["d"]["m"] is None
 
 
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_column_percentiles_equal_numpy(spark, partitions):
+    """Many ties, a third of the rows on one value, few rows, and an empty column."""
+    rng = random.Random(11)
+    wide = [rng.gauss(0, 5) for _ in range(2500)]
+    tied = [2.0 if rng.random() < 0.34 else float(rng.randrange(6)) for _ in wide]
+    rows = [(w, t, w if i < 4 else None, None, float("nan") if i % 2 else w) for i, (w, t) in enumerate(zip(wide, tied))]
+    df = spark.createDataFrame(rows, "wide double, tied double, few double, none double, holes double").repartition(partitions)
+    named = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
+    got = column_percentiles(df, ["wide", "tied", "few", "none", "holes"], named)
+    for column, values in (("wide", wide), ("tied", tied), ("few", wide[:4]), ("holes", wide[::2])):
+        assert [got[column][n] for n in named] == pytest.approx(list(np.quantile(values, list(named.values()))))
+    assert set(got["none"].values()) == {None}
+
+
 def test_ranking_never_sorts_rows_in_one_task(spark):
     """Only the few slice sums may share one task; rows are partitioned by slice."""
     df = spark.createDataFrame(random_rows(200, 4, levels=150), SCHEMA)

@@ -217,12 +217,28 @@ def test_alert_counts_treat_missing_as_quiet(spark):
     assert D.alert_counts(df, T, "x").first()["x_alert_count"] == 2
 
 
-def test_reconstruction_equals_numpy(spark):
+def test_reconstruction_fills_gaps_with_medians_and_modes(spark):
+    schema = f"period string, model_version int, {T} timestamp_ntz, a double, b double, w string"
+    day = dt.datetime(2026, 1, 1)
+    full = [("reference", 1, day, float(i), float(i * i % 7), "xy"[i % 3 == 0]) for i in range(30)]
+    gap = [("analysis", 1, dt.datetime(2026, 2, 1), None, 3.0, None)]
+    same = [("analysis", 1, dt.datetime(2026, 2, 1), 14.5, 3.0, "x")]
+
+    def error(rows):
+        df = spark.createDataFrame(full + rows, schema)
+        model = D.ReconstructionDrift(["a", "b", "w"], T).fit(df.where("period = 'reference'"))
+        return model.calculate(df).where("period = 'analysis'").first()["reconstruction_error"]
+
+    assert error(gap) == pytest.approx(error(same))
+
+
+@pytest.mark.parametrize("impute", [True, False])
+def test_reconstruction_equals_numpy(spark, impute):
     """Standardise, project on the axes that explain 65 percent, mean residual per month."""
     reference, analysis = V.scored_cohorts(spark, SF)
     before = C.prepare_cohort(reference, "reference", "batch", V.RETURNS, require_target=True, require_features=True)
     after = C.prepare_cohort(analysis, "analysis", "batch", V.RETURNS, require_features=True)
-    model = D.ReconstructionDrift(V.RETURNS.feature_columns, T).fit(before)
+    model = D.ReconstructionDrift(V.RETURNS.feature_columns, T, impute=impute).fit(before)
     got = {
         (r["period"], r["model_version"], r[T]): (r["reconstruction_error"], r["alert"])
         for r in model.calculate(before.unionByName(after)).collect()
