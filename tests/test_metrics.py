@@ -163,9 +163,11 @@ def test_percentiles_equal_linear_interpolation(spark, partitions):
     assert got["d"]["m"] is None
 
 
+@pytest.mark.parametrize("few", [0, 10**9])
 @pytest.mark.parametrize("partitions", [1, 6])
-def test_column_percentiles_equal_numpy(spark, partitions):
+def test_column_percentiles_equal_numpy(spark, monkeypatch, partitions, few):
     """Many ties, a third of the rows on one value, few rows, and an empty column."""
+    monkeypatch.setattr("cohorta.operators.ranks.FEW_VALUES", few)
     rng = random.Random(11)
     wide = [rng.gauss(0, 5) for _ in range(2500)]
     tied = [2.0 if rng.random() < 0.34 else float(rng.randrange(6)) for _ in wide]
