@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -27,7 +26,7 @@ def build_session(app_name: str = "cohorta", master: str | None = None, **settin
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    A machine-local folder is only used when the whole session runs on one machine.
+    Where the setting is missing, a folder below the session's warehouse is set, in local sessions only.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -36,7 +35,9 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors.")
-    return tempfile.mkdtemp(prefix="cohorta-")
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    spark.conf.set("spark.checkpoint.dir", own)
+    return own
 
 
 def new_workspace(spark: SparkSession, label: str) -> str:
