@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 import numpy as np
@@ -13,7 +14,12 @@ from pyspark.sql import functions as F
 from cohorta.session import new_workspace
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def load(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
+    """A table of the folder; Python workers look for this package where the driver found it, too."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return df.select(*columns) if columns else df
 

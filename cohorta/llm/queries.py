@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohorta.llm.common import load
+from cohorta.llm.common import held_out, load
 
 WORDS_SQL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 FOLD_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -65,5 +65,53 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN hit_words USING (row_no) LEFT JOIN hit_items USING (row_no)
 """
 
-QUERIES = {"op2_decontamination": op2_decontamination}
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the two thirds that are not held out."""
+    from cohorta.llm.language import fit, predict
+
+    docs = load(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = fit(docs.where(~held_out("doc_id", 3)))
+    return predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out("doc_id", 3).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    from cohorta.llm.secret_scan import find_secrets, train
+
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    return find_secrets(docs, train(docs)).select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(F.concat_ws(",", "base_spans"), 256).alias("base_sha256"),
+        F.concat_ws(",", "spans").alias("spans"),
+    )
+
+
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of near equal bytes, tokens and rows."""
+    from cohorta.llm.shards import assign_shards
+
+    placed = assign_shards(load(spark, sf_dir, "documents", "doc_id", "text"), 8)
+    return placed.select(
+        "doc_id",
+        F.col("bytes").alias("size"),
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "tokens",
+    )
+
+
+QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op3_language": op3_language,
+    "op5_secrets": op5_secrets,
+    "op6_shards": op6_shards,
+}
 ORACLES = {"op2_decontamination": OP2_SQL}
