@@ -108,10 +108,19 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies of every document."""
+    from cohorta.llm.near_copies import near_duplicates
+
+    found = near_duplicates(load(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_links", F.col("first").alias("kept"))
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_language": op3_language,
     "op5_secrets": op5_secrets,
     "op6_shards": op6_shards,
+    "op8_near_duplicates": op8_near_duplicates,
 }
 ORACLES = {"op2_decontamination": OP2_SQL}
