@@ -76,6 +76,17 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the bytes they decode to, as digests."""
+    import public_tokenizers
+
+    from cohorta.llm.bytepairs import encode_digests
+
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return encode_digests(docs, ranks, public_tokenizers.PATTERN).drop("text")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     from cohorta.llm.secret_scan import find_secrets, train
@@ -119,6 +130,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_language": op3_language,
+    "op4_byte_pairs": op4_byte_pairs,
     "op5_secrets": op5_secrets,
     "op6_shards": op6_shards,
     "op8_near_duplicates": op8_near_duplicates,
