@@ -119,6 +119,13 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    from cohorta.llm.warc import round_trip
+
+    return round_trip(load(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near copies of every document."""
     from cohorta.llm.near_copies import near_duplicates
@@ -133,6 +140,7 @@ QUERIES = {
     "op4_byte_pairs": op4_byte_pairs,
     "op5_secrets": op5_secrets,
     "op6_shards": op6_shards,
+    "op7_warc": op7_warc,
     "op8_near_duplicates": op8_near_duplicates,
 }
 ORACLES = {"op2_decontamination": OP2_SQL}
