@@ -134,6 +134,43 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "n_links", F.col("first").alias("kept"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every line of 20 characters or more."""
+    from cohorta.llm.lines import line_classes
+
+    return line_classes(load(spark, sf_dir, "documents", "doc_id", "text")).drop("tkey")
+
+
+OP10_SQL = r"""
+WITH RECURSIVE
+place AS (
+  SELECT doc_id, md5(text) AS tkey, n - 1 AS line_no, string_split(text, chr(10))[n] AS line
+  FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(n)
+),
+line AS (SELECT line, length(line) AS n, string_split(line, '') AS c FROM (SELECT DISTINCT line FROM place WHERE length(line) >= 20)),
+meet AS (
+  SELECT a.line AS a, b.line AS b, b.n - a.n AS more,
+         coalesce(list_position(list_transform(range(1, a.n + 1), lambda i: a.c[i] = b.c[i]), false), a.n + 1) AS k
+  FROM line a JOIN line b ON b.n = a.n AND a.line < b.line OR b.n = a.n + 1
+),
+link AS (
+  SELECT a, b FROM meet
+  WHERE more = 0 AND substr(a, k + 1) = substr(b, k + 1) OR more = 1 AND substr(a, k) = substr(b, k + 1)
+),
+ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a AS line, a AS other FROM ways UNION SELECT reach.line, ways.b FROM reach JOIN ways ON ways.a = reach.other),
+class AS (SELECT line, min(other) AS class FROM reach GROUP BY line),
+degree AS (SELECT a AS line, count(*) AS n_links FROM ways GROUP BY a),
+marked AS (
+  SELECT place.*, coalesce(class, place.line) AS class, coalesce(n_links, 0) AS n_links
+  FROM place LEFT JOIN class USING (line) LEFT JOIN degree ON degree.line = place.line WHERE length(place.line) >= 20
+)
+SELECT doc_id, line_no::INTEGER AS line_no,
+       first_value(doc_id) OVER w AS class_doc_id, first_value(line_no) OVER w AS class_line_no,
+       n_links, row_number() OVER w = 1 AS kept
+FROM marked WINDOW w AS (PARTITION BY class ORDER BY doc_id, tkey, line_no)
+"""
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_language": op3_language,
@@ -142,5 +179,9 @@ QUERIES = {
     "op6_shards": op6_shards,
     "op7_warc": op7_warc,
     "op8_near_duplicates": op8_near_duplicates,
+    "op10_line_dedup": op10_line_dedup,
+}
+ORACLES = {
+    "op2_decontamination": OP2_SQL,
+    "op10_line_dedup": OP10_SQL,
 }
-ORACLES = {"op2_decontamination": OP2_SQL}
