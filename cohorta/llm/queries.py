@@ -134,6 +134,23 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "n_links", F.col("first").alias("kept"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures and verdict of every document."""
+    from cohorta.llm.quality import judge
+
+    return judge(load(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "posterior",
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every line of 20 characters or more."""
     from cohorta.llm.lines import line_classes
@@ -179,6 +196,7 @@ QUERIES = {
     "op6_shards": op6_shards,
     "op7_warc": op7_warc,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES = {
