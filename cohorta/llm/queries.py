@@ -7,6 +7,23 @@ from pyspark.sql import functions as F
 
 from cohorta.llm.common import held_out, load
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by a network that has seen four fifths of them."""
+    from cohorta.llm.recurrent import score
+
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    found = score(docs, ~held_out("doc_id", 5))
+    return found.select(
+        "doc_id",
+        held_out("doc_id", 5).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 WORDS_SQL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 FOLD_SQL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -189,6 +206,7 @@ FROM marked WINDOW w AS (PARTITION BY class ORDER BY doc_id, tkey, line_no)
 """
 
 QUERIES = {
+    "op1_lm_scores": op1_lm_scores,
     "op2_decontamination": op2_decontamination,
     "op3_language": op3_language,
     "op4_byte_pairs": op4_byte_pairs,
