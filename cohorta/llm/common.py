@@ -17,9 +17,13 @@ from cohorta.session import new_workspace
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def load(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
-    """A table of the folder; Python workers look for this package where the driver found it, too."""
+def ready(spark: SparkSession) -> None:
+    """Let Python workers look for this package where the driver found it, too."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
+def load(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
+    ready(spark)
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return df.select(*columns) if columns else df
 
