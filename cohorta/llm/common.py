@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -83,3 +84,19 @@ def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column
     for name in names:
         condition = condition & left[name].eqNullSafe(right[name])
     return condition
+
+
+def digest_number(value: Column) -> Column:
+    """The first 120 bits of the MD5 digest, as a number."""
+    digest = F.md5(value.cast("binary"))
+    high, low = (F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(19,0)") for at in (1, 16))
+    return (high * F.lit(Decimal(1 << 60)).cast("decimal(19,0)") + low).cast("decimal(38,0)")
+
+
+#: keys sent to all tasks instead of joined; their number is counted first
+SENT = 200_000
+
+
+def sent_if_few(keys: DataFrame) -> DataFrame:
+    """A written table of narrow keys, marked for broadcast if it was counted to be small."""
+    return F.broadcast(keys) if keys.count() <= SENT else keys

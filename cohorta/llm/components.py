@@ -1,12 +1,14 @@
-"""Connected components of a link table by star contraction, one pair of joins a round."""
+"""Connected components of a link table by star contraction."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cohorta.llm.common import Scratch
 
+PART = 1_000_000  # links a partition of the written tables
+
 
 def _both_ways(links: DataFrame) -> DataFrame:
     return links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -18,11 +20,12 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     Large-star and small-star steps alternate until the links no longer change; each node's links
     are only ever aggregated to a minimum, so a hub of any size is a map-side sum and a join. The
     number of rounds grows with the logarithm of the longest path. Every round is written to the
-    shared folder, and the one before is removed.
+    shared folder, in as many partitions as its links fill, and the one before is removed. Nodes
+    should be numbers: their minimum is then a hash aggregate.
     """
-    current = scratch.keep(links.select("a", "b").where(F.col("a") != F.col("b")).distinct(), f"{name}-0")
-    before, turn = None, 0
-    while True:
+    current, mark = _kept(links.select("a", "b").where(F.col("a") != F.col("b")).distinct(), scratch, f"{name}-0")
+    turn = 0
+    while mark["n"]:
         # large star: larger neighbours of each node move to its smallest neighbour
         ways = _both_ways(current)
         least = ways.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -30,24 +33,27 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             ways.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         ).distinct()
         # small star: a node's smaller neighbours and itself move to the smallest of them
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
-        root = down.groupBy("a").agg(F.min("b").alias("m"))
-        moved = down.join(root, "a")
+        root = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
-            moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
+            large.join(root, "a")
+            .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(root.select("a", F.col("m").alias("b")))
             .where("a != b")
             .distinct()
         )
         turn += 1
-        after = scratch.keep(small, f"{name}-{turn}")
-        mark = after.agg(
-            F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
-        ).first()
+        before = mark
+        current, mark = _kept(small.coalesce(1 + before["n"] // PART), scratch, f"{name}-{turn}")
         scratch.drop(f"{name}-{turn - 1}")
-        current = after
         if mark == before:
             break
-        before = mark
     roots = current.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("root"))
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
+
+
+def _kept(links: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, dict]:
+    """The links as written, with their number and a hash of them all, observed while they are written."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    kept = scratch.keep(links.observe(seen, F.count(F.lit(1)).alias("n"), total.alias("h")), name)
+    return kept, {k: seen.get[k] for k in ("n", "h")}
