@@ -32,13 +32,15 @@ from pyspark.sql import functions as F
 
 from cohorta.llm.common import Scratch
 
-SHORTLIST, MEMBERS, SHAPES, HIDDEN = 2016, 48, 64, 32
-WINDOW, LANES, RATE = 24, 96, 0.006
+SHORTLIST, MEMBERS, SHAPES, HIDDEN = 2016, 48, 32, 24
+WINDOW, LANES, RATE = 24, 160, 0.012
+UPDATES = 120  # a small share takes fewer lanes, so that it still makes about so many updates
 EVERY, ROUNDS = 8, 2
 HEAVY = 1 << 19
 FLUSH = 400_000  # distinct words a counting task holds
-CHUNK = 1 << 20  # tokens scored together
-SCORE_LANES, SCORE_STEPS = 512, 48
+CHUNK = 3 << 20  # tokens scored together
+TRAIN_CHUNK = 1 << 20
+SCORE_LANES, SCORE_STATES = 512, 1 << 16
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -163,7 +165,11 @@ def first_weights(vocab: Vocabulary, seed: int = 5) -> dict[str, np.ndarray]:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place; x is a scratch array."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _step(w: dict, rows: np.ndarray, state: np.ndarray):
@@ -172,8 +178,13 @@ def _step(w: dict, rows: np.ndarray, state: np.ndarray):
     gates = _sigmoid(rows[:, : 2 * h] + a[:, : 2 * h])
     z, r = gates[:, :h], gates[:, h:]
     inner = a[:, 2 * h :] + w["n"]
-    n = np.tanh(rows[:, 2 * h :] + r * inner)
-    return n + z * (state - n), z, r, n, inner
+    n = r * inner
+    n += rows[:, 2 * h :]
+    np.tanh(n, out=n)
+    after = state - n
+    after *= z
+    after += n
+    return after, z, r, n, inner
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -183,6 +194,15 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
+def _log_sums(logits: np.ndarray) -> np.ndarray:
+    """log of the summed exponentials of each row; the rows are overwritten."""
+    if logits.max() > 60:  # only then can single precision overflow
+        top = logits.max(axis=1, keepdims=True)
+        logits -= top
+        return np.log(np.exp(logits, out=logits).sum(axis=1)) + top[:, 0]
+    return np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
 def _by_class(classes: np.ndarray, groups: int) -> Iterator[tuple[int, np.ndarray]]:
     """Row numbers of each class of shortlist words."""
     order = np.argsort(classes, kind="stable")
@@ -300,7 +320,7 @@ def laid_out(docs: list[np.ndarray], lanes: int, end: int):
 
 def train_chunk(optimiser: Adam, docs: list[np.ndarray], end: int) -> int:
     tokens = sum(map(len, docs))
-    lanes = int(min(LANES, max(4, tokens // (WINDOW * 16))))
+    lanes = int(min(LANES, max(4, tokens // (WINDOW * UPDATES))))
     inputs, targets, _, fresh, sizes = laid_out(docs, lanes, end)
     state = np.zeros((inputs.shape[1], HIDDEN), np.float32)
     for t in range(0, len(inputs), WINDOW):
@@ -322,9 +342,11 @@ def score_chunk(w: dict, docs: list[np.ndarray], end: int) -> np.ndarray:
     inputs, targets, owner, fresh, sizes = laid_out(docs, SCORE_LANES, end)
     total = np.zeros(len(docs))
     state = np.zeros((inputs.shape[1], HIDDEN), np.float32)
-    for t in range(0, len(inputs), SCORE_STEPS):
-        steps = min(SCORE_STEPS, len(inputs) - t)
+    t = 0
+    while t < len(inputs):
         lanes = int((sizes > t).sum())
+        # few lanes are left where long documents end: then more steps make a block
+        steps = min(max(1, SCORE_STATES // lanes), len(inputs) - t)
         state = state[:lanes]
         states = np.empty((steps, lanes, HIDDEN), np.float32)
         for s in range(steps):
@@ -333,16 +355,17 @@ def score_chunk(w: dict, docs: list[np.ndarray], end: int) -> np.ndarray:
         live = (np.arange(t, t + steps)[:, None] < sizes[None, :lanes]).ravel()
         flat = states.reshape(-1, HIDDEN)[live]
         classes, places = _targets(targets[t : t + steps, :lanes].ravel()[live], groups)
-        logits = flat @ w["wc"] + w["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
+        logits = flat @ w["wc"]
+        logits += w["bc"]
         score = logits[np.arange(len(logits)), classes].astype(float)
-        score -= np.log(np.exp(logits, out=logits).sum(axis=1))
+        score -= _log_sums(logits)
         for g, rows in _by_class(classes, groups):
-            inner = flat[rows] @ w["ww"][g] + w["bw"][g]
-            inner -= inner.max(axis=1, keepdims=True)
+            inner = flat[rows] @ w["ww"][g]
+            inner += w["bw"][g]
             score[rows] += inner[np.arange(len(rows)), places[rows]]
-            score[rows] -= np.log(np.exp(inner, out=inner).sum(axis=1))
+            score[rows] -= _log_sums(inner)
         total += np.bincount(owner[t : t + steps, :lanes].ravel()[live], score, len(docs))
+        t += steps
     return total / np.log(10)
 
 
@@ -388,7 +411,7 @@ def train(docs: DataFrame, vocab: Vocabulary, id_col: str, text_col: str) -> dic
                 for value in batch.column(0):
                     held.append(symbols_of(words_of(value.as_py()), vocab))
                     size += len(held[-1])
-                    if size >= CHUNK:
+                    if size >= TRAIN_CHUNK:
                         tokens += train_chunk(optimiser, held, vocab.end)
                         held, size = [], 0
             if held:
@@ -414,8 +437,13 @@ SCORED = "row bigint, n_tokens bigint, n_known bigint, heavy double, rare double
 
 
 def _score_rows(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, weights: dict) -> Iterator[pa.RecordBatch]:
-    norms, end_known = vocab.shape_norms(), vocab.documents > 0
+    norms, known_end, short = vocab.shape_norms().tolist(), int(vocab.documents > 0), vocab.groups * MEMBERS
     end_log = float(np.log10(vocab.documents + 0.5))
+    # symbol, log of the smoothed count, and what of the score doesn't come from the network
+    table = {}
+    for word, log in vocab.log_counts.items():
+        number, kind = vocab.numbers.get(word), shape(word)
+        table[word] = (short + kind, log, log - norms[kind]) if number is None else (number, log, 0.0)
     rows: list[list] = []
     held: list[np.ndarray] = []
 
@@ -427,24 +455,27 @@ def _score_rows(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, weights: d
         names = [part.split()[0] for part in SCORED.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    size = 0
+    size, get = 0, table.get
     for batch in batches:
         for row, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             words = words_of(value.as_py())
-            known, heavy, rare, tail = int(end_known), end_log, 0.0, []
+            heavy, rare, tail, symbols = end_log, 0.0, [], []
             for word in words:
-                log = vocab.log_counts.get(word)
-                if log is None:
+                found = get(word)
+                if found is None:
+                    kind = zlib.crc32(word[-2:]) % SHAPES
                     tail.append(word)
-                    rare -= norms[zlib.crc32(word[-2:]) % SHAPES]
+                    rare -= norms[kind]
+                    symbols.append(short + kind)
                 else:
-                    known += 1
+                    symbol, log, part = found
+                    symbols.append(symbol)
                     heavy += log
-                    if word not in vocab.numbers:
-                        rare += log - norms[zlib.crc32(word[-2:]) % SHAPES]
-            held.append(symbols_of(words, vocab))
-            rows.append([row, len(words) + 1, known, heavy, rare, tail])
-            size += len(words) + 1
+                    rare += part
+            symbols.append(vocab.end)
+            held.append(np.array(symbols, np.int32))
+            rows.append([row, len(symbols), len(words) - len(tail) + known_end, heavy, rare, tail])
+            size += len(symbols)
             if size >= CHUNK:
                 yield out()
                 rows.clear()
