@@ -33,6 +33,7 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: log of the odds against a secret before the run is read, and of the certainty asked for
 PRIOR, CERTAIN = float(np.log(1e-3)), float(np.log(100.0))
+SMOOTH = 5.0  # samples' worth of the letters' own shares
 _CODE = np.full(256, -1, np.int64)
 _CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
 SIZE = len(ALPHABET)
@@ -79,8 +80,9 @@ class Model:
 
     @staticmethod
     def _log(counts: np.ndarray) -> np.ndarray:
-        # smoothed towards equal letters; without samples all letters are equally likely
-        smooth = counts + 0.5
+        # what follows a rare letter is smoothed towards all letters, and these towards equal shares
+        letters = counts.sum(axis=0) + 0.5
+        smooth = counts + SMOOTH * letters / letters.sum()
         return np.log(smooth / smooth.sum(axis=1, keepdims=True))
 
     def score(self, run: str) -> float:
