@@ -29,8 +29,9 @@ class ColumnRule:
         """(rule name, condition that is true on a broken row); at most one holds per row."""
         raw = F.col(self.name)
         value = raw.try_cast(self.dtype)
+        nothing = F.coalesce(F.isnan(value), F.lit(False)) if self.dtype in ("double", "float") else F.lit(False)
         found = [
-            ("missing_value", raw.isNull()),
+            ("missing_value", raw.isNull() | nothing),
             ("wrong_type", raw.isNotNull() & value.isNull()),
         ]
         outside = F.lit(False)
@@ -39,7 +40,7 @@ class ColumnRule:
         if self.high is not None:
             outside = outside | (value > F.lit(self.high))
         if self.low is not None or self.high is not None:
-            found.append(("out_of_range", F.coalesce(outside, F.lit(False))))
+            found.append(("out_of_range", F.coalesce(outside & ~nothing, F.lit(False))))
         if self.allowed:
             found.append(("not_allowed", F.coalesce(~value.isin(*self.allowed), F.lit(False))))
         return found

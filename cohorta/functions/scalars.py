@@ -51,11 +51,11 @@ def period_start(time: Column, period: str = "month") -> Column:
 
 
 def utc_naive(value: Column) -> Column:
-    """ISO text as a naive UTC timestamp; text without an offset is UTC already."""
-    moment = F.to_timestamp(value).cast("timestamp_ntz")
+    """ISO text as a naive UTC timestamp; text without an offset is UTC already, other text is null."""
+    moment = value.try_cast("timestamp").cast("timestamp_ntz")
     in_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment)
     has_offset = value.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
-    return F.when(has_offset, in_utc).otherwise(value.cast("timestamp_ntz"))
+    return F.when(has_offset, in_utc).otherwise(value.try_cast("timestamp_ntz"))
 
 
 def month_number(year: Column, month: Column) -> Column:

@@ -72,7 +72,6 @@ CATALOG: dict[str, dict[str, Any]] = {
             "max_iter": _int(50, 500),
             "learning_rate": _float(0.01, 0.3, log=True),
             "max_leaf_nodes": _int(16, 64),
-            "l2_regularization": _float(1e-8, 10.0, log=True),
         },
     },
     "knn": {
@@ -90,8 +89,15 @@ MARGIN_BASED = ("lr", "lsvc", "hgb", "ada", "lda", "qda")
 WITHOUT_PROBABILITY = ("lsvc",)
 
 
+#: parameters of other libraries' learners that Spark's have no counterpart for
+NOT_HONOURED = {"hgb": ("l2_regularization",)}
+
+
 def _depth(value) -> int:
-    return DEEPEST if value is None else min(int(value), DEEPEST)
+    """No depth means the deepest tree there is; a deeper one cannot be had."""
+    if value is not None and int(value) > DEEPEST:
+        raise ValueError(f"Trees grow to a depth of {DEEPEST}, not {value}.")
+    return DEEPEST if value is None else int(value)
 
 
 def _estimator(alias: str, p: Mapping[str, Any], label: str, rows: int) -> Estimator:
@@ -154,6 +160,9 @@ def create_classifier(
     """
     if alias not in CATALOG:
         raise ValueError(f"No classifier {alias!r}; known aliases: {', '.join(CATALOG)}.")
+    refused = sorted(set(NOT_HONOURED.get(alias, ())) & set(params or {}))
+    if refused:
+        raise ValueError(f"Classifier {alias!r} cannot honour {', '.join(refused)}.")
     merged = {**CATALOG[alias]["defaults"], **(params or {})}
     estimator = _estimator(alias, merged, label, rows)
     return estimator, {"model_alias": alias, "model_name": type(estimator).__name__, **merged}

@@ -16,7 +16,7 @@ from cohorta.contracts import UseCase
 from cohorta.learning.catalog import CATALOG, WITHOUT_PROBABILITY
 from cohorta.learning.folds import temporal_folds
 from cohorta.learning.pipelines import fit_pipeline
-from cohorta.learning.settings import TrainingConfig
+from cohorta.learning.settings import JobPlan
 from cohorta.operators.metrics import average_precision, roc_auc
 from cohorta.session import cache_balanced
 
@@ -50,36 +50,37 @@ def draw(space: Mapping[str, Mapping[str, Any]], generator: random.Random) -> di
     return chosen
 
 
-def optimize(use_case: UseCase, config: TrainingConfig, train: DataFrame) -> TuningResult:
+def optimize(use_case: UseCase, config: JobPlan, train: DataFrame) -> TuningResult:
     """Best drawn parameters by mean validation metric; every trial is a set of distributed fits.
 
     The draws are fixed by the seed before any trial runs, so the result does not depend on how
     many trials run at once.
     """
-    alias, tuning = config.classifier.alias, config.tuning
+    fitting, search = config.fitting, config.search
+    alias = fitting.model
     space = CATALOG.get(alias, {}).get("space")
     if not space:
         raise ValueError(f"Classifier {alias!r} has no search space.")
     target, time = use_case.target_column, use_case.time_column
     train = cache_balanced(train.select(*use_case.feature_columns, target, time))
-    folds = temporal_folds(train, target, time, tuning.n_splits)
-    generator = random.Random(tuning.random_state)
-    trials = [draw(space, generator) for _ in range(tuning.n_trials)]
-    metric = roc_auc if tuning.metric == "roc_auc" else average_precision
+    folds = temporal_folds(train, target, time, search.folds)
+    generator = random.Random(search.seed)
+    trials = [draw(space, generator) for _ in range(search.trials)]
+    metric = roc_auc if search.metric == "roc_auc" else average_precision
 
     def mean_score(params: dict[str, Any]) -> float:
         values = []
         for fold in folds:
             history, later = fold.split(train, time)
             fitted, _ = fit_pipeline(
-                use_case, alias, {**config.classifier.params, **params}, history,
-                config.preprocessing.numeric_strategy, config.preprocessing.text_strategy,
+                use_case, alias, {**fitting.params, **params}, history,
+                fitting.fill_numbers, fitting.fill_words,
             )
             rank = fitted.margin if alias in WITHOUT_PROBABILITY else fitted.score
             values.append(metric(rank(later, "score"), target, "score").first()[0])
         return sum(values) / len(values)
 
-    with ThreadPoolExecutor(max_workers=max(1, tuning.parallelism)) as pool:
+    with ThreadPoolExecutor(max_workers=search.parallelism) as pool:
         task = inheritable_thread_target(train.sparkSession)(mean_score)
         scores = list(pool.map(task, trials))
     train.unpersist()
@@ -87,9 +88,9 @@ def optimize(use_case: UseCase, config: TrainingConfig, train: DataFrame) -> Tun
     return TuningResult(
         best_params=trials[best],
         best_score=scores[best],
-        metric=tuning.metric,
-        n_trials=tuning.n_trials,
-        n_splits=tuning.n_splits,
+        metric=search.metric,
+        n_trials=search.trials,
+        n_splits=search.folds,
         time_column=time,
-        random_state=tuning.random_state,
+        random_state=search.seed,
     )

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from cohorta.functions.scalars import numeric_columns, ratio, string_columns, to_long
 from cohorta.operators.cohorts import PERIOD, PREDICTED, PROBABILITY, VERSION, report_keys
-from cohorta.operators.joins import broadcast_if_small, join_on_keys, local_table
+from cohorta.operators.joins import join_on_keys
 from cohorta.operators.metrics import ranked, roc_auc_value
 from cohorta.operators.prefix import quantile_cuts
 from cohorta.operators.profile import most_frequent
@@ -127,8 +127,7 @@ def continuous_bins(reference: DataFrame, features: Sequence[str]) -> DataFrame:
         found = levels.get((row[VERSION], row["feature"]))
         as_category = found is not None and found <= CATEGORY_LIMIT and found / row["rows"] <= CATEGORY_SHARE
         rows.append((row[VERSION], row["feature"], row["low"], row["high"], row["bins"], as_category))
-    return local_table(
-        spark,
+    return spark.createDataFrame(
         rows,
         f"{VERSION} int, feature string, low double, high double, bins int, as_category boolean",
     )
@@ -342,7 +341,7 @@ class ReconstructionDrift:
         ]
         versions = sorted({row[VERSION] for row in found})
         rows = [(v, *[by_key.get((v, n)) for n in self.features]) for v in versions]
-        return local_table(reference.sparkSession, rows, T.StructType(fields))
+        return reference.sparkSession.createDataFrame(rows, T.StructType(fields))
 
     def fit(self, reference: DataFrame) -> ReconstructionDrift:
         spark = reference.sparkSession
@@ -352,8 +351,9 @@ class ReconstructionDrift:
             self.surrogates = self._fitted_surrogates(reference)
         filled = self._filled(reference)
         self.category_counts = {
-            name: broadcast_if_small(
-                filled.groupBy(VERSION, name).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+            # written, so that its size is known to the planner and it is counted once
+            name: materialize(
+                filled.groupBy(VERSION, name).agg(F.count(F.lit(1)).cast("double").alias("_n")), "categories"
             )
             for name in self.text
         }
@@ -383,8 +383,7 @@ class ReconstructionDrift:
             fitted.append((row[VERSION], mean, deviation, kept, flat.ravel().tolist()))
         self.parameters = fitted
         self.kept = max(item[3] for item in fitted)
-        self.model = local_table(
-            spark,
+        self.model = spark.createDataFrame(
             fitted,
             f"{VERSION} int, _mean array<double>, _dev array<double>, _kept int, _axes array<double>",
         )

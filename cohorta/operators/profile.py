@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.functions.scalars import numeric_columns, ratio, to_long
-from cohorta.operators.joins import join_on_keys, local_table
+from cohorta.operators.joins import join_on_keys
 from cohorta.operators.ranks import column_percentiles
 
 
@@ -42,7 +42,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     )
     found = column_percentiles(df, chosen, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     rows = [(name, q["p25"], q["p50"], q["p75"]) for name, q in found.items()]
-    quartiles = local_table(df.sparkSession, rows, "feature string, p25 double, p50 double, p75 double")
+    quartiles = df.sparkSession.createDataFrame(rows, "feature string, p25 double, p50 double, p75 double")
     return spread.join(quartiles, "feature")
 
 

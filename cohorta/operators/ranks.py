@@ -61,7 +61,6 @@ def grouped_percentiles(
 
 
 RANK_ERROR = 0.001
-FEW_VALUES = 2_000_000  # below this, one shuffle of all values is cheaper than bracketing
 
 
 def column_percentiles(
@@ -81,12 +80,6 @@ def column_percentiles(
     filled = [c for c in columns if totals[c]]
     if not filled or not named:
         return result
-    if sum(totals.values()) <= FEW_VALUES:
-        pairs = [F.struct(F.lit(c).alias("feature"), values[c].alias("value")) for c in filled]
-        long = df.select(F.inline(F.array(*pairs))).where(~F.isnan("value"))
-        for row in grouped_percentiles(long, "value", named, ["feature"]).collect():
-            result[row["feature"]] = {name: row[name] for name in named}
-        return result
     margin = 2 * RANK_ERROR + 2 / min(totals[c] for c in filled)
     edges = [min(max(p + d, 0.0), 1.0) for p in named.values() for d in (-margin, margin)]
     numbers = df.select(*[values[c].alias(c) for c in filled])

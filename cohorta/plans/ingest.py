@@ -9,7 +9,7 @@ from cohorta.functions.scalars import utc_naive
 from cohorta.operators.sampling import DEFAULT_SEED, assign_balanced, date_spine
 from cohorta.operators.validation import validate
 from cohorta.sources.delimited import read_raw_csv, read_run_files, write_csv
-from cohorta.sources.events import read_event_json
+from cohorta.sources.events import event_schema, read_event_lines, write_malformed
 from cohorta.sources.monthly import write_monthly
 
 
@@ -22,13 +22,25 @@ def prepare_data(spark: SparkSession, csv_path: str, dataset: str, use_case: Use
 def ingest_events(
     spark: SparkSession, log: str, dataset: str, use_case: UseCase, strict: bool = False
 ) -> None:
-    """JSON event log to a monthly dataset; the months in the log are replaced."""
+    """JSON event log to a monthly dataset; the months in the log are replaced.
+
+    Malformed lines, unreadable times included, are written as text to ``malformed_folder`` of the
+    log. ``strict`` ingests nothing at all if there are any.
+    """
     time = use_case.time_column
-    events = read_event_json(spark, log, use_case, strict)
+    events, malformed = read_event_lines(spark, log, event_schema(use_case), time)
+    write_malformed(malformed, malformed_folder(dataset, log))
+    if strict and not malformed.isEmpty():
+        return
     stamped = events.withColumn(time, utc_naive(events[time]))
     write_monthly(stamped, dataset, time, overwrite_partitions=True)
 
 
+def malformed_folder(dataset: str, log: str) -> str:
+    """Where the malformed lines of a log go: beside the dataset, one folder a log."""
+    return f"{dataset.rstrip('/')}-malformed/{log.rstrip('/').rsplit('/', 1)[-1]}"
+
+
 def ingest_runs(spark: SparkSession, folder: str, dataset: str, use_case: UseCase) -> None:
     """Numbered sample-run files to a validated monthly dataset."""
     rows = validate(read_run_files(spark, folder), use_case)

@@ -116,9 +116,9 @@ def build_report(
     after = check_cohort(analysis, "analysis", source_analysis, use_case, **shared)
     failed = None
     if errors is not None:
-        good = quarantine_errors(errors, use_case)[0] if drift else errors
+        # every failed request counts as one, whatever its payload
         failed = check_cohort(
-            good, "analysis", source_analysis, use_case, require_predictions=False, **shared
+            errors, "analysis", source_analysis, use_case, require_predictions=False, period=period
         )
     versions = sorted(set(before.spans) & set(after.spans))
     if model_version is not None:
@@ -140,7 +140,11 @@ def build_report(
     if realized is not None:
         report = join_on_keys(report, realized, keys, "left")
     if drift:
-        known_errors = failed.only(versions).rows if failed is not None else None
+        # only inputs that satisfy the contract can be compared; quarantine_errors has the others
+        known_errors = None
+        if failed is not None:
+            typed = {rule.name: rule.typed() for rule in use_case.feature_rules}
+            known_errors = quarantine_errors(failed.only(versions).rows, use_case)[0].withColumns(typed)
         alerts = drift_tables(
             before.rows, after.rows, known_errors, use_case, versions, cuts, reconstruction, calibrate
         )

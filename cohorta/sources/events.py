@@ -51,23 +51,28 @@ def flatten_features(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if c != "features"], *inner)
 
 
-def parse_event_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+def parse_event_lines(lines: DataFrame, schema: T.StructType, time_column: str | None = None) -> DataFrame:
     """Records of a table of JSON text lines (``value``); a malformed line keeps its text.
 
-    Other columns of the table are kept.
+    With a time column, a line whose time cannot be read is malformed, too. Other columns of the
+    table are kept.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     others = [name for name in lines.columns if name != "value"]
     record = F.from_json("value", schema, options).alias("_e")
-    return lines.where(F.trim("value") != "").select(*others, record).select(*others, "_e.*")
+    parsed = lines.where(F.trim("value") != "").select(*others, "value", record).select(*others, "value", "_e.*")
+    if time_column is not None:
+        unread = F.col(time_column).isNotNull() & utc_naive(F.col(time_column)).isNull()
+        parsed = parsed.withColumn(CORRUPT, F.coalesce(CORRUPT, F.when(unread, F.col("value"))))
+    return parsed.drop("value")
 
 
 def read_event_lines(
-    spark: SparkSession, path: str, schema: T.StructType
+    spark: SparkSession, path: str, schema: T.StructType, time_column: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(well-formed flattened records, malformed lines); a missing path gives empty tables."""
     try:
-        records = parse_event_lines(spark.read.text(path), schema)
+        records = parse_event_lines(spark.read.text(path), schema, time_column)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -80,12 +85,20 @@ def read_event_json(
     spark: SparkSession, path: str, use_case: UseCase, strict: bool = False
 ) -> DataFrame:
     """Flattened log records. ``strict`` returns no record at all when any line is malformed."""
-    good, bad = read_event_lines(spark, path, event_schema(use_case))
+    good, bad = read_event_lines(spark, path, event_schema(use_case), use_case.time_column)
     return good.limit(0) if strict and not bad.isEmpty() else good
 
 
+def write_malformed(malformed: DataFrame, target: str) -> None:
+    """The malformed lines of a log as text; a repeated job replaces them."""
+    malformed.select(CORRUPT).write.mode("overwrite").text(target)
+
+
 def json_to_csv(spark: SparkSession, source: str, target: str, use_case: UseCase) -> None:
-    read_event_json(spark, source, use_case).write.csv(target, header=True)
+    """Log records as CSV; malformed lines go to a folder beside it, named ``-malformed``."""
+    good, bad = read_event_lines(spark, source, event_schema(use_case), use_case.time_column)
+    good.write.csv(target, header=True)
+    write_malformed(bad, f"{target.rstrip('/')}-malformed")
 
 
 def _columns_of(event: str, use_case: UseCase) -> list[str]:

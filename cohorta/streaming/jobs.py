@@ -41,15 +41,35 @@ def stream_requests(spark: SparkSession, folder: str, use_case: UseCase) -> Data
 
 
 def stream_events(spark: SparkSession, folder: str, use_case: UseCase) -> DataFrame:
-    """Well-formed flattened events with naive UTC time and numeric latency."""
-    records = parse_event_lines(stream_lines(spark, folder), event_schema(use_case))
-    good = flatten_features(records.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
+    """Well-formed flattened events with naive UTC time and numeric latency.
+
+    ``stream_malformed`` has the other lines.
+    """
     time = use_case.time_column
+    records = parse_event_lines(stream_lines(spark, folder), event_schema(use_case), time)
+    good = flatten_features(records.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
     return good.withColumns(
         {time: utc_naive(F.col(time)), LATENCY: F.col(LATENCY).try_cast("double")}
     )
 
 
+def stream_malformed(
+    spark: SparkSession, folder: str, target: str, checkpoint: str, use_case: UseCase
+) -> StreamingQuery:
+    """Write the lines that are no event, or whose time cannot be read, as text; each file exactly once."""
+    schema, time = event_schema(use_case), use_case.time_column
+    records = parse_event_lines(stream_lines(spark, folder), schema, time)
+    return (
+        records.where(F.col(CORRUPT).isNotNull())
+        .select(F.col(CORRUPT).alias("value"))
+        .writeStream.format("text")
+        .option("path", target)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def ingest_stream(events: DataFrame, dataset: str, checkpoint: str, time_column: str) -> StreamingQuery:
     """Append new events to a monthly dataset, each file exactly once."""
     return (
@@ -110,11 +130,16 @@ def route_requests(
     """(prediction records, error records): valid requests are scored, the others explained.
 
     Latency is the time from the arrival of a request to the start of the batch that answers
-    it. A request without a time gets the time of the batch.
+    it. A request without a time gets the time of the batch; one whose time cannot be read is
+    explained, too.
     """
     time = use_case.time_column
     now = F.current_timestamp()
+    unread = F.col(time).isNotNull() & utc_naive(F.col(time)).isNull()
     marked = with_reasons(requests, use_case.feature_rules, "_reasons").withColumn(
+        "_reasons", F.when(unread, F.array_append("_reasons", F.lit(f"{time}:wrong_type"))).otherwise(F.col("_reasons"))
+    )
+    marked = marked.withColumn(
         time,
         F.coalesce(utc_naive(F.col(time)), F.convert_timezone(None, F.lit("UTC"), now.cast("timestamp_ntz"))),
     )

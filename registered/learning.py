@@ -9,7 +9,7 @@ from cohorta.functions.features import rule_classifier
 from cohorta.learning.calibration import fit_with_calibration
 from cohorta.learning.classifiers import MajorityClassifier
 from cohorta.learning.folds import fold_table, temporal_folds
-from cohorta.learning.settings import Classifier, TrainingConfig, Tuning
+from cohorta.learning.settings import Fitting, JobPlan, Search
 from cohorta.learning.stages import Imputer, PopulationScaler
 from cohorta.learning.tuning import optimize
 from cohorta.operators.sampling import seeded_sample
@@ -82,7 +82,7 @@ def _sides(spark, sf_dir):
 def _train(spark, sf_dir, alias, method="none", **params):
     train, test = _sides(spark, sf_dir)
     result = train_model(
-        CHURN, TrainingConfig(Classifier(alias, params)), train, test, calibration_method=method
+        CHURN, JobPlan(Fitting(alias, params)), train, test, calibration_method=method
     )
     return rounded(result.model.score(test).select("customerid", "churn", "predicted_probability"))
 
@@ -139,7 +139,7 @@ def feature_importance(spark, sf_dir):
 
 def tuned_parameters(spark, sf_dir):
     train, _ = _sides(spark, sf_dir)
-    config = TrainingConfig(Classifier("nb"), tuning=Tuning(n_trials=2, n_splits=2))
+    config = JobPlan(Fitting("nb"), Search(trials=2, folds=2))
     best = optimize(CHURN, config, train)
     rows = [(name, float(value), best.best_score) for name, value in best.best_params.items()]
     return rounded(spark.createDataFrame(rows, "parameter string, chosen double, score double"), 12)

@@ -8,7 +8,7 @@ from cohorta.contracts import CHURN
 from cohorta.operators import metrics as M
 from cohorta.operators import promotion as R
 from cohorta.plans import views as V
-from cohorta.plans.ingest import ingest_events, with_reference_dates
+from cohorta.plans.ingest import ingest_events, malformed_folder, with_reference_dates
 from cohorta.session import new_workspace
 from cohorta.sources import delimited, events, monthly, splits
 from registered.derived import API, CUSTOMERS, SCORED, with_views
@@ -140,6 +140,19 @@ def ingested_events(spark, sf_dir):
     return rows.groupBy("year", "month", "model_version").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def ingested_sides(spark, sf_dir):
+    """Event log with cut-off lines and unreadable times: rows on both sides of the ingestion."""
+    number = F.get_json_object("value", "$.request_id").cast("bigint")
+    dated = F.regexp_replace("value", '"reference_date":"[^"]*"', '"reference_date":"yesterday"')
+    line = F.when(number % 7 == 0, F.substring("value", 1, 40)).when(number % 11 == 0, dated).otherwise(F.col("value"))
+    log, dataset = new_workspace(spark, "log"), new_workspace(spark, "ingested")
+    spark.read.text(_log(spark, sf_dir, events.PREDICTION)).select(line.alias("value")).write.text(log)
+    ingest_events(spark, log, dataset, V.REQUESTS)
+    good = monthly.read_monthly(spark, dataset, TIME).select(F.lit("ingested").alias("side"))
+    bad = spark.read.text(malformed_folder(dataset, log)).select(F.lit("malformed").alias("side"))
+    return good.unionByName(bad).groupBy("side").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def reference_dates(spark, sf_dir):
     """Customers spread evenly over the months of a year."""
     rows = V.customers(spark, sf_dir).select("customerid")
@@ -228,6 +241,7 @@ QUERIES = {
     "flatten_event_features": flatten_event_features,
     "error_event_log": error_event_log,
     "ingested_events": ingested_events,
+    "ingested_sides": ingested_sides,
     "reference_dates": reference_dates,
     "weighted_scores": weighted_scores,
     "promotion_decisions": promotion_decisions,
@@ -334,6 +348,12 @@ FROM api_events WHERE event = 'prediction_error'""",
         API,
         query="""
 SELECT year(reference_date)::INTEGER AS year, month(reference_date)::INTEGER AS month, model_version, count(*) AS rows
+FROM api_events WHERE event = 'prediction' GROUP BY ALL""",
+    ),
+    "ingested_sides": with_views(
+        API,
+        query="""
+SELECT CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN 'malformed' ELSE 'ingested' END AS side, count(*) AS rows
 FROM api_events WHERE event = 'prediction' GROUP BY ALL""",
     ),
     "reference_dates": with_views(

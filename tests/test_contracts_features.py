@@ -143,3 +143,15 @@ def test_use_case_rules_and_registry():
 def test_validation_is_one_aggregate(customers):
     plan = violations(customers, CHURN)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Python" not in plan
+
+
+def test_not_a_number_is_a_missing_value(spark):
+    case = UseCase("nan", "y", "t", ("v",), (ColumnRule("v", "double", low=0),))
+    rows = spark.createDataFrame([(1.5,), (float("nan"),), (-2.0,), (None,)], "v double")
+    assert {r["rule"]: r["failed_rows"] for r in violations(rows, case).collect()} == {
+        "missing_value": 2, "wrong_type": 0, "out_of_range": 1,
+    }
+    text = spark.createDataFrame([("1.5",), ("NaN",), ("x",), (None,)], "v string")
+    assert {r["rule"]: r["failed_rows"] for r in violations(text, case).collect()} == {
+        "missing_value": 2, "wrong_type": 1, "out_of_range": 0,
+    }

@@ -23,7 +23,7 @@ from cohorta.learning.classifiers import (
 from cohorta.learning.folds import fold_table, temporal_folds
 from cohorta.learning.neighbours import NearestNeighbours
 from cohorta.learning.pipelines import fit_pipeline
-from cohorta.learning.settings import Classifier, Promotion, TrainingConfig, Tuning
+from cohorta.learning.settings import Fitting, JobPlan, Release, Search
 from cohorta.learning.stages import Imputer, PopulationScaler
 from cohorta.learning.tuning import draw, optimize
 from cohorta.operators.metrics import roc_auc
@@ -330,20 +330,21 @@ def test_search_is_repeatable(spark, sides):
     train, _ = sides
 
     def search(parallelism):
-        tuning = Tuning(n_trials=2, n_splits=2, metric="pr_auc", parallelism=parallelism)
-        return optimize(CHURN, TrainingConfig(Classifier("nb"), tuning=tuning), train)
+        tuning = Search(trials=2, folds=2, metric="pr_auc", parallelism=parallelism)
+        return optimize(CHURN, JobPlan(Fitting("nb"), tuning), train)
 
     one, two = search(1), search(2)
     assert one.best_params == two.best_params and one.best_score == pytest.approx(two.best_score)
     with pytest.raises(ValueError, match="search space"):
-        optimize(CHURN, TrainingConfig(Classifier("dc")), train)
+        optimize(CHURN, JobPlan(Fitting("dc")), train)
 
 
 def test_settings_are_checked():
     for bad in (
-        lambda: Classifier(""), lambda: Tuning(n_trials=0), lambda: Tuning(metric="f1"),
-        lambda: Promotion(weights={"other": 1.0}), lambda: Promotion(min_delta=-1.0),
-        lambda: TrainingConfig(Classifier("lr"), threshold_strategy="fixed"),
+        lambda: Fitting(""), lambda: Fitting("lr", folds=1), lambda: Fitting("lr", bins=2.5), lambda: Fitting("lr", []),
+        lambda: Search(trials=0), lambda: Search(metric="f1"), lambda: Search(parallelism=True),
+        lambda: Release(weights={"other": 1.0}), lambda: Release(min_delta=-1.0), lambda: Release(min_delta=float("nan")),
+        lambda: Release(weights={}), lambda: Release(weights={"f1": 0.0}), lambda: Release(weights={"f1": -1.0}),
     ):
         with pytest.raises(ValueError):
             bad()
@@ -352,7 +353,7 @@ def test_settings_are_checked():
 def test_training_needs_both_classes(spark, sides):
     train, test = sides
     with pytest.raises(ValueError, match="both classes"):
-        train_model(CHURN, TrainingConfig(Classifier("lr")), train.where("churn = 1"), test)
+        train_model(CHURN, JobPlan(Fitting("lr")), train.where("churn = 1"), test)
 
 
 def test_training_job_end_to_end(spark, folder):
@@ -360,7 +361,7 @@ def test_training_job_end_to_end(spark, folder):
     write_monthly(V.valid_customers(spark, "/root/testdata/sf0.01"), f"{folder}/data", T)
     create_split(spark, f"{folder}/data", T, "1995-01-01", "2001-01-01", "2001-12-31", folder, "oot")
     store = f"{folder}/store"
-    arguments = (spark, CHURN, TrainingConfig(Classifier("nb")), folder, "oot", store)
+    arguments = (spark, CHURN, JobPlan(Fitting("nb")), folder, "oot", store)
     first, record = training_job(*arguments, register_model=True, promote_model=True)
     assert record["model"]["version"] == 1 and record["lifecycle"]["promotion"]["decision"]["promote"]
     _, second = training_job(*arguments, register_model=True, promote_model=True)

@@ -98,8 +98,11 @@ def test_bad_error_payloads_are_set_aside(spark, reference, analysis):
     ).withColumn("age", F.when(F.col(T) < F.lit("2026-02-21").cast("timestamp_ntz"), F.lit("old")).otherwise(F.col("age").cast("string")))
     good, bad = C.quarantine_errors(errors, CHURN)
     assert (good.count(), bad.count()) == (1, 1)
-    rows = build_report(reference, with_latency(analysis), CHURN, errors=errors).collect()
-    assert [r["api_request_count"] for r in rows if r["period"] == "analysis"] == [3]
+    # both failed requests count, whatever the drift figures can use
+    for drift in (True, False):
+        rows = build_report(reference, with_latency(analysis), CHURN, errors=errors, drift=drift).collect()
+        assert [r["api_request_count"] for r in rows if r["period"] == "analysis"] == [4]
+        assert [r["api_error_rate"] for r in rows if r["period"] == "analysis"] == [0.5]
 
 
 def test_version_selection(spark, reference, analysis):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohorta.contracts import CHURN
 from cohorta.functions.scalars import utc_naive
-from cohorta.plans.ingest import add_reference_dates, ingest_events, ingest_runs, prepare_data
+from cohorta.plans.ingest import add_reference_dates, ingest_events, ingest_runs, malformed_folder, prepare_data
 from cohorta.sources import delimited, events, monthly, splits
 from cohorta.sources.registry import ModelRegistry
 from cohorta.sources.runs import append_run, check_runs, read_runs
@@ -215,6 +215,18 @@ def test_malformed_lines(spark, folder):
     assert events.read_event_json(spark, f"{folder}/log.jsonl", CHURN, strict=True).count() == 0
 
 
+def test_ingestion_keeps_malformed_lines(spark, folder):
+    lines = [event_line(), "not json", event_line(**{T: "yesterday"})]
+    write_text(f"{folder}/log.jsonl", "\n".join(lines) + "\n")
+    for _ in range(2):
+        ingest_events(spark, f"{folder}/log.jsonl", f"{folder}/data", CHURN)
+    assert spark.read.parquet(f"{folder}/data").count() == 1
+    bad = spark.read.text(malformed_folder(f"{folder}/data", f"{folder}/log.jsonl"))
+    assert sorted(r[0] for r in bad.collect()) == sorted(lines[1:])
+    ingest_events(spark, f"{folder}/log.jsonl", f"{folder}/strict", CHURN, strict=True)
+    assert not os.path.exists(f"{folder}/strict")
+
+
 def test_missing_logs(spark, folder):
     assert events.read_event_json(spark, f"{folder}/absent", CHURN).count() == 0
     assert events.load_events(spark, None, events.PREDICTION_ERROR, CHURN).count() == 0

@@ -43,6 +43,26 @@ def test_ingestion_is_incremental(spark, folder):
     assert sorted(r["request_id"] for r in read_monthly(spark, target, T).collect()) == ["r1", "r2"]
 
 
+def test_lines_that_are_no_events_are_kept(spark, folder):
+    put(f"{folder}/in", "a.json", [event(1, 0), "broken", event(2, 0) | {T: "garbage"}, event(3, 0) | {T: None}])
+    J.ingest_stream(J.stream_events(spark, f"{folder}/in", CHURN), f"{folder}/out", f"{folder}/a", T).awaitTermination()
+    J.stream_malformed(spark, f"{folder}/in", f"{folder}/bad", f"{folder}/b", CHURN).awaitTermination()
+    bad = sorted(r[0] for r in spark.read.text(f"{folder}/bad").collect())
+    assert bad[0] == "broken" and "garbage" in bad[1] and len(bad) == 2
+    assert spark.read.parquet(f"{folder}/out").count() == 2
+
+
+def test_an_unreadable_time_is_explained(spark, folder):
+    requests = [{"request_id": "a", T: "garbage", **FEATURES}, {"request_id": "b", T: "2026-01-01T00:00:00Z", **FEATURES}]
+    put(f"{folder}/in", "a.json", requests)
+    J.score_stream(
+        spark, f"{folder}/in", f"{folder}/out", f"{folder}/state", CHURN, RuleScorer(rule_classifier), 0.5, "m", 7
+    ).awaitTermination()
+    assert [r["request_id"] for r in read_event_json(spark, f"{folder}/out/predictions", CHURN).collect()] == ["b"]
+    failed = read_event_json(spark, f"{folder}/out/errors", CHURN).collect()
+    assert [(r["request_id"], r["error_message"]) for r in failed] == [("a", f"{T}:wrong_type")]
+
+
 def test_repeated_requests_are_dropped(spark, folder):
     put(f"{folder}/in", "a.json", [event(1, 0), event(1, 1), event(2, 2)])
     events = J.deduplicated(J.stream_events(spark, f"{folder}/in", CHURN), T)
