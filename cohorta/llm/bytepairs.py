@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from cohorta.llm.common import schema_with
+from cohorta.llm.common import schema_with, without
 
 SHORT_BYTES = 48
 ROUNDS = 24
@@ -213,9 +213,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     """The rows with `ids` and the bytes they decode to.
 
     Null and empty texts have no ids; repeated rows are encoded alike; special tokens are ordinary
-    text. The vocabulary file must be at ranks_path on every executor. The frame must not have
-    columns of the result's names already.
+    text. The vocabulary file must be at ranks_path on every executor. Columns of the result's names
+    that the frame has already are replaced.
     """
+    docs = without(docs, ("ids", "decoded"), text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks_path, pattern)
@@ -232,6 +233,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
 
 def encode_digests(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """As `encode`, but only the number of ids and digests of ids (joined by a space) and decoded bytes."""
+    docs = without(docs, ("n_tokens", "ids_sha256", "decoded_sha256"), text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks_path, pattern)

@@ -61,6 +61,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return blob, offsets - offsets[0]
 
 
+def without(df: DataFrame, names: Sequence[str], *needed: str) -> DataFrame:
+    """The frame without columns that a result's columns of these names will replace, in any case of letters."""
+    taken = {n.lower() for n in names}
+    clash = [c for c in df.columns if c.lower() in taken and c not in needed]
+    return df.drop(*clash) if clash else df
+
+
 def schema_with(df: DataFrame, *fields: str) -> str:
     """DDL of the frame's columns and more fields, for mapInArrow."""
     own = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohorta.llm.common import Scratch, schema_with, text_bytes
+from cohorta.llm.common import Scratch, schema_with, text_bytes, without
 from cohorta.llm.words import FOLD, find_words
 
 WINDOW = 13
@@ -323,9 +323,10 @@ def find_contamination(
     inside any occurrence of a phrase is hit; hit words side by side form one span. Null and empty
     texts have no words; items without words or without an id are ignored; repeated rows are each
     judged on their own; an empty benchmark hits nothing. A benchmark of more than `block_words`
-    words takes one pass for each such block, written to the shared folder in between. The frame
-    must not have columns of these four names already.
+    words takes one pass for each such block, written to the shared folder in between. Columns of
+    these four names that the frame has already are replaced.
     """
+    docs = without(docs, RESULT_NAMES, text_col)
     scratch = Scratch(docs.sparkSession, "contamination")
     result, passes = None, 0
     for block in item_blocks(benchmark.select(item_col, item_text_col), item_col, item_text_col, block_words):

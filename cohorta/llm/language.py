@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohorta.llm.common import schema_with, text_bytes
+from cohorta.llm.common import schema_with, text_bytes, without
 
 UNKNOWN = "und"
 LETTERS = 62  # kinds of letters told apart; all others share one code
@@ -173,9 +173,10 @@ def predict(docs: DataFrame, model: KernelModel, text_col: str = "text") -> Data
     """The rows with lang_pred and score.
 
     Null texts and texts without a letter get `und` and 0, as does everything if no language was
-    learned; repeated rows are scored alike; ties go to the language first in order. The frame must
-    not have columns of the result's names already.
+    learned; repeated rows are scored alike; ties go to the language first in order. Columns of the
+    result's names that the frame has already are replaced.
     """
+    docs = without(docs, ("lang_pred", "score"), text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

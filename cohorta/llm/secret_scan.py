@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohorta.llm.common import schema_with
+from cohorta.llm.common import schema_with, without
 
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(
@@ -37,6 +37,7 @@ SMOOTH = 5.0  # samples' worth of the letters' own shares
 _CODE = np.full(256, -1, np.int64)
 _CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
 SIZE = len(ALPHABET)
+RESULT_NAMES = ("n_assign", "n_access", "n_hex", "base_spans", "spans")
 RESULT = "n_assign bigint, n_access bigint, n_hex bigint, base_spans array<string>, spans array<string>"
 
 
@@ -132,9 +133,10 @@ def scan_text(text: str | None, model: Model) -> tuple[list, list[str], list[str
 def find_secrets(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows with counts and spans (`kind:start:end`, code points, end exclusive).
 
-    Null and empty texts have no spans; repeated rows are each scanned. The frame must not have
-    columns of the result's names already.
+    Null and empty texts have no spans; repeated rows are each scanned. Columns of the result's names
+    that the frame has already are replaced.
     """
+    docs = without(docs, RESULT_NAMES, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

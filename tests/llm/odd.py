@@ -46,8 +46,8 @@ def odd_rows():
 
 
 #: columns that clash with names the operators use themselves
-EXTRA = "key string, node string, n_words int, score double, shard int, kept boolean, row int, Spans string"
+EXTRA = "key string, node string, n_words int, score double, shard int, kept boolean, row int, Spans string, N_Hit int, Lang_Pred int, ids string, Decoded int, n_tokens string"
 
 
 def with_extra(rows):
-    return [(*r, "k", "n", 1, 0.5, 2, None, 3, "x") for r in rows]
+    return [(*r, "k", "n", 1, 0.5, 2, None, 3, "x", 4, 5, "i", 6, None) for r in rows]

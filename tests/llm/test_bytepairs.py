@@ -52,7 +52,7 @@ def test_documents(spark, reference):
     docs = spark.createDataFrame(with_extra(rows), f"{SCHEMA}, {EXTRA}").repartition(2)
     got = encode(docs, PATH, public_tokenizers.PATTERN)
     digests = encode_digests(docs, PATH, public_tokenizers.PATTERN)
-    assert got.columns == [*docs.columns, "ids", "decoded"]
+    assert got.columns == [*[c for c in docs.columns if c not in ("ids", "Decoded")], "ids", "decoded"]
     for r in got.collect():
         assert r["ids"] == reference.encode_ordinary(r["text"] or "")
         assert bytes(r["decoded"]) == (r["text"] or "").encode()

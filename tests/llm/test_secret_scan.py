@@ -39,7 +39,7 @@ def fixture():
 
 def test_base_spans_against_brute_force(spark):
     rows = fixture()
-    docs = spark.createDataFrame(with_extra([r for r in rows]), f"{SCHEMA}, {EXTRA}").drop("Spans").repartition(3)
+    docs = spark.createDataFrame(with_extra([r for r in rows]), f"{SCHEMA}, {EXTRA}").repartition(3)
     got = find_secrets(docs, train(docs)).collect()
     assert len(got) == len(rows)
     for r in got:
