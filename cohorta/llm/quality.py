@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from cohorta.llm.common import Scratch
 
 WHITE = "[\\x20\\x09-\\x0D]+"
-WHITE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
+FEW = 64  # repeated windows a text is searched for one by one; either way gives the same positions
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -32,9 +32,8 @@ def _count_of(text: Column, characters: str) -> Column:
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One narrow row of counts a document, from its whole text; a null text counts as empty.
 
-    Equal windows of three words are found by 64-bit hashes inside one document: sorted with their
-    positions, equal neighbours mark repeated windows, and the marked positions in order give
-    the words they cover. Nothing is exploded or shuffled, and the work is n log n in the words.
+    Equal windows of three words are found by 64-bit hashes inside one document: in sorted order, equal
+    neighbours are repeated windows, and the positions of these in order give the words they cover. Nothing is exploded or shuffled, and the work is n log n in the words.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("doc_id"), text.alias("t"))
@@ -47,11 +46,11 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     counted = cut.select(
         "doc_id",
         F.size("w").cast("long").alias("n_words"),
-        (F.length("t") - _count_of(F.col("t"), WHITE_CHARS)).cast("long").alias("word_chars"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         _count_of(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
         _count_of(F.col("t"), UPPER).cast("long").alias("n_upper"),
-        _count_of(F.col("t"), "!").cast("long").alias("n_shouts"),
-        F.size(F.filter("w", lambda word: word.rlike("[#*$%&|<>]"))).cast("long").alias("n_marked"),
+        (F.length("t") - F.length(F.replace("t", F.lit("!"), F.lit("")))).cast("long").alias("n_shouts"),
+        F.size(F.filter("l", lambda line: line.rlike("[#*$%&|<>]"))).cast("long").alias("n_marked"),
         F.size("l").cast("long").alias("n_lines"),
         (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
         F.size(F.filter("l", lambda line: line.rlike("[.!?:;,\"'][\\x20\\x09-\\x0D]*$"))).cast("long").alias("n_ended"),
@@ -68,32 +67,42 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             ),
         ).alias("h"),
     )
-    # only texts with a repeated window go on
-    ordered = counted.withColumn(
-        "s",
-        F.when(
-            F.size(F.array_distinct("h")) < F.size("h"),
-            F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("x"), i.alias("i")))),
+    # only texts with a repeated window go on; sorted hashes show which windows these are
+    ordered = counted.withColumn("o", F.when(F.size(F.array_distinct("h")) < F.size("h"), F.sort_array("h")))
+    twice = ordered.withColumn(
+        "d",
+        F.array_distinct(
+            F.filter(
+                F.zip_with("o", F.slice("o", F.lit(2), F.size("o")), lambda a, b: F.when(a == b, a)),
+                lambda x: x.isNotNull(),
+            )
         ),
-    ).drop("h")
+    ).drop("o")
+    # a few repeated windows are looked up; many are sorted together with all positions
+    few = F.size("d") <= FEW
+    looked_up = F.filter(
+        F.transform("h", lambda x, i: F.when(F.array_contains("d", x), i)), lambda i: i.isNotNull()
+    )
+    pairs = twice.withColumn(
+        "s",
+        F.when(F.size("d") > FEW, F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))),
+    ).withColumn("m", F.when(few, looked_up))
     none = F.lit(None).cast("struct<x:bigint,i:int>")
     neighbours = F.arrays_zip(
         F.col("s"),
         F.concat(F.array(none), F.slice("s", F.lit(1), F.size("s") - 1)),
         F.concat(F.slice("s", F.lit(2), F.size("s")), F.array(none)),
     )
-    marked = ordered.withColumn(
-        "m",
-        F.sort_array(
-            F.transform(
-                F.filter(
-                    neighbours,
-                    lambda z: z["s"]["x"].eqNullSafe(z["1"]["x"]) | z["s"]["x"].eqNullSafe(z["2"]["x"]),
-                ),
-                lambda z: z["s"]["i"],
-            )
-        ),
-    ).drop("s")
+    side_by_side = F.sort_array(
+        F.transform(
+            F.filter(
+                neighbours,
+                lambda z: z["s"]["x"].eqNullSafe(z["1"]["x"]) | z["s"]["x"].eqNullSafe(z["2"]["x"]),
+            ),
+            lambda z: z["s"]["i"],
+        )
+    )
+    marked = pairs.drop("h", "d").withColumn("m", F.coalesce("m", F.when(F.col("s").isNotNull(), side_by_side))).drop("s")
     # every window covers three words, fewer where the next one begins
     covered = F.aggregate(
         F.zip_with("m", F.slice("m", F.lit(2), F.size("m")), lambda a, b: F.coalesce(F.least(b - a, F.lit(3)), F.lit(3))),
@@ -120,14 +129,14 @@ def votes() -> dict[str, Column]:
     mean, symbols, upper = F.col("word_chars") / words, F.col("n_symbols") / words, F.col("n_upper") / chars
     repeats, twice = F.col("n_repeat_words") / words, F.col("n_dup_lines") / lines
     ended, kinds = F.col("n_ended") / lines, F.col("n_distinct") / words
-    marked, shouts = F.col("n_marked") / words, F.col("n_shouts") / words
+    marked, shouts = F.col("n_marked") / lines, F.col("n_shouts") / words
     never = F.lit(False)
     return {
         "lines_end": _vote(ended, ended >= 0.6, ended < 0.2),
         "many_words": _vote(kinds, kinds >= 0.3, kinds < 0.15),
         "word_length": _vote(mean, mean.between(3, 10), (mean < 2) | (mean > 14)),
         "few_symbols": _vote(symbols, never, symbols > 0.1),
-        "clean_words": _vote(marked, never, marked > 0.1),
+        "clean_lines": _vote(marked, never, marked > 0.5),
         "few_capitals": _vote(upper, never, upper > 0.3),
         "few_shouts": _vote(shouts, never, shouts > 0.1),
         "few_repeats": _vote(repeats, never, repeats > 0.3),
