@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohorta.llm.common import schema_with, text_bytes, without
+from cohorta.llm.common import Scratch, schema_with, sent_if_few, text_bytes, without
 
 UNKNOWN = "und"
 LETTERS = 62  # kinds of letters told apart; all others share one code
@@ -143,11 +143,14 @@ def sample(
     usable = labelled.where(
         F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= longest)
     ).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
-    counts = usable.groupBy("l").agg(F.count("*").alias("n"))
+    counts = Scratch(labelled.sparkSession, "language").keep(
+        usable.groupBy("l").agg(F.count("*").alias("n")), "counts"
+    )
     spread = 1 << 30
     place = F.pmod(F.xxhash64("i", F.lit(7)), F.lit(spread))
     # four times as many as asked for pass the threshold, so a language's sort stays bounded
-    near = usable.join(counts, "l").where(place * F.col("n") <= F.lit(4.0 * per_language * spread))
+    # the languages go to the texts, so that only texts under the threshold are shuffled
+    near = usable.join(sent_if_few(counts), "l").where(place * F.col("n") <= F.lit(4.0 * per_language * spread))
     order = W.partitionBy("l").orderBy(F.xxhash64("i", F.lit(7)), F.col("i"), F.md5("t"))
     return near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("t", "l", "k")
 

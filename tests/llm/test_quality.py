@@ -29,6 +29,7 @@ def test_measures_against_brute_force(spark):
     rng = random.Random(2)
     texts = ["", "a", "a b", "a b c", "a b c a b c", " \t\n x\x0by\x0cz\r x y z ", "a b c b c d a b c b c d", "a a a a a",
              "x\n\nx\n \n \n", "é 😀 é 😀 é 😀", "# *$%&|<> |", "a b a b a b c"]
+    texts.append(" ".join([f"w{i}" for i in range(200)] * 2 + ["x"] * 9))  # more repeated windows than are looked up
     texts += ["".join(rng.choice("ab \n#") for _ in range(rng.randint(0, 300))) for _ in range(60)]
     rows = odd_rows() + [row(100 + i, t) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(with_extra(rows), f"{SCHEMA}, {EXTRA}").repartition(2)
