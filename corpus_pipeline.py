@@ -15,7 +15,7 @@ from cohorta.llm.bytepairs import encode
 from cohorta.llm.common import Scratch, held_out, load, ready
 from cohorta.llm.contamination import remove_contaminated
 from cohorta.llm.language import fit, keep_known_languages
-from cohorta.llm.lines import GROWN, drop_repeated_lines
+from cohorta.llm.lines import EVERY_LINE, drop_repeated_lines
 from cohorta.llm.near_copies import keep_one_of_each
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -28,11 +28,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat an earlier one, up to edits that grow with the length; emptied documents go.
+    """Documents without lines that repeat an earlier one, equal or up to edits that grow with the length.
 
-    `n_chars`, if the documents have it, counts the characters that are left.
+    Lines without a word, under 20 characters, stay; documents that are left empty go. `n_chars`, if the documents have it, counts the characters that are left.
     """
-    kept = drop_repeated_lines(docs, law=GROWN)
+    kept = drop_repeated_lines(docs, law=EVERY_LINE)
     if "n_chars" not in docs.columns:
         return kept
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
