@@ -35,7 +35,7 @@ from cohorta.llm.common import Scratch
 SHORTLIST, MEMBERS, SHAPES, HIDDEN = 2016, 48, 32, 24
 WINDOW, LANES, RATE = 24, 160, 0.012
 UPDATES = 120  # a small share takes fewer lanes, so that it still makes about so many updates
-EVERY, ROUNDS = 8, 2
+EVERY = 8  # shares of the training documents, one a round
 HEAVY = 1 << 19
 FLUSH = 400_000  # distinct words a counting task holds
 CHUNK = 3 << 20  # tokens scored together
@@ -399,7 +399,7 @@ def train(docs: DataFrame, vocab: Vocabulary, id_col: str, text_col: str) -> dic
     """Weights after all rounds of local training and averaging."""
     sc = docs.sparkSession.sparkContext
     weights = first_weights(vocab)
-    for turn in range(ROUNDS):
+    for turn in range(EVERY):
         share = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(EVERY)) == turn)
         shared = sc.broadcast((vocab, weights))
 

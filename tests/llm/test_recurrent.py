@@ -123,3 +123,13 @@ def test_held_out_documents_are_likelier_than_by_unigrams(spark):
     got = lm.score(docs, ~held_out("doc_id", 5)).where(held_out("doc_id", 5))
     sums = got.agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert sums["s"] > 0.985 * sums["b"]
+
+
+def test_every_share_is_learned_from(spark):
+    """Documents of any share change the network, those with a null id too."""
+    vocab = vocab_of(["a b c d e f g a b"] * 20)
+    shares = spark.range(200).select("id", F.pmod(F.xxhash64("id"), F.lit(lm.EVERY)).alias("s"))
+    ids = {r["s"]: r["id"] for r in shares.collect()}
+    for i in (None, *(ids[s] for s in range(2, lm.EVERY, 3))):
+        docs = spark.createDataFrame([(i, "a b c d e f g a b")] * 20, "doc_id bigint, text string").coalesce(1)
+        assert not np.array_equal(lm.train(docs, vocab, "doc_id", "text")["u"], lm.first_weights(vocab)["u"])
