@@ -133,3 +133,8 @@ def test_every_share_is_learned_from(spark):
     for i in (None, *(ids[s] for s in range(2, lm.EVERY, 3))):
         docs = spark.createDataFrame([(i, "a b c d e f g a b")] * 20, "doc_id bigint, text string").coalesce(1)
         assert not np.array_equal(lm.train(docs, vocab, "doc_id", "text")["u"], lm.first_weights(vocab)["u"])
+
+
+def test_size_of_the_model():
+    w = lm.first_weights(vocab_of(["a b c"]))
+    assert w["u"].shape == (32, 96) and w["wc"].shape == (32, 1 + 64 + 1)
