@@ -50,7 +50,11 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         _count_of(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
         _count_of(F.col("t"), UPPER).cast("long").alias("n_upper"),
         (F.length("t") - F.length(F.replace("t", F.lit("!"), F.lit("")))).cast("long").alias("n_shouts"),
-        F.size(F.filter("l", lambda line: line.rlike("[#*$%&|<>]"))).cast("long").alias("n_marked"),
+        # from a word's first symbol to its end is one match: words that hold a symbol, without trying every word
+        F.when(F.col("t").rlike("[#*$%&|<>]"), F.regexp_count("t", F.lit("[#*$%&|<>][^\\x20\\x09-\\x0D]*")))
+        .otherwise(0)
+        .cast("long")
+        .alias("n_marked"),
         F.size("l").cast("long").alias("n_lines"),
         (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
         F.size(F.filter("l", lambda line: line.rlike("[.!?:;,\"'][\\x20\\x09-\\x0D]*$"))).cast("long").alias("n_ended"),
@@ -129,14 +133,14 @@ def votes() -> dict[str, Column]:
     mean, symbols, upper = F.col("word_chars") / words, F.col("n_symbols") / words, F.col("n_upper") / chars
     repeats, twice = F.col("n_repeat_words") / words, F.col("n_dup_lines") / lines
     ended, kinds = F.col("n_ended") / lines, F.col("n_distinct") / words
-    marked, shouts = F.col("n_marked") / lines, F.col("n_shouts") / words
+    marked, shouts = F.col("n_marked") / words, F.col("n_shouts") / words
     never = F.lit(False)
     return {
         "lines_end": _vote(ended, ended >= 0.6, ended < 0.2),
         "many_words": _vote(kinds, kinds >= 0.3, kinds < 0.15),
         "word_length": _vote(mean, mean.between(3, 10), (mean < 2) | (mean > 14)),
         "few_symbols": _vote(symbols, never, symbols > 0.1),
-        "clean_lines": _vote(marked, never, marked > 0.5),
+        "clean_words": _vote(marked, never, marked > 0.1),
         "few_capitals": _vote(upper, never, upper > 0.3),
         "few_shouts": _vote(shouts, never, shouts > 0.1),
         "few_repeats": _vote(repeats, never, repeats > 0.3),

@@ -98,3 +98,15 @@ def test_undefined_measures_abstain(spark):
         *[v.alias(k) for k, v in rules.items()]
     ).collect()
     assert set(r) == {None}
+
+
+def test_words_with_symbols_are_counted(spark):
+    """More than a tenth of the words with a symbol is a bad vote, whatever lines they are in."""
+    texts = ["", "a b", "#a b# c#d#e\n## \x0b#\tf $", "# " * 9, "a#\r\x0c#b 😀#é |", "a\nb\nc\nd\ne\nf\ng #h #i", "#a " + "b " * 9 + "c"]
+    rows = [row(i, t) for i, t in enumerate(texts)]
+    got = measures(spark.createDataFrame(rows, SCHEMA)).select("*", votes()["clean_words"].alias("v")).collect()
+    for r in got:
+        w = SPACE_WORD.findall(texts[r["doc_id"]])
+        marked = sum(any(c in "#*$%&|<>" for c in x) for x in w)
+        assert r["n_marked"] == marked
+        assert r["v"] == (0 if 10 * marked > len(w) else None)
