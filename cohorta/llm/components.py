@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohorta.llm.common import Scratch
@@ -52,8 +52,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def _kept(links: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, dict]:
-    """The links as written, with their number and a hash of them all, observed while they are written."""
-    seen = Observation()
+    """The links as written, with their number and a hash of them all, read from the written table."""
+    kept = scratch.keep(links, name)
     total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    kept = scratch.keep(links.observe(seen, F.count(F.lit(1)).alias("n"), total.alias("h")), name)
-    return kept, {k: seen.get[k] for k in ("n", "h")}
+    return kept, kept.agg(F.count(F.lit(1)).alias("n"), total.alias("h")).first().asDict()
