@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cohorta.contracts import UseCase
 from cohorta.learning.catalog import WITHOUT_PROBABILITY
 from cohorta.learning.folds import temporal_folds
-from cohorta.learning.pipelines import FittedPipeline, fit_pipeline
+from cohorta.learning.pipelines import FittedPipeline, fit_pipeline, without_summary
 from cohorta.operators.metrics import score_counts
 from cohorta.operators.scores import fit_isotonic
 
@@ -43,7 +43,7 @@ def fit_sigmoid(df: DataFrame, target: str, score: str) -> LogisticRegressionMod
     points = VectorAssembler(inputCols=["score"], outputCol="features").transform(
         counts.select("score", F.inline(both))
     )
-    return LogisticRegression(weightCol="weight", regParam=0.0, maxIter=100).fit(points)
+    return without_summary(LogisticRegression(weightCol="weight", regParam=0.0, maxIter=100).fit(points))
 
 
 @dataclass

@@ -6,10 +6,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohorta.contracts import UseCase
@@ -89,6 +89,18 @@ class FittedPipeline:
         return self._with(df, output, "probability")
 
 
+def without_summary(model: Model) -> Model:
+    """The fitted model without its training summary.
+
+    A summary holds the session, which cannot be sent to tasks once it has made an observation.
+    """
+    for stage in model.stages if isinstance(model, PipelineModel) else [model]:
+        java = getattr(stage, "_java_obj", None)
+        if java is not None and getattr(stage, "hasSummary", False):
+            java.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def fit_pipeline(
     use_case: UseCase,
     alias: str,
@@ -108,5 +120,5 @@ def fit_pipeline(
     stages = preprocessing_stages(
         use_case, rows, alias in SCALED, numeric_strategy, text_strategy
     )
-    model = Pipeline(stages=[*stages, classifier]).fit(rows)
+    model = without_summary(Pipeline(stages=[*stages, classifier]).fit(rows))
     return FittedPipeline(model, alias, list(use_case.feature_columns)), config

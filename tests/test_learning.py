@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from cohorta.contracts import CHURN
@@ -174,6 +175,9 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, weights, limit):
 def test_catalogue_pipelines(spark, sides, alias):
     small = {"rf": {"n_estimators": 10, "max_depth": 5}, "dt": {"max_depth": 5}, "hgb": {"max_iter": 3}}.get(alias, {})
     train, test = sides
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3  # a session that has observed must still fit and score
     fitted, config = fit_pipeline(CHURN, alias, small, train)
     scored = fitted.score(test)
     assert scored.columns == [*test.columns, "predicted_probability"]
