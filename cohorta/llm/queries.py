@@ -205,6 +205,38 @@ SELECT doc_id, line_no::INTEGER AS line_no,
 FROM marked WINDOW w AS (PARTITION BY class ORDER BY doc_id, tkey, line_no)
 """
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the embeddings whose id is divisible by 50."""
+    from cohorta.llm.negatives import mine
+
+    rows = load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return mine(rows, F.col("vec_id") % 50 == 0, "vec_id", moved, "embedding")
+
+
+OP11_SQL = r"""
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM r AS a JOIN r AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+),
+p AS (
+  SELECT a, b AS positive, score AS ps FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5
+)
+SELECT a AS anchor_id, positive AS positive_id,
+       row_number() OVER (PARTITION BY a, positive ORDER BY score DESC, b)::INTEGER AS rank,
+       b AS negative_id, ps AS positive_score, score AS negative_score
+FROM p JOIN s USING (a) WHERE NOT same AND 50 * ps <= 100 * score AND 100 * score <= 95 * ps
+QUALIFY rank <= 3
+"""
+
 QUERIES = {
     "op1_lm_scores": op1_lm_scores,
     "op2_decontamination": op2_decontamination,
@@ -216,8 +248,10 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 ORACLES = {
     "op2_decontamination": OP2_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
 }
