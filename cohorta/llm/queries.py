@@ -237,6 +237,35 @@ FROM p JOIN s USING (a) WHERE NOT same AND 50 * ps <= 100 * score AND 100 * scor
 QUALIFY rank <= 3
 """
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from cohorta.llm.html_text import extract
+
+    return extract(load(spark, sf_dir, "pages", "page_id", "url", "html")).drop("html")
+
+
+# The given pages mark their article; in them a block is what stands between tags of blocks.
+OP12_SQL = r"""
+WITH a AS (
+  SELECT page_id, url, row_number() OVER () AS row_no,
+         regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)</article>', 1), '(?s)<!--.*?-->', '', 'g') AS body
+  FROM pages
+),
+block AS (
+  SELECT row_no, unnest(range(1, len(raws) + 1)) AS n, unnest(raws) AS raw
+  FROM (SELECT row_no, string_split_regex(body, '(?i)</?(?:p|h[1-6]|div|ul|li)(?:\s[^>]*)?>') AS raws FROM a)
+),
+line AS (
+  SELECT row_no, n, replace(replace(replace(replace(replace(replace(
+           regexp_replace(regexp_replace(raw, '(?i)<br\s*/?>', ' ', 'g'), '<[^>]*>', '', 'g'),
+           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&copy;', chr(169)), '&amp;', '&') AS t
+  FROM block
+),
+clean AS (SELECT row_no, n, trim(regexp_replace(t, '\s+', ' ', 'g')) AS t FROM line),
+whole AS (SELECT row_no, string_agg(t, chr(10) ORDER BY n) AS text FROM clean WHERE t <> '' GROUP BY row_no)
+SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM a LEFT JOIN whole USING (row_no)
+"""
+
 QUERIES = {
     "op1_lm_scores": op1_lm_scores,
     "op2_decontamination": op2_decontamination,
@@ -249,9 +278,11 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_main_text": op12_main_text,
 }
 ORACLES = {
     "op2_decontamination": OP2_SQL,
     "op10_line_dedup": OP10_SQL,
     "op11_hard_negatives": OP11_SQL,
+    "op12_main_text": OP12_SQL,
 }
