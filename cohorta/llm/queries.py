@@ -266,6 +266,43 @@ whole AS (SELECT row_no, string_agg(t, chr(10) ORDER BY n) AS text FROM clean WH
 SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM a LEFT JOIN whole USING (row_no)
 """
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    from cohorta.llm.ranked_search import search
+
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    return search(docs, load(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+OP13_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row_no,
+         regexp_extract_all({FOLD_SQL.format("coalesce(text, '')")}, '{WORDS_SQL}') AS w
+  FROM documents
+),
+b AS (
+  SELECT item_id, row_number() OVER () AS item_no,
+         regexp_extract_all({FOLD_SQL.format("coalesce(text, '')")}, '{WORDS_SQL}') AS w
+  FROM benchmark
+),
+total AS (SELECT count(*)::BIGINT AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+want AS (SELECT item_no, term, count(*) AS times FROM (SELECT item_no, unnest(w) AS term FROM b) GROUP BY ALL),
+has AS (
+  SELECT row_no, term, count(*)::BIGINT AS tf FROM (SELECT row_no, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM want) GROUP BY ALL
+),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM has, total GROUP BY term, n
+),
+long AS (SELECT row_no, 100 - 25 + (25 * len(w) * n) // l AS m FROM d, total WHERE len(w) > 0),
+scored AS (
+  SELECT item_no, row_no, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM has JOIN weight USING (term) JOIN long USING (row_no) JOIN want USING (term) GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scored JOIN d USING (row_no) JOIN b USING (item_no) WHERE score > 0 QUALIFY rank <= 20
+"""
+
 QUERIES = {
     "op1_lm_scores": op1_lm_scores,
     "op2_decontamination": op2_decontamination,
@@ -279,10 +316,12 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_main_text": op12_main_text,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLES = {
     "op2_decontamination": OP2_SQL,
     "op10_line_dedup": OP10_SQL,
     "op11_hard_negatives": OP11_SQL,
     "op12_main_text": OP12_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
