@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cohorta.llm.common import held_out, load
-from cohorta.llm.language import UNKNOWN, KernelModel, fit, keep_known_languages, predict
+from cohorta.llm import language as L
+from cohorta.llm.language import UNKNOWN, KernelModel, _points, fit, grams, keep_known_languages, predict
 from tests.conftest import SF
 from tests.llm.odd import EXTRA, SCHEMA, odd_rows, row, with_extra
 
@@ -19,8 +21,8 @@ def test_held_out_accuracy(spark):
 def test_kernel_is_presence_over_geometric_mean():
     model = KernelModel(["abc", "xyz", "abd"], ["a", "x", "a"], 5, 1e-3)
     # 1- to 3-grams of abc and abd: a, b, ab in common of six each
-    own = np.unique(__import__("cohorta.llm.language", fromlist=["grams"]).grams(model.alphabet.encode(np.frombuffer("abd".encode("utf-32-le"), np.uint32))))
-    row_ = model._kernel_row(own, np.sqrt(len(own)))
+    own = grams(model.codes[_points("abd")])
+    row_ = model._present(own) @ model.landmarks / np.sqrt(len(own))
     assert np.allclose(sorted(row_), [0, 0.5, 1])
 
 
@@ -57,3 +59,28 @@ def test_lang_and_source_are_no_inputs(spark):
     a = predict(docs, model).select("doc_id", "lang_pred", "score")
     b = predict(swapped, model).select("doc_id", "lang_pred", "score")
     assert a.exceptAll(b).count() == 0
+
+
+def test_every_letter_counts_as_itself():
+    """Scripts with far more letters than an alphabet has are told apart by single letters."""
+    kanji, hangul = [chr(0x4E00 + i) for i in range(400)], [chr(0xAC00 + i) for i in range(400)]
+    texts = ["".join(kanji[i : i + 40]) for i in range(0, 400, 40)] + ["".join(hangul[i : i + 40]) for i in range(0, 400, 40)]
+    model = KernelModel(texts, ["zh"] * 10 + ["ko"] * 10, 10, 1e-3)
+    names, _ = model.predict(pa.array(["".join(kanji[5:300:7]), "".join(hangul[3:350:9])]))
+    assert names == ["zh", "ko"]
+
+
+def test_texts_are_looked_at_some_at_a_time(monkeypatch):
+    texts = ["der die das und " * k for k in range(1, 40)] + [None, ""] + ["the of and to " * k for k in range(40, 1, -1)]
+    model = KernelModel([t for t in texts if t], ["de"] * 39 + ["en"] * 39, 8, 1e-3)
+    whole = model.predict(pa.array(texts))
+    monkeypatch.setattr(L, "AT_ONCE", 64)
+    some = model.predict(pa.array(texts))
+    assert whole[0] == some[0] == ["de"] * 39 + [UNKNOWN] * 2 + ["en"] * 39
+    assert np.allclose(whole[1], some[1], atol=1e-6)
+
+
+def test_only_the_commonest_languages_are_learned(spark):
+    rows = [row(i, f"word{'abcdefgh'[i % 8]} of number {i}", "abcdefgh"[i % 8] if i < 40 else "a") for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert fit(docs, languages=3).langs == ["a", "b", "c"]
