@@ -44,7 +44,7 @@ WITH cut AS (
   JOIN token l ON l.hex = substr(t.hex, 1, 2 * k) JOIN token r ON r.hex = substr(t.hex, 2 * k + 1)
 )
 -- a token that is part of one with a smaller rank: contracting it can bring that rank up
-SELECT cut.*, l::BIGINT * 65536 + r AS both_parts, merged IN (SELECT l FROM cut AS c WHERE c.merged < c.l UNION SELECT r FROM cut AS c WHERE c.merged < c.r)
+SELECT cut.*, l::BIGINT * 4294967296 + r AS both_parts, merged IN (SELECT l FROM cut AS c WHERE c.merged < c.l UNION SELECT r FROM cut AS c WHERE c.merged < c.r)
          AS last_first
 FROM cut
 """
@@ -57,7 +57,7 @@ WITH RECURSIVE state(round, word, pos, next_pos, tok, next_tok) AS (
   (
     WITH best AS (
       SELECT word, min(merged::BIGINT * 65536 + pos) AS code, arg_min(next_pos, merged::BIGINT * 65536 + pos) AS right_pos
-      FROM state JOIN merge ON both_parts = tok::BIGINT * 65536 + next_tok GROUP BY word
+      FROM state JOIN merge ON both_parts = tok::BIGINT * 4294967296 + next_tok GROUP BY word
     )
     SELECT round + 1, word, pos,
            CASE WHEN next_pos = code % 65536 THEN right_pos ELSE next_pos END,

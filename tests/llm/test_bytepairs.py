@@ -62,3 +62,26 @@ def test_documents(spark, reference):
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
     assert encode(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_ranks_past_two_bytes(tmp_path):
+    """Large vocabularies: no pair of parts is taken for another."""
+    rng = random.Random(9)
+    ranks = {bytes([b]): b for b in range(256)}
+    ranks |= {b"xy": 65_635, b"axy": 65_636, b"c" + b"\xff": 65_791}
+    rank = 70_000
+    made = [bytes([b]) for b in b"abcdexy"]
+    while rank < 200_000 + 60:
+        token = rng.choice(made) + rng.choice(made)
+        if token not in ranks and len(token) < 9:
+            ranks[token] = rank
+            made.append(token)
+            rank += rng.choice((1, 2, 5, 4000))
+    path = tmp_path / "large.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in ranks.items()))
+    library = tiktoken.Encoding("large", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+    encoder = Encoder(str(path), r"\S+|\s+")
+    texts = ["bc", "axy xy", "bÿ"] + ["".join(rng.choice("abcdexy") for _ in range(rng.randint(1, 90))) for _ in range(200)]
+    for text, found in zip(texts, encoder.encode(texts), strict=True):
+        assert [i for w in found for i in w[0]] == library.encode_ordinary(text)
+        assert b"".join(w[2] for w in found) == text.encode()
