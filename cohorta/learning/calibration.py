@@ -10,7 +10,6 @@ from typing import Any
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +17,7 @@ from cohorta.contracts import UseCase
 from cohorta.learning.catalog import WITHOUT_PROBABILITY
 from cohorta.learning.folds import temporal_folds
 from cohorta.learning.pipelines import FittedPipeline, fit_pipeline, without_summary
+from cohorta.operators.isotonic import IsotonicMap
 from cohorta.operators.metrics import score_counts
 from cohorta.operators.scores import fit_isotonic
 
@@ -56,8 +56,8 @@ class CalibratedMember:
     def score(self, df: DataFrame, output: str) -> DataFrame:
         columns = df.columns
         rows = self.pipeline.margin(df, "score")
-        if isinstance(self.calibrator, IsotonicRegressionModel):
-            mapped = self.calibrator.transform(rows).withColumnRenamed("calibrated", output)
+        if isinstance(self.calibrator, IsotonicMap):
+            mapped = self.calibrator.transform(rows, output)
         else:
             # the fitted logistic curve as an expression; keeps the caller's column names free
             intercept, slope = self.calibrator.intercept, float(self.calibrator.coefficients[0])
@@ -121,8 +121,9 @@ def save_model(model: FittedPipeline | CalibratedEnsemble, path: str, spark: Spa
         pipeline.model.write().overwrite().save(f"{path}/{i}/pipeline")
         kind = "none"
         if isinstance(member, CalibratedMember):
-            kind = "isotonic" if isinstance(member.calibrator, IsotonicRegressionModel) else "sigmoid"
-            member.calibrator.write().overwrite().save(f"{path}/{i}/calibrator")
+            kind = "isotonic" if isinstance(member.calibrator, IsotonicMap) else "sigmoid"
+            writer = member.calibrator if kind == "isotonic" else member.calibrator.write().overwrite()
+            writer.save(f"{path}/{i}/calibrator")
         kinds.append(kind)
     first = members[0].pipeline if isinstance(members[0], CalibratedMember) else members[0]
     about = {"kinds": kinds, "alias": first.alias, "features": first.feature_columns}
@@ -140,6 +141,7 @@ def load_model(path: str, spark: SparkSession) -> FittedPipeline | CalibratedEns
         )
         if kind == "none":
             return pipeline
-        reader = IsotonicRegressionModel if kind == "isotonic" else LogisticRegressionModel
-        members.append(CalibratedMember(pipeline, reader.load(f"{path}/{i}/calibrator")))
+        place = f"{path}/{i}/calibrator"
+        calibrator = IsotonicMap.load(place, spark) if kind == "isotonic" else LogisticRegressionModel.load(place)
+        members.append(CalibratedMember(pipeline, calibrator))
     return CalibratedEnsemble(members)

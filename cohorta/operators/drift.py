@@ -15,11 +15,13 @@ from pyspark.sql import types as T
 
 from cohorta.functions.scalars import numeric_columns, ratio, string_columns, to_long
 from cohorta.operators.cohorts import PERIOD, PREDICTED, PROBABILITY, VERSION, report_keys
+from cohorta.operators.isotonic import IsotonicMap
 from cohorta.operators.joins import join_on_keys
 from cohorta.operators.metrics import ranked, roc_auc_value
 from cohorta.operators.prefix import quantile_cuts
 from cohorta.operators.profile import most_frequent
 from cohorta.operators.ranks import grouped_percentiles
+from cohorta.operators.scores import apply_calibrators
 from cohorta.session import materialize
 
 # Default limits of the drift methods.
@@ -228,18 +230,30 @@ def alert_counts(alerts: DataFrame, time_column: str, calculator: str) -> DataFr
 
 
 def estimated_performance(
-    df: DataFrame, time_column: str, cuts: Sequence[float] | None = None, prefix: str = "cbpe"
+    df: DataFrame,
+    time_column: str,
+    cuts: Sequence[float] | None = None,
+    prefix: str = "cbpe",
+    calibrators: IsotonicMap | None = None,
 ) -> DataFrame:
     """Precision, recall and ROC AUC expected from the scores alone, per report key.
 
     A score p stands for p positives and 1 - p negatives, so the realised formulas apply with
-    fractional counts.
+    fractional counts. Rows collapse to distinct scores before ``calibrators`` map them.
     """
     keys = report_keys(time_column)
     p, hit = F.col("score"), F.col(PREDICTED) == 1
     cells = df.groupBy(*keys, F.col(PROBABILITY).alias("score")).agg(
         F.count_if(hit).alias("hits"), F.count_if(~hit).alias("misses")
     )
+    if calibrators is not None:
+        cells = materialize(
+            apply_calibrators(cells, calibrators, "score")
+            .groupBy(*keys, "score")
+            .agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses")),
+            "calibrated-cells",
+        )
+        cuts = quantile_cuts(cells, "score")
     n = F.col("hits") + F.col("misses")
     soft = cells.withColumns(
         {"pos": n * p, "neg": n * (1 - p), "tp": F.col("hits") * p, "fp": F.col("hits") * (1 - p)}

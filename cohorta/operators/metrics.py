@@ -208,10 +208,10 @@ def _brier_sum() -> Column:
     return ratio(F.sum(miss_pos + miss_neg), F.sum(F.col("pos") + F.col("neg")))
 
 
-def calibration_error_value(bins: int) -> Column:
+def calibration_error_value(bins: int, score: str = "score") -> Column:
     """Same value as ``calibration_error`` as one aggregate over score counts."""
-    of = calibration_bin(F.col("score"), bins)
-    surplus = F.col("score") * (F.col("pos") + F.col("neg")) - F.col("pos")
+    of = calibration_bin(F.col(score), bins)
+    surplus = F.col(score) * (F.col("pos") + F.col("neg")) - F.col("pos")
     gaps = [F.abs(F.sum(F.when(of == b, surplus).otherwise(0.0))) for b in range(1, bins + 1)]
     total = gaps[0]
     for gap in gaps[1:]:

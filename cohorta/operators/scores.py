@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohorta.functions.scalars import ratio
 from cohorta.operators.cohorts import PROBABILITY, VERSION
+from cohorta.operators.isotonic import IsotonicMap, fit_isotonic_map
 from cohorta.operators.metrics import calibration_error_value, score_counts
 from cohorta.session import materialize
 
@@ -17,73 +14,45 @@ from cohorta.session import materialize
 PARTS, BINS = 3, 10
 
 
-def fit_isotonic_counts(counts: DataFrame, output: str = "calibrated"):
-    """Monotone map from score to observed rate, from (score, pos, neg) rows.
-
-    Spark pools violators per partition; what is merged at the end are blocks of strictly rising
-    rates. Rates of 0/1 labels are fractions, so n rows form far fewer than n blocks (of order
-    n to the two thirds at the very most).
-    """
-    total = F.col("pos") + F.col("neg")
-    points = (
-        counts.groupBy("score")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .select("score", ratio(F.col("pos"), total).alias("rate"), total.cast("double").alias("weight"))
-    )
-    return IsotonicRegression(
-        featuresCol="score", labelCol="rate", weightCol="weight", predictionCol=output
-    ).fit(points)
+def fit_isotonic(df: DataFrame, target: str, score: str) -> IsotonicMap:
+    """Isotonic map of labelled rows; rows collapse to distinct scores first."""
+    return fit_isotonic_map(score_counts(df, target, score))
 
 
-def fit_isotonic(df: DataFrame, target: str, score: str, output: str = "calibrated"):
-    """Isotonic map of labelled rows; rows collapse to distinct scores first."""
-    return fit_isotonic_counts(score_counts(df, target, score), output)
+def held_out_part(time: str) -> Column:
+    """Part of a row, from a hash of its time and score; it does not depend on partitioning."""
+    row = F.concat_ws("|", F.unix_micros(F.col(time).cast("timestamp")), F.floor(F.col(PROBABILITY) * 1_000_000_000))
+    return F.pmod(F.conv(F.substring(F.md5(row.cast("binary")), 1, 8), 16, 10).cast("bigint"), F.lit(PARTS)).cast("int")
 
 
-def calibration_helps(counts: DataFrame) -> bool:
-    """Whether isotonic maps lower the calibration error on parts they were not fitted on.
+def calibration_gains(counts: DataFrame) -> DataFrame:
+    """Calibration error of each version before and after maps, on the parts these were not fitted on.
 
-    ``counts`` holds (part, score, pos, neg).
-    """
-    held_out = []
-    for part in range(PARTS):
-        inside = F.col("part") == part
-        rest = counts.where(~inside)
-        if rest.isEmpty():
-            continue
-        mapped = fit_isotonic_counts(rest).transform(counts.where(inside))
-        held_out.append(mapped.select("score", "calibrated", "pos", "neg"))
-    whole = reduce(lambda a, b: a.unionByName(b), held_out)
-    after = whole.select(F.col("calibrated").alias("score"), "pos", "neg")
-    before_error = whole.agg(calibration_error_value(BINS)).first()[0]
-    after_error = after.agg(calibration_error_value(BINS)).first()[0]
-    return before_error is not None and after_error is not None and after_error < before_error
-
-
-def fit_calibrators(reference: DataFrame, target: str, versions: list[int], mode: str) -> dict:
-    """Isotonic map per model version; versions that need none are left out.
-
-    ``mode`` is ``always`` or ``auto``. Reference rows collapse once to (version, part, score)
-    counts; every fit and check starts from those. The part of a row comes from a hash of the
-    row, so it does not depend on partitioning.
+    ``counts`` holds (version, part, score, pos, neg). One map is fitted for each version and part, on the other parts.
     """
-    parted = reference.withColumn(
-        "part", F.pmod(F.xxhash64(*reference.columns), F.lit(PARTS)).cast("int")
+    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: p != F.col("part")))
+    maps = fit_isotonic_map(counts.withColumn("held", others).drop("part"), [VERSION, "held"])
+    mapped = maps.transform(counts.withColumn("held", F.col("part"))).where("calibrated IS NOT NULL")
+    return mapped.groupBy(VERSION).agg(
+        calibration_error_value(BINS).alias("before"), calibration_error_value(BINS, "calibrated").alias("after")
     )
+
+
+def fit_calibrators(reference: DataFrame, target: str, time: str, mode: str) -> IsotonicMap:
+    """Isotonic map of every model version; versions that need none are left out of it.
+
+    ``mode`` is ``always`` or ``auto``. Reference rows collapse once to (version, part, score) counts;
+    every fit and check starts from those, all versions at once.
+    """
+    parted = reference.withColumn("part", held_out_part(time))
     counts = materialize(score_counts(parted, target, PROBABILITY, [VERSION, "part"]), "score-counts")
-    models = {}
-    for version in versions:
-        own = counts.where(F.col(VERSION) == version)
-        if mode == "always" or calibration_helps(own):
-            models[version] = fit_isotonic_counts(own, f"_calibrated_{version}")
-    return models
-
-
-def apply_calibrators(cohorts: DataFrame, models: dict) -> DataFrame:
-    """Scores mapped by the calibrator of their version, all in one pass over the rows."""
-    rows = cohorts.withColumn("score", F.col(PROBABILITY))
-    chosen = F.col(PROBABILITY)
-    for version, model in models.items():
-        rows = model.transform(rows)
-        chosen = F.when(F.col(VERSION) == version, F.col(f"_calibrated_{version}")).otherwise(chosen)
-    return rows.withColumn(PROBABILITY, chosen).select(*cohorts.columns)
+    if mode != "always":
+        helped = calibration_gains(counts).where("after < before").select(VERSION)
+        counts = counts.join(helped, VERSION, "left_semi")
+    return fit_isotonic_map(counts, [VERSION])
+
+
+def apply_calibrators(rows: DataFrame, maps: IsotonicMap, score: str = PROBABILITY) -> DataFrame:
+    """Scores mapped by the map of their version; those of other versions stay."""
+    mapped = maps.transform(rows, "_calibrated", score)
+    return mapped.withColumn(score, F.coalesce("_calibrated", score)).select(*rows.columns)

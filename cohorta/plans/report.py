@@ -30,7 +30,7 @@ from cohorta.operators.drift import (
 )
 from cohorta.operators.joins import full_outer_all, join_on_keys
 from cohorta.operators.prefix import quantile_cuts
-from cohorta.operators.scores import apply_calibrators, fit_calibrators
+from cohorta.operators.scores import fit_calibrators
 
 DECIMALS = 4
 
@@ -40,7 +40,6 @@ def drift_tables(
     analysis: DataFrame,
     errors: DataFrame | None,
     use_case: UseCase,
-    versions: list[int],
     cuts: list[float],
     reconstruction: bool = True,
     calibrate: str = "auto",
@@ -52,12 +51,8 @@ def drift_tables(
     if use_case.target_column in reference.columns:
         columns = [*keys, PROBABILITY, PREDICTED]
         scored = reference.select(*columns).unionByName(analysis.select(*columns))
-        if calibrate != "never":
-            models = fit_calibrators(reference, use_case.target_column, versions, calibrate)
-            if models:
-                scored = apply_calibrators(scored, models)
-                cuts = quantile_cuts(scored, PROBABILITY)
-        tables.append(estimated_performance(scored, time, cuts))
+        maps = fit_calibrators(reference, use_case.target_column, time, calibrate) if calibrate != "never" else None
+        tables.append(estimated_performance(scored, time, cuts, calibrators=maps))
     keep = [*keys, *features]
     base = reference.select(*keep)
     cohorts = base.unionByName(drift_population(analysis, errors, keep))
@@ -146,7 +141,7 @@ def build_report(
             typed = {rule.name: rule.typed() for rule in use_case.feature_rules}
             known_errors = quarantine_errors(failed.only(versions).rows, use_case)[0].withColumns(typed)
         alerts = drift_tables(
-            before.rows, after.rows, known_errors, use_case, versions, cuts, reconstruction, calibrate
+            before.rows, after.rows, known_errors, use_case, cuts, reconstruction, calibrate
         )
         report = join_on_keys(report, alerts, keys, "left")
     if source_analysis == "api":

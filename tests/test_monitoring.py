@@ -67,12 +67,14 @@ def test_calibration_only_where_it_helps(spark):
     for version in (1, 2):
         for i in range(3000):
             p = rng.randrange(1, 20) / 20
-            rows.append((version, p, int(rng.random() < (p if version == 1 else p / 4)), i))
-    df = spark.createDataFrame(rows, "model_version int, predicted_probability double, y int, i int")
-    models = S.fit_calibrators(df, "y", [1, 2], "auto")
-    assert 2 in models
-    assert set(S.fit_calibrators(df, "y", [1, 2], "always")) == {1, 2}
-    mapped = S.apply_calibrators(df, models).where("model_version = 2")
+            day = dt.datetime(2026, 1, 1 + i % 28)
+            rows.append((version, p, int(rng.random() < (p if version == 1 else p / 4)), day))
+    df = spark.createDataFrame(rows, "model_version int, predicted_probability double, y int, reference_date timestamp_ntz")
+    maps = S.fit_calibrators(df, "y", "reference_date", "auto")
+    assert 2 in {r[0] for r in maps.lines.select("model_version").distinct().collect()}
+    always = S.fit_calibrators(df, "y", "reference_date", "always")
+    assert {r[0] for r in always.lines.select("model_version").distinct().collect()} == {1, 2}
+    mapped = S.apply_calibrators(df, maps).where("model_version = 2")
     assert mapped.count() == 3000
     mean, rate = mapped.agg(F.avg("predicted_probability"), F.avg("y")).first()
     assert mean == pytest.approx(rate)
