@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 from typing import Any
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     RandomForestClassifier,
 )
 
+from cohorta.learning.boosting import HistogramBoosting
 from cohorta.learning.classifiers import (
     BoostedStumps,
     GaussianBayes,
@@ -72,6 +71,7 @@ CATALOG: dict[str, dict[str, Any]] = {
             "max_iter": _int(50, 500),
             "learning_rate": _float(0.01, 0.3, log=True),
             "max_leaf_nodes": _int(16, 64),
+            "l2_regularization": _float(1e-8, 10.0, log=True),
         },
     },
     "knn": {
@@ -89,10 +89,6 @@ MARGIN_BASED = ("lr", "lsvc", "hgb", "ada", "lda", "qda")
 WITHOUT_PROBABILITY = ("lsvc",)
 
 
-#: parameters of other libraries' learners that Spark's have no counterpart for
-NOT_HONOURED = {"hgb": ("l2_regularization",)}
-
-
 def _depth(value) -> int:
     """No depth means the deepest tree there is; a deeper one cannot be had."""
     if value is not None and int(value) > DEEPEST:
@@ -131,13 +127,7 @@ def _estimator(alias: str, p: Mapping[str, Any], label: str, rows: int) -> Estim
             maxBins=p.get("max_bins", 255),
         )
     if alias == "hgb":
-        # Leaves are bounded through the depth; Spark's learner has no leaf penalty.
-        leaves = p.get("max_leaf_nodes", 31)
-        return GBTClassifier(
-            **columns, seed=seed, maxIter=p.get("max_iter", 100), stepSize=p.get("learning_rate", 0.1),
-            maxDepth=max(1, math.ceil(math.log2(leaves))), maxBins=p.get("max_bins", 255),
-            minInstancesPerNode=p.get("min_samples_leaf", 20),
-        )
+        return HistogramBoosting(labelCol=label, **{k: v for k, v in p.items() if k != "random_state"})
     if alias == "ada":
         return BoostedStumps(
             labelCol=label, n_estimators=p["n_estimators"], learning_rate=p.get("learning_rate", 1.0),
@@ -160,9 +150,6 @@ def create_classifier(
     """
     if alias not in CATALOG:
         raise ValueError(f"No classifier {alias!r}; known aliases: {', '.join(CATALOG)}.")
-    refused = sorted(set(NOT_HONOURED.get(alias, ())) & set(params or {}))
-    if refused:
-        raise ValueError(f"Classifier {alias!r} cannot honour {', '.join(refused)}.")
     merged = {**CATALOG[alias]["defaults"], **(params or {})}
     estimator = _estimator(alias, merged, label, rows)
     return estimator, {"model_alias": alias, "model_name": type(estimator).__name__, **merged}
