@@ -31,8 +31,8 @@ from cohorta.llm.common import schema_with, without
 
 SHORT_BYTES = 48
 ROUNDS = 24
-BYTES_AT_ONCE = 1 << 19  # of words in one query
-STORE = 200_000  # words a worker remembers
+BYTES_AT_ONCE = 1 << 17  # of words in one query
+STORE = 100_000  # words a worker remembers
 RESULT = "ids array<int>, decoded binary"
 DIGEST = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -120,18 +120,32 @@ class Encoder:
         self.split = regex.compile(pattern)
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
-        table = pa.table({"hex": [t.hex() for t in ranks], "rank": pa.array(list(ranks.values()), pa.int32())})
-        self.db.register("given", table)
-        self.db.execute("CREATE TABLE token AS SELECT * FROM given")
-        self.db.unregister("given")
+        token = pa.table({"hex": [t.hex() for t in ranks], "rank": pa.array(list(ranks.values()), pa.int32())})
+        self.db = None
+        self.tables = {"token": token}
+        self._open()
         self.db.execute(MERGES)
+        self.tables["merge"] = self.db.sql("SELECT * FROM merge").to_arrow_table()
         self.single = np.full(256, -1, np.int32)
         for token, rank in ranks.items():
             if len(token) == 1:
                 self.single[token[0]] = rank
         self.store: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
 
+    def _open(self) -> None:
+        if self.db is None:
+            self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
+            for name, table in self.tables.items():
+                self.db.register("given", table)
+                self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+                self.db.unregister("given")
+
+    def rest(self) -> None:
+        """Give the database's memory back until it is asked again; the words it has met are kept."""
+        if self.db is not None:
+            self.db.close()
+            self.db = None
+
     def _rows(self, words: list[bytes]) -> dict[str, np.ndarray]:
         sizes = np.array([len(w) for w in words])
         last = np.cumsum(sizes) - 1
@@ -146,6 +160,7 @@ class Encoder:
         }
 
     def _ask(self, query: str, name: str, table: pa.Table, **parameters) -> pa.Table:
+        self._open()
         self.db.register(name, table)
         answer = self.db.sql(query, params=parameters).to_arrow_table() if parameters else self.db.sql(query).to_arrow_table()
         self.db.unregister(name)
@@ -227,6 +242,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
                 ids = pa.array([[i for p in words for i in p[0]] for words in parts], pa.list_(pa.int32()))
                 decoded = pa.array([b"".join(p[2] for p in words) for words in parts], pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids, decoded], [*batch.schema.names, "ids", "decoded"])
+        encoder.rest()
 
     return docs.mapInArrow(run, schema_with(docs, RESULT))
 
@@ -249,5 +265,6 @@ def encode_digests(docs: DataFrame, ranks_path: str, pattern: str, text_col: str
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, *more], [*batch.schema.names, "n_tokens", "ids_sha256", "decoded_sha256"]
                 )
+        encoder.rest()
 
     return docs.mapInArrow(run, schema_with(docs, DIGEST))
