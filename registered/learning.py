@@ -100,7 +100,12 @@ def train_rf_score(spark, sf_dir):
 
 
 def train_hgb_score(spark, sf_dir):
-    return _train(spark, sf_dir, "hgb", max_iter=5)
+    return _train(spark, sf_dir, "hgb")
+
+
+def train_hgb_stumps(spark, sf_dir):
+    """Two trees of two leaves with a leaf penalty; a bin for every value, so SQL can try all cuts."""
+    return _train(spark, sf_dir, "hgb", max_iter=2, max_leaf_nodes=2, l2_regularization=1.5, learning_rate=0.4, max_bins=60_000)
 
 
 def train_lda_score(spark, sf_dir):
@@ -160,6 +165,7 @@ QUERIES = {
     "train_nb_score": train_nb_score,
     "train_rf_score": train_rf_score,
     "train_hgb_score": train_hgb_score,
+    "train_hgb_stumps": train_hgb_stumps,
     "train_lda_score": train_lda_score,
     "train_qda_score": train_qda_score,
     "train_ada_score": train_ada_score,
@@ -210,7 +216,35 @@ pairs AS (
   FROM z q JOIN z t ON q.feature = t.feature WHERE NOT q.train AND t.train GROUP BY q.customerid, t.customerid),
 near AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY customerid ORDER BY gap) <= 7)"""
 
+
+
+def _stump(number: int) -> str:
+    """CTEs of one boosted tree of two leaves: all cuts of all features, the best one, raw scores after it."""
+    before = f"raw{number - 1}"
+    return f"""
+slopes{number} AS (SELECT customerid, train, raw, 1 / (1 + exp(-raw)) - churn AS g, (1 / (1 + exp(-raw))) * (1 - 1 / (1 + exp(-raw))) AS h FROM {before}),
+whole{number} AS (SELECT sum(g) AS g, sum(h) AS h, count(*) AS n FROM slopes{number} WHERE train),
+cells{number} AS (
+  SELECT feature, v, sum(g) AS g, sum(h) AS h, count(*) AS n FROM long JOIN slopes{number} USING (customerid) WHERE slopes{number}.train GROUP BY feature, v),
+cuts{number} AS (
+  SELECT feature, (v + lead(v) OVER o) / 2 AS cut, sum(g) OVER o AS gl, sum(h) OVER o AS hl, sum(n) OVER o AS nl FROM cells{number}
+  WINDOW o AS (PARTITION BY feature ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+best{number} AS (
+  SELECT feature, cut, -0.4::DOUBLE * gl / (hl + 1.5::DOUBLE) AS low, -0.4::DOUBLE * (w.g - gl) / (w.h - hl + 1.5::DOUBLE) AS high
+  FROM cuts{number}, whole{number} w WHERE cut IS NOT NULL AND nl >= 20 AND w.n - nl >= 20
+  ORDER BY round(gl * gl / (hl + 1.5::DOUBLE) + (w.g - gl) * (w.g - gl) / (w.h - hl + 1.5::DOUBLE), 9) DESC, substr(feature, 2)::INTEGER, cut LIMIT 1),
+raw{number} AS (
+  SELECT l.customerid, l.train, any_value(l.churn) AS churn, any_value(p.raw) + any_value(CASE WHEN l.v <= b.cut THEN b.low ELSE b.high END) AS raw
+  FROM long l JOIN best{number} b ON b.feature = l.feature JOIN {before} p ON p.customerid = l.customerid GROUP BY l.customerid, l.train)"""
+
+
 ORACLES = {
+    "train_hgb_stumps": with_views(
+        CUSTOMERS, _BAYES.split("widest AS", 1)[0].rstrip().rstrip(","),
+        "raw0 AS (SELECT customerid, churn, train, (SELECT ln(sum(churn)::DOUBLE / (count(*) - sum(churn))) FROM built WHERE train) AS raw FROM built)",
+        _stump(1), _stump(2),
+        query="SELECT customerid, churn, round(round(1 / (1 + exp(-raw)), 10), 6) AS predicted_probability FROM raw2 WHERE NOT train",
+    ),
     "train_knn_score": with_views(
         CUSTOMERS, _BAYES.split("widest AS", 1)[0].rstrip().rstrip(","), _NEAREST,
         query="""

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from cohorta.operators import cohorts as C
 from cohorta.operators import drift as D
+from cohorta.operators import isotonic
+from cohorta.operators import scores as S
 from cohorta.plans import views as V
 from cohorta.plans.report import build_report
 from registered.derived import API, COHORTS, SCORED, with_views
@@ -139,6 +141,33 @@ def cbpe_estimates(spark, sf_dir):
     return rounded(found, "cbpe_precision", "cbpe_recall", "cbpe_roc_auc")
 
 
+def _labelled_counts(spark, sf_dir):
+    """Reference cohort as (version, held-out part, score) counts."""
+    reference, _ = _prepared(spark, sf_dir)
+    return S.score_counts(reference.withColumn("part", S.held_out_part(TIME)), "returned", C.PROBABILITY, [C.VERSION, "part"])
+
+
+def isotonic_blocks(spark, sf_dir):
+    """Blocks of the isotonic map of each version's scores; eight slices whatever the session."""
+    counts = _labelled_counts(spark, sf_dir)
+    blocks = isotonic.isotonic_blocks(counts, [C.VERSION], [i / 8 for i in range(1, 8)])
+    rate = F.round(F.round(F.col("hits") / F.col("weight"), 10), 6)
+    return blocks.select(C.VERSION, "low", "high", rate.alias("rate"), F.col("weight").cast("long").alias("rows"))
+
+
+def calibration_gains(spark, sf_dir):
+    """Calibration error of each version before and after maps, on the parts these were not fitted on."""
+    return rounded(S.calibration_gains(_labelled_counts(spark, sf_dir)), "before", "after")
+
+
+def calibrated_estimates(spark, sf_dir):
+    """Estimated performance from scores calibrated where that helps."""
+    reference, analysis = _prepared(spark, sf_dir)
+    maps = S.fit_calibrators(reference, "returned", TIME, "auto")
+    found = D.estimated_performance(reference.unionByName(analysis), TIME, calibrators=maps)
+    return rounded(found, "cbpe_precision", "cbpe_recall", "cbpe_roc_auc")
+
+
 def reconstruction_drift(spark, sf_dir):
     reference, analysis = _prepared(spark, sf_dir, require_features=True)
     model = D.ReconstructionDrift(V.RETURNS.feature_columns, TIME).fit(reference)
@@ -182,6 +211,9 @@ QUERIES = {
     "js_bins": js_bins,
     "drift_alert_counts": drift_alert_counts,
     "cbpe_estimates": cbpe_estimates,
+    "isotonic_blocks": isotonic_blocks,
+    "calibration_gains": calibration_gains,
+    "calibrated_estimates": calibrated_estimates,
     "reconstruction_drift": reconstruction_drift,
     "monitoring_report": monitoring_report,
     "monitoring_report_with_reconstruction": monitoring_report_with_reconstruction,
@@ -226,6 +258,59 @@ cbpe AS (
   FROM soft GROUP BY ALL
 )"""
 
+# Isotonic fit by its max-min formula: the largest over starts of the smallest mean over ends. `held` is the part left out, -1 for none.
+_FITS = """
+parted AS (
+  SELECT model_version, predicted_probability AS s, returned AS y,
+         ('0x' || substr(md5(concat_ws('|', epoch_us(reference_date), floor(predicted_probability * 1000000000)::BIGINT)), 1, 8))::BIGINT % 3 AS part
+  FROM cohorts WHERE period = 'reference' AND returned IS NOT NULL
+),
+tried AS (
+  SELECT model_version, held, s, sum(y)::DOUBLE AS hits, count(*)::DOUBLE AS w
+  FROM parted, (SELECT unnest([-1, 0, 1, 2]) AS held) WHERE part <> held GROUP BY ALL
+),
+cumulative AS (
+  SELECT *, sum(hits) OVER o AS h, sum(w) OVER o AS c, row_number() OVER o AS i FROM tried
+  WINDOW o AS (PARTITION BY model_version, held ORDER BY s)
+),
+means AS (
+  SELECT a.model_version, a.held, a.i AS a, b.i AS b, (b.h - a.h + a.hits) / (b.c - a.c + a.w) AS mean
+  FROM cumulative a JOIN cumulative b ON a.model_version = b.model_version AND a.held = b.held AND b.i >= a.i
+),
+least AS (
+  SELECT model_version, held, a, b, min(mean) OVER (PARTITION BY model_version, held, a ORDER BY b DESC) AS m FROM means
+),
+fitted AS (
+  SELECT c.*, f.fit FROM cumulative c
+  JOIN (SELECT model_version, held, b AS i, max(m) AS fit FROM least GROUP BY ALL) f USING (model_version, held, i)
+)"""
+
+# A score between two fitted ones lies on the line between them; beyond the outer ones the map is flat.
+_GAINS = """
+asked AS (SELECT model_version, part AS held, s, sum(y)::DOUBLE AS hits, count(*)::DOUBLE AS w FROM parted GROUP BY ALL),
+below AS (SELECT a.*, f.s AS s0, f.fit AS f0 FROM asked a ASOF LEFT JOIN fitted f ON a.model_version = f.model_version AND a.held = f.held AND a.s >= f.s),
+both_ AS (SELECT a.*, f.s AS s1, f.fit AS f1 FROM below a ASOF LEFT JOIN fitted f ON a.model_version = f.model_version AND a.held = f.held AND a.s <= f.s),
+mapped AS (
+  SELECT *, CASE WHEN f0 IS NULL THEN f1 WHEN f1 IS NULL OR s0 = s1 OR f0 = f1 THEN f0 ELSE f0 + (f1 - f0) * (s - s0) / (s1 - s0) END AS t FROM both_
+),
+errors AS (
+  SELECT model_version, 'before' AS kind, greatest(ceil(s * 10), 1) AS bin, sum(s * w - hits) AS gap, sum(w) AS w FROM mapped GROUP BY ALL
+  UNION ALL SELECT model_version, 'after', greatest(ceil(t * 10), 1), sum(t * w - hits), sum(w) FROM mapped GROUP BY ALL
+),
+gains AS (
+  SELECT model_version, sum(abs(gap)) FILTER (kind = 'before') / sum(w) FILTER (kind = 'before') AS before,
+         sum(abs(gap)) FILTER (kind = 'after') / sum(w) FILTER (kind = 'after') AS after
+  FROM errors GROUP BY model_version
+),
+wanted AS (SELECT f.model_version, f.s, f.fit FROM fitted f JOIN gains USING (model_version) WHERE held = -1 AND after < before),
+rows0 AS (SELECT c.*, f.s AS s0, f.fit AS f0 FROM cohorts c ASOF LEFT JOIN wanted f ON c.model_version = f.model_version AND c.predicted_probability >= f.s),
+rows1 AS (SELECT c.*, f.s AS s1, f.fit AS f1 FROM rows0 c ASOF LEFT JOIN wanted f ON c.model_version = f.model_version AND c.predicted_probability <= f.s),
+calibrated AS (
+  SELECT * REPLACE (CASE WHEN f0 IS NULL AND f1 IS NULL THEN predicted_probability WHEN f0 IS NULL THEN f1 WHEN f1 IS NULL OR s0 = s1 OR f0 = f1 THEN f0
+                    ELSE f0 + (f1 - f0) * (predicted_probability - s0) / (s1 - s0) END AS predicted_probability)
+  FROM rows1
+)"""
+
 _LONG = """
 long AS (
   SELECT period, model_version, reference_date, feature, value FROM (
@@ -435,6 +520,17 @@ FULL JOIN (SELECT reference_date, count(*) FILTER (distance > 0.1) AS univariate
         COHORTS, _CBPE,
         query=f"SELECT period, model_version, reference_date, {_six('cbpe_precision', 'cbpe_recall', 'cbpe_roc_auc')} FROM cbpe",
     ),
+    "isotonic_blocks": with_views(
+        COHORTS, _FITS,
+        query="""
+SELECT model_version, min(s) AS low, max(s) AS high, round(round(any_value(fit), 10), 6) AS rate, sum(w)::BIGINT AS rows
+FROM fitted WHERE held = -1 GROUP BY model_version, round(fit, 12)""",
+    ),
+    "calibration_gains": with_views(COHORTS, _FITS, _GAINS, query=f"SELECT model_version, {_six('before', 'after')} FROM gains"),
+    "calibrated_estimates": with_views(
+        COHORTS, _FITS, _GAINS, _CBPE.replace("FROM cohorts)", "FROM calibrated)"),
+        query=f"SELECT period, model_version, reference_date, {_six('cbpe_precision', 'cbpe_recall', 'cbpe_roc_auc')} FROM cbpe",
+    ),
     "monitoring_report": with_views(
         COHORTS, _BASE, _REALIZED, _CBPE, _LONG, _BIN_ALL, _JS,
         query=f"""
