@@ -25,6 +25,7 @@ from cohorta.learning.classifiers import BinaryEstimator, MarginModel
 from cohorta.session import materialize
 
 BLOCK_ROWS = 65_536
+PART_BLOCKS = 4  # full blocks of a partition
 CHUNK = 8  # features whose histograms travel together
 WRITE_EVERY = 10  # trees
 LEAST_HESSIAN = 1e-3  # of a child
@@ -298,7 +299,9 @@ class HistogramBoosting(BinaryEstimator):
             raise ValueError("Training rows must hold both classes.")
         start = math.log(counts["p"] / (counts["n"] - counts["p"]))
         cuts = bin_cuts(rows, counts["width"], settings["max_bins"])
-        blocks = materialize(pack(rows, cuts, start), "boosting-blocks")
+        # as many partitions as rows fill: every job of the fit reads them all
+        even = rows.repartition(1 + counts["n"] // (PART_BLOCKS * BLOCK_ROWS))
+        blocks = materialize(pack(even, cuts, start), "boosting-blocks")
         trees: list[dict] = []
         pending: list[dict] = []
         for number in range(1, settings["max_iter"] + 1):

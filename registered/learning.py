@@ -100,7 +100,7 @@ def train_rf_score(spark, sf_dir):
 
 
 def train_hgb_score(spark, sf_dir):
-    return _train(spark, sf_dir, "hgb")
+    return _train(spark, sf_dir, "hgb", max_iter=30)
 
 
 def train_hgb_stumps(spark, sf_dir):
