@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cohorta.contracts import UseCase
@@ -37,8 +40,10 @@ def ingest_events(
 
 
 def malformed_folder(dataset: str, log: str) -> str:
-    """Where the malformed lines of a log go: beside the dataset, one folder a log."""
-    return f"{dataset.rstrip('/')}-malformed/{log.rstrip('/').rsplit('/', 1)[-1]}"
+    """Where the malformed lines of a log go: beside the dataset, one folder for each path of a log."""
+    path = log.rstrip("/")
+    name = re.sub(r"[^A-Za-z0-9._-]+", "_", path.rsplit("/", 1)[-1])
+    return f"{dataset.rstrip('/')}-malformed/{name}-{hashlib.md5(path.encode()).hexdigest()}"
 
 
 def ingest_runs(spark: SparkSession, folder: str, dataset: str, use_case: UseCase) -> None:

@@ -28,9 +28,14 @@ def monitor_files(
     error_log: str | None = None,
     output_folder: str | None = None,
     model_version: int | None = None,
+    malformed_folder: str | None = None,
     **options,
 ) -> DataFrame:
-    """Report from files: exactly one of a scored CSV and a prediction log."""
+    """Report from files: exactly one of a scored CSV and a prediction log.
+
+    Malformed lines of the logs go to folders named after the kind of event, below ``malformed_folder`` or
+    else the output folder; without either they are left out.
+    """
     if (analysis_csv is None) == (prediction_log is None):
         raise ValueError("Give exactly one of a scored CSV and a prediction log.")
     if error_log is not None and prediction_log is None:
@@ -41,9 +46,13 @@ def monitor_files(
     if analysis_csv is not None:
         analysis = read_scored_csv(spark, analysis_csv, use_case.rules)
     else:
-        analysis = load_events(spark, prediction_log, PREDICTION, use_case)
-        if error_log is not None:
-            errors = load_events(spark, error_log, PREDICTION_ERROR, use_case)
+        broken = malformed_folder or (output_folder and f"{output_folder.rstrip('/')}/malformed")
+        analysis, errors = (
+            load_events(spark, log, kind, use_case, malformed_to=broken and f"{broken.rstrip('/')}/{kind}")
+            if log is not None
+            else None
+            for log, kind in ((prediction_log, PREDICTION), (error_log, PREDICTION_ERROR))
+        )
     report = build_report(
         reference, analysis, use_case, "batch", source,
         errors=errors, model_version=model_version, **options,

@@ -112,12 +112,18 @@ def _columns_of(event: str, use_case: UseCase) -> list[str]:
 
 
 def load_events(
-    spark: SparkSession, path: str | None, event: str, use_case: UseCase, strict: bool = False
+    spark: SparkSession,
+    path: str | None,
+    event: str,
+    use_case: UseCase,
+    strict: bool = False,
+    malformed_to: str | None = None,
 ) -> DataFrame:
     """Checked events of one kind with naive UTC time and numeric latency.
 
     A missing error log is empty; a missing prediction log is an error. One aggregate checks
-    the event kind and the required fields of every record.
+    the event kind and the required fields of every record. Malformed lines are written as text to
+    ``malformed_to``, if it is given; ``strict`` loads nothing of a log that has any.
     """
     columns = _columns_of(event, use_case)
     time = use_case.time_column
@@ -129,7 +135,11 @@ def load_events(
     else:
         if event == PREDICTION:
             spark.read.text(path)  # raises when the path is absent
-        events = read_event_json(spark, path, use_case, strict)
+        events, malformed = read_event_lines(spark, path, event_schema(use_case), time)
+        if malformed_to is not None:
+            write_malformed(malformed, malformed_to)
+        if strict and not malformed.isEmpty():
+            events = events.limit(0)
     require_columns(events, columns, f"{event} log")
     found = events.agg(
         F.count(F.lit(1)).alias("rows"),

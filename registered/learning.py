@@ -14,8 +14,10 @@ from cohorta.learning.stages import Imputer, PopulationScaler
 from cohorta.learning.tuning import optimize
 from cohorta.operators.sampling import seeded_sample
 from cohorta.plans import views as V
-from cohorta.plans.scoring import RuleScorer, score_batch
+from cohorta.plans.scoring import RuleScorer, observe_mean_probability, sample_scoring_run, score_batch
 from cohorta.plans.training import train_model
+from cohorta.session import new_workspace
+from cohorta.sources.delimited import read_run_files
 from cohorta.sources.splits import with_split
 from registered.derived import CUSTOMERS, with_views
 from registered.metrics import rounded
@@ -156,6 +158,30 @@ def sample_scoring(spark, sf_dir):
     return RuleScorer(rule_classifier).score(sample).select("customerid", "predicted_probability")
 
 
+def sample_run_file(spark, sf_dir):
+    """The sample scored and written as a numbered run, and the folder of runs read again."""
+    folder = new_workspace(spark, "runs")
+    sample_scoring_run(
+        V.valid_customers(spark, sf_dir), CHURN, RuleScorer(rule_classifier), 0.5, 3, "customerid", 200, 7, folder, 12, "2026-01-31"
+    )
+    return read_run_files(spark, folder).select(
+        F.col("customerid").cast("bigint").alias("customerid"),
+        F.col("predicted_probability").cast("double").alias("predicted_probability"),
+        F.col("predicted_class").cast("int").alias("predicted_class"),
+        F.col("model_version").cast("int").alias("model_version"),
+        "run_id",
+    )
+
+
+def mean_probability(spark, sf_dir):
+    """Row count and mean probability as observed while scored rows are written."""
+    scored = RuleScorer(rule_classifier).score(V.valid_customers(spark, sf_dir))
+    counted, watch = observe_mean_probability(scored)
+    counted.write.parquet(new_workspace(spark, "scored"))
+    row = (watch.get["rows"], watch.get["mean_probability"])
+    return rounded(spark.createDataFrame([row], "rows bigint, mean_probability double"))
+
+
 QUERIES = {
     "imputed_scaled": imputed_scaled,
     "majority_baseline": majority_baseline,
@@ -175,6 +201,8 @@ QUERIES = {
     "feature_importance": feature_importance,
     "tuned_parameters": tuned_parameters,
     "sample_scoring": sample_scoring,
+    "sample_run_file": sample_run_file,
+    "mean_probability": mean_probability,
 }
 
 _RULE = "CASE WHEN age > 50 OR support_calls >= 6 OR payment_delay > 20 OR total_spend <= 500 OR contract_length = 'Monthly' THEN 1 ELSE 0 END"
@@ -290,6 +318,16 @@ FROM d, t, f WHERE r < total - (3 - fold) * size GROUP BY ALL""",
 SELECT customerid, {_RULE}::DOUBLE AS predicted_probability, {_RULE} AS predicted_class, 0.5::DOUBLE AS threshold, 3 AS model_version
 FROM valid_customers""",
     ),
+    "sample_run_file": with_views(
+        CUSTOMERS,
+        query=f"""
+SELECT customerid, {_RULE}::DOUBLE AS predicted_probability, {_RULE} AS predicted_class, 3 AS model_version, '0012' AS run_id
+FROM valid_customers ORDER BY md5('7|' || customerid), customerid LIMIT 200""",
+    ),
+    "mean_probability": with_views(
+        CUSTOMERS,
+        query=f"SELECT count(*) AS rows, round(round(avg({_RULE}::DOUBLE), 10), 6) AS mean_probability FROM valid_customers",
+    ),
     "sample_scoring": with_views(
         CUSTOMERS,
         query=f"""

@@ -9,7 +9,11 @@ from cohorta.operators import drift as D
 from cohorta.operators import isotonic
 from cohorta.operators import scores as S
 from cohorta.plans import views as V
+from cohorta.plans.monitoring import monitor_datasets, monitor_files
 from cohorta.plans.report import build_report
+from cohorta.session import new_workspace
+from cohorta.sources.delimited import write_csv
+from cohorta.sources.monthly import write_monthly
 from registered.derived import API, COHORTS, SCORED, with_views
 
 TIME = "reference_date"
@@ -177,8 +181,28 @@ def reconstruction_drift(spark, sf_dir):
 
 def monitoring_report(spark, sf_dir):
     reference, analysis = V.scored_cohorts(spark, sf_dir)
-    return build_report(
-        reference, analysis, V.RETURNS, source_analysis="batch", reconstruction=False, calibrate="never"
+    return build_report(reference, analysis, V.RETURNS, source_analysis="batch", reconstruction=False)
+
+
+def monitored_files(spark, sf_dir):
+    """The report from two scored CSV files, as written to its folder and read back."""
+    folder = new_workspace(spark, "monitored")
+    for name, rows in zip(("reference", "analysis"), V.scored_cohorts(spark, sf_dir)):
+        write_csv(rows, f"{folder}/{name}")
+    report = monitor_files(
+        spark, f"{folder}/reference", V.RETURNS, f"{folder}/analysis", output_folder=folder, reconstruction=False, calibrate="never"
+    )
+    written = spark.read.csv(f"{folder}/monitoring_summary_batch", header=True)
+    return written.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in report.schema])
+
+
+def monitored_datasets(spark, sf_dir):
+    """The same report from two monthly datasets."""
+    folder = new_workspace(spark, "monitored")
+    for name, rows in zip(("reference", "analysis"), V.scored_cohorts(spark, sf_dir)):
+        write_monthly(rows, f"{folder}/{name}", TIME)
+    return monitor_datasets(
+        spark, f"{folder}/reference", f"{folder}/analysis", V.RETURNS, source_analysis="batch", reconstruction=False, calibrate="never"
     )
 
 
@@ -190,9 +214,7 @@ def monitoring_report_with_reconstruction(spark, sf_dir):
 def service_report(spark, sf_dir):
     """Daily report of the service events with failed requests and latency."""
     reference, analysis, errors = V.api_cohorts(spark, sf_dir)
-    return build_report(
-        reference, analysis, V.REQUESTS, errors=errors, period="day", reconstruction=False, calibrate="never"
-    )
+    return build_report(reference, analysis, V.REQUESTS, errors=errors, period="day", reconstruction=False)
 
 
 QUERIES = {
@@ -217,6 +239,8 @@ QUERIES = {
     "reconstruction_drift": reconstruction_drift,
     "monitoring_report": monitoring_report,
     "monitoring_report_with_reconstruction": monitoring_report_with_reconstruction,
+    "monitored_files": monitored_files,
+    "monitored_datasets": monitored_datasets,
     "service_report": service_report,
 }
 
@@ -311,6 +335,8 @@ calibrated AS (
   FROM rows1
 )"""
 
+_CALIBRATED_CBPE = _CBPE.replace("FROM cohorts)", "FROM calibrated)")
+
 _LONG = """
 long AS (
   SELECT period, model_version, reference_date, feature, value FROM (
@@ -528,12 +554,13 @@ FROM fitted WHERE held = -1 GROUP BY model_version, round(fit, 12)""",
     ),
     "calibration_gains": with_views(COHORTS, _FITS, _GAINS, query=f"SELECT model_version, {_six('before', 'after')} FROM gains"),
     "calibrated_estimates": with_views(
-        COHORTS, _FITS, _GAINS, _CBPE.replace("FROM cohorts)", "FROM calibrated)"),
+        COHORTS, _FITS, _GAINS, _CALIBRATED_CBPE,
         query=f"SELECT period, model_version, reference_date, {_six('cbpe_precision', 'cbpe_recall', 'cbpe_roc_auc')} FROM cbpe",
     ),
-    "monitoring_report": with_views(
-        COHORTS, _BASE, _REALIZED, _CBPE, _LONG, _BIN_ALL, _JS,
-        query=f"""
+    **{
+        name: with_views(
+            COHORTS, _BASE, _REALIZED, *estimates, _LONG, _BIN_ALL, _JS,
+            query=f"""
 SELECT source, period, model_version, reference_date, prediction_count,
        {_four('avg_predicted_probability', 'predicted_positive_rate', 'observed_positive_rate', 'realized_precision', 'realized_recall', 'realized_roc_auc', 'cbpe_precision', 'cbpe_recall', 'cbpe_roc_auc')},
        univariate_drift_alert_count
@@ -542,9 +569,15 @@ LEFT JOIN cbpe USING (period, model_version, reference_date)
 LEFT JOIN (SELECT period, model_version, reference_date,
                   count(*) FILTER (distance > 0.1) AS univariate_drift_alert_count FROM js GROUP BY ALL)
   USING (period, model_version, reference_date)""",
-    ),
+        )
+        for name, estimates in (
+            ("monitoring_report", (_FITS, _GAINS, _CALIBRATED_CBPE)),
+            ("monitored_files", (_CBPE,)),
+            ("monitored_datasets", (_CBPE,)),
+        )
+    },
     "service_report": with_views(
-        API, _API_COHORTS, _BASE, _REALIZED, _CBPE, _API_SERVICE, _API_LONG, _API_BINS, _JS,
+        API, _API_COHORTS, _BASE, _REALIZED, _FITS, _GAINS, _CALIBRATED_CBPE, _API_SERVICE, _API_LONG, _API_BINS, _JS,
         query=f"""
 SELECT source, period, model_version, reference_date, prediction_count,
        {_four('avg_predicted_probability', 'predicted_positive_rate', 'observed_positive_rate', 'realized_precision', 'realized_recall', 'realized_roc_auc', 'cbpe_precision', 'cbpe_recall', 'cbpe_roc_auc')},

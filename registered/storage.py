@@ -153,6 +153,50 @@ def ingested_sides(spark, sf_dir):
     return good.unionByName(bad).groupBy("side").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _broken_log(spark, sf_dir, path):
+    """A prediction log in which every seventh line is cut off."""
+    number = F.get_json_object("value", "$.request_id").cast("bigint")
+    line = F.when(number % 7 == 0, F.substring("value", 1, 60)).otherwise(F.col("value"))
+    spark.read.text(_log(spark, sf_dir, events.PREDICTION)).select(line.alias("value")).write.text(path)
+    return path
+
+
+def _sides(good, bad):
+    sides = good.select(F.lit("good").alias("side")).unionByName(bad.select(F.lit("malformed").alias("side")))
+    return sides.groupBy("side").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def malformed_by_log(spark, sf_dir):
+    """Two logs of one file name in two folders: each keeps its own malformed lines."""
+    dataset, folder = new_workspace(spark, "ingested"), new_workspace(spark, "logs")
+    whole = spark.read.text(_broken_log(spark, sf_dir, f"{folder}/all"))
+    number = F.regexp_extract("value", '"request_id":"([0-9]+)"', 1).cast("bigint")
+    found = []
+    for part in (0, 1):
+        log = f"{folder}/{part}/events.jsonl"
+        whole.where(number % 2 == part).write.text(log)
+        ingest_events(spark, log, dataset, V.REQUESTS)
+        found.append(malformed_folder(dataset, log))
+    first, second = (spark.read.text(path).select(F.lit(part).alias("log")) for part, path in enumerate(found))
+    return first.unionByName(second).groupBy("log").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def loaded_sides(spark, sf_dir):
+    """A log with cut-off lines as monitoring loads it: events, and lines kept as text."""
+    folder = new_workspace(spark, "loaded")
+    log = _broken_log(spark, sf_dir, f"{folder}/log")
+    good = events.load_events(spark, log, events.PREDICTION, V.REQUESTS, malformed_to=f"{folder}/bad")
+    return _sides(good, spark.read.text(f"{folder}/bad"))
+
+
+def json_csv_sides(spark, sf_dir):
+    """The same log turned into CSV: rows of the CSV, and lines kept beside it."""
+    folder = new_workspace(spark, "csv")
+    log = _broken_log(spark, sf_dir, f"{folder}/log")
+    events.json_to_csv(spark, log, f"{folder}/rows", V.REQUESTS)
+    return _sides(spark.read.csv(f"{folder}/rows", header=True), spark.read.text(f"{folder}/rows-malformed"))
+
+
 def reference_dates(spark, sf_dir):
     """Customers spread evenly over the months of a year."""
     rows = V.customers(spark, sf_dir).select("customerid")
@@ -242,6 +286,9 @@ QUERIES = {
     "error_event_log": error_event_log,
     "ingested_events": ingested_events,
     "ingested_sides": ingested_sides,
+    "malformed_by_log": malformed_by_log,
+    "loaded_sides": loaded_sides,
+    "json_csv_sides": json_csv_sides,
     "reference_dates": reference_dates,
     "weighted_scores": weighted_scores,
     "promotion_decisions": promotion_decisions,
@@ -356,6 +403,19 @@ FROM api_events WHERE event = 'prediction' GROUP BY ALL""",
 SELECT CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN 'malformed' ELSE 'ingested' END AS side, count(*) AS rows
 FROM api_events WHERE event = 'prediction' GROUP BY ALL""",
     ),
+    "malformed_by_log": with_views(
+        API,
+        query="SELECT (event_id % 2)::INTEGER AS log, count(*) AS rows FROM api_events WHERE event = 'prediction' AND event_id % 7 = 0 GROUP BY ALL",
+    ),
+    **dict.fromkeys(
+        ("loaded_sides", "json_csv_sides"),
+        with_views(
+            API,
+            query="""
+SELECT CASE WHEN event_id % 7 = 0 THEN 'malformed' ELSE 'good' END AS side, count(*) AS rows
+FROM api_events WHERE event = 'prediction' GROUP BY ALL""",
+        ),
+    ),
     "reference_dates": with_views(
         CUSTOMERS,
         """o AS (SELECT customerid, row_number() OVER (ORDER BY md5('42|' || customerid), customerid) - 1 AS pos,
