@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
@@ -21,6 +21,7 @@ from cohorta.learning.classifiers import (
     MajorityClassifier,
     QuadraticDiscriminant,
 )
+from cohorta.learning.kernels import COMPONENTS, OUTPUT, FourierFeatures
 from cohorta.learning.neighbours import NearestNeighbours
 
 RANDOM_STATE = 26
@@ -48,6 +49,10 @@ CATALOG: dict[str, dict[str, Any]] = {
         "space": {"C": _float(1e-4, 1e2, log=True)},
     },
     "lsvc": {"defaults": {"random_state": RANDOM_STATE}, "space": {"C": _float(1e-4, 1e2, log=True)}},
+    "svc": {
+        "defaults": {"random_state": RANDOM_STATE, "kernel": "rbf"},
+        "space": {"C": _float(1e-4, 1e2, log=True)},
+    },
     "dt": {
         "defaults": {"random_state": RANDOM_STATE},
         "space": {"max_depth": _choice(None, 3, 5, 10, 20), "min_samples_leaf": _int(5, 100)},
@@ -83,10 +88,10 @@ CATALOG: dict[str, dict[str, Any]] = {
 }
 
 # Aliases whose linear or distance geometry needs standardised numbers.
-SCALED = ("lr", "lsvc", "knn")
+SCALED = ("lr", "lsvc", "svc", "knn")
 # Aliases whose calibration starts from the margin instead of the probability.
-MARGIN_BASED = ("lr", "lsvc", "hgb", "ada", "lda", "qda")
-WITHOUT_PROBABILITY = ("lsvc",)
+MARGIN_BASED = ("lr", "lsvc", "svc", "hgb", "ada", "lda", "qda")
+WITHOUT_PROBABILITY = ("lsvc", "svc")
 
 
 def _depth(value) -> int:
@@ -114,6 +119,14 @@ def _estimator(alias: str, p: Mapping[str, Any], label: str, rows: int) -> Estim
             **columns, regParam=penalty, maxIter=p.get("max_iter", 100), tol=p.get("tol", 1e-4),
             standardization=False,
         )
+    if alias == "svc":
+        if p["kernel"] != "rbf":
+            raise ValueError(f"Kernel {p['kernel']!r} is not offered; 'lsvc' is linear.")
+        margin = LinearSVC(
+            featuresCol=OUTPUT, labelCol=label, regParam=penalty, maxIter=p.get("max_iter", 100),
+            tol=p.get("tol", 1e-4), standardization=False,
+        )
+        return Pipeline(stages=[FourierFeatures(seed, p.get("components", COMPONENTS)), margin])
     if alias == "dt":
         return DecisionTreeClassifier(
             **columns, seed=seed, maxDepth=_depth(p.get("max_depth")),
@@ -152,4 +165,5 @@ def create_classifier(
         raise ValueError(f"No classifier {alias!r}; known aliases: {', '.join(CATALOG)}.")
     merged = {**CATALOG[alias]["defaults"], **(params or {})}
     estimator = _estimator(alias, merged, label, rows)
-    return estimator, {"model_alias": alias, "model_name": type(estimator).__name__, **merged}
+    last = estimator.getStages()[-1] if isinstance(estimator, Pipeline) else estimator
+    return estimator, {"model_alias": alias, "model_name": type(last).__name__, **merged}

@@ -94,10 +94,13 @@ def without_summary(model: Model) -> Model:
 
     A summary holds the session, which cannot be sent to tasks once it has made an observation.
     """
-    for stage in model.stages if isinstance(model, PipelineModel) else [model]:
-        java = getattr(stage, "_java_obj", None)
-        if java is not None and getattr(stage, "hasSummary", False):
-            java.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    if isinstance(model, PipelineModel):
+        for stage in model.stages:
+            without_summary(stage)
+        return model
+    java = getattr(model, "_java_obj", None)
+    if java is not None and getattr(model, "hasSummary", False):
+        java.setSummary(SparkSession.active()._jvm.scala.Option.empty())
     return model
 
 

@@ -1,4 +1,4 @@
-"""Seeded random search over a classifier's search space on expanding-window folds."""
+"""Seeded guided search over a classifier's search space on expanding-window folds."""
 
 from __future__ import annotations
 
@@ -15,12 +15,16 @@ from pyspark.sql import DataFrame
 from cohorta.contracts import UseCase
 from cohorta.learning.catalog import CATALOG, WITHOUT_PROBABILITY
 from cohorta.learning.folds import temporal_folds
+from cohorta.learning.parzen import STARTUP, guided_draw
 from cohorta.learning.pipelines import fit_pipeline
 from cohorta.learning.settings import JobPlan
 from cohorta.operators.metrics import average_precision, roc_auc
 from cohorta.session import cache_balanced
 
 
+BATCH = 4  # guided trials drawn together
+
+
 @dataclass(frozen=True)
 class TuningResult:
     best_params: dict[str, Any]
@@ -53,8 +57,8 @@ def draw(space: Mapping[str, Mapping[str, Any]], generator: random.Random) -> di
 def optimize(use_case: UseCase, config: JobPlan, train: DataFrame) -> TuningResult:
     """Best drawn parameters by mean validation metric; every trial is a set of distributed fits.
 
-    The draws are fixed by the seed before any trial runs, so the result does not depend on how
-    many trials run at once.
+    The first trials are random, then batches of ``BATCH`` are drawn by what the trials before the batch scored. A batch
+    has one size whatever runs at once, so the result does not depend on the parallelism.
     """
     fitting, search = config.fitting, config.search
     alias = fitting.model
@@ -65,7 +69,6 @@ def optimize(use_case: UseCase, config: JobPlan, train: DataFrame) -> TuningResu
     train = cache_balanced(train.select(*use_case.feature_columns, target, time))
     folds = temporal_folds(train, target, time, search.folds)
     generator = random.Random(search.seed)
-    trials = [draw(space, generator) for _ in range(search.trials)]
     metric = roc_auc if search.metric == "roc_auc" else average_precision
 
     def mean_score(params: dict[str, Any]) -> float:
@@ -82,7 +85,16 @@ def optimize(use_case: UseCase, config: JobPlan, train: DataFrame) -> TuningResu
 
     with ThreadPoolExecutor(max_workers=search.parallelism) as pool:
         task = inheritable_thread_target(train.sparkSession)(mean_score)
-        scores = list(pool.map(task, trials))
+        trials: list[dict[str, Any]] = []
+        scores: list[float] = []
+        while len(trials) < search.trials:
+            if not trials:
+                batch = [draw(space, generator) for _ in range(min(STARTUP, search.trials))]
+            else:
+                done = list(zip(trials, scores, strict=True))
+                batch = [guided_draw(space, done, generator) for _ in range(min(BATCH, search.trials - len(trials)))]
+            scores += pool.map(task, batch)
+            trials += batch
     train.unpersist()
     best = max(range(len(trials)), key=lambda i: (scores[i], -i))
     return TuningResult(

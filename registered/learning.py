@@ -134,6 +134,10 @@ def calibrated_isotonic_score(spark, sf_dir):
     return _train(spark, sf_dir, "lr", "isotonic")
 
 
+def calibrated_svc_score(spark, sf_dir):
+    return _train(spark, sf_dir, "svc", "sigmoid")
+
+
 def feature_importance(spark, sf_dir):
     """Random-forest importances by feature name, strongest first."""
     train, _ = _sides(spark, sf_dir)
@@ -198,6 +202,7 @@ QUERIES = {
     "train_knn_score": train_knn_score,
     "calibrated_sigmoid_score": calibrated_sigmoid_score,
     "calibrated_isotonic_score": calibrated_isotonic_score,
+    "calibrated_svc_score": calibrated_svc_score,
     "feature_importance": feature_importance,
     "tuned_parameters": tuned_parameters,
     "sample_scoring": sample_scoring,
