@@ -21,6 +21,7 @@ from cohorta.learning.classifiers import (
     MajorityClassifier,
     QuadraticDiscriminant,
 )
+from cohorta.learning.extra_trees import ExtraTrees
 from cohorta.learning.kernels import COMPONENTS, OUTPUT, FourierFeatures
 from cohorta.learning.neighbours import NearestNeighbours
 
@@ -61,6 +62,15 @@ CATALOG: dict[str, dict[str, Any]] = {
         "defaults": {"random_state": RANDOM_STATE, "n_estimators": 100},
         "space": {"n_estimators": _int(50, 500), "learning_rate": _float(0.01, 2.0, log=True)},
     },
+    "et": {
+        "defaults": {"random_state": RANDOM_STATE},
+        "space": {
+            "n_estimators": _int(50, 500),
+            "max_depth": _choice(None, 5, 10, 20),
+            "min_samples_leaf": _int(5, 100),
+            "max_features": _choice("sqrt", "log2", None),
+        },
+    },
     "rf": {
         "defaults": {"random_state": RANDOM_STATE},
         "space": {
@@ -139,6 +149,8 @@ def _estimator(alias: str, p: Mapping[str, Any], label: str, rows: int) -> Estim
             minInstancesPerNode=p.get("min_samples_leaf", 1), featureSubsetStrategy=subset,
             maxBins=p.get("max_bins", 255),
         )
+    if alias == "et":
+        return ExtraTrees(labelCol=label, **p)
     if alias == "hgb":
         return HistogramBoosting(labelCol=label, **{k: v for k, v in p.items() if k != "random_state"})
     if alias == "ada":

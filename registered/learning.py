@@ -101,6 +101,10 @@ def train_rf_score(spark, sf_dir):
     return _train(spark, sf_dir, "rf", n_estimators=20, max_depth=6)
 
 
+def train_et_score(spark, sf_dir):
+    return _train(spark, sf_dir, "et")
+
+
 def train_hgb_score(spark, sf_dir):
     return _train(spark, sf_dir, "hgb", max_iter=30)
 
@@ -194,6 +198,7 @@ QUERIES = {
     "train_lr_score": train_lr_score,
     "train_nb_score": train_nb_score,
     "train_rf_score": train_rf_score,
+    "train_et_score": train_et_score,
     "train_hgb_score": train_hgb_score,
     "train_hgb_stumps": train_hgb_stumps,
     "train_lda_score": train_lda_score,
