@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cohorta.contracts import UseCase
 from cohorta.functions.scalars import ratio, utc_naive
 from cohorta.operators.cohorts import LATENCY, VERSION
+from cohorta.operators.buckets import bucket_percentile, log_bucket
 from cohorta.operators.validation import with_reasons
 from cohorta.plans.scoring import Scorer, score_rows
 from cohorta.sources.events import (
@@ -89,26 +90,34 @@ def deduplicated(events: DataFrame, time_column: str, delay: str = "1 hour") ->
     return stamped.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(["request_id"])
 
 
-def service_figures(events: DataFrame, time_column: str, window: str = "1 hour") -> DataFrame:
+def service_figures(events: DataFrame, time_column: str, window: str = "1 hour", error: float = 0.005) -> DataFrame:
     """Requests, error rate and latency percentiles per version and time window.
 
-    The input must carry a watermark on the time column. Percentiles are sketches, since a
-    window's exact values would be unbounded state.
+    The input must carry a watermark on the time column. A percentile is the value of rank ceil(p n)
+    up to the relative ``error``: the state holds counts of logarithmic buckets, which add up
+    exactly in any order, and a window's buckets come together once it is complete. Buckets of one
+    version and window are separate groups, so a hot version is not one task. Latencies that are
+    null, NaN or infinite count as requests only.
     """
     ok, failed = F.col("event") == PREDICTION, F.col("event") == PREDICTION_ERROR
-    figures = events.groupBy(F.window(time_column, window).alias("w"), VERSION).agg(
-        F.count(F.lit(1)).alias("api_request_count"),
-        ratio(F.count_if(failed), F.count(F.lit(1))).alias("api_error_rate"),
-        F.percentile_approx(F.when(ok, F.col(LATENCY)), 0.5).alias("prediction_latency_p50_ms"),
-        F.percentile_approx(F.when(ok, F.col(LATENCY)), 0.95).alias("prediction_latency_p95_ms"),
+    bucket = F.when(ok, log_bucket(F.col(LATENCY), error))
+    counted = events.groupBy(F.window(time_column, window).alias("_w"), VERSION, bucket.alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(failed).alias("_failed"),
+        F.min(LATENCY).alias("_low"),
+        F.max(LATENCY).alias("_high"),
     )
-    return figures.select(
-        F.col("w.start").alias("window_start"),
+    held = F.when(F.col("_bucket").isNotNull(), F.struct("_bucket", "_n", "_low", "_high"))
+    whole = counted.groupBy(F.window(F.window_time("_w"), window).alias("_w"), VERSION).agg(
+        F.sum("_n").alias("api_request_count"), F.sum("_failed").alias("_failed"), F.collect_list(held).alias("_held")
+    )
+    return whole.withColumn("_held", F.array_sort("_held")).select(
+        F.col("_w.start").alias("window_start"),
         VERSION,
         "api_request_count",
-        "api_error_rate",
-        "prediction_latency_p50_ms",
-        "prediction_latency_p95_ms",
+        ratio(F.col("_failed"), F.col("api_request_count")).alias("api_error_rate"),
+        bucket_percentile(F.col("_held"), 0.5, error).alias("prediction_latency_p50_ms"),
+        bucket_percentile(F.col("_held"), 0.95, error).alias("prediction_latency_p95_ms"),
     )
 
 

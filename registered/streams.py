@@ -57,7 +57,7 @@ def stream_dedup(spark, sf_dir):
 
 
 def stream_kpis(spark, sf_dir):
-    """Request count and error rate per version and day, each window once it is complete.
+    """Requests, error rate and latency percentiles per version and day, each window once it is complete.
 
     A later marker event moves the watermark past the last real window; its own window stays open.
     """
@@ -85,7 +85,7 @@ def stream_kpis(spark, sf_dir):
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         "model_version",
         "api_request_count",
-        F.round("api_error_rate", 6).alias("api_error_rate"),
+        *[F.round(name, 6).alias(name) for name in ("api_error_rate", "prediction_latency_p50_ms", "prediction_latency_p95_ms")],
     )
 
 
@@ -125,12 +125,26 @@ FROM api_events GROUP BY ALL""",
     "stream_dedup": with_views(
         API, query="SELECT event, model_version, count(DISTINCT request_id) AS rows FROM api_events GROUP BY ALL"
     ),
+    # the middle of the bucket that holds the exact value of rank ceil(p n), within what the bucket holds
     "stream_kpis": with_views(
         API,
         query="""
-SELECT CAST(date_trunc('day', reference_date) AS TIMESTAMP) AS window_start, model_version, count(*) AS api_request_count,
-       round(count(*) FILTER (event <> 'prediction') / count(*)::DOUBLE, 6) AS api_error_rate
-FROM api_events GROUP BY ALL""",
+, day AS (
+  SELECT CAST(date_trunc('day', reference_date) AS TIMESTAMP) AS window_start, model_version, event, latency_ms,
+         ceil(ln(latency_ms) / ln(1.005::DOUBLE / 0.995)) AS bucket
+  FROM api_events
+),
+placed AS (
+  SELECT *, greatest(min(latency_ms) OVER b, least(max(latency_ms) OVER b, pow(1.005::DOUBLE / 0.995, bucket) * 0.995)) AS near,
+         row_number() OVER (PARTITION BY window_start, model_version, event ORDER BY latency_ms) AS place,
+         count(*) OVER (PARTITION BY window_start, model_version, event) AS n
+  FROM day WINDOW b AS (PARTITION BY window_start, model_version, event, bucket)
+)
+SELECT window_start, model_version, count(*) AS api_request_count,
+       round(count(*) FILTER (event <> 'prediction') / count(*)::DOUBLE, 6) AS api_error_rate,
+       round(max(near) FILTER (event = 'prediction' AND place = ceil(n * 0.5::DOUBLE)), 6) AS prediction_latency_p50_ms,
+       round(max(near) FILTER (event = 'prediction' AND place = ceil(n * 0.95::DOUBLE)), 6) AS prediction_latency_p95_ms
+FROM placed GROUP BY ALL""",
     ),
     "stream_scored": with_views(
         CUSTOMERS,

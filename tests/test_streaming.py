@@ -2,13 +2,16 @@
 
 import datetime as dt
 import json
+import math
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from cohorta.contracts import CHURN
 from cohorta.functions.features import rule_classifier
+from cohorta.operators.buckets import bucket_percentile, log_bucket
 from cohorta.plans.scoring import RuleScorer
 from cohorta.sources.events import read_event_json
 from cohorta.sources.monthly import read_monthly
@@ -87,6 +90,58 @@ def test_windows_appear_once_the_watermark_has_passed(spark, folder):
     assert rows[0]["prediction_latency_p95_ms"] == 30.0
 
 
+@pytest.mark.parametrize("error", [0.005, 0.05])
+def test_bucket_percentiles_keep_their_error(spark, error):
+    draw = random.Random(5)
+    groups = {
+        "spread": [10 ** draw.uniform(-4, 7) for _ in range(4000)],
+        "hot": [20.0] * 3000 + [draw.uniform(1, 2) for _ in range(900)],
+        "signs": [draw.uniform(-50, 50) for _ in range(999)] + [0.0, -0.0, 1e-12],
+        "one": [7.25],
+        "none": [None, float("nan"), float("inf"), float("-inf")],
+    }
+    rows = spark.createDataFrame([(g, v) for g, values in groups.items() for v in values], "g string, v double")
+    parts = rows.repartition(7).groupBy("g", log_bucket(F.col("v"), error).alias("_bucket")).agg(
+        F.count("*").alias("_n"), F.min("v").alias("_low"), F.max("v").alias("_high")
+    )
+    held = F.when(F.col("_bucket").isNotNull(), F.struct("_bucket", "_n", "_low", "_high"))
+    whole = parts.groupBy("g").agg(F.array_sort(F.collect_list(held)).alias("h"))
+    shares = (0.0, 0.01, 0.5, 0.95, 1.0)
+    got = {r["g"]: r for r in whole.select("g", *[bucket_percentile(F.col("h"), s, error).alias(f"p{s}") for s in shares]).collect()}
+    for group, values in groups.items():
+        exact = sorted(v for v in values if v is not None and math.isfinite(v))
+        for share in shares:
+            if not exact:
+                assert got[group][f"p{share}"] is None
+                continue
+            want = exact[max(1, math.ceil(share * len(exact))) - 1]
+            assert got[group][f"p{share}"] == pytest.approx(want, rel=error * (1 + 1e-9), abs=1e-9)
+    assert got["one"]["p0.5"] == 7.25 and got["hot"]["p0.95"] == 20.0
+    with pytest.raises(ValueError):
+        log_bucket(F.col("v"), 1.0)
+
+
+def test_service_figures_merge_over_batches(spark, folder):
+    """A window filled by several batches gives the same percentiles as one batch."""
+    latencies = [float(1 + (i * 37) % 101) for i in range(101)]
+    for part in range(3):
+        put(f"{folder}/in", f"{part}.json", [event(i, i % 50, latency=latencies[i]) for i in range(part, 101, 3)])
+    put(f"{folder}/in", "z.json", [event(999, 600)])
+    lines = J.stream_lines(spark, f"{folder}/in", files_per_trigger=1)
+    records = J.parse_event_lines(lines, J.event_schema(CHURN), T)
+    events = J.flatten_features(records).withColumns({T: F.col(T).cast("timestamp"), "latency_ms": F.col("latency_ms").cast("double")})
+    query = (
+        J.service_figures(events.withWatermark(T, "2 hours"), T)
+        .writeStream.format("parquet").outputMode("append")
+        .option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    row = spark.read.parquet(f"{folder}/out").collect()[0]
+    assert row["api_request_count"] == 101
+    assert (row["prediction_latency_p50_ms"], row["prediction_latency_p95_ms"]) == (51.0, 96.0)
+
+
 def test_requests_are_scored_or_explained(spark, folder):
     good = {"request_id": "ok", T: "2026-01-01T00:00:00Z", **FEATURES}
     bad = {"request_id": "bad", **FEATURES, "age": 5, "gender": "x"}
