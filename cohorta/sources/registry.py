@@ -1,12 +1,19 @@
-"""Registered model versions and their aliases as small append-only tables."""
+"""Registered model versions and their aliases as small append-only tables.
+
+Every version and every change of aliases is one commit file, created only if it is absent. Two jobs that
+register one model at the same time get two numbers, and changes of aliases have one order.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohorta.operators.promotion import CHAMPION, FORMER_CHAMPION, current_aliases, metrics_by_alias
+from cohorta.sources.commits import append_commit, numbered_commit
 
 VERSIONS = "model_name string, model_version int, run_id string, use_case string, threshold double, model_path string"
 ALIASES = "model_name string, alias string, model_version int, assigned_at bigint"
@@ -31,10 +38,6 @@ class ModelRegistry:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def _append(self, name: str, schema: str, rows: list[tuple]) -> None:
-        table = self.spark.createDataFrame(rows, schema).coalesce(1)
-        table.write.mode("append").json(f"{self.folder}/{name}")
-
     def versions(self) -> DataFrame:
         return self._read("versions", VERSIONS)
 
@@ -53,18 +56,44 @@ class ModelRegistry:
         model_path: str,
         metrics: dict[str, float] | None = None,
     ) -> int:
-        """Add the next version of a model and return its number."""
-        last = self.versions().where(F.col("model_name") == model_name).agg(F.max("model_version")).first()[0]
-        version = (last or 0) + 1
-        self._append("versions", VERSIONS, [(model_name, version, run_id, use_case, threshold, model_path)])
+        """Add the next version of a model and return its number.
+
+        The metrics are there before the version is, so no reader sees a version without them.
+        """
         if metrics:
             rows = [(run_id, name, float(value)) for name, value in metrics.items() if value is not None]
-            self._append("metrics", METRICS, rows)
-        return version
+            append_commit(self.spark, f"{self.folder}/metrics", self.spark.createDataFrame(rows, METRICS))
+        model = hashlib.md5(model_name.encode()).hexdigest()
+
+        def last() -> tuple[int, None]:
+            known = self.versions().where(F.col("model_name") == model_name)
+            return known.agg(F.max("model_version")).first()[0] or 0, None
+
+        def record(number: int, _) -> DataFrame:
+            row = (model_name, number, run_id, use_case, threshold, model_path)
+            return self.spark.createDataFrame([row], VERSIONS)
+
+        return numbered_commit(self.spark, lambda n: f"{self.folder}/versions/{model}-{n:09d}.json", last, record)
+
+    def _assign(self, model_name: str, version: int, alias: str, former: str | None = None) -> None:
+        """Point an alias to a version and, in the same commit, ``former`` to the version it had."""
+        held = (F.col("model_name") == model_name) & (F.col("alias") == alias)
+
+        def last() -> tuple[int, int | None]:
+            own = F.max_by("model_version", F.when(held, F.col("assigned_at")))
+            row = self.alias_history().agg(F.max("assigned_at").alias("last"), own.alias("own")).first()
+            return row["last"] or 0, row["own"]
+
+        def records(number: int, before: int | None) -> DataFrame:
+            rows = [(model_name, alias, version, number)]
+            if former is not None and before is not None:
+                rows.append((model_name, former, before, number))
+            return self.spark.createDataFrame(rows, ALIASES)
+
+        numbered_commit(self.spark, lambda n: f"{self.folder}/aliases/{n:012d}.json", last, records)
 
     def set_alias(self, model_name: str, alias: str, version: int) -> None:
-        last = self.alias_history().agg(F.max("assigned_at")).first()[0]
-        self._append("aliases", ALIASES, [(model_name, alias, version, (last or 0) + 1)])
+        self._assign(model_name, version, alias)
 
     def version_of(self, model_name: str, alias: str) -> int | None:
         row = (
@@ -102,7 +131,4 @@ class ModelRegistry:
         """Make a version the champion; a replaced champion stays known as the former one."""
         if not promote:
             raise ValueError("Only a candidate with a positive decision can be promoted.")
-        previous = self.version_of(model_name, CHAMPION)
-        if previous is not None:
-            self.set_alias(model_name, FORMER_CHAMPION, previous)
-        self.set_alias(model_name, CHAMPION, version)
+        self._assign(model_name, version, CHAMPION, FORMER_CHAMPION)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohorta.sources.commits import append_commit
+
 # Layout and version of the run record.
 SCHEMA_VERSION = 3
 RUN_SCHEMA = """
@@ -88,9 +90,8 @@ def read_runs(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
 
 
 def append_run(spark: SparkSession, path: str, record: dict) -> None:
-    """Add one record."""
-    rows = spark.createDataFrame([record], RUN_SCHEMA)
-    check_runs(rows).coalesce(1).write.mode("append").option("ignoreNullFields", "false").json(path)
+    """Add one record; jobs that add records at the same time do not meet."""
+    append_commit(spark, path, check_runs(spark.createDataFrame([record], RUN_SCHEMA)))
 
 
 def append_monitoring_run(
