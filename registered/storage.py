@@ -9,6 +9,7 @@ from cohorta.operators import metrics as M
 from cohorta.operators import promotion as R
 from cohorta.plans import views as V
 from cohorta.plans.ingest import ingest_events, malformed_folder, with_reference_dates
+from cohorta.plans.replay import ingest_log, read_ingested, read_malformed
 from cohorta.session import new_workspace
 from cohorta.sources import delimited, events, monthly, splits
 from registered.derived import API, CUSTOMERS, SCORED, with_views
@@ -181,6 +182,27 @@ def malformed_by_log(spark, sf_dir):
     return first.unionByName(second).groupBy("log").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def replayed_logs(spark, sf_dir):
+    """Two logs of one file name and the same months; one grows, and every state is ingested twice."""
+    dataset, folder = new_workspace(spark, "replayed"), new_workspace(spark, "logs")
+    whole = spark.read.text(_broken_log(spark, sf_dir, f"{folder}/all"))
+    number = F.regexp_extract("value", '"request_id":"([0-9]+)"', 1).cast("bigint")
+    logs = [f"{folder}/{part}/events.jsonl" for part in (0, 1)]
+    for grown in (0, 1):
+        for part, log in enumerate(logs):
+            if part == 0 or grown == 0:
+                later = (number % 3 == 0) == bool(grown) if part == 0 else F.lit(True)
+                whole.where((number % 2 == part) & later).write.mode("append").text(log)
+            for _ in range(2):
+                ingest_log(spark, log, dataset, V.REQUESTS)
+    good = read_ingested(spark, dataset, V.REQUESTS).select(F.lit(-1).alias("log"), "year", "month")
+    bad = read_malformed(spark, dataset, V.REQUESTS).select(
+        F.when(F.col("log") == logs[0], 0).otherwise(1).alias("log"),
+        *[F.lit(None).cast("int").alias(name) for name in ("year", "month")],
+    )
+    return good.unionByName(bad).groupBy("log", "year", "month").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def loaded_sides(spark, sf_dir):
     """A log with cut-off lines as monitoring loads it: events, and lines kept as text."""
     folder = new_workspace(spark, "loaded")
@@ -287,6 +309,7 @@ QUERIES = {
     "ingested_events": ingested_events,
     "ingested_sides": ingested_sides,
     "malformed_by_log": malformed_by_log,
+    "replayed_logs": replayed_logs,
     "loaded_sides": loaded_sides,
     "json_csv_sides": json_csv_sides,
     "reference_dates": reference_dates,
@@ -407,6 +430,14 @@ FROM api_events WHERE event = 'prediction' GROUP BY ALL""",
         API,
         query="SELECT (event_id % 2)::INTEGER AS log, count(*) AS rows FROM api_events WHERE event = 'prediction' AND event_id % 7 = 0 GROUP BY ALL",
     ),
+    "replayed_logs": with_views(
+        API,
+        query="""
+SELECT CASE WHEN event_id % 7 <> 0 THEN -1 ELSE event_id % 2 END::INTEGER AS log,
+       CASE WHEN event_id % 7 <> 0 THEN year(reference_date) END::INTEGER AS year,
+       CASE WHEN event_id % 7 <> 0 THEN month(reference_date) END::INTEGER AS month, count(*) AS rows
+FROM api_events WHERE event = 'prediction' GROUP BY ALL""",
+    ),
     **dict.fromkeys(
         ("loaded_sides", "json_csv_sides"),
         with_views(
