@@ -143,6 +143,24 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(load(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+# Five hex digits are four base32 digits.
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(encode(coalesce(html, ''))) AS h FROM pages
+),
+d AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(h, 1 + 5 * (i // 4)::INTEGER, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1, 1)), '') AS payload_digest
+  FROM p
+),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near copies of every document."""
     from cohorta.llm.near_copies import near_duplicates
@@ -320,6 +338,7 @@ QUERIES = {
 }
 ORACLES = {
     "op2_decontamination": OP2_SQL,
+    "op7_warc": OP7_SQL,
     "op10_line_dedup": OP10_SQL,
     "op11_hard_negatives": OP11_SQL,
     "op12_main_text": OP12_SQL,
