@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from cohorta.contracts import UseCase
 from cohorta.functions.scalars import numeric_columns, string_columns
 from cohorta.learning.catalog import MARGIN_BASED, SCALED, WITHOUT_PROBABILITY, create_classifier
+from cohorta.learning.categories import CategoryTable, CategoryTableModel
 from cohorta.learning.stages import FeatureStage, Imputer, PopulationScaler
 from cohorta.operators.validation import select_features
 
+CATEGORIES = ("list", "table")
+
 
 def preprocessing_stages(
     use_case: UseCase,
@@ -25,11 +28,15 @@ def preprocessing_stages(
     scale: bool,
     numeric_strategy: str = "median",
     text_strategy: str = "most_frequent",
+    categories: str = "list",
 ) -> list:
     """Stages from raw feature columns to the ``features`` vector.
 
-    ``sample`` is only asked for its schema. Unknown categories become all zeros.
+    ``sample`` is only asked for its schema. Unknown categories become all zeros. Categories are kept as a
+    ``list`` in the model or, for columns with very many labels, as a ``table``; the vectors are the same.
     """
+    if categories not in CATEGORIES:
+        raise ValueError(f"Categories are kept as one of {CATEGORIES}, not {categories!r}.")
     built = use_case.feature_builder(sample.select(*use_case.feature_columns))
     numeric, text = numeric_columns(built), string_columns(built)
     stages: list = [
@@ -41,24 +48,31 @@ def preprocessing_stages(
     inputs = list(numeric)
     if text:
         indexed, hot = [f"_index_{c}" for c in text], [f"_hot_{c}" for c in text]
-        stages += [
-            StringIndexer(
+        indexer = (
+            CategoryTable(text, indexed)
+            if categories == "table"
+            else StringIndexer(
                 inputCols=text, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
-            ),
-            OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
-        ]
+            )
+        )
+        stages += [indexer, OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True)]
         inputs += hot
     return [*stages, VectorAssembler(inputCols=inputs, outputCol="features")]
 
 
 def feature_names_out(model: PipelineModel) -> list[str]:
-    """Numeric names, then ``column_category`` names, in vector order."""
+    """Numeric names, then ``column_category`` names, in vector order; only here does a table become a list."""
     assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
     names = [c for c in assembler.getInputCols() if not c.startswith("_hot_")]
     for stage in model.stages:
         if type(stage).__name__ == "StringIndexerModel":
             for column, labels in zip(stage.getInputCols(), stage.labelsArray):
                 names += [f"{column}_{label}" for label in labels]
+        if isinstance(stage, CategoryTableModel):
+            table = stage.table(SparkSession.active())
+            for column in stage.fitted()["inputs"]:
+                own = table.where(F.col("column") == column).orderBy("number").select("label")
+                names += [f"{column}_{row['label']}" for row in own.toLocalIterator()]
     return names
 
 
@@ -111,6 +125,7 @@ def fit_pipeline(
     train: DataFrame,
     numeric_strategy: str = "median",
     text_strategy: str = "most_frequent",
+    categories: str = "list",
 ) -> tuple[FittedPipeline, dict[str, Any]]:
     """Fit features, preprocessing and classifier on the training rows."""
     select_features(train, use_case.feature_columns, "training data")
@@ -121,7 +136,7 @@ def fit_pipeline(
         raise ValueError("Training data must hold both classes.")
     classifier, config = create_classifier(alias, params, target, classes["rows"])
     stages = preprocessing_stages(
-        use_case, rows, alias in SCALED, numeric_strategy, text_strategy
+        use_case, rows, alias in SCALED, numeric_strategy, text_strategy, categories
     )
     model = without_summary(Pipeline(stages=[*stages, classifier]).fit(rows))
     return FittedPipeline(model, alias, list(use_case.feature_columns)), config

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from cohorta.contracts import CHURN
 from cohorta.functions.features import rule_classifier
 from cohorta.learning.calibration import fit_with_calibration
+from cohorta.learning.categories import number_labels
 from cohorta.learning.classifiers import MajorityClassifier
 from cohorta.learning.folds import fold_table, temporal_folds
+from cohorta.learning.pipelines import fit_pipeline
 from cohorta.learning.settings import Fitting, JobPlan, Search
 from cohorta.learning.stages import Imputer, PopulationScaler
 from cohorta.learning.tuning import optimize
@@ -97,6 +99,19 @@ def train_nb_score(spark, sf_dir):
     return _train(spark, sf_dir, "nb")
 
 
+def train_nb_table_score(spark, sf_dir):
+    """Naive Bayes with the categories kept in a table: the same scores."""
+    train, test = _sides(spark, sf_dir)
+    fitted, _ = fit_pipeline(CHURN, "nb", {}, train, categories="table")
+    return rounded(fitted.score(test).select("customerid", "churn", "predicted_probability"))
+
+
+def category_numbers(spark, sf_dir):
+    """Every part name, brand and type, numbered in order."""
+    columns = ["p_name", "p_brand", "p_type"]
+    return number_labels(V.table(spark, sf_dir, "part").select(*columns), columns)
+
+
 def train_rf_score(spark, sf_dir):
     return _train(spark, sf_dir, "rf", n_estimators=20, max_depth=6)
 
@@ -197,6 +212,8 @@ QUERIES = {
     "batch_score_rule": batch_score_rule,
     "train_lr_score": train_lr_score,
     "train_nb_score": train_nb_score,
+    "train_nb_table_score": train_nb_table_score,
+    "category_numbers": category_numbers,
     "train_rf_score": train_rf_score,
     "train_et_score": train_et_score,
     "train_hgb_score": train_hgb_score,
@@ -289,12 +306,20 @@ ORACLES = {
 SELECT customerid, any_value(churn) AS churn, round(round(avg(vote::DOUBLE), 10), 6) AS predicted_probability
 FROM near GROUP BY customerid""",
     ),
-    "train_nb_score": with_views(
-        CUSTOMERS, _BAYES,
-        query="""
+    **dict.fromkeys(
+        ("train_nb_score", "train_nb_table_score"),
+        with_views(
+            CUSTOMERS, _BAYES,
+            query="""
 SELECT customerid, churn, round(round(1 / (1 + exp(-(gap + (SELECT ln(sum(churn)::DOUBLE / (count(*) - sum(churn))) FROM built WHERE train)))), 10), 6)
        AS predicted_probability FROM odds""",
+        ),
     ),
+    "category_numbers": """
+WITH place AS (
+  UNPIVOT (SELECT p_name, p_brand, p_type FROM part) ON p_name, p_brand, p_type INTO NAME column_name VALUE label
+)
+SELECT DISTINCT column_name AS "column", label, dense_rank() OVER (PARTITION BY column_name ORDER BY label) - 1 AS number FROM place""",
     "imputed_scaled": with_views(
         CUSTOMERS,
         """gaps AS (SELECT customerid, CASE WHEN customerid % 5 <> 0 THEN age END AS age,
