@@ -21,6 +21,7 @@ from cohorta.operators.metrics import ranked, roc_auc_value
 from cohorta.operators.prefix import quantile_cuts
 from cohorta.operators.ranks import percentile_columns, value_positions
 from cohorta.operators.validation import with_reasons
+from cohorta.session import materialize
 
 PROBABILITY = "predicted_probability"
 PREDICTED = "predicted_class"
@@ -37,25 +38,15 @@ def report_keys(time_column: str) -> list[str]:
     return [PERIOD, VERSION, time_column]
 
 
-MOST_VERSIONS = 10_000  # a report is about registered model versions; more is a wrong column
-
-
 @dataclass(frozen=True)
 class Cohort:
-    """Checked rows and, per model version, the first and last period they cover."""
+    """Checked rows and a written table of the periods each model version covers (first, last)."""
 
     rows: DataFrame
-    spans: dict[int, tuple]
-
-    def only(self, versions: Iterable[int]) -> Cohort:
-        kept = {v: self.spans[v] for v in versions if v in self.spans}
-        return Cohort(self.rows.where(F.col(VERSION).isin(sorted(kept))), kept)
+    versions: DataFrame
 
-    def first(self):
-        return min((low for low, _ in self.spans.values() if low is not None), default=None)
-
-    def last(self):
-        return max((high for _, high in self.spans.values() if high is not None), default=None)
+    def only(self, versions: DataFrame) -> Cohort:
+        return Cohort(keep_versions(self.rows, versions), keep_versions(self.versions, versions))
 
 
 def check_cohort(
@@ -71,7 +62,8 @@ def check_cohort(
     """Normalised, checked cohort with source, period and truncated time.
 
     All value checks and the covered time spans come from one map-side aggregate per model
-    version. Feature columns are replaced by their contract-typed form.
+    version, which is written, whatever the number of versions; the driver gets its sums. Feature
+    columns are replaced by their contract-typed form.
     """
     time, target = use_case.time_column, use_case.target_column
     cohort = normalize_names(df)
@@ -107,23 +99,25 @@ def check_cohort(
     if require_target:
         wanted += [F.min(target).alias("low"), F.max(target).alias("high")]
     by_version = cohort.groupBy(F.col(VERSION).try_cast("int").alias(VERSION)).agg(*wanted)
-    found = by_version.limit(MOST_VERSIONS + 1).collect()
-    if len(found) > MOST_VERSIONS:
-        raise ValueError(f"{name} cohort has over {MOST_VERSIONS} model versions; check the column.")
+    spans = materialize(by_version, "versions")
+    sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(len(checks))]
+    if require_target:
+        sums += [F.min("low").alias("low"), F.max("high").alias("high")]
+    found = spans.agg(F.count_if(F.col(VERSION).isNull()).alias("unnamed"), *sums).first()
 
-    broken = {label: sum(row[f"c{i}"] for row in found) for i, label in enumerate(checks)}
-    broken["missing model version"] = sum(row[VERSION] is None for row in found)
+    broken = {label: found[f"c{i}"] for i, label in enumerate(checks)}
+    broken["missing model version"] = found["unnamed"]
     broken = {label: count for label, count in broken.items() if count}
     if broken:
         raise ValueError(f"{name} cohort is invalid: {broken}.")
-    if require_target and min(r["low"] for r in found) == max(r["high"] for r in found):
+    if require_target and found["low"] == found["high"]:
         raise ValueError(f"{name} cohort needs both target classes.")
 
     casts[time] = moment
     rows = cohort.withColumns(casts).select(
         F.lit(source).alias(SOURCE), F.lit(name).alias(PERIOD), *cohort.columns
     )
-    return Cohort(rows, {row[VERSION]: (row["first"], row["last"]) for row in found})
+    return Cohort(rows, spans.select(VERSION, "first", "last"))
 
 
 def prepare_cohort(df: DataFrame, name: str, source: str, use_case: UseCase, **options) -> DataFrame:

@@ -16,7 +16,10 @@ from cohorta.operators.cohorts import (
     VERSION,
     base_summary,
     check_cohort,
+    common_versions,
+    filter_version,
     operational_summary,
+    overlap_guard,
     quarantine_errors,
     realized_metrics,
     report_keys,
@@ -31,6 +34,7 @@ from cohorta.operators.drift import (
 from cohorta.operators.joins import full_outer_all, join_on_keys
 from cohorta.operators.prefix import quantile_cuts
 from cohorta.operators.scores import fit_calibrators
+from cohorta.session import materialize
 
 DECIMALS = 4
 
@@ -97,8 +101,8 @@ def build_report(
     """One row per (source, period, version, time) present in either cohort.
 
     Actions run while the plan is built: one check aggregate per cohort, cut points, and the
-    drift fits. Versions and the overlap of the periods come out of the checks. The report
-    itself stays lazy.
+    drift fits. The checks write a table of versions; common versions and the overlap of the
+    periods follow from these tables. The report itself stays lazy.
     """
     for source in (source_reference, source_analysis):
         if source not in SOURCES:
@@ -115,16 +119,17 @@ def build_report(
         failed = check_cohort(
             errors, "analysis", source_analysis, use_case, require_predictions=False, period=period
         )
-    versions = sorted(set(before.spans) & set(after.spans))
-    if model_version is not None:
-        versions = [v for v in versions if v == model_version]
-        failed = failed.only([model_version]) if failed is not None else None
-    if not versions:
+    shared_versions = filter_version(common_versions(before.versions, after.versions), model_version)
+    versions = materialize(shared_versions, "common")
+    if versions.isEmpty():
         raise ValueError("The reference and analysis cohorts share no model version.")
+    if failed is not None and model_version is not None:
+        failed = failed.only(versions)
     before, after = before.only(versions), after.only(versions)
 
-    starts = [c.first() for c in (after, failed) if c is not None and c.first() is not None]
-    if drift and before.last() is not None and starts and min(starts) <= before.last():
+    ends, starts = before.versions.select(F.col("last").alias(time)), after.versions.select(F.col("first").alias(time))
+    others = failed.versions.select(F.col("first").alias(time)) if failed is not None else None
+    if drift and overlap_guard(ends, starts, others, time).first()["overlaps"]:
         drift = False
 
     keys = report_keys(time)

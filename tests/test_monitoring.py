@@ -334,3 +334,15 @@ def test_second_contract_end_to_end(spark):
     rows = build_report(reference, analysis, V.REQUESTS, errors=errors, period="day").collect()
     assert {r["period"] for r in rows} == {"reference", "analysis"}
     assert all(r["api_request_count"] for r in rows if r["period"] == "analysis")
+
+
+def test_versions_are_a_table(spark, reference, analysis):
+    """A cohort may have any number of versions; only common ones are reported."""
+    many = reference.crossJoin(spark.range(12_000).select(F.col("id").cast("int").alias("v")))
+    shifted = many.withColumn("model_version", F.col("v") + F.lit(100)).drop("v")
+    both = reference.unionByName(shifted)
+    checked = C.check_cohort(both, "reference", "batch", CHURN, require_target=True)
+    assert checked.versions.count() == 12_000 + reference.select("model_version").distinct().count()
+    report = build_report(both, analysis, CHURN, source_analysis="batch", drift=False)
+    alone = build_report(reference, analysis, CHURN, source_analysis="batch", drift=False)
+    assert report.collect() == alone.collect()
