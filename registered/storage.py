@@ -12,6 +12,7 @@ from cohorta.plans.ingest import ingest_events, malformed_folder, with_reference
 from cohorta.plans.replay import ingest_log, read_ingested, read_malformed
 from cohorta.session import new_workspace
 from cohorta.sources import delimited, events, monthly, splits
+from cohorta.sources.registry import ModelRegistry
 from registered.derived import API, CUSTOMERS, SCORED, with_views
 from registered.metrics import BINS, THRESHOLD, P, Y, rounded
 
@@ -203,6 +204,20 @@ def replayed_logs(spark, sf_dir):
     return good.unionByName(bad).groupBy("log", "year", "month").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def alias_metrics(spark, sf_dir):
+    """Both model versions registered with their figures, the more accurate one promoted last."""
+    scored = V.scored(spark, sf_dir)
+    gap, hit = F.col(P) - F.col(Y), (F.col("predicted_class") == F.col(Y)).cast("double")
+    figures = scored.groupBy("model_version").agg(F.avg(gap * gap).alias("brier"), F.avg(hit).alias("accuracy"))
+    registry = ModelRegistry(spark, new_workspace(spark, "registry"))
+    for row in figures.orderBy("accuracy").collect():  # one row a model version
+        values = {"brier": row["brier"], "accuracy": row["accuracy"]}
+        number = registry.register("returns", f"run-{row['model_version']}", "returns", 0.5, "", values)
+        registry.promote("returns", number, True)
+    found = R.metrics_by_alias(registry.alias_history(), registry.versions(), registry.metrics())
+    return rounded(found)
+
+
 def loaded_sides(spark, sf_dir):
     """A log with cut-off lines as monitoring loads it: events, and lines kept as text."""
     folder = new_workspace(spark, "loaded")
@@ -310,6 +325,7 @@ QUERIES = {
     "ingested_sides": ingested_sides,
     "malformed_by_log": malformed_by_log,
     "replayed_logs": replayed_logs,
+    "alias_metrics": alias_metrics,
     "loaded_sides": loaded_sides,
     "json_csv_sides": json_csv_sides,
     "reference_dates": reference_dates,
@@ -430,6 +446,22 @@ FROM api_events WHERE event = 'prediction' GROUP BY ALL""",
         API,
         query="SELECT (event_id % 2)::INTEGER AS log, count(*) AS rows FROM api_events WHERE event = 'prediction' AND event_id % 7 = 0 GROUP BY ALL",
     ),
+    "alias_metrics": with_views(
+        SCORED,
+        query="""
+, figures AS (
+  SELECT model_version, avg((predicted_probability - returned) * (predicted_probability - returned)) AS brier,
+         avg((predicted_class = returned)::INTEGER) AS accuracy
+  FROM scored GROUP BY model_version
+),
+placed AS (SELECT *, row_number() OVER (ORDER BY accuracy DESC) AS place FROM figures),
+long AS (
+  SELECT place, 'brier' AS metric, brier AS value FROM placed UNION ALL SELECT place, 'accuracy', accuracy FROM placed
+)
+SELECT 'returns' AS model_name, CASE place WHEN 1 THEN 'champion' ELSE 'former_champion' END AS alias, metric,
+       round(round(value, 10), 6) AS value
+FROM long""",
+    ),
     "replayed_logs": with_views(
         API,
         query="""
