@@ -8,7 +8,7 @@ from cohorta.contracts import CHURN
 from cohorta.operators import metrics as M
 from cohorta.operators import promotion as R
 from cohorta.plans import views as V
-from cohorta.plans.ingest import ingest_events, malformed_folder, with_reference_dates
+from cohorta.plans.ingest import ingest_events, ingest_runs, malformed_folder, with_reference_dates
 from cohorta.plans.replay import ingest_log, read_ingested, read_malformed
 from cohorta.session import new_workspace
 from cohorta.sources import delimited, events, monthly, splits
@@ -68,6 +68,14 @@ def split_metadata(spark, sf_dir):
     return splits.split_metadata(splits.with_split(rows, TIME, SPLIT), TIME)
 
 
+def split_record(spark, sf_dir):
+    """The record beside a written split, read again."""
+    path, target = _dataset(spark, sf_dir), new_workspace(spark, "splits")
+    splits.create_split(spark, path, TIME, START, SPLIT, END, target, "oot")
+    found = splits.read_split_metadata(spark, target, "oot")
+    return spark.createDataFrame([tuple(found.values())], list(found))
+
+
 def raw_csv_round_trip(spark, sf_dir):
     """Customers written as CSV with untidy headers, some rows empty but for the key, read back."""
     path = new_workspace(spark, "raw")
@@ -118,6 +126,18 @@ def _log(spark, sf_dir, kind):
     return path
 
 
+def ingested_runs(spark, sf_dir):
+    """Numbered files of valid customers brought into a monthly dataset, twice."""
+    path, dataset = new_workspace(spark, "runs"), new_workspace(spark, "ingested")
+    rows = V.valid_customers(spark, sf_dir)
+    for number, part in ((3, 0), (7, 1)):
+        delimited.write_csv(rows.where(F.col("customerid") % 2 == part), f"{path}/{number:04d}_sample_predictions.csv")
+    for _ in range(2):
+        ingest_runs(spark, path, dataset, CHURN)
+    found = monthly.read_monthly(spark, dataset, TIME)
+    return found.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"), F.sum("age").alias("ages"))
+
+
 def flatten_event_features(spark, sf_dir):
     """Prediction events written as JSON lines and read back flat."""
     log = _log(spark, sf_dir, events.PREDICTION)
@@ -318,7 +338,9 @@ QUERIES = {
     "oot_split": oot_split,
     "split_metadata": split_metadata,
     "raw_csv_round_trip": raw_csv_round_trip,
+    "split_record": split_record,
     "run_files": run_files,
+    "ingested_runs": ingested_runs,
     "flatten_event_features": flatten_event_features,
     "error_event_log": error_event_log,
     "ingested_events": ingested_events,
@@ -414,6 +436,23 @@ FROM valid_customers WHERE {_RANGE}""",
         CUSTOMERS,
         query="SELECT customerid, age, total_spend, contract_length FROM customers WHERE customerid % 10 <> 0",
     ),
+    "split_record": with_views(
+        CUSTOMERS,
+        query=f"""
+, side AS (SELECT {_SIDE} AS train, reference_date AS t FROM valid_customers WHERE {_RANGE}),
+found AS (
+  SELECT train, count(*)::VARCHAR AS n, strftime(min(t), '%Y-%m-%dT%H:%M:%S') AS low, strftime(max(t), '%Y-%m-%dT%H:%M:%S') AS high
+  FROM side GROUP BY train
+)
+SELECT a.n AS train_rows, a.low AS train_start, a.high AS train_end, b.n AS test_rows, b.low AS test_start, b.high AS test_end
+FROM found a, found b WHERE a.train AND NOT b.train""",
+    ),
+    "ingested_runs": with_views(
+        CUSTOMERS,
+        query="""
+SELECT year(reference_date)::INTEGER AS year, month(reference_date)::INTEGER AS month, count(*) AS rows, sum(age)::BIGINT AS ages
+FROM valid_customers GROUP BY ALL""",
+    ),
     "run_files": with_views(
         CUSTOMERS,
         query="SELECT customerid, churn, CASE WHEN customerid % 2 = 0 THEN '0001' ELSE '0042' END AS run_id FROM customers",
