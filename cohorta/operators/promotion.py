@@ -110,9 +110,12 @@ def promotion_decisions(
 
 
 def current_aliases(history: DataFrame) -> DataFrame:
-    """Latest version per (model_name, alias) of an append-only alias history."""
+    """Latest version per (model_name, alias) of an append-only alias history.
+
+    Of versions assigned at one time the highest number counts, whatever the order of the rows.
+    """
     return history.groupBy("model_name", "alias").agg(
-        F.max_by("model_version", "assigned_at").alias("model_version"),
+        F.max_by("model_version", F.struct("assigned_at", "model_version")).alias("model_version"),
         F.max("assigned_at").alias("assigned_at"),
     )
 
