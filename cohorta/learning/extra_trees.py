@@ -1,10 +1,11 @@
 """Extremely randomised trees, grown level by level, all trees in one job.
 
 Each node tries a few features with one random cut each, uniform between the node's smallest and largest value,
-and takes the one that lowers the Gini impurity most. A level takes two aggregates over the rows: the ranges of
-the open nodes' features, then the class counts on both sides of every cut. Draws are hashes of (seed, tree,
-node), so they depend on nothing else. The forest itself, and a level's counts, are on the driver: bound the
-depth or the leaf size where there are many rows.
+and takes the one that lowers the Gini impurity most. A level takes two jobs over the rows: the ranges of
+the open nodes' features, by which a node's cuts are drawn, then the class counts on both sides of every cut, by
+which one is chosen; both are decided where a node's partial sums meet, and for all rows of a block at once.
+Draws are hashes of (seed, tree, node), so they depend on nothing else. The forest itself, and a level's cuts, are
+on the driver as arrays: bound the depth or the leaf size where there are many rows.
 """
 
 from __future__ import annotations
@@ -21,19 +22,21 @@ from pyspark.sql import functions as F
 
 from cohorta.learning.classifiers import BinaryEstimator
 from cohorta.learning.stages import _Fitted
-from cohorta.session import materialize
+from cohorta.session import default_buckets, materialize
 
-EMPTY = {"feature": [-1], "cut": [0.0], "left": [-1], "right": [-1]}
+BLOCK_ROWS = 65_536  # rows a task looks at together
+LEAST_ROWS = 2_000  # of a partition, where there are cores for more
+NO_SPLITS = pa.table({"t": np.zeros(0, np.int32), "node": np.zeros(0, np.int64), "feature": np.zeros(0, np.int32), "cut": np.zeros(0)})
 
 
-def route(tree: dict, x: np.ndarray) -> np.ndarray:
-    """Node each row ends in."""
-    feature, cut, left, right = (np.array(tree[k]) for k in ("feature", "cut", "left", "right"))
+def _route(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """Node each row ends in; a node's right child follows the left one."""
+    feature, cut, left = tree["feature"], tree["cut"], tree["left"]
     at = np.zeros(len(x), np.int64)
     going = np.arange(len(x)) if feature[0] >= 0 else np.zeros(0, np.int64)
     while len(going):
         node = at[going]
-        at[going] = np.where(x[going, feature[node]] <= cut[node], left[node], right[node])
+        at[going] = left[node] + (x[going, feature[node]] > cut[node])
         going = going[feature[at[going]] >= 0]
     return at
 
@@ -54,88 +57,202 @@ def gini_gain(left: np.ndarray, whole: np.ndarray) -> float:
     return float(impure(whole) - impure(left) - impure(whole - left))
 
 
-def _batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _gini_gains(left: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """`gini_gain` of many cuts at once: (nodes, cuts, 2) counts on the left, (nodes, 2) of the nodes."""
+
+    def impure(c: np.ndarray) -> np.ndarray:
+        n = c.sum(axis=-1)
+        return n - (c**2).sum(axis=-1) / np.maximum(n, 1)
+
+    return impure(whole)[:, None] - impure(left) - impure(whole[:, None] - left)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features and labels, up to BLOCK_ROWS rows at once."""
+
+    def joined(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    held, rows = [], 0
     for batch in batches:
-        yield np.asarray(batch.column(0).flatten()).reshape(-1, width), np.asarray(batch.column(1)).astype(np.int64)
+        for low in range(0, batch.num_rows, BLOCK_ROWS):
+            part = batch.slice(low, BLOCK_ROWS)
+            if held and rows + part.num_rows > BLOCK_ROWS:
+                yield joined(held)
+                held, rows = [], 0
+            x = np.asarray(part.column(0).flatten()).reshape(-1, width)
+            held.append((x, np.asarray(part.column(1)).astype(np.int64)))
+            rows += part.num_rows
+    if held:
+        yield joined(held)
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    """A matrix as a column of lists."""
+    offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(values).ravel()))
+
+
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return np.asarray(column.combine_chunks().flatten()).reshape(-1, width)
+
+
+def _sorted_nodes(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the rows by node, the nodes, and where each starts in that order."""
+    node = table["node"].to_numpy()
+    order = np.argsort(node, kind="stable")
+    nodes, starts = np.unique(node[order], return_index=True)
+    return order, nodes, starts
 
 
-def _open_rows(forest: list[dict], open_: list[list[int]], x: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(tree, node, rows) for the open nodes that have rows."""
-    for t, nodes in enumerate(open_):
-        if nodes:
-            at = route(forest[t], x)
-            order = np.argsort(at, kind="stable")
-            starts = np.searchsorted(at[order], nodes), np.searchsorted(at[order], nodes, side="right")
-            for node, a, b in zip(nodes, *starts, strict=True):
-                if b > a:
-                    yield t, node, order[a:b]
+class Forest:
+    """The trees while they grow, as arrays; the nodes of the last level are those from `first` on."""
 
+    def __init__(self, count: int):
+        self.trees = [{"feature": np.full(1, -1), "cut": np.zeros(1), "left": np.full(1, -1), "share": np.zeros(1)} for _ in range(count)]
+        self.first = [0] * count
 
-def node_ranges(rows: DataFrame, forest: list[dict], open_: list[list[int]], width: int) -> dict[tuple[int, int], tuple]:
-    """Class counts, smallest and largest feature values of every open node."""
+    def open(self) -> bool:
+        return any(len(t["feature"]) > first for t, first in zip(self.trees, self.first))
+
+    def split(self, found: pa.Table) -> None:
+        """Split nodes of the last level as (t, node, feature, cut) say; their children are the next level."""
+        tree, node = found["t"].to_numpy(), found["node"].to_numpy()
+        order = np.lexsort((node, tree))
+        feature, cut = found["feature"].to_numpy()[order], found["cut"].to_numpy()[order]
+        tree, node = tree[order], node[order]
+        ends = np.searchsorted(tree, np.arange(len(self.trees) + 1))
+        for t, own in enumerate(self.trees):
+            part = slice(ends[t], ends[t + 1])
+            made, new = len(own["feature"]), 2 * (ends[t + 1] - ends[t])
+            own["feature"][node[part]], own["cut"][node[part]] = feature[part], cut[part]
+            own["left"][node[part]] = made + 2 * np.arange(new // 2)
+            for name, value in (("feature", -1), ("cut", 0.0), ("left", -1), ("share", 0.0)):
+                own[name] = np.concatenate((own[name], np.full(new, value, own[name].dtype)))
+            self.first[t] = made
+
+
+def _open_rows(forest: Forest, x: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per tree the rows that are in its last level, and their places in that level."""
+    for t, (tree, first) in enumerate(zip(forest.trees, forest.first)):
+        if len(tree["feature"]) > first:
+            at = _route(tree, x) - first
+            rows = np.flatnonzero(at >= 0)
+            if len(rows):
+                yield t, rows, at[rows]
+
+
+def _by_node(parts: DataFrame, shards: int):
+    """Partial sums of the level's nodes in groups that hold whole nodes, none of them many."""
+    return parts.groupBy("t", (F.col("node") % shards).alias("shard"))
+
+
+def level_tries(rows: DataFrame, sent, seed: int, wanted: int, least: int, grows: bool, width: int, shards: int) -> pa.Table:
+    """Per node of the last level its class counts and, if it may be split, the features and cuts it tries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[int, int], list] = {}
-        for x, y in _batches(batches, width):
-            for t, node, own in _open_rows(forest, open_, x):
-                part, ones = x[own], int(y[own].sum())
-                old = found.get((t, node))
-                low, high = part.min(axis=0), part.max(axis=0)
-                if old:
-                    low, high = np.minimum(low, old[2]), np.maximum(high, old[3])
-                    found[t, node] = [old[0] + len(own) - ones, old[1] + ones, low, high]
-                else:
-                    found[t, node] = [len(own) - ones, ones, low, high]
-        keys = list(found)
-        columns = {
-            "t": pa.array([k[0] for k in keys], pa.int32()), "node": pa.array([k[1] for k in keys], pa.int64()),
-            "n0": pa.array([found[k][0] for k in keys], pa.int64()), "n1": pa.array([found[k][1] for k in keys], pa.int64()),
-            "low": pa.array([found[k][2].tolist() for k in keys], pa.list_(pa.float64())),
-            "high": pa.array([found[k][3].tolist() for k in keys], pa.list_(pa.float64())),
-        }
-        yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+        forest = sent.value
+        for x, y in _blocks(batches, width):
+            for t, own, place in _open_rows(forest, x):
+                order = np.argsort(place, kind="stable")
+                nodes, starts = np.unique(place[order], return_index=True)
+                part = x[own[order]]
+                ones = np.add.reduceat(y[own[order]], starts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(nodes), t, np.int32)), pa.array(nodes + forest.first[t]),
+                        pa.array(np.diff(np.append(starts, len(place))) - ones), pa.array(ones),
+                        _lists(np.minimum.reduceat(part, starts)), _lists(np.maximum.reduceat(part, starts)),
+                    ],
+                    ["t", "node", "n0", "n1", "low", "high"],
+                )
+
+    def draw(table: pa.Table) -> pa.Table:
+        order, nodes, starts = _sorted_nodes(table)
+        t = table["t"][0].as_py()
+        n0, n1 = (np.add.reduceat(table[c].to_numpy()[order], starts) for c in ("n0", "n1"))
+        low = np.minimum.reduceat(_matrix(table["low"], width)[order], starts)
+        high = np.maximum.reduceat(_matrix(table["high"], width)[order], starts)
+        splits = grows & (n0 > 0) & (n1 > 0) & (n0 + n1 >= 2 * least)
+        pairs = [tried(seed, t, int(node), low[i], high[i], wanted) if splits[i] else [] for i, node in enumerate(nodes)]
+        return pa.table({
+            "t": pa.array(np.full(len(nodes), t, np.int32)), "node": pa.array(nodes), "n0": pa.array(n0), "n1": pa.array(n1),
+            "feature": pa.array([[f for f, _ in p] for p in pairs], pa.list_(pa.int32())),
+            "cut": pa.array([[c for _, c in p] for p in pairs], pa.list_(pa.float64())),
+        })
 
     parts = rows.mapInArrow(run, "t int, node bigint, n0 bigint, n1 bigint, low array<double>, high array<double>")
-    ends = [F.array(*[f(F.col(name)[i]) for i in range(width)]).alias(name) for f, name in ((F.min, "low"), (F.max, "high"))]
-    whole = parts.groupBy("t", "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), *ends)
-    return {
-        (r["t"], r["node"]): (np.array([r["n0"], r["n1"]]), np.array(r["low"]), np.array(r["high"])) for r in whole.toLocalIterator()
-    }
+    schema = "t int, node bigint, n0 bigint, n1 bigint, feature array<int>, cut array<double>"
+    return _by_node(parts, shards).applyInArrow(lambda table: draw(table), schema).toArrow()
+
+
+def _padded(found: pa.Table, forest: Forest, wanted: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per tree and place in the last level: class counts, features (-1: none) and cuts that are tried."""
+    tree, node = found["t"].to_numpy(), found["node"].to_numpy()
+    order = np.lexsort((node, tree))
+    whole = np.column_stack((found["n0"].to_numpy(), found["n1"].to_numpy()))[order]
+    lists = found["feature"].combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    at = np.repeat(np.arange(len(sizes)), sizes), np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    feature, cut = np.full((len(sizes), wanted), -1, np.int32), np.zeros((len(sizes), wanted))
+    feature[at], cut[at] = lists.flatten().to_numpy(), found["cut"].combine_chunks().flatten().to_numpy()
+    feature, cut = feature[order], cut[order]
+    ends = np.searchsorted(tree[order], np.arange(len(forest.trees) + 1))
+    return [(whole[a:b], feature[a:b], cut[a:b]) for a, b in zip(ends, ends[1:])]
 
 
-def left_counts(rows: DataFrame, forest: list[dict], tries: dict[tuple[int, int], list], width: int) -> dict[tuple[int, int, int], np.ndarray]:
-    """Class counts on the left of every cut that is tried."""
-    open_ = [sorted(n for t, n in tries if t == tree) for tree in range(len(forest))]
+def level_splits(rows: DataFrame, sent, tries, least: int, width: int, shards: int) -> pa.Table:
+    """(t, node, feature, cut): the cut each node takes of those it tries; none if it stays a leaf."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, int, int], np.ndarray] = {}
-        for x, y in _batches(batches, width):
-            for t, node, own in _open_rows(forest, open_, x):
-                for k, (feature, cut) in enumerate(tries[t, node]):
-                    left = y[own][x[own, feature] <= cut]
-                    sums[t, node, k] = sums.get((t, node, k), 0) + np.array([len(left) - left.sum(), left.sum()])
-        keys = list(sums)
-        columns = [
-            pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.int32()),
-            pa.array([int(sums[k][0]) for k in keys], pa.int64()), pa.array([int(sums[k][1]) for k in keys], pa.int64()),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, ["t", "node", "k", "n0", "n1"])
-
-    parts = rows.mapInArrow(run, "t int, node bigint, k int, n0 bigint, n1 bigint")
-    whole = parts.groupBy("t", "node", "k").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    return {(r["t"], r["node"], r["k"]): np.array([r["n0"], r["n1"]]) for r in whole.toLocalIterator()}
+        forest = sent.value
+        for x, y in _blocks(batches, width):
+            for t, own, place in _open_rows(forest, x):
+                _, feature, cut = tries.value[t]
+                some = feature[place, 0] >= 0
+                own, place = own[some], place[some]
+                if not len(own):
+                    continue
+                nodes, short = np.unique(place, return_inverse=True)
+                left = np.zeros((len(nodes), feature.shape[1], 2), np.int64)
+                for k in range(feature.shape[1]):
+                    under = (feature[place, k] >= 0) & (x[own, feature[place, k]] <= cut[place, k])
+                    cells = np.bincount(2 * short[under] + y[own[under]], minlength=2 * len(nodes))
+                    left[:, k] = cells.reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(nodes), t, np.int32)), pa.array(nodes + forest.first[t]), _lists(left.reshape(len(nodes), -1))], ["t", "node", "left"]
+                )
+
+    def choose(table: pa.Table) -> pa.Table:
+        order, nodes, starts = _sorted_nodes(table)
+        t = table["t"][0].as_py()
+        whole, feature, cut = (a[nodes - sent.value.first[t]] for a in tries.value[t])
+        left = np.add.reduceat(_matrix(table["left"], 2 * feature.shape[1])[order], starts).reshape(*feature.shape, 2)
+        n, under = whole.sum(axis=1)[:, None], left.sum(axis=2)
+        gain = np.where((feature >= 0) & (np.minimum(under, n - under) >= least), _gini_gains(left, whole), -np.inf)
+        best = gain.argmax(axis=1)  # the first one of equals
+        at = np.arange(len(nodes)), best
+        taken = gain[at] > -np.inf
+        columns = np.full(len(nodes), t, np.int32), nodes, feature[at].astype(np.int32), cut[at]
+        return pa.table({name: pa.array(c[taken]) for name, c in zip(("t", "node", "feature", "cut"), columns)})
+
+    parts = rows.mapInArrow(run, "t int, node bigint, left array<bigint>")
+    return _by_node(parts, shards).applyInArrow(lambda table: choose(table), "t int, node bigint, feature int, cut double").toArrow()
 
 
 class ExtraTreesModel(_Fitted):
     """Mean over the trees of the share of class 1 in the leaf."""
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        trees = self.fitted()["trees"]
+        kinds = {"feature": np.int32, "cut": np.float64, "left": np.int32, "share": np.float64}
+        trees = [{name: np.array(t[name], kind) for name, kind in kinds.items()} for t in self.fitted()["trees"]]
+        sent = dataset.sparkSession.sparkContext.broadcast(trees)
 
         @F.pandas_udf("double")
         def mean(values: pd.Series) -> pd.Series:
             rows = np.stack(values.to_list()) if len(values) else np.zeros((0, 1))
-            return pd.Series(sum((np.array(t["share"])[route(t, rows)] for t in trees), np.zeros(len(rows))) / len(trees))
+            trees = sent.value
+            return pd.Series(sum((t["share"][_route(t, rows)] for t in trees), np.zeros(len(rows))) / len(trees))
 
         scored = dataset.withColumn("_p", mean(vector_to_array("features")))
         vector = array_to_vector(F.array(1 - F.col("_p"), F.col("_p")))
@@ -150,40 +267,35 @@ class ExtraTrees(BinaryEstimator):
     def _fit(self, dataset: DataFrame) -> ExtraTreesModel:
         count, deepest = self.setting("n_estimators", 100), self.setting("max_depth", None)
         least, seed = self.setting("min_samples_leaf", 1), self.setting("random_state", 0)
-        label = F.col(self.getLabelCol()).cast("int")
+        spark, label = dataset.sparkSession, F.col(self.getLabelCol()).cast("int")
         rows = materialize(dataset.select(vector_to_array("features").alias("x"), label.alias("y")), "extra-trees")
-        width = rows.agg(F.max(F.size("x"))).first()[0]
+        about = rows.agg(F.max(F.size("x")).alias("width"), F.count("*").alias("n")).first()
+        width, n = about["width"], about["n"]
         if not width:
             raise ValueError("There are no training rows.")
         wanted = {"sqrt": int(math.sqrt(width)), "log2": int(math.log2(width)), None: width}[self.setting("max_features", "sqrt")]
-        forest = [{k: list(v) for k, v in EMPTY.items()} | {"share": [0.0]} for _ in range(count)]
-        open_ = [[0] for _ in range(count)]
-        depth = 0
-        while any(open_):
-            known = node_ranges(rows, forest, open_, width)
-            tries = {}
-            for (t, node), (classes, low, high) in known.items():
-                forest[t]["share"][node] = float(classes[1] / classes.sum())
-                if classes.min() and classes.sum() >= 2 * least and (deepest is None or depth < deepest):
-                    tries[t, node] = tried(seed, t, node, low, high, max(1, wanted))
-            counts = left_counts(rows, forest, {k: v for k, v in tries.items() if v}, width) if any(tries.values()) else {}
-            open_ = [[] for _ in range(count)]
-            for (t, node), pairs in sorted(tries.items()):
-                whole, best = known[t, node][0], None
-                for k, (feature, cut) in enumerate(pairs):
-                    left = counts.get((t, node, k), np.zeros(2, np.int64))
-                    if min(left.sum(), (whole - left).sum()) < least:
-                        continue
-                    gain = gini_gain(left, whole)
-                    if best is None or gain > best[0]:
-                        best = gain, feature, cut
-                if best is not None:
-                    tree = forest[t]
-                    tree["feature"][node], tree["cut"][node] = best[1], best[2]
-                    for side in ("left", "right"):
-                        tree[side][node] = len(tree["feature"])
-                        for name, value in (("feature", -1), ("cut", 0.0), ("left", -1), ("right", -1), ("share", 0.0)):
-                            tree[name].append(value)
-                        open_[t].append(tree[side][node])
+        # as many partitions as rows fill, but work for all cores: every level reads them twice
+        parts = max(1 + n // BLOCK_ROWS, min(default_buckets(spark), 1 + n // LEAST_ROWS))
+        rows, shards = materialize(rows.repartition(parts), "extra-trees"), 1 + n // BLOCK_ROWS
+        forest = Forest(count)
+        depth, wanted = 0, max(1, wanted)
+        while forest.open():
+            sent = spark.sparkContext.broadcast(forest)
+            grows = deepest is None or depth < deepest
+            found = level_tries(rows, sent, seed, wanted, least, grows, width, shards)
+            tries = _padded(found, forest, wanted)
+            for tree, first, (whole, _, _) in zip(forest.trees, forest.first, tries):
+                tree["share"][first:] = whole[:, 1] / whole.sum(axis=1)
+            some = any((feature >= 0).any() for _, feature, _ in tries)
+            asked = spark.sparkContext.broadcast(tries)
+            splits = level_splits(rows, sent, asked, least, width, shards) if some else NO_SPLITS
+            forest.split(splits)
+            sent.destroy()
+            asked.destroy()
             depth += 1
-        return ExtraTreesModel({"trees": forest})
+        return ExtraTreesModel({"trees": [_lists_of(tree) for tree in forest.trees]})
+
+
+def _lists_of(tree: dict[str, np.ndarray]) -> dict[str, list]:
+    right = np.where(tree["left"] >= 0, tree["left"] + 1, -1)
+    return {name: values.tolist() for name, values in (tree | {"right": right}).items()}

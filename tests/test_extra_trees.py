@@ -63,3 +63,19 @@ def test_constant_features_saving_and_no_rows(spark, folder):
     assert ExtraTreesModel.load(f"{folder}/m").fitted() == model.fitted()
     with pytest.raises(ValueError):
         ExtraTrees(labelCol="label").fit(df.limit(0))
+
+
+def test_jobs_of_a_fit_do_not_grow_with_the_partitions(spark):
+    _, _, df = data(spark, 60)
+    held = {name: spark.conf.get(name) for name in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.sparkContext.setJobGroup("extra-trees-jobs", "")
+    try:
+        model = ExtraTrees(labelCol="label", n_estimators=2, max_depth=3).fit(df)
+    finally:
+        spark.sparkContext.setJobGroup("other", "")
+        for name, value in held.items():
+            spark.conf.set(name, value)
+    assert max(len(t["feature"]) for t in model.fitted()["trees"]) > 3
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("extra-trees-jobs")) < 40
