@@ -5,7 +5,7 @@ principal axis. A query first searches its own slice; the k-th distance found th
 how far along the axis a closer point can lie, so it visits only the slices inside that
 bound. The axis is a unit vector, so the projected gap never exceeds the true distance and no
 neighbour can be missed. Slices with many points and slices with many queries are split, so a
-task holds a bounded block of each.
+task holds a bounded block of each, and compares them by a matrix product first.
 """
 
 from __future__ import annotations
@@ -21,45 +21,70 @@ from pyspark.sql import functions as F
 from cohorta.learning.classifiers import BinaryEstimator, dot, numbers
 from cohorta.learning.stages import _Fitted
 from cohorta.operators.prefix import SLICE, quantile_cuts, with_slice
-from cohorta.session import default_buckets, new_workspace
+from cohorta.session import default_buckets, materialize, new_workspace
 
 POINTS_PER_TASK = 20_000
 QUERIES_PER_TASK = 20_000
 CELLS_PER_BLOCK = 2_000_000  # distances held at once inside a task
 
-_FOUND = "x array<double>, distance double, n bigint, pos bigint"
+SEEDS = 2_048  # points that bound a query's k-th distance first
+
+_FOUND = "q bigint, distance double, n bigint, pos bigint"
 
 
 def _position(x: Column, axis: list[float]) -> Column:
     return dot(numbers(axis), x)
 
 
+def _candidates(at: np.ndarray, among: np.ndarray, limit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, point, distance) of all pairs that can be among a query's k nearest within its limit.
+
+    A matrix product gives all squared distances up to rounding; pairs beyond the limit and a slack for that are
+    left out, the distances of the others are summed feature by feature.
+    """
+    own, other = (at**2).sum(axis=1), (among**2).sum(axis=1)
+    slack = 1e-10 * (own[:, None] + other[None, :])
+    squares = own[:, None] + other[None, :] - 2 * (at @ among.T)
+    most = limit**2 * (1 + 1e-12)
+    if not np.isfinite(most).all() and len(among) >= k:
+        first = max(SEEDS, 4 * k)
+        seeds = squares[:, :first] + slack[:, :first]
+        most = np.minimum(most, np.partition(seeds, k - 1, axis=1)[:, k - 1])
+    # what overflows is compared feature by feature, too
+    i, j = np.nonzero((squares <= most[:, None] + slack) | ~np.isfinite(squares))
+    exact = np.zeros(len(i))
+    for feature in range(at.shape[1]):
+        exact += (at[i, feature] - among[j, feature]) ** 2
+    return i, j, np.sqrt(exact)
+
+
 def _nearest(k: int):
     """Function of one (queries, points) block: per query the k smallest distances, ties pooled."""
 
     def search(key, queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"x": [], "distance": [], "n": [], "pos": []}
         if not len(queries) or not len(points):
-            return pd.DataFrame(out, dtype=object)
+            return pd.DataFrame({"q": [], "distance": [], "n": [], "pos": []}, dtype=object)
         at, among = np.stack(queries["x"].to_list()), np.stack(points["x"].to_list())
-        bound = queries["bound"].to_numpy(float)
+        bound, q = queries["bound"].to_numpy(float), queries["q"].to_numpy()
         n, pos = points["n"].to_numpy(), points["pos"].to_numpy()
         step = max(1, CELLS_PER_BLOCK // len(among))
+        found = []
         for start in range(0, len(at), step):
-            block = at[start : start + step]
-            squares = np.zeros((len(block), len(among)))
-            for j in range(at.shape[1]):
-                squares += (block[:, j, None] - among[None, :, j]) ** 2
-            distances = np.sqrt(squares)
-            for i, row in enumerate(distances):
-                limit = min(np.partition(row, min(k, len(row)) - 1)[min(k, len(row)) - 1], bound[start + i])
-                close = np.flatnonzero(row <= limit)
-                levels, group = np.unique(row[close], return_inverse=True)
-                out["x"] += [block[i]] * len(levels)
-                out["distance"] += levels.tolist()
-                out["n"] += np.bincount(group, n[close], len(levels)).astype(int).tolist()
-                out["pos"] += np.bincount(group, pos[close], len(levels)).astype(int).tolist()
-        return pd.DataFrame(out, dtype=None if out["x"] else object)
+            own = slice(start, start + step)
+            i, j, distance = _candidates(at[own], among, bound[own], k)
+            order = np.lexsort((distance, i))
+            i, j, distance = i[order], j[order], distance[order]
+            asked, first, count = np.unique(i, return_index=True, return_counts=True)
+            last = distance[first + np.minimum(k, count) - 1]
+            close = distance <= np.repeat(np.minimum(last, bound[own][asked]), count)
+            i, j, distance = i[close], j[close], distance[close]
+            if not len(i):
+                continue
+            new = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (distance[1:] != distance[:-1])))
+            found.append((q[own][i[new]], distance[new], np.add.reduceat(n[j], new), np.add.reduceat(pos[j], new)))
+        if not found:
+            return pd.DataFrame({"q": [], "distance": [], "n": [], "pos": []}, dtype=object)
+        return pd.DataFrame({name: np.concatenate(c) for name, c in zip(("q", "distance", "n", "pos"), zip(*found))})
 
     return search
 
@@ -69,8 +94,8 @@ def _closest(found: DataFrame, k: int) -> DataFrame:
 
     A query has at most k distances per visited block, so its window stays small.
     """
-    pooled = found.groupBy("x", "distance").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-    rising = W.partitionBy("x").orderBy("distance").rowsBetween(W.unboundedPreceding, -1)
+    pooled = found.groupBy("q", "distance").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    rising = W.partitionBy("q").orderBy("distance").rowsBetween(W.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n").over(rising), F.lit(0))
     taken = F.least(F.col("n"), F.greatest(F.lit(k) - before, F.lit(0)))
     return pooled.withColumn("taken", taken).where("taken > 0")
@@ -80,7 +105,7 @@ class NeighboursModel(_Fitted):
     """Votes of the nearest training points; points tied at the last place share it."""
 
     def _search(self, queries: DataFrame, points: DataFrame, parts: DataFrame) -> DataFrame:
-        """Search the slice each (x, slice, bound) query names."""
+        """Search the slice each (q, x, slice, bound) query names."""
         per_slice = queries.groupBy(SLICE).agg(
             F.ceil(F.count(F.lit(1)) / QUERIES_PER_TASK).cast("int").alias("chunks")
         ).join(parts, SLICE)
@@ -88,8 +113,8 @@ class NeighboursModel(_Fitted):
         chunk = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
         asked = (
             queries.join(per_slice, SLICE)
-            .withColumn("chunk", F.pmod(F.xxhash64("x"), F.col("chunks")).cast("int"))
-            .select("x", "bound", SLICE, "chunk", part.alias("part"))
+            .withColumn("chunk", F.pmod(F.xxhash64("q"), F.col("chunks")).cast("int"))
+            .select("q", "x", "bound", SLICE, "chunk", part.alias("part"))
         )
         offered = points.join(per_slice.select(SLICE, "chunks"), SLICE).select(
             "x", "n", "pos", SLICE, "part", chunk.alias("chunk")
@@ -108,15 +133,18 @@ class NeighboursModel(_Fitted):
         k, axis, cuts = state["k"], state["axis"], state["cuts"]
         points = spark.read.parquet(f"{state['path']}/points")
         parts = spark.read.parquet(f"{state['path']}/parts")
-        asked = vectors.withColumn("t", _position(F.col("x"), axis))
+        # written, so that a vector keeps its number; the neighbours found are told apart by it
+        known = materialize(vectors.withColumn("q", F.monotonically_increasing_id()), "asked")
+        asked = known.withColumn("t", _position(F.col("x"), axis))
         home = with_slice(asked, "t", cuts).withColumn("bound", F.lit(float("inf")))
         near = self._search(home, points, parts)
-        reach = _closest(near, k).groupBy("x").agg(
+        near = materialize(near, "near")
+        reach = _closest(near, k).groupBy("q").agg(
             F.max("distance").alias("reach"), F.sum("taken").alias("places")
         )
         # a full set of k places bounds the search; a slack covers rounding in the projection
         bound = F.when(F.col("places") >= k, F.col("reach") * (1 + 1e-9) + 1e-9).otherwise(float("inf"))
-        ranged = home.drop("bound").join(reach.select("x", bound.alias("bound")), "x")
+        ranged = home.drop("bound").join(reach.select("q", bound.alias("bound")), "q")
         for name, edge in (("_low", F.col("t") - F.col("bound")), ("_high", F.col("t") + F.col("bound"))):
             renamed = ranged.withColumnRenamed(SLICE, "_home")
             ranged = (
@@ -126,7 +154,7 @@ class NeighboursModel(_Fitted):
                 .drop("_edge")
             )
         elsewhere = ranged.select(
-            "x", "bound", F.col(SLICE).alias("_home"), F.explode(F.sequence("_low", "_high")).alias(SLICE)
+            "q", "x", "bound", F.col(SLICE).alias("_home"), F.explode(F.sequence("_low", "_high")).alias(SLICE)
         ).where(F.col("_home") != F.col(SLICE))
         found = near.unionByName(self._search(elsewhere.drop("_home"), points, parts))
         chosen = _closest(found, k)
@@ -141,7 +169,7 @@ class NeighboursModel(_Fitted):
             vote = F.when(exact, at_zero).otherwise(weighted)
         else:
             vote = F.sum(share) / F.sum("taken")
-        return chosen.groupBy("x").agg(vote.alias("_p"))
+        return known.join(chosen.groupBy("q").agg(vote.alias("_p")), "q").drop("q")
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         rows = dataset.withColumn("x", vector_to_array("features"))
