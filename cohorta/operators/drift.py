@@ -150,7 +150,8 @@ def bin_counts(
     """(keys, feature, bin, n) of numeric and categorical features: one pass over the rows.
 
     A bin is a struct of a number and a word, one of them null. The table of numeric ranges has
-    one row per version and feature. The counts are written out because shares, totals and
+    one row per version and feature and goes to all tasks: a shuffle would put all rows of a
+    version and feature into one. The counts are written out because shares, totals and
     reference bins all start from them; without that each would scan the rows again.
     """
     numbers = [
@@ -166,7 +167,7 @@ def bin_counts(
     number = F.lit(None).cast("double")
     if continuous:
         ranges = continuous_bins(cohorts.where(F.col(PERIOD) == REFERENCE), continuous)
-        long = long.join(ranges, [VERSION, "feature"], "left")
+        long = long.join(F.broadcast(ranges), [VERSION, "feature"], "left")
         number = _bin_number(F.col("number"))
     placed = long.select(
         *keys, "feature", F.struct(number.alias("number"), "word").alias("bin")
@@ -328,7 +329,7 @@ class ReconstructionDrift:
             for name in self.features
         }
         drop = [f"_fill_{name}" for name in self.features]
-        return df.join(fills, VERSION).withColumns(filled).drop(*drop)
+        return df.join(F.broadcast(fills), VERSION).withColumns(filled).drop(*drop)
 
     def _encoded(self, df: DataFrame) -> DataFrame:
         """Numbers as they are, categories as their row count in the reference (0 if unseen)."""
@@ -406,7 +407,8 @@ class ReconstructionDrift:
     def row_errors(self, df: DataFrame) -> DataFrame:
         """Euclidean distance of each standardised row to its projection on the kept axes."""
         width = len(self.features)
-        standard = self._encoded(df).join(self.model, VERSION)
+        # one row a version, which goes to all tasks: a shuffle would put all rows of a version into one
+        standard = self._encoded(df).join(F.broadcast(self.model), VERSION)
         z = {
             f"_z{i}": (F.col(n) - F.col("_mean")[i]) / F.col("_dev")[i]
             for i, n in enumerate(self.features)
