@@ -3,7 +3,7 @@
 The split pattern cuts a text into words. A partition's distinct words become rows (word, position,
 token), one a byte. A recursive query joins neighbours with the merge table, finds each word's
 smallest rank and contracts its leftmost pair of that rank, until no word has a pair left. Decoding
-is the ordered aggregation of the tokens' bytes.
+is the aggregation of the tokens' bytes, ordered by a query.
 
 A word of up to `SHORT_BYTES` bytes loses one row a round. A longer one (a run of a letter, a page of
 white space) would take as many rounds as it has bytes, so there the pairs of the smallest rank
@@ -11,7 +11,8 @@ further right are contracted in the same round if that is provably the same resu
 pair can only make a smaller rank possible for tokens marked `last_first` in the merge table, and for
 those only the leftmost pair is taken. A round's rows are kept until the query ends, so these queries
 run at most `ROUNDS` rounds and the next continues from the last state: memory stays proportional
-to the words. Words met before by the same worker are looked up in a bounded store.
+to the words. Words met before by the same worker are looked up in a bounded store;
+when it is full, those met in one block of texts only are forgotten.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from cohorta.llm.common import schema_with, without
 SHORT_BYTES = 48
 ROUNDS = 24
 BYTES_AT_ONCE = 1 << 17  # of words in one query
-STORE = 200_000  # words a worker remembers
+STORE = 200_000  # words a worker remembers between blocks of texts
 RESULT = "ids array<int>, decoded binary"
 DIGEST = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -108,8 +109,7 @@ QUALIFY round = max(round) OVER (PARTITION BY word)
 """
 
 DECODE = """
-SELECT word, list(tok ORDER BY pos) AS ids, string_agg(hex, '' ORDER BY pos) AS bytes
-FROM result JOIN token ON token.rank = result.tok GROUP BY word
+SELECT word, name, bytes FROM result JOIN token ON token.rank = result.tok ORDER BY word, pos
 """
 
 
@@ -120,7 +120,12 @@ class Encoder:
         self.split = regex.compile(pattern)
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        token = pa.table({"hex": [t.hex() for t in ranks], "rank": pa.array(list(ranks.values()), pa.int32())})
+        token = pa.table({
+            "hex": [t.hex() for t in ranks],
+            "rank": pa.array(list(ranks.values()), pa.int32()),
+            "name": [str(r) for r in ranks.values()],
+            "bytes": pa.array(list(ranks), pa.binary()),
+        })
         self.db = None
         self.tables = {"token": token}
         self._open()
@@ -130,7 +135,9 @@ class Encoder:
         for token, rank in ranks.items():
             if len(token) == 1:
                 self.single[token[0]] = rank
-        self.store: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        self.ids: dict[str, str] = {}  # of the words in the store: ids as text, joined by a space
+        self.decoded: dict[str, bytes] = {}
+        self.again: set[str] = set()  # words of the store that a later block of texts had, too
 
     def _open(self) -> None:
         if self.db is None:
@@ -180,35 +187,58 @@ class Encoder:
                 done.append(after.filter(pc.invert(again)).select(["word", "pos", "tok"]))
                 state = after.filter(again).select(["word", "pos", "tok"])
             result = pa.concat_tables(done)
-        answer = self._ask(DECODE, "result", result)
-        for word, ids, hexed in zip(*(answer[c].to_pylist() for c in ("word", "ids", "bytes")), strict=True):
-            self.store[words[word]] = (tuple(ids), " ".join(map(str, ids)), bytes.fromhex(hexed))
+        answer = self._ask(DECODE, "result", result).combine_chunks()
+        word = answer["word"].to_numpy()
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        met = [words[i] for i in word[first].tolist()]
+        bounds = pa.array(np.append(first, len(word)).astype(np.int32))
+        for store, column, between in ((self.ids, "name", " "), (self.decoded, "bytes", b"")):
+            lists = pa.ListArray.from_arrays(bounds, answer[column].chunk(0))
+            store.update(zip(met, pc.binary_join(lists, between).to_numpy(zero_copy_only=False), strict=True))
+
+    def _forget(self, words: set[str]) -> None:
+        """Keep of a full store what was met in more than one block; if that is most of it, what is needed now."""
+        kept = self.again if len(self.again) <= STORE // 2 else words & self.ids.keys()
+        self.ids = {w: self.ids[w] for w in kept}
+        self.decoded = {w: self.decoded[w] for w in kept}
+        self.again = set()
 
     def learn(self, words: set[str]) -> None:
         """Contract the words that are not in the store, some at a time."""
-        if len(self.store) > STORE:
-            self.store = {w: self.store[w] for w in words if w in self.store}
-        new = sorted(words - self.store.keys())
+        self.again |= words & self.ids.keys()
+        if len(self.ids) > STORE:
+            self._forget(words)
+        new = sorted(words - self.ids.keys())
+        coded = [w.encode() for w in new]
         for short in (True, False):
             block, size = [], 0
-            for word in new:
-                length = len(word.encode())
-                if (length <= SHORT_BYTES) != short:
+            for word, data in zip(new, coded, strict=True):
+                if (len(data) <= SHORT_BYTES) != short:
                     continue
                 block.append(word)
-                size += length
+                size += len(data)
                 if size >= BYTES_AT_ONCE:
                     self._contract(block, short)
                     block, size = [], 0
             if block:
                 self._contract(block, short)
 
-    def encode(self, texts: list[str | None]) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
-        """Per text the ids, the ids as text and the decoded bytes of each of its words."""
+    def _cut(self, texts: list[str | None]) -> list[list[str]]:
+        """The words of each text, all of them in the store."""
         cut = [self.split.findall(t) if t else [] for t in texts]
         self.learn(set().union(*cut) if cut else set())
-        for words in cut:
-            yield [self.store[w] for w in words]
+        return cut
+
+    def encode(self, texts: list[str | None]) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
+        """Per text the ids, the ids as text and the decoded bytes of each of its words."""
+        for words in self._cut(texts):
+            yield [(tuple(map(int, self.ids[w].split())), self.ids[w], self.decoded[w]) for w in words]
+
+    def encode_whole(self, texts: list[str | None]) -> Iterator[tuple[int, str, bytes]]:
+        """Per text the number of ids, the ids as text and the decoded bytes."""
+        for words in self._cut(texts):
+            ids = " ".join(map(self.ids.__getitem__, words))
+            yield ids.count(" ") + 1 if words else 0, ids, b"".join(map(self.decoded.__getitem__, words))
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -238,9 +268,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
         for whole in batches:
             for low in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(low, ROWS)
-                parts = list(encoder.encode(batch.column(text_col).to_pylist()))
-                ids = pa.array([[i for p in words for i in p[0]] for words in parts], pa.list_(pa.int32()))
-                decoded = pa.array([b"".join(p[2] for p in words) for words in parts], pa.binary())
+                n, texts, decoded = zip(*encoder.encode_whole(batch.column(text_col).to_pylist()), strict=True)
+                ends = np.cumsum((0, *n), dtype=np.int32)
+                flat = np.fromstring(" ".join(filter(None, texts)), np.int32, sep=" ")
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                decoded = pa.array(decoded, pa.binary())
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids, decoded], [*batch.schema.names, "ids", "decoded"])
         encoder.rest()
 
@@ -257,10 +289,10 @@ def encode_digests(docs: DataFrame, ranks_path: str, pattern: str, text_col: str
             for low in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(low, ROWS)
                 n, ids, decoded = [], [], []
-                for words in encoder.encode(batch.column(text_col).to_pylist()):
-                    n.append(sum(len(w[0]) for w in words))
-                    ids.append(hashlib.sha256(" ".join(w[1] for w in words).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(b"".join(w[2] for w in words)).hexdigest())
+                for length, text, data in encoder.encode_whole(batch.column(text_col).to_pylist()):
+                    n.append(length)
+                    ids.append(hashlib.sha256(text.encode()).hexdigest())
+                    decoded.append(hashlib.sha256(data).hexdigest())
                 more = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, *more], [*batch.schema.names, "n_tokens", "ids_sha256", "decoded_sha256"]

@@ -85,3 +85,21 @@ def test_ranks_past_two_bytes(tmp_path):
     for text, found in zip(texts, encoder.encode(texts), strict=True):
         assert [i for w in found for i in w[0]] == library.encode_ordinary(text)
         assert b"".join(w[2] for w in found) == text.encode()
+
+
+def test_a_full_store_keeps_what_comes_again(monkeypatch, reference):
+    """Words of two blocks outlive a block without them; words of one block are forgotten."""
+    monkeypatch.setattr("cohorta.llm.bytepairs.STORE", 40)
+    encoder = Encoder(PATH, public_tokenizers.PATTERN)
+    asked = []
+    contract = encoder._contract
+    monkeypatch.setattr(encoder, "_contract", lambda words, short: (asked.extend(words), contract(words, short)))
+    common = "blurghful zyxwv"
+    blocks = [[f"{common} alone{chr(97 + i)}"] for i in range(2)]
+    blocks += [[" ".join(f"q{i}x{j}" for j in range(60)), None, ""] for i in range(2)] + [[common]]
+    for texts in blocks:
+        for text, (n, ids, decoded) in zip(texts, encoder.encode_whole(texts), strict=True):
+            wanted = reference.encode_ordinary(text or "")
+            assert (n, ids, decoded) == (len(wanted), " ".join(map(str, wanted)), (text or "").encode())
+    assert asked.count("blurghful") == 1
+    assert not any("alone" in word for word in encoder.ids)
