@@ -88,7 +88,7 @@ def test_ranks_past_two_bytes(tmp_path):
 
 
 def test_a_full_store_keeps_what_comes_again(monkeypatch, reference):
-    """Words of two blocks outlive a block without them; words of one block are forgotten."""
+    """Words of two blocks outlive a block without them, and words of one block do not."""
     monkeypatch.setattr("cohorta.llm.bytepairs.STORE", 40)
     encoder = Encoder(PATH, public_tokenizers.PATTERN)
     asked = []
@@ -96,7 +96,8 @@ def test_a_full_store_keeps_what_comes_again(monkeypatch, reference):
     monkeypatch.setattr(encoder, "_contract", lambda words, short: (asked.extend(words), contract(words, short)))
     common = "blurghful zyxwv"
     blocks = [[f"{common} alone{chr(97 + i)}"] for i in range(2)]
-    blocks += [[" ".join(f"q{i}x{j}" for j in range(60)), None, ""] for i in range(2)] + [[common]]
+    letters = string.ascii_lowercase
+    blocks += [[" ".join(f"q{a}{b}{c}" for a in letters[:3] for b in letters), None, ""] for c in "xy"] + [[common]]
     for texts in blocks:
         for text, (n, ids, decoded) in zip(texts, encoder.encode_whole(texts), strict=True):
             wanted = reference.encode_ordinary(text or "")
