@@ -17,7 +17,7 @@ from cohorta.functions.scalars import (
     require_columns,
 )
 from cohorta.operators.joins import full_outer_all, join_on_keys
-from cohorta.operators.metrics import ranked, roc_auc_value
+from cohorta.operators.metrics import ranked, roc_auc_value, rows_where
 from cohorta.operators.prefix import quantile_cuts
 from cohorta.operators.ranks import percentile_columns, value_positions
 from cohorta.operators.validation import with_reasons
@@ -177,8 +177,28 @@ def union_cohorts(*cohorts: DataFrame) -> DataFrame:
     return whole
 
 
-def base_summary(df: DataFrame, time_column: str) -> DataFrame:
-    """Prediction count, mean probability and positive-class rate per report key."""
+ROWS = "rows"
+
+
+def prediction_cells(df: DataFrame, use_case: UseCase) -> DataFrame:
+    """Predictions of one report key that share score, class and label, and how many ``rows`` they are."""
+    target = [use_case.target_column] if use_case.target_column in df.columns else []
+    same = [SOURCE, *report_keys(use_case.time_column), PROBABILITY, PREDICTED, *target]
+    return df.groupBy(*same).agg(F.count(F.lit(1)).alias(ROWS))
+
+
+def base_summary(df: DataFrame, time_column: str, rows: str | None = None) -> DataFrame:
+    """Prediction count, mean probability and positive-class rate per report key.
+
+    Here and below, ``rows`` names how many rows a row stands for.
+    """
+    if rows is not None:
+        n, known = F.col(rows), F.sum(rows)
+        return df.groupBy(SOURCE, *report_keys(time_column)).agg(
+            known.alias("prediction_count"),
+            (F.sum(F.col(PROBABILITY) * n) / known).alias("avg_predicted_probability"),
+            (F.sum(F.col(PREDICTED).cast("double") * n) / known).alias("predicted_positive_rate"),
+        )
     return df.groupBy(SOURCE, *report_keys(time_column)).agg(
         F.count(F.lit(1)).alias("prediction_count"),
         F.avg(PROBABILITY).alias("avg_predicted_probability"),
@@ -187,7 +207,7 @@ def base_summary(df: DataFrame, time_column: str) -> DataFrame:
 
 
 def realized_metrics(
-    df: DataFrame, use_case: UseCase, cuts: list[float] | None = None
+    df: DataFrame, use_case: UseCase, cuts: list[float] | None = None, rows: str | None = None
 ) -> DataFrame | None:
     """Observed rate, precision, recall and ROC AUC of labelled rows per report key.
 
@@ -202,10 +222,10 @@ def realized_metrics(
         df.where(F.col(use_case.target_column).isNotNull())
         .groupBy(*keys, F.col(PROBABILITY).alias("score"))
         .agg(
-            F.count_if(positive & hit).alias("tp"),
-            F.count_if(positive & ~hit).alias("fn"),
-            F.count_if(~positive & hit).alias("fp"),
-            F.count_if(~positive & ~hit).alias("tn"),
+            rows_where(positive & hit, rows).alias("tp"),
+            rows_where(positive & ~hit, rows).alias("fn"),
+            rows_where(~positive & hit, rows).alias("fp"),
+            rows_where(~positive & ~hit, rows).alias("tn"),
         )
     )
     by_score = cells.withColumns(

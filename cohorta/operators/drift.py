@@ -17,7 +17,7 @@ from cohorta.functions.scalars import numeric_columns, ratio, string_columns, to
 from cohorta.operators.cohorts import PERIOD, PREDICTED, PROBABILITY, VERSION, report_keys
 from cohorta.operators.isotonic import IsotonicMap
 from cohorta.operators.joins import join_on_keys
-from cohorta.operators.metrics import ranked, roc_auc_value
+from cohorta.operators.metrics import ranked, roc_auc_value, rows_where
 from cohorta.operators.prefix import quantile_cuts
 from cohorta.operators.profile import most_frequent
 from cohorta.operators.ranks import grouped_percentiles
@@ -97,16 +97,26 @@ def continuous_bins(reference: DataFrame, features: Sequence[str]) -> DataFrame:
     whole = [name for name in features if isinstance(reference.schema[name].dataType, _INTEGRAL)]
     by_width = F.when(F.col("feature").isin(*whole), F.least(doane, spread)) if whole else doane
     flat = spread == 0
-    stats = (
-        long.groupBy(VERSION, "feature")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.approx_count_distinct("value").alias("sketch"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-            F.stddev_pop("value").alias("deviation"),
-            F.skewness("value").alias("skew"),
+    figures = []
+    for name in features:
+        value = F.col(name).cast("double")
+        value = F.when(~F.isnan(value), value)
+        figures.append(
+            F.struct(
+                F.lit(name).alias("feature"),
+                F.count(value).alias("rows"),
+                F.approx_count_distinct(value).alias("sketch"),
+                F.min(value).alias("low"),
+                F.max(value).alias("high"),
+                F.stddev_pop(value).alias("deviation"),
+                F.skewness(value).alias("skew"),
+            )
         )
+    stats = (
+        reference.groupBy(VERSION)
+        .agg(F.array(*figures).alias("figures"))
+        .select(VERSION, F.inline("figures"))
+        .where("rows > 0")
         .select(
             VERSION,
             "feature",
@@ -135,13 +145,13 @@ def continuous_bins(reference: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
-def _bin_number(value: Column) -> Column:
-    """Bin of a number next to its ``continuous_bins`` row; -1 outside the reference range."""
-    low, high = F.col("low"), F.col("high")
-    index = F.least(F.floor((value - low) / (high - low) * F.col("bins")), F.col("bins") - 1)
+def _bin_number(value: Column, found: Column) -> Column:
+    """Bin of a number by its ``continuous_bins`` row, a struct; -1 outside the reference range."""
+    low, high, bins = found["low"], found["high"], found["bins"]
+    index = F.least(F.floor((value - low) / (high - low) * bins), bins - 1)
     binned = F.when(value.between(low, high), index.cast("double")).otherwise(F.lit(-1.0))
     # + 0.0 turns a negative zero into zero, so equal values share a bin
-    return F.when(F.col("as_category"), value + F.lit(0.0)).otherwise(binned)
+    return F.when(found["as_category"], value + F.lit(0.0)).otherwise(binned)
 
 
 def bin_counts(
@@ -150,30 +160,29 @@ def bin_counts(
     """(keys, feature, bin, n) of numeric and categorical features: one pass over the rows.
 
     A bin is a struct of a number and a word, one of them null. The table of numeric ranges has
-    one row per version and feature and goes to all tasks: a shuffle would put all rows of a
-    version and feature into one. The counts are written out because shares, totals and
+    one row per version and goes to all tasks: a shuffle would put all rows of a version into
+    one. A row meets it once, before it is taken apart by feature. The counts are written out because shares, totals and
     reference bins all start from them; without that each would scan the rows again.
     """
-    numbers = [
-        F.struct(F.lit(n).alias("feature"), F.col(n).cast("double").alias("number"), F.lit(None).cast("string").alias("word"))
-        for n in continuous
-    ]
-    words = [
+    cells = [
         F.struct(F.lit(n).alias("feature"), F.lit(None).cast("double").alias("number"), F.col(n).alias("word"))
         for n in categorical
     ]
-    known = (F.col("number").isNotNull() & ~F.isnan("number")) | F.col("word").isNotNull()
-    long = cohorts.select(*keys, F.inline(F.array(*numbers, *words))).where(known)
-    number = F.lit(None).cast("double")
+    rows = cohorts
     if continuous:
         ranges = continuous_bins(cohorts.where(F.col(PERIOD) == REFERENCE), continuous)
-        long = long.join(F.broadcast(ranges), [VERSION, "feature"], "left")
-        number = _bin_number(F.col("number"))
-    placed = long.select(
-        *keys, "feature", F.struct(number.alias("number"), "word").alias("bin")
-    )
-    counted = placed.groupBy(*keys, "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
-    return materialize(counted, "drift-bins")
+        row = F.struct("low", "high", "bins", "as_category")
+        by_version = ranges.groupBy(VERSION).agg(
+            *[F.max(F.when(F.col("feature") == n, row)).alias(f"_range_{i}") for i, n in enumerate(continuous)]
+        )
+        rows = rows.join(F.broadcast(by_version), VERSION, "left")
+    for i, n in enumerate(continuous):
+        value = F.col(n).cast("double")
+        number = F.when(~F.isnan(value), _bin_number(value, F.col(f"_range_{i}")))
+        cells.append(F.struct(F.lit(n).alias("feature"), number.alias("number"), F.lit(None).cast("string").alias("word")))
+    placed = rows.select(*keys, F.inline(F.array(*cells))).where(F.col("number").isNotNull() | F.col("word").isNotNull())
+    counted = placed.groupBy(*keys, "feature", "number", "word").agg(F.count(F.lit(1)).alias("n"))
+    return materialize(counted.select(*keys, "feature", F.struct("number", "word").alias("bin"), "n"), "drift-bins")
 
 
 def feature_distances(
@@ -236,6 +245,7 @@ def estimated_performance(
     cuts: Sequence[float] | None = None,
     prefix: str = "cbpe",
     calibrators: IsotonicMap | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """Precision, recall and ROC AUC expected from the scores alone, per report key.
 
@@ -245,7 +255,7 @@ def estimated_performance(
     keys = report_keys(time_column)
     p, hit = F.col("score"), F.col(PREDICTED) == 1
     cells = df.groupBy(*keys, F.col(PROBABILITY).alias("score")).agg(
-        F.count_if(hit).alias("hits"), F.count_if(~hit).alias("misses")
+        rows_where(hit, rows).alias("hits"), rows_where(~hit, rows).alias("misses")
     )
     if calibrators is not None:
         cells = materialize(

@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohorta.operators.prefix import SLICE, quantile_cuts, with_slice
-from cohorta.session import default_buckets, materialize
+from cohorta.session import materialize
 
 SLICE_ROWS = 1_000_000  # distinct scores a slice is meant to have at most
 SEGMENTS = 32  # segments of a map that a score is compared with
@@ -100,7 +100,8 @@ def isotonic_blocks(counts: DataFrame, keys: Sequence[str] = (), cuts: Sequence[
     )
     cells = materialize(cells, "isotonic-cells")
     if cuts is None:
-        slices = max(default_buckets(cells.sparkSession), 1 + cells.count() // SLICE_ROWS)
+        # a border between slices can cost a round of jobs, so few scores are not cut up
+        slices = 1 + cells.count() // SLICE_ROWS
         cuts = quantile_cuts(cells, "low", slices)
     sliced = with_slice(cells, "low", cuts)
     schema = sliced.schema

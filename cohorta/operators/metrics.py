@@ -40,14 +40,21 @@ def check_scores(df: DataFrame, score: str) -> None:
         raise ValueError(f"Scores must be finite and in [0, 1]: {bad.asDict()}.")
 
 
-def score_counts(df: DataFrame, target: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
+def rows_where(condition: Column, rows: str | None = None) -> Column:
+    """How many rows meet the condition; each counts as often as its column ``rows`` says, if there is one."""
+    if rows is None:
+        return F.count_if(condition)
+    return F.coalesce(F.sum(F.when(condition, F.col(rows))), F.lit(0))
+
+
+def score_counts(df: DataFrame, target: str, score: str, keys: Sequence[str] = (), rows: str | None = None) -> DataFrame:
     """(keys, score, pos, neg): labelled rows collapsed by score."""
     return (
         df.where(F.col(target).isNotNull())
         .groupBy(*keys, F.col(score).cast("double").alias("score"))
         .agg(
-            F.count_if(F.col(target) == 1).alias("pos"),
-            F.count_if(F.col(target) == 0).alias("neg"),
+            rows_where(F.col(target) == 1, rows).alias("pos"),
+            rows_where(F.col(target) == 0, rows).alias("neg"),
         )
     )
 

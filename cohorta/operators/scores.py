@@ -38,14 +38,14 @@ def calibration_gains(counts: DataFrame) -> DataFrame:
     )
 
 
-def fit_calibrators(reference: DataFrame, target: str, time: str, mode: str) -> IsotonicMap:
+def fit_calibrators(reference: DataFrame, target: str, time: str, mode: str, rows: str | None = None) -> IsotonicMap:
     """Isotonic map of every model version; versions that need none are left out of it.
 
     ``mode`` is ``always`` or ``auto``. Reference rows collapse once to (version, part, score) counts;
-    every fit and check starts from those, all versions at once.
+    every fit and check starts from those, all versions at once. ``rows`` names how many rows a row stands for.
     """
     parted = reference.withColumn("part", held_out_part(time))
-    counts = materialize(score_counts(parted, target, PROBABILITY, [VERSION, "part"]), "score-counts")
+    counts = materialize(score_counts(parted, target, PROBABILITY, [VERSION, "part"], rows), "score-counts")
     if mode != "always":
         helped = calibration_gains(counts).where("after < before").select(VERSION)
         counts = counts.join(helped, VERSION, "left_semi")

@@ -12,6 +12,7 @@ from cohorta.operators.cohorts import (
     PERIOD,
     PREDICTED,
     PROBABILITY,
+    ROWS,
     SOURCES,
     VERSION,
     base_summary,
@@ -20,11 +21,13 @@ from cohorta.operators.cohorts import (
     filter_version,
     operational_summary,
     overlap_guard,
+    prediction_cells,
     quarantine_errors,
     realized_metrics,
     report_keys,
 )
 from cohorta.operators.drift import (
+    REFERENCE,
     ReconstructionDrift,
     alert_counts,
     drift_population,
@@ -44,19 +47,19 @@ def drift_tables(
     analysis: DataFrame,
     errors: DataFrame | None,
     use_case: UseCase,
+    cells: DataFrame,
     cuts: list[float],
     reconstruction: bool = True,
     calibrate: str = "auto",
 ) -> DataFrame:
-    """Estimated performance and alert counts, merged on the report keys."""
+    """Estimated performance from the written cells of both cohorts and alert counts, merged on the report keys."""
     time, features = use_case.time_column, list(use_case.feature_columns)
     keys = report_keys(time)
     tables = []
     if use_case.target_column in reference.columns:
-        columns = [*keys, PROBABILITY, PREDICTED]
-        scored = reference.select(*columns).unionByName(analysis.select(*columns))
-        maps = fit_calibrators(reference, use_case.target_column, time, calibrate) if calibrate != "never" else None
-        tables.append(estimated_performance(scored, time, cuts, calibrators=maps))
+        known = cells.where(F.col(PERIOD) == REFERENCE)
+        maps = fit_calibrators(known, use_case.target_column, time, calibrate, ROWS) if calibrate != "never" else None
+        tables.append(estimated_performance(cells, time, cuts, calibrators=maps, rows=ROWS))
     keep = [*keys, *features]
     base = reference.select(*keep)
     cohorts = base.unionByName(drift_population(analysis, errors, keep))
@@ -133,10 +136,13 @@ def build_report(
         drift = False
 
     keys = report_keys(time)
-    both = before.rows.unionByName(after.rows, allowMissingColumns=True)
-    cuts = quantile_cuts(both, PROBABILITY)
-    report = base_summary(both, time)
-    realized = realized_metrics(both, use_case, cuts)
+    # one pass over the predictions: all figures of scores, classes and labels start from these counts
+    # and a cohort's source and period, the same in all its rows, are no keys of its count
+    counted = [prediction_cells(side.rows, use_case) for side in (before, after)]
+    cells = materialize(counted[0].unionByName(counted[1], allowMissingColumns=True), "prediction-cells")
+    cuts = quantile_cuts(cells, PROBABILITY)
+    report = base_summary(cells, time, ROWS)
+    realized = realized_metrics(cells, use_case, cuts, ROWS)
     if realized is not None:
         report = join_on_keys(report, realized, keys, "left")
     if drift:
@@ -146,7 +152,7 @@ def build_report(
             typed = {rule.name: rule.typed() for rule in use_case.feature_rules}
             known_errors = quarantine_errors(failed.only(versions).rows, use_case)[0].withColumns(typed)
         alerts = drift_tables(
-            before.rows, after.rows, known_errors, use_case, cuts, reconstruction, calibrate
+            before.rows, after.rows, known_errors, use_case, cells, cuts, reconstruction, calibrate
         )
         report = join_on_keys(report, alerts, keys, "left")
     if source_analysis == "api":

@@ -97,3 +97,13 @@ def test_saved_map(spark, folder):
     again = I.IsotonicMap.load(f"{folder}/map", spark)
     df = spark.createDataFrame([(1, 0.123), (1, 0.77)], "k int, score double")
     assert again.keys == ["k"] and again.transform(df).collect() == maps.transform(df).collect()
+
+
+def test_few_scores_are_not_cut_up(spark):
+    """A border between slices can cost a round of jobs."""
+    counts = spark.createDataFrame([(i / 500, i % 3, (i * 7) % 5 + 1) for i in range(500)], "score double, pos bigint, neg bigint")
+    whole = I.isotonic_blocks(counts)
+    assert whole.select("_slice").distinct().count() == 1
+    cut = I.isotonic_blocks(counts, cuts=[0.2, 0.4, 0.6, 0.8])
+    columns = ("low", "high", "hits", "weight")
+    assert sorted(map(tuple, whole.select(*columns).collect())) == sorted(map(tuple, cut.select(*columns).collect()))

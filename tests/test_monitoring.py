@@ -346,3 +346,18 @@ def test_versions_are_a_table(spark, reference, analysis):
     report = build_report(both, analysis, CHURN, source_analysis="batch", drift=False)
     alone = build_report(reference, analysis, CHURN, source_analysis="batch", drift=False)
     assert report.collect() == alone.collect()
+
+
+def test_figures_from_counted_predictions_equal_those_from_rows(spark):
+    rows = V.scored_cohorts(spark, SF)[0].withColumns({C.SOURCE: F.lit("batch"), C.PERIOD: F.lit("reference")})
+    cells = C.prediction_cells(rows, V.RETURNS)
+    figures = (
+        lambda df, n: C.base_summary(df, "reference_date", n),
+        lambda df, n: C.realized_metrics(df, V.RETURNS, rows=n),
+        lambda df, n: D.estimated_performance(df, "reference_date", rows=n),
+    )
+    for figure in figures:
+        wanted, found = ({tuple(r)[:4]: tuple(r)[4:] for r in figure(*given).collect()} for given in ((rows, None), (cells, C.ROWS)))
+        assert wanted.keys() == found.keys()
+        for key, values in wanted.items():
+            assert found[key] == pytest.approx(values, nan_ok=True)
