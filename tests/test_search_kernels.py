@@ -4,12 +4,13 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import vector_to_array
 
 from cohorta.learning.catalog import CATALOG, create_classifier
-from cohorta.learning.kernels import FourierFeatures
+from cohorta.learning.kernels import FourierFeatures, directions, fourier
 from cohorta.learning.parzen import STARTUP, Choices, Range, guided_draw
 from cohorta.learning.tuning import draw
 
@@ -99,3 +100,19 @@ def test_margin_is_near_the_exact_kernel_machine(spark):
     assert config["model_name"] == "LinearSVC" and config["kernel"] == "rbf"
     with pytest.raises(ValueError, match="poly"):
         create_classifier("svc", {"kernel": "poly"}, "label", 5)
+
+
+def test_features_of_a_batch_need_little_more_than_their_own_memory():
+    import tracemalloc
+
+    rows = np.random.default_rng(3).normal(size=(6000, 9))
+    state = {"seed": 4, "width": 9, "components": 256, "gamma": 0.3}
+    given = pa.array(list(rows), pa.list_(pa.float64()))
+    tracemalloc.start()
+    found = fourier(state, given)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    along, phase = directions(state)
+    assert np.allclose(np.stack(found.to_pylist()), np.cos(rows @ along + phase) * np.sqrt(2 / 256))
+    assert peak < 1.3 * len(rows) * 256 * 8
+    assert len(fourier(state, given[:0])) == 0
