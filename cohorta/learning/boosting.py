@@ -25,9 +25,8 @@ from cohorta.learning.classifiers import BinaryEstimator, MarginModel
 from cohorta.session import materialize
 
 BLOCK_ROWS = 65_536
-PART_BLOCKS = 4  # full blocks of a partition
 CHUNK = 8  # features whose histograms travel together
-WRITE_EVERY = 10  # trees
+WRITE_EVERY = 4  # trees; each tree that is not written is gone through again by every job
 LEAST_HESSIAN = 1e-3  # of a child
 BLOCKS = "n int, bins binary, y binary, raw binary"
 
@@ -300,7 +299,7 @@ class HistogramBoosting(BinaryEstimator):
         start = math.log(counts["p"] / (counts["n"] - counts["p"]))
         cuts = bin_cuts(rows, counts["width"], settings["max_bins"])
         # as many partitions as rows fill: every job of the fit reads them all
-        even = rows.repartition(1 + counts["n"] // (PART_BLOCKS * BLOCK_ROWS))
+        even = rows.repartition(1 + counts["n"] // BLOCK_ROWS)
         blocks = materialize(pack(even, cuts, start), "boosting-blocks")
         trees: list[dict] = []
         pending: list[dict] = []

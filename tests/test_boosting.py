@@ -104,3 +104,24 @@ def test_one_class_and_saving(spark, folder):
     again = HistogramBoostingModel.load(f"{folder}/m")
     pick = lambda m: m.transform(df).agg(F.sum(vector_to_array("probability")[1])).first()[0]
     assert pick(again) == pytest.approx(pick(model))
+
+
+def test_blocks_of_a_partition_and_trees_gone_through(spark, monkeypatch):
+    """A task has one block of rows, and a job goes through fewer than four trees that are not in the raw scores yet."""
+    from cohorta.learning import boosting
+
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 50)
+    files, pending = set(), set()
+    real = boosting.node_histograms
+
+    def watched(blocks, trees, *rest):
+        files.add(len(blocks.inputFiles()))
+        pending.add(len(trees))
+        return real(blocks, trees, *rest)
+
+    monkeypatch.setattr(boosting, "node_histograms", watched)
+    rows = [(Vectors.dense(i % 7, i % 31), int(i % 7 + i % 5 > 5)) for i in range(400)]
+    data = spark.createDataFrame(rows, ["features", "label"])
+    HistogramBoosting(labelCol="label", max_iter=6, max_leaf_nodes=3).fit(data)
+    assert max(files) >= 8
+    assert max(pending) < 4
