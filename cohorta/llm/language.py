@@ -27,7 +27,7 @@ from cohorta.llm.common import Scratch, schema_with, text_bytes, without
 UNKNOWN = "und"
 NO_LETTER = 1  # code of a character that is no letter; a letter's code is its lower-case code point and 2 more
 WIDTH = 21  # bits of a character's code in an n-gram
-BLOCK = 256  # texts scored by one matrix product
+BLOCK = 64  # texts scored by one matrix product
 AT_ONCE = 1 << 20  # bytes of texts, or characters of one text, looked at together
 LANDMARKS = 1024  # of all languages together
 RESULT = "lang_pred string, score double"
@@ -134,6 +134,7 @@ class KernelModel:
                     roots[i] = np.sqrt(len(found))
                     present[i] = self._present(found)
             kernel = (present @ self.landmarks) / roots[:, None]
+            del present  # before the next block's is made
             margin = kernel @ self.weights + self.offset
             best = margin.argmax(axis=1)
             for i in np.flatnonzero(letters).tolist():

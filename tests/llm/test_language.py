@@ -84,3 +84,20 @@ def test_only_the_commonest_languages_are_learned(spark):
     rows = [row(i, f"word{'abcdefgh'[i % 8]} of number {i}", "abcdefgh"[i % 8] if i < 40 else "a") for i in range(60)]
     docs = spark.createDataFrame(rows, SCHEMA)
     assert fit(docs, languages=3).langs == ["a", "b", "c"]
+
+
+def test_memory_of_a_block_is_that_of_a_few_texts():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    texts = ["".join(chr(c) for c in rng.integers(0x4E00, 0x9000, 900)) for _ in range(40)]
+    model = KernelModel(texts, ["a", "b"] * 20, 20, 1e-3)
+    column = pa.array(["a few words"] * 256)
+    tracemalloc.start()
+    model.predict(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 128 * 4 * len(model.features)
