@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from cohorta.learning.classifiers import BinaryEstimator, MarginModel
@@ -90,16 +90,21 @@ def _block(bins: np.ndarray, y: np.ndarray, raw: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(cells), ["n", "bins", "y", "raw"])
 
 
-def _unpack(batches: Iterator[pa.RecordBatch], trees: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _unpack(blocks: Iterator[Row], trees: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(bins, labels, raw scores with the given trees) of each block."""
+    for n, bins, y, raw in blocks:
+        bins = np.frombuffer(bins, np.uint16).reshape(n, -1)
+        raw = np.frombuffer(raw).copy()
+        for tree in trees:
+            raw += np.array(tree["value"])[route(tree, bins)]
+        yield bins, np.frombuffer(y, np.int8), raw
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The blocks of Arrow batches, one after the other."""
     for batch in batches:
         for i in range(batch.num_rows):
-            n, bins, y, raw = (batch.column(c)[i].as_py() for c in range(4))
-            bins = np.frombuffer(bins, np.uint16).reshape(n, -1)
-            raw = np.frombuffer(raw).copy()
-            for tree in trees:
-                raw += np.array(tree["value"])[route(tree, bins)]
-            yield bins, np.frombuffer(y, np.int8), raw
+            yield tuple(batch.column(c)[i].as_py() for c in range(4))
 
 
 def route(tree: dict, x: np.ndarray, by: str = "bin") -> np.ndarray:
@@ -142,11 +147,11 @@ def node_histograms(blocks: DataFrame, trees: list[dict], tree: dict, nodes: lis
     """Histograms of the given nodes of a growing tree, from one job."""
     width, bins = len(sizes), int(sizes.max())
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums(blocks: Iterator[Row]) -> Iterator[tuple[tuple[int, int], bytes]]:
         place = np.full(len(tree["feature"]), -1)
         place[nodes] = np.arange(len(nodes))
         cells = np.zeros((len(nodes), 3, width * bins))
-        for x, y, raw in _unpack(batches, trees):
+        for x, y, raw in _unpack(blocks, trees):
             at = place[route(tree, x)]
             rows = np.flatnonzero(at >= 0)
             p = 1 / (1 + np.exp(-raw[rows]))
@@ -159,19 +164,18 @@ def node_histograms(blocks: DataFrame, trees: list[dict], tree: dict, nodes: lis
             for low in range(0, width, CHUNK):
                 part = np.ascontiguousarray(cells[j, :, low : low + CHUNK])
                 if part[2].any():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([node], pa.int32()), pa.array([low], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["node", "low", "cells"]
-                    )
+                    yield (node, low), part.tobytes()
 
-    def add(rows: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c.as_py()) for c in rows["cells"])
-        return rows.slice(0, 1).set_column(2, "cells", pa.array([total.tobytes()], pa.binary()))
+    def add(a: bytes, b: bytes) -> bytes:
+        return (np.frombuffer(a) + np.frombuffer(b)).tobytes()
 
-    schema = "node int, low int, cells binary"
+    # plain jobs: a tree takes about ten, and planning a query for each took longer than the sums
+    parts = blocks.rdd.mapPartitions(sums)
+    tasks = min(parts.getNumPartitions(), len(nodes) * -(-width // CHUNK))
     found = {node: np.zeros((3, width, bins)) for node in nodes}
-    for r in blocks.mapInArrow(sums, schema).groupBy("node", "low").applyInArrow(add, schema).collect():
-        part = np.frombuffer(r["cells"]).reshape(3, -1, bins)
-        found[r["node"]][:, r["low"] : r["low"] + part.shape[1]] = part
+    for (node, low), summed in parts.reduceByKey(add, tasks).collect():
+        part = np.frombuffer(summed).reshape(3, -1, bins)
+        found[node][:, low : low + part.shape[1]] = part
     return {node: Histograms(cells) for node, cells in found.items()}
 
 
@@ -317,7 +321,7 @@ def _with_trees(blocks: DataFrame, trees: list[dict]) -> DataFrame:
     """The blocks with the trees added to their raw scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bins, y, raw in _unpack(batches, trees):
+        for bins, y, raw in _unpack(_cells(batches), trees):
             yield _block(bins, y, raw)
 
     return blocks.mapInArrow(run, BLOCKS)

@@ -125,3 +125,13 @@ def test_blocks_of_a_partition_and_trees_gone_through(spark, monkeypatch):
     HistogramBoosting(labelCol="label", max_iter=6, max_leaf_nodes=3).fit(data)
     assert max(files) >= 8
     assert max(pending) < 4
+
+
+def test_the_registered_query_grows_all_trees(monkeypatch):
+    """Nothing but the alias is given, so the fit has its default rounds."""
+    from registered import learning
+
+    given = []
+    monkeypatch.setattr(learning, "_train", lambda spark, sf_dir, *args, **params: given.append((args, params)))
+    learning.train_hgb_score(None, "")
+    assert given == [(("hgb",), {})]
