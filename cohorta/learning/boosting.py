@@ -28,6 +28,7 @@ BLOCK_ROWS = 65_536
 CHUNK = 8  # features whose histograms travel together
 WRITE_EVERY = 4  # trees; each tree that is not written is gone through again by every job
 LEAST_HESSIAN = 1e-3  # of a child
+LEAST_GAIN = 1e-12  # of a split: less is rounding
 BLOCKS = "n int, bins binary, y binary, raw binary"
 
 
@@ -137,7 +138,7 @@ class Histograms:
         loss = lambda g, h: g * g / (h + penalty + 1e-15)
         gain = np.where(allowed, loss(g, h) + loss(self.g - g, self.h - h) - loss(self.g, self.h), -np.inf)
         best = gain.max()
-        if not best > 0:
+        if not best > LEAST_GAIN:
             return None
         feature, at = divmod(int(np.flatnonzero(gain.ravel() >= best - 1e-10 * abs(best))[0]), gain.shape[1])
         return float(gain[feature, at]), feature, at, int(round(float(n[feature, at])))
