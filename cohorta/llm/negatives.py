@@ -13,7 +13,7 @@ for the windows the positives span. Each gives at most k rows an anchor, window
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from cohorta.llm.common import Scratch, ready
 
 BLOCK = 4096  # rows of a block
-CHUNK = 512  # anchors that visit a block together
+CHUNK = 512  # anchors of a chunk
+WAVE = 64  # chunks that visit a block together
 STRIDE = 1 << 16  # numbers an anchor's chunk has for its anchors
 FIRST_ROUND = 16  # list places of the first round; every round takes twice as many as the one before
 LARGEST = 2.0**55  # of an inner product: percentages of it fit 64 bits
@@ -162,19 +163,28 @@ class Lists:
         return [list(zip(s.tolist(), i.tolist(), strict=True)) for s, i in best]
 
 
-def _visits(blocks: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Every chunk of the stated anchors with every block of rows; the chunk's columns begin with a_."""
+def _visits(blocks: DataFrame, chunks: DataFrame, visit: Callable[[dict, Iterator[dict]], list[tuple]], schema: str) -> DataFrame:
+    """What `visit` gives for every block of rows and the stated anchors; the columns of their chunks begin with a_.
+
+    A block and a wave of chunks meet in a group of their own, some MB, by a shuffle: the planner's estimate does
+    not know how often chunks are repeated, so nothing of them is left to it to broadcast.
+    """
+    spark, count = blocks.sparkSession, chunks.count()
+    # few chunks meet a block at once, and where there are few blocks, fewer, so that all cores have some
+    groups = -(-4 * spark.sparkContext.defaultParallelism // max(1, blocks.count()))
+    waves = max(1, -(-count // WAVE), min(count, groups))
     seen = chunks.select([F.col(c).alias(f"a_{c}") for c in chunks.columns])
-    numbers = blocks.agg(F.collect_list("block")).first()[0]  # one number a block
-    to = F.explode(F.array(*[F.lit(n).cast("bigint") for n in numbers])) if numbers else F.lit(None).cast("bigint")
-    return blocks.join(seen.withColumn("block", to), "block")
+    seen = seen.withColumn("wave", F.pmod(F.xxhash64("a_block"), F.lit(waves)).cast("int"))
+    numbers = blocks.select(F.col("block").alias("met"))  # one a block
+    seen = seen.crossJoin(F.broadcast(numbers)).withColumnRenamed("met", "block")
+    offered = blocks.withColumn("wave", F.explode(F.sequence(F.lit(0), F.lit(waves - 1))))
 
+    def run(rows: pa.Table, anchors: pa.Table) -> pa.Table:
+        chunks = (anchors.slice(i, 1).to_pylist()[0] for i in range(anchors.num_rows))
+        found = [r for row in rows.to_pylist() for r in visit(row, chunks)]
+        return pa.Table.from_batches([_batch(found, schema)])
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """One visit at a time: a block and a chunk are some MB."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
+    return offered.groupBy("block", "wave").cogroup(seen.groupBy("block", "wave")).applyInArrow(run, schema)
 
 
 ALL = np.iinfo(np.int64)
@@ -190,49 +200,51 @@ def _anchor(row: dict, place: int) -> int:
 def _own_label(k: int):
     """Walks among the rows of the anchor's own label."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            ids, labels, parts = unpack(row)
+    def visit(block: dict, chunks: Iterator[dict]) -> list[tuple]:
+        ids, labels, parts = unpack(block)
+        lists: dict[tuple[int, int], Lists] = {}
+        out = []
+        for row in chunks:
             anchor_ids, anchor_labels, anchors = unpack(row, "a_")
             dims = max(parts.shape[1], anchors.shape[1])
-            lists: dict[int, Lists] = {}
-            out = []
             for i, (own, label) in enumerate(zip(anchor_ids.tolist(), anchor_labels.tolist(), strict=True)):
-                if label not in lists:
+                if (label, dims) not in lists:
                     same = labels == label
-                    lists[label] = Lists(ids[same], parts[same], dims)
+                    lists[label, dims] = Lists(ids[same], parts[same], dims)
                 point = np.zeros(dims, np.int64)
                 point[: anchors.shape[1]] = anchors[i]
-                (found,) = lists[label].walk(point, np.array([ALL.min]), np.array([ALL.max]), k, own=own)
+                (found,) = lists[label, dims].walk(point, np.array([ALL.min]), np.array([ALL.max]), k, own=own)
                 out += [(_anchor(row, i), own, s, r) for s, r in found]
-            yield _batch(out, NEAR)
+        return out
 
-    return run
+    return visit
 
 
 def _windows(k: int):
     """Walks among the rows of other labels, within the windows of the anchor's positives."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            ids, labels, parts = unpack(row)
+    def visit(block: dict, chunks: Iterator[dict]) -> list[tuple]:
+        ids, labels, parts = unpack(block)
+        ordered = labels[np.argsort(ids, kind="stable")]
+        lists: dict[int, Lists] = {}
+        same: dict[int, np.ndarray] = {}
+        out = []
+        for row in chunks:
             _, anchor_labels, anchors = unpack(row, "a_")
             dims = max(parts.shape[1], anchors.shape[1])
-            lists = Lists(ids, parts, dims)
-            ordered = labels[np.argsort(ids, kind="stable")]
-            same: dict[int, np.ndarray] = {}
-            out = []
+            if dims not in lists:
+                lists[dims] = Lists(ids, parts, dims)
             for i, names, low, high in zip(*(row[f"a_{c}"] for c in ("places", "windows", "lows", "highs")), strict=True):
                 label = int(anchor_labels[i])
                 if label not in same:
                     same[label] = ordered == label
                 point = np.zeros(dims, np.int64)
                 point[: anchors.shape[1]] = anchors[i]
-                found = lists.walk(point, np.array(low), np.array(high), k, skip=same[label])
+                found = lists[dims].walk(point, np.array(low), np.array(high), k, skip=same[label])
                 out += [(_anchor(row, i), w, s, r) for w, rows in zip(names, found, strict=True) for s, r in rows]
-            yield _batch(out, FAR)
+        return out
 
-    return run
+    return visit
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -275,7 +287,7 @@ def mine(
     chunks = scratch.keep(pack(part.where("anchor").drop("anchor").repartition(1 + stated // chunk), chunk), "chunks")
     scratch.drop("rows")
 
-    near = _visits(blocks, chunks).mapInArrow(_own_label(positives), NEAR)
+    near = _visits(blocks, chunks, _own_label(positives), NEAR)
     order = W.partitionBy("anchor").orderBy(F.desc("score"), "id")
     chosen = scratch.keep(
         near.withColumn("window", F.row_number().over(order) - 1)
@@ -296,9 +308,10 @@ def mine(
         .groupBy("block").agg(F.sort_array(F.collect_list("a")).alias("a"))  # at most `chunk` each
         .select("block", F.col("a.place").alias("places"), F.col("a.window").alias("windows"), F.col("a.low").alias("lows"), F.col("a.high").alias("highs"))
     )
-    far = _visits(blocks, chunks.join(bounds, "block")).mapInArrow(_windows(negatives), FAR)
+    bounded = scratch.keep(chunks.hint("merge").join(bounds, "block"), "bounded")
+    far = _visits(blocks, bounded, _windows(negatives), FAR)
     order = W.partitionBy("anchor", "window").orderBy(F.desc("score"), "id")
     ranked = far.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= negatives)
-    return ranked.join(chosen, ["anchor", "window"]).select(
+    return ranked.join(chosen.hint("merge"), ["anchor", "window"]).select(
         "anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score")
     )

@@ -124,3 +124,27 @@ def test_general_parameters(spark):
     got = N.mine(df, F.col("vec_id") < 3, positives=2, negatives=4, least=10, most=80).collect()
     assert got and {r["anchor_id"] for r in got} <= {0, 1, 2} and max(r["rank"] for r in got) <= 4
     assert all(10 * r["positive_score"] <= 100 * r["negative_score"] <= 80 * r["positive_score"] for r in got)
+
+
+def test_anchors_are_not_broadcast(spark, tables, monkeypatch):
+    """Only the numbers of the blocks go through the driver, however small the planner takes the written chunks to be."""
+    rows = made(13, 600)
+    monkeypatch.setattr(N, "WAVE", 2)
+    monkeypatch.setattr(N.mine, "__defaults__", (*N.mine.__defaults__[:-2], 64, 3))
+    found = op11_hard_negatives(spark, tables(embeddings=(rows, SCHEMA)))
+    assert sorted(map(tuple, found.collect())) == brute(rows)
+    plans = []
+    real = N._visits
+
+    def watched(*args):
+        df = real(*args)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(N, "_visits", watched)
+    op11_hard_negatives(spark, tables(embeddings=(rows, SCHEMA)))
+    assert len(plans) == 2
+    for plan in plans:
+        lines = plan.splitlines()
+        sent = [lines[i + 1] for i, line in enumerate(lines) if "BroadcastExchange" in line]
+        assert len(sent) == 1 and "a_parts" not in sent[0] and "parts" not in sent[0]
