@@ -1,31 +1,43 @@
-"""Extremely randomised trees, grown level by level, all trees in one job.
+"""Extremely randomised trees, grown level by level.
 
 Each node tries a few features with one random cut each, uniform between the node's smallest and largest value,
 and takes the one that lowers the Gini impurity most. A level takes two jobs over the rows: the ranges of
 the open nodes' features, by which a node's cuts are drawn, then the class counts on both sides of every cut, by
 which one is chosen; both are decided where a node's partial sums meet, and for all rows of a block at once.
-Draws are hashes of (seed, tree, node), so they depend on nothing else. The forest itself, and a level's cuts, are
-on the driver as arrays: bound the depth or the leaf size where there are many rows.
+Draws are hashes of (seed, tree, node), so they depend on nothing else.
+
+As long as the features of all rows fit a task, a task grows a tree by itself, with the same draws, and the driver holds nothing
+of it; the rows are dealt to some trees at a time. Where they do not fit, the jobs of a level grow one tree after the other, and the
+driver holds that tree. Finished trees are kept in a table of parts of at most NODES nodes. To score, they are sent some trees at a
+time, which a worker reads one after the other.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohorta.learning.classifiers import BinaryEstimator
 from cohorta.learning.stages import _Fitted
-from cohorta.session import default_buckets, materialize
+from cohorta.session import default_buckets, materialize, new_workspace
 
 BLOCK_ROWS = 65_536  # rows a task looks at together
 LEAST_ROWS = 2_000  # of a partition, where there are cores for more
+TASK_BYTES = 384 << 20  # of features that a task grows a tree from by itself
+DEALT_BYTES = 4 << 30  # of features that are dealt to trees at a time
+PACK_ROWS = 8_192  # rows of a block that is dealt
+NODES = 250_000  # of a part of a tree in the table
+SENT_BYTES = 64 << 20  # of trees that are sent together to score
+FOREST = "t int, part int, feature array<int>, cut array<double>, left array<int>, share array<double>"
+KINDS = {"feature": np.int32, "cut": np.float64, "left": np.int32, "share": np.float64}
 NO_SPLITS = pa.table({"t": np.zeros(0, np.int32), "node": np.zeros(0, np.int64), "feature": np.zeros(0, np.int32), "cut": np.zeros(0)})
 
 
@@ -67,6 +79,14 @@ def _gini_gains(left: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return impure(whole)[:, None] - impure(left) - impure(whole[:, None] - left)
 
 
+def _chosen(whole: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each node is split, and its feature and cut, the first ones of equals."""
+    n, under = whole.sum(axis=1)[:, None], left.sum(axis=2)
+    gain = np.where((feature >= 0) & (np.minimum(under, n - under) >= least), _gini_gains(left, whole), -np.inf)
+    at = np.arange(len(whole)), gain.argmax(axis=1)
+    return gain[at] > -np.inf, feature[at].astype(np.int32), cut[at]
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Features and labels, up to BLOCK_ROWS rows at once."""
 
@@ -108,7 +128,8 @@ def _sorted_nodes(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Forest:
     """The trees while they grow, as arrays; the nodes of the last level are those from `first` on."""
 
-    def __init__(self, count: int):
+    def __init__(self, count: int, number: int = 0):
+        self.number = number  # of the first tree
         self.trees = [{"feature": np.full(1, -1), "cut": np.zeros(1), "left": np.full(1, -1), "share": np.zeros(1)} for _ in range(count)]
         self.first = [0] * count
 
@@ -169,12 +190,12 @@ def level_tries(rows: DataFrame, sent, seed: int, wanted: int, least: int, grows
 
     def draw(table: pa.Table) -> pa.Table:
         order, nodes, starts = _sorted_nodes(table)
-        t = table["t"][0].as_py()
+        t, number = table["t"][0].as_py(), sent.value.number
         n0, n1 = (np.add.reduceat(table[c].to_numpy()[order], starts) for c in ("n0", "n1"))
         low = np.minimum.reduceat(_matrix(table["low"], width)[order], starts)
         high = np.maximum.reduceat(_matrix(table["high"], width)[order], starts)
         splits = grows & (n0 > 0) & (n1 > 0) & (n0 + n1 >= 2 * least)
-        pairs = [tried(seed, t, int(node), low[i], high[i], wanted) if splits[i] else [] for i, node in enumerate(nodes)]
+        pairs = [tried(seed, number + t, int(node), low[i], high[i], wanted) if splits[i] else [] for i, node in enumerate(nodes)]
         return pa.table({
             "t": pa.array(np.full(len(nodes), t, np.int32)), "node": pa.array(nodes), "n0": pa.array(n0), "n1": pa.array(n1),
             "feature": pa.array([[f for f, _ in p] for p in pairs], pa.list_(pa.int32())),
@@ -228,31 +249,194 @@ def level_splits(rows: DataFrame, sent, tries, least: int, width: int, shards: i
         t = table["t"][0].as_py()
         whole, feature, cut = (a[nodes - sent.value.first[t]] for a in tries.value[t])
         left = np.add.reduceat(_matrix(table["left"], 2 * feature.shape[1])[order], starts).reshape(*feature.shape, 2)
-        n, under = whole.sum(axis=1)[:, None], left.sum(axis=2)
-        gain = np.where((feature >= 0) & (np.minimum(under, n - under) >= least), _gini_gains(left, whole), -np.inf)
-        best = gain.argmax(axis=1)  # the first one of equals
-        at = np.arange(len(nodes)), best
-        taken = gain[at] > -np.inf
-        columns = np.full(len(nodes), t, np.int32), nodes, feature[at].astype(np.int32), cut[at]
+        taken, chosen, border = _chosen(whole, feature, cut, left, least)
+        columns = np.full(len(nodes), t, np.int32), nodes, chosen, border
         return pa.table({name: pa.array(c[taken]) for name, c in zip(("t", "node", "feature", "cut"), columns)})
 
     parts = rows.mapInArrow(run, "t int, node bigint, left array<bigint>")
     return _by_node(parts, shards).applyInArrow(lambda table: choose(table), "t int, node bigint, feature int, cut double").toArrow()
 
 
+def grow_tree(seed: int, number: int, x: np.ndarray, y: np.ndarray, wanted: int, least: int, deepest: int | None) -> dict[str, np.ndarray]:
+    """A whole tree from the rows of a task: x holds a feature a row. Rows are kept in the order of their nodes."""
+    forest = Forest(1)
+    (tree,) = forest.trees
+    rows, starts, depth = np.arange(x.shape[1], dtype=np.int32), np.zeros(1, np.int64), 0
+    while forest.open():
+        first = forest.first[0]
+        sizes = np.diff(np.append(starts, len(rows)))
+        ones = np.add.reduceat(y[rows], starts)
+        whole = np.column_stack((sizes - ones, ones))
+        tree["share"][first:] = ones / sizes
+        opens = (deepest is None or depth < deepest) & (whole.min(axis=1) > 0) & (sizes >= 2 * least)
+        open_nodes = np.flatnonzero(opens)
+        rows, sizes, whole = rows[np.repeat(opens, sizes)], sizes[opens], whole[opens]
+        feature, cut = np.full((len(sizes), wanted), -1, np.int32), np.zeros((len(sizes), wanted))
+        if len(sizes):
+            starts = np.cumsum(sizes) - sizes
+            low, high = np.empty((len(sizes), len(x))), np.empty((len(sizes), len(x)))
+            for f, column in enumerate(x):
+                own = column[rows]
+                low[:, f], high[:, f] = np.minimum.reduceat(own, starts), np.maximum.reduceat(own, starts)
+            for i, node in enumerate((first + open_nodes).tolist()):
+                for k, pair in enumerate(tried(seed, number, node, low[i], high[i], wanted)):
+                    feature[i, k], cut[i, k] = pair
+        some = feature[:, 0] >= 0
+        if not some.any():
+            forest.split(NO_SPLITS)
+            break
+        left = np.zeros((len(sizes), wanted, 2), np.int64)
+        for k in range(wanted):
+            under = x[np.repeat(np.maximum(feature[:, k], 0), sizes), rows] <= np.repeat(cut[:, k], sizes)
+            both = np.add.reduceat(np.column_stack((under, under & (y[rows] == 1))).astype(np.int64), starts)
+            left[:, k] = np.column_stack((both[:, 0] - both[:, 1], both[:, 1])) * (feature[:, k] >= 0)[:, None]
+        taken, chosen, border = _chosen(whole, feature, cut, left, least)
+        forest.split(pa.table({
+            "t": np.zeros(int(taken.sum()), np.int32), "node": first + open_nodes[taken], "feature": chosen[taken], "cut": border[taken],
+        }))
+        rows, sizes = rows[np.repeat(taken, sizes)], sizes[taken]
+        # the children in order, each with its rows in the order they had
+        above = x[np.repeat(chosen[taken], sizes), rows] > np.repeat(border[taken], sizes)
+        child = 2 * np.repeat(np.arange(len(sizes)), sizes) + above
+        rows = rows[np.argsort(child, kind="stable")]
+        counts = np.bincount(child, minlength=2 * len(sizes))
+        starts = np.cumsum(counts) - counts
+        depth += 1
+    return tree
+
+
+def _parts(number: int, tree: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows of the forest's table."""
+    for part, low in enumerate(range(0, len(tree["feature"]), NODES)):
+        lists = [pa.array([tree[name][low : low + NODES].astype(kind)]) for name, kind in KINDS.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([part], pa.int32()), *lists], ["t", "part", *KINDS])
+
+
+def grow_in_tasks(rows: DataFrame, path: str, count: int, n: int, width: int, seed: int, wanted: int, least: int, deepest: int | None) -> None:
+    """Write the trees, each grown by a task that all rows are dealt to."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, PACK_ROWS):
+                part = batch.slice(low, PACK_ROWS)
+                x = np.asarray(part.column(0).flatten()).reshape(-1, width)
+                y = np.asarray(part.column(1)).astype(np.int8)
+                cells = [pa.array([c], pa.binary()) for c in (x.tobytes(), y.tobytes())]
+                yield pa.RecordBatch.from_arrays(cells, ["x", "y"])
+
+    def grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, y, filled = np.empty((width, n)), np.empty(n, np.int64), 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                t, own = batch.column(0)[i].as_py(), np.frombuffer(batch.column(2)[i].as_py(), np.int8)
+                x[:, filled : filled + len(own)] = np.frombuffer(batch.column(1)[i].as_py()).reshape(-1, width).T
+                y[filled : filled + len(own)] = own
+                filled += len(own)
+                if filled == n:  # the last block of this tree: the next one is another's
+                    yield from _parts(t, grow_tree(seed, t, x, y, wanted, least, deepest))
+                    filled = 0
+
+    blocks = materialize(rows.mapInArrow(packed, "x binary, y binary"), "extra-trees")
+    some = max(1, DEALT_BYTES // (8 * n * width))
+    for first in range(0, count, some):
+        numbers = F.explode(F.sequence(F.lit(first), F.lit(min(count, first + some) - 1)))
+        dealt = blocks.select(numbers.alias("t"), "x", "y").repartition(min(some, count), "t").sortWithinPartitions("t")
+        dealt.mapInArrow(grown, FOREST).write.mode("append").parquet(path)
+
+
+def grow_by_level(rows: DataFrame, path: str, count: int, n: int, width: int, seed: int, wanted: int, least: int, deepest: int | None) -> None:
+    """Write the trees, one after the other, each grown by two jobs a level."""
+    spark, shards = rows.sparkSession, 1 + n // BLOCK_ROWS
+    for number in range(count):
+        forest, depth = Forest(1, number), 0
+        while forest.open():
+            sent = spark.sparkContext.broadcast(forest)
+            grows = deepest is None or depth < deepest
+            found = level_tries(rows, sent, seed, wanted, least, grows, width, shards)
+            tries = _padded(found, forest, wanted)
+            for tree, first, (whole, _, _) in zip(forest.trees, forest.first, tries):
+                tree["share"][first:] = whole[:, 1] / whole.sum(axis=1)
+            some = any((feature >= 0).any() for _, feature, _ in tries)
+            asked = spark.sparkContext.broadcast(tries)
+            splits = level_splits(rows, sent, asked, least, width, shards) if some else NO_SPLITS
+            forest.split(splits)
+            sent.destroy()
+            asked.destroy()
+            depth += 1
+        for part in _parts(number, forest.trees[0]):
+            spark.createDataFrame(pa.Table.from_batches([part])).to(StructType.fromDDL(FOREST)).write.mode("append").parquet(path)
+
+
+class Trees(Sequence):
+    """The trees of a written forest as lists; one is read at a time."""
+
+    def __init__(self, path: str, count: int):
+        self.path, self.count = path, count
+
+    def __len__(self) -> int:
+        return self.count
+
+    def __getitem__(self, number: int) -> dict[str, list]:
+        if not 0 <= number < self.count:
+            raise IndexError(number)
+        tree = _read(SparkSession.active(), self.path, number, number + 1)[0]
+        return {name: values.tolist() for name, values in (tree | {"right": np.where(tree["left"] >= 0, tree["left"] + 1, -1)}).items()}
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Sequence) and len(self) == len(other) and all(a == b for a, b in zip(self, other))
+
+
+def _read(spark: SparkSession, path: str, first: int, end: int) -> list[dict[str, np.ndarray]]:
+    """Trees first to end - 1 of the table at `path`."""
+    table = spark.read.schema(FOREST).parquet(path).where((F.col("t") >= first) & (F.col("t") < end)).toArrow()
+    found: list[list] = [[] for _ in range(first, end)]
+    for i in np.lexsort((table["part"].to_numpy(), table["t"].to_numpy())).tolist():
+        found[table["t"][i].as_py() - first].append({name: np.asarray(table[name][i].values) for name in KINDS})
+    return [{name: np.concatenate([p[name] for p in parts]) for name in KINDS} for parts in found]
+
+
+def _sent_trees(sent) -> list[dict[str, np.ndarray]]:
+    """Value of a broadcast, which the worker does not keep where it can read it again."""
+    path = getattr(sent, "_path", None)
+    return sent.load_from_path(path) if path and not hasattr(sent, "_value") else sent.value
+
+
 class ExtraTreesModel(_Fitted):
-    """Mean over the trees of the share of class 1 in the leaf."""
+    """Mean over the trees of the share of class 1 in the leaf; the trees are in a table in the shared folder."""
+
+    def fitted(self):
+        state = super().fitted()
+        return state | {"trees": Trees(state["path"], state["count"])}
+
+    def _broadcasts(self, spark: SparkSession) -> list:
+        """The forest, some trees a broadcast; the driver holds one of them at a time."""
+        context = spark.sparkContext
+        if getattr(self, "_held", (None, None))[0] != context.applicationId:
+            path, count = self.fitted()["path"], len(self.fitted()["trees"])
+            sizes = spark.read.schema(FOREST).parquet(path).groupBy("t").agg(F.sum(F.size("feature")).alias("n"))
+            nodes = {r["t"]: r["n"] for r in sizes.collect()}  # a number a tree
+            held, first, size = [], 0, 0
+            for number in range(count):
+                size += 24 * nodes[number]
+                if size >= SENT_BYTES or number == count - 1:
+                    held.append(context.broadcast(_read(spark, path, first, number + 1)))
+                    first, size = number + 1, 0
+            self._held = (context.applicationId, held)
+        return self._held[1]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        kinds = {"feature": np.int32, "cut": np.float64, "left": np.int32, "share": np.float64}
-        trees = [{name: np.array(t[name], kind) for name, kind in kinds.items()} for t in self.fitted()["trees"]]
-        sent = dataset.sparkSession.sparkContext.broadcast(trees)
+        held, count = self._broadcasts(dataset.sparkSession), self.fitted()["count"]
 
         @F.pandas_udf("double")
-        def mean(values: pd.Series) -> pd.Series:
-            rows = np.stack(values.to_list()) if len(values) else np.zeros((0, 1))
-            trees = sent.value
-            return pd.Series(sum((t["share"][_route(t, rows)] for t in trees), np.zeros(len(rows))) / len(trees))
+        def mean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for group in _gathered(parts, BLOCK_ROWS):
+                rows = [np.stack(p.to_list()) if len(p) else np.zeros((0, 1)) for p in group]
+                totals = [np.zeros(len(r)) for r in rows]
+                for sent in held:
+                    for tree in _sent_trees(sent):
+                        for r, total in zip(rows, totals):
+                            total += tree["share"][_route(tree, r)]
+                yield from (pd.Series(total / count) for total in totals)
 
         scored = dataset.withColumn("_p", mean(vector_to_array("features")))
         vector = array_to_vector(F.array(1 - F.col("_p"), F.col("_p")))
@@ -261,6 +445,19 @@ class ExtraTreesModel(_Fitted):
         ).drop("_p")
 
 
+def _gathered(parts: Iterator[pd.Series], rows: int) -> Iterator[list[pd.Series]]:
+    """Batches in groups that reach so many rows."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part)
+        if n >= rows:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 class ExtraTrees(BinaryEstimator):
     """Settings: n_estimators, max_depth, min_samples_leaf, max_features (sqrt, log2 or None for all), random_state."""
 
@@ -274,28 +471,13 @@ class ExtraTrees(BinaryEstimator):
         if not width:
             raise ValueError("There are no training rows.")
         wanted = {"sqrt": int(math.sqrt(width)), "log2": int(math.log2(width)), None: width}[self.setting("max_features", "sqrt")]
-        # as many partitions as rows fill, but work for all cores: every level reads them twice
-        parts = max(1 + n // BLOCK_ROWS, min(default_buckets(spark), 1 + n // LEAST_ROWS))
-        rows, shards = materialize(rows.repartition(parts), "extra-trees"), 1 + n // BLOCK_ROWS
-        forest = Forest(count)
-        depth, wanted = 0, max(1, wanted)
-        while forest.open():
-            sent = spark.sparkContext.broadcast(forest)
-            grows = deepest is None or depth < deepest
-            found = level_tries(rows, sent, seed, wanted, least, grows, width, shards)
-            tries = _padded(found, forest, wanted)
-            for tree, first, (whole, _, _) in zip(forest.trees, forest.first, tries):
-                tree["share"][first:] = whole[:, 1] / whole.sum(axis=1)
-            some = any((feature >= 0).any() for _, feature, _ in tries)
-            asked = spark.sparkContext.broadcast(tries)
-            splits = level_splits(rows, sent, asked, least, width, shards) if some else NO_SPLITS
-            forest.split(splits)
-            sent.destroy()
-            asked.destroy()
-            depth += 1
-        return ExtraTreesModel({"trees": [_lists_of(tree) for tree in forest.trees]})
-
-
-def _lists_of(tree: dict[str, np.ndarray]) -> dict[str, list]:
-    right = np.where(tree["left"] >= 0, tree["left"] + 1, -1)
-    return {name: values.tolist() for name, values in (tree | {"right": right}).items()}
+        path = new_workspace(spark, "forest")
+        if 8 * n * width <= TASK_BYTES:
+            grow = grow_in_tasks
+        else:
+            grow = grow_by_level
+            # as many partitions as rows fill, but work for all cores: every level reads them twice
+            parts = max(1 + n // BLOCK_ROWS, min(default_buckets(spark), 1 + n // LEAST_ROWS))
+            rows = materialize(rows.repartition(parts), "extra-trees")
+        grow(rows, path, count, n, width, seed, max(1, wanted), least, deepest)
+        return ExtraTreesModel({"path": path, "count": count})

@@ -79,3 +79,27 @@ def test_jobs_of_a_fit_do_not_grow_with_the_partitions(spark):
             spark.conf.set(name, value)
     assert max(len(t["feature"]) for t in model.fitted()["trees"]) > 3
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("extra-trees-jobs")) < 40
+
+
+@pytest.mark.parametrize("least,deepest", [(1, None), (8, 4)])
+def test_the_driver_holds_no_forest(spark, monkeypatch, least, deepest):
+    """Trees are in a table, of several parts here; rows that do not fit a task give the same trees, one held at a time."""
+    from cohorta.learning import extra_trees
+
+    monkeypatch.setattr(extra_trees, "NODES", 30)
+    monkeypatch.setattr(extra_trees, "SENT_BYTES", 1_000)
+    x, y, df = data(spark)
+    fit = lambda: ExtraTrees(labelCol="label", n_estimators=3, min_samples_leaf=least, max_depth=deepest, random_state=5).fit(df)
+    whole = fit()
+    assert set(whole.getOrDefault(whole.state)) == {"path", "count"}
+    held = []
+    real = extra_trees.Forest.__init__
+    monkeypatch.setattr(extra_trees.Forest, "__init__", lambda self, count, number=0: (held.append(count), real(self, count, number))[0])
+    monkeypatch.setattr(extra_trees, "TASK_BYTES", 0)
+    by_level = fit()
+    assert held == [1, 1, 1]
+    assert by_level.fitted()["trees"] == whole.fitted()["trees"]
+    want = plain_forest(x, y, 3, 5, least, deepest, 2)
+    for model in (whole, by_level):
+        rows = model.transform(df).orderBy("i").select(vector_to_array("probability")[1]).collect()
+        assert [r[0] for r in rows] == pytest.approx(want.tolist())
